@@ -18,13 +18,12 @@ def field(name: str) -> Column:
 
 def normalize_missing(df: DataFrame) -> DataFrame:
     """NaN becomes NULL, so that one notion of missing holds for every operator."""
-    projected = [
-        F.nanvl(field(f.name), F.lit(None).cast(f.dataType)).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-        else field(f.name)
+    floating = {
+        f.name: F.nanvl(field(f.name), F.lit(None).cast(f.dataType))
         for f in df.schema.fields
-    ]
-    return df.select(*projected)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    }
+    return df.withColumns(floating) if floating else df
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -81,6 +80,31 @@ def long_form(df: DataFrame, columns: dict[str, Column], value: str = "value") -
     return df.select(F.inline(F.array(*items))).filter(F.col(value).isNotNull())
 
 
+def literal(value: object) -> str:
+    """A Python value as SQL text."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"double('{value!r}')"
+    if isinstance(value, int):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def result_rows(rows: Sequence[dict[str, str]]) -> Column:
+    """One aggregate row turned into result rows, each given as name -> SQL text.
+
+    As text, a report of hundreds of cells is one expression to parse instead of hundreds of calls.
+    """
+    structs = [
+        "named_struct(" + ", ".join(f"{literal(n)}, {e}" for n, e in row.items()) + ")"
+        for row in rows
+    ]
+    return F.expr(f"inline(array({', '.join(structs)}))")
+
+
 def mean_of_known(scores: Sequence[Column]) -> Column:
     """Mean of the columns that are not NULL; NULL when there is none."""
     total = sum((F.coalesce(s, F.lit(0.0)) for s in scores), F.lit(0.0))

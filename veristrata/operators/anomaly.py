@@ -11,18 +11,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veristrata.functions.columns import as_double, field, normalize_missing, numeric_columns
+from veristrata.functions.columns import (
+    as_double,
+    field,
+    literal,
+    normalize_missing,
+    numeric_columns,
+    result_rows,
+)
 from veristrata.operators.quantiles import quantile_values, quantiles_of
 
 METHODS = ("iqr", "zscore", "mad")
 # Makes the median absolute deviation comparable to a standard deviation.
 MAD_SCALE = 1.4826
 
-_RESULT = (
-    "`column` string, method string, threshold double, lower_bound double, upper_bound double, "
-    "center double, scale double, error string"
-)
-
 
 @dataclass
 class Bounds:
@@ -131,28 +133,31 @@ def count_anomalies(df: DataFrame, fitted: list[Bounds]) -> DataFrame:
     df = normalize_missing(df)
     if not fitted:
         return df.sparkSession.createDataFrame(
-            [], "`column` string, method string, anomaly_count bigint, row_count bigint, "
-            "anomaly_rate double, " + _RESULT.split(", ", 2)[2]
+            [],
+            "`column` string, method string, anomaly_count bigint, row_count bigint, "
+            "anomaly_rate double, threshold double, lower_bound double, upper_bound double, "
+            "center double, scale double, error string",
         )
-    aggregates, items = [F.count(F.lit(1)).alias("rows")], []
+    aggregates, rows = [F.count(F.lit(1)).alias("rows")], []
     for i, b in enumerate(fitted):
         flag = b.is_anomaly(as_double(df, b.column))
         aggregates.append(F.count(F.when(flag, F.lit(1))).alias(f"a{i}"))
-        rate = F.coalesce(F.try_divide(F.col(f"a{i}"), F.col("rows")), F.lit(0.0))
-        items.append(
-            F.struct(
-                F.lit(b.column).alias("column"),
-                F.lit(b.method).alias("method"),
-                F.col(f"a{i}").alias("anomaly_count"),
-                F.col("rows").alias("row_count"),
-                rate.alias("anomaly_rate"),
-                *(_number(v).alias(n) for n, v in (
-                    ("threshold", b.threshold), ("lower_bound", b.lower),
-                    ("upper_bound", b.upper), ("center", b.center), ("scale", b.scale))),
-                F.lit(b.error).cast("string").alias("error"),
-            )
+        numbers = {
+            "threshold": b.threshold, "lower_bound": b.lower, "upper_bound": b.upper,
+            "center": b.center, "scale": b.scale,
+        }
+        rows.append(
+            {
+                "column": literal(b.column),
+                "method": literal(b.method),
+                "anomaly_count": f"a{i}",
+                "row_count": "rows",
+                "anomaly_rate": f"coalesce(try_divide(a{i}, rows), 0.0D)",
+                **{n: f"cast({literal(v)} AS double)" for n, v in numbers.items()},
+                "error": f"cast({literal(b.error)} AS string)",
+            }
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*items)))
+    return df.agg(*aggregates).select(result_rows(rows))
 
 
 def _number(value: float | None) -> Column:

@@ -19,9 +19,10 @@ SKIPPED = {S.COLUMN_SET, S.DATE_PARSEABLE, S.TYPE_LIST, S.UNIQUE_PROPORTION}
 
 @dataclass
 class RowCheck:
-    """``considered`` rows take part; ``bad`` ones fail as evaluated, ``bad_declared`` as written."""
+    """``considered`` rows take part (all, if None); ``bad`` ones fail as evaluated,
+    ``bad_declared`` ones as written."""
 
-    considered: Column
+    considered: Column | None
     bad: Column
     bad_declared: Column | None = None
     type_error: bool = False
@@ -92,7 +93,7 @@ def _column_set(df: DataFrame, p: dict[str, Any]) -> Check:
 
 
 def _not_null(df: DataFrame, p: dict[str, Any]) -> Check:
-    return RowCheck(F.lit(True), field(p["column"]).isNull())
+    return RowCheck(None, field(p["column"]).isNull())
 
 
 def _unique(df: DataFrame, p: dict[str, Any]) -> Check:

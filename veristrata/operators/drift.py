@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from veristrata.functions.columns import (
     as_double,
     is_numeric_or_bool,
+    literal,
     normalize_missing,
+    result_rows,
 )
 from veristrata.operators.quantiles import SAMPLE_ROWS, SAMPLE_SHARE, SKETCH_ACCURACY, quantiles_of
 
@@ -50,7 +52,7 @@ def _sides(reference: DataFrame, current: DataFrame, names: list[str]) -> DataFr
     """Both tables under one another as doubles ``v0 ..``, with the side as a flag."""
     parts = []
     for table, flag in ((normalize_missing(reference), True), (normalize_missing(current), False)):
-        values = [as_double(table, c).alias(f"v{i}") for i, c in enumerate(names)]
+        values = [asliteral(table, c).alias(f"v{i}") for i, c in enumerate(names)]
         parts.append(table.select(F.lit(flag).alias("is_reference"), *values))
     return parts[0].unionAll(parts[1])
 
@@ -73,7 +75,7 @@ def statistical_drift(
         (0.5,),
         mode,
     )
-    aggregates, items = [], []
+    aggregates, rows = [], []
     for i, name in enumerate(names):
         stats = {}
         for s, flag in side.items():
@@ -81,28 +83,28 @@ def statistical_drift(
             for key, a in (("mean", F.avg(v)), ("std", F.stddev_samp(v)), ("min", F.min(v)),
                            ("max", F.max(v))):
                 aggregates.append(a.alias(f"{s}_{key}_{i}"))
-                stats[f"{s}_{key}"] = F.col(f"{s}_{key}_{i}")
+                stats[f"{s}_{key}"] = f"{s}_{key}_{i}"
             median = medians.get(f"{s}{i}", {}).get(0.5)
-            stats[f"{s}_median"] = F.lit(median).cast("double")
+            stats[f"{s}_median"] = f"cast({literal(median)} AS double)"
         mean_change = _relative(stats["reference_mean"], stats["current_mean"])
         std_change = _relative(stats["reference_std"], stats["current_std"])
-        score = (mean_change + std_change) / 2
-        items.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                F.lit("statistical").alias("drift_type"),
-                score.alias("drift_score"),
-                F.coalesce(score > F.lit(threshold), F.lit(False)).alias("drift_detected"),
-                mean_change.alias("mean_diff_pct"),
-                std_change.alias("std_diff_pct"),
-                *(v.alias(k) for k, v in stats.items()),
-            )
+        score = f"({mean_change} + {std_change}) / 2"
+        rows.append(
+            {
+                "column": literal(name),
+                "drift_type": "'statistical'",
+                "drift_score": score,
+                "drift_detected": f"coalesce({score} > {literal(float(threshold))}, false)",
+                "mean_diff_pct": mean_change,
+                "std_diff_pct": std_change,
+                **stats,
+            }
         )
-    return both.agg(*aggregates).select(F.inline(F.array(*items)))
+    return both.agg(*aggregates).select(result_rows(rows))
 
 
-def _relative(old: Column, new: Column) -> Column:
-    return F.abs(old - new) / (F.abs(old) + F.lit(1e-10))
+def _relative(old: str, new: str) -> str:
+    return f"abs({old} - {new}) / (abs({old}) + 1e-10D)"
 
 
 def distribution_drift(
@@ -157,7 +159,7 @@ def _ks(reference: DataFrame, current: DataFrame, names: list[str]) -> DataFrame
     both = _sides(reference, current, names)
     knots = _knots(both, len(names))
     known = F.col("v").isNotNull()
-    interval = [_interval(F.col(f"v{i}"), k).alias(f"k{i}") for i, k in enumerate(knots)]
+    interval = [_interval(f"v{i}", k).alias(f"k{i}") for i, k in enumerate(knots)]
     located = both.select("*", *interval).select(
         F.inline(
             F.array(
@@ -242,31 +244,40 @@ def _knots(both: DataFrame, count: int) -> list[list[float]]:
     share = max(SAMPLE_ROWS / max(rows, 1), SAMPLE_SHARE)
     sample = both if share >= 0.5 else both.sample(fraction=share, seed=42)
     row = sample.agg(
-        *(F.percentile_approx(f"v{i}", KNOTS, SKETCH_ACCURACY).alias(f"k{i}") for i in range(count))
+        *(
+            F.expr(f"percentile_approx(v{i}, array({','.join(map(literal, KNOTS))}), "
+                   f"{SKETCH_ACCURACY})").alias(f"k{i}")
+            for i in range(count)
+        )
     ).first()
     return [sorted(set(row[f"k{i}"] or [])) for i in range(count)]
 
 
-def _interval(v: Column, knots: list[float]) -> Column:
+def _doubles(values: list[float]) -> Column:
+    return F.expr(f"array({', '.join(map(literal, values))})")
+
+
+def _interval(name: str, knots: list[float]) -> Column:
     """Number of knots at or below the value, found by halving."""
 
-    def between(low: int, high: int) -> Column:
+    def between(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         middle = (low + high) // 2
-        return F.when(v < F.lit(knots[middle]), between(low, middle)).otherwise(
-            between(middle + 1, high)
+        return (
+            f"CASE WHEN {name} < {literal(knots[middle])} THEN {between(low, middle)} "
+            f"ELSE {between(middle + 1, high)} END"
         )
 
-    return between(0, len(knots))
+    return F.expr(between(0, len(knots)))
 
 
 def _cell(v: Column, interval: Column, knots: list[float]) -> Column:
     """The interval cut into equal steps; a number that never falls as the value rises."""
     if len(knots) < 2:
         return interval * CELLS_PER_KNOT
-    lows = F.lit([knots[0], *knots])
-    widths = F.lit([0.0, *(b - a for a, b in zip(knots, knots[1:])), 0.0])
+    lows = _doubles([knots[0], *knots])
+    widths = _doubles([0.0, *(b - a for a, b in zip(knots, knots[1:])), 0.0])
     position = F.try_divide(v - F.get(lows, interval), F.get(widths, interval))
     step = F.floor(position * F.lit(float(CELLS_PER_KNOT))).cast("int")
     last = F.lit(CELLS_PER_KNOT - 1)

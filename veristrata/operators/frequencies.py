@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veristrata.functions.columns import field, long_form
+from veristrata.functions.columns import field, literal, long_form, result_rows
 
 # Longer values are represented by a digest wherever only their identity counts.
 IDENTITY_BYTES = 64
@@ -47,15 +47,14 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     repeated_* columns are then NULL.
     """
     if approximate:
-        one_row = df.agg(*(F.approx_count_distinct(field(c)).alias(c) for c in columns))
-        items = [F.struct(F.lit(c).alias("column"), field(c).alias("distinct_count")) for c in columns]
-        nothing = F.lit(None).cast("bigint")
-        return (
-            one_row.select(F.inline(F.array(*items)))
-            .filter("distinct_count > 0")
-            .select("column", "distinct_count", nothing.alias("repeated_values"),
-                    nothing.alias("repeated_rows"))
-        )
+        sketches = [F.approx_count_distinct(field(c)).alias(f"d{i}") for i, c in enumerate(columns)]
+        nothing = "cast(NULL AS bigint)"
+        rows = [
+            {"column": literal(c), "distinct_count": f"d{i}", "repeated_values": nothing,
+             "repeated_rows": nothing}
+            for i, c in enumerate(columns)
+        ]
+        return df.agg(*sketches).select(result_rows(rows)).filter("distinct_count > 0")
     repeated = F.col("occurrences") > 1
     return (
         value_counts(df, columns, identities=True)

@@ -15,9 +15,11 @@ from veristrata.functions.columns import (
     is_numeric_or_bool,
     is_string,
     is_temporal,
+    literal,
     normalize_missing,
     numeric_columns,
     numeric_or_bool_columns,
+    result_rows,
     string_columns,
     temporal_columns,
 )
@@ -62,7 +64,7 @@ def column_profile(
         quartiles = quantile_values(df, numbers, QUARTILES, mode)
     aggregates: list[Column] = [F.count(F.lit(1)).alias("count")]
     rows = [_statistics(df, c, i, parts, quartiles.get(c), aggregates) for i, c in enumerate(names)]
-    stats = df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    stats = df.agg(*aggregates).select(result_rows(rows))
     if "distinct" in parts:
         counts = distinct_counts(df, names, approximate=mode == "approx")
         # One row per column of the table on either side.
@@ -88,53 +90,57 @@ def column_profile(
 def _statistics(
     df: DataFrame, name: str, i: int, parts: set[str], quartiles: dict | None,
     aggregates: list[Column],
-) -> Column:
-    """Adds the aggregates of one column and returns its result struct over them."""
+) -> dict[str, str]:
+    """Adds the aggregates of one column and returns its result row over them."""
     data_type = df.schema[name].dataType
-    values: dict[str, tuple[Column, str]] = {"known": (F.count(field(name)), "bigint")}
+    values: dict[str, Column] = {"known": F.count(field(name))}
     if is_numeric_or_bool(data_type):
         v = as_double(df, name)
         if "numeric" in parts:
             values |= {
-                "mean": (F.avg(v), "double"), "std": (F.stddev_samp(v), "double"),
-                "min": (F.min(v), "double"), "max": (F.max(v), "double"),
+                "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v),
             }
         if "shape" in parts:
-            values |= {
-                "skewness": (adjusted_skewness(v), "double"),
-                "kurtosis": (adjusted_kurtosis(v), "double"),
-            }
+            values |= {"skewness": adjusted_skewness(v), "kurtosis": adjusted_kurtosis(v)}
     elif is_temporal(data_type) and "datetime" in parts:
         v = field(name).cast("timestamp_ntz")
-        values |= {"min_ts": (F.min(v), "timestamp_ntz"), "max_ts": (F.max(v), "timestamp_ntz")}
+        values |= {"min_ts": F.min(v), "max_ts": F.max(v)}
     elif is_string(data_type) and "string" in parts:
         length = F.char_length(field(name))
         values |= {
-            "avg_length": (F.avg(length), "double"), "min_length": (F.min(length), "int"),
-            "max_length": (F.max(length), "int"),
+            "avg_length": F.avg(length), "min_length": F.min(length), "max_length": F.max(length),
         }
-    for key, (expression, _) in values.items():
+    for key, expression in values.items():
         aggregates.append(expression.alias(f"{key}_{i}"))
 
-    def out(key: str, data_type: str) -> Column:
-        return (F.col(f"{key}_{i}") if key in values else F.lit(None)).cast(data_type).alias(key)
-
-    def quartile(p: float, key: str) -> Column:
-        return F.lit((quartiles or {}).get(p)).cast("double").alias(key)
-
-    days = F.timestamp_diff("DAY", F.col(f"min_ts_{i}"), F.col(f"max_ts_{i}"))
-    return F.struct(
-        F.lit(name).alias("column"),
-        F.lit(data_type.simpleString()).alias("dtype"),
-        F.col("count").alias("count"),
-        (F.col("count") - F.col(f"known_{i}")).alias("null_count"),
-        out("mean", "double"), out("std", "double"), out("min", "double"),
-        quartile(0.25, "q25"), quartile(0.5, "q50"), quartile(0.75, "q75"),
-        out("max", "double"), out("skewness", "double"), out("kurtosis", "double"),
-        out("min_ts", "timestamp_ntz"), out("max_ts", "timestamp_ntz"),
-        (days if "min_ts" in values else F.lit(None)).cast("bigint").alias("range_days"),
-        out("avg_length", "double"), out("min_length", "int"), out("max_length", "int"),
-    )
+    def out(key: str, data_type: str) -> str:
+        return f"cast({f'{key}_{i}' if key in values else 'NULL'} AS {data_type})"
+
+    def quartile(p: float) -> str:
+        return f"cast({literal((quartiles or {}).get(p))} AS double)"
+
+    days = f"timestampdiff(DAY, min_ts_{i}, max_ts_{i})" if "min_ts" in values else "NULL"
+    return {
+        "column": literal(name),
+        "dtype": literal(data_type.simpleString()),
+        "count": "count",
+        "null_count": f"count - known_{i}",
+        "mean": out("mean", "double"),
+        "std": out("std", "double"),
+        "min": out("min", "double"),
+        "q25": quartile(0.25),
+        "q50": quartile(0.5),
+        "q75": quartile(0.75),
+        "max": out("max", "double"),
+        "skewness": out("skewness", "double"),
+        "kurtosis": out("kurtosis", "double"),
+        "min_ts": out("min_ts", "timestamp_ntz"),
+        "max_ts": out("max_ts", "timestamp_ntz"),
+        "range_days": f"cast({days} AS bigint)",
+        "avg_length": out("avg_length", "double"),
+        "min_length": out("min_length", "int"),
+        "max_length": out("max_length", "int"),
+    }
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -197,13 +203,11 @@ def _correlate(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     aggregates = [
         pearson(as_double(df, a), as_double(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)
     ]
-    items = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in {(a, b), (b, a)}:
-            items.append(
-                F.struct(F.lit(left).alias("a"), F.lit(right).alias("b"), F.col(f"r{i}").alias("r"))
-            )
-    return df.agg(*aggregates).select(F.inline(F.array(*items)))
+    rows = [
+        {"a": literal(left), "b": literal(right), "r": f"r{i}"}
+        for i, (a, b) in enumerate(pairs) for left, right in sorted({(a, b), (b, a)})
+    ]
+    return df.agg(*aggregates).select(result_rows(rows))
 
 
 # Bytes of one value per type.
@@ -215,15 +219,15 @@ _WIDTHS = {
 
 def byte_profile(df: DataFrame) -> DataFrame:
     """Data bytes per column: fixed width by type, and the encoded length of texts."""
-    aggregates, items = [F.count(F.lit(1)).alias("rows")], []
+    aggregates, rows = [F.count(F.lit(1)).alias("rows")], []
     for i, f in enumerate(df.schema.fields):
         if is_string(f.dataType) or isinstance(f.dataType, T.BinaryType):
             aggregates.append(F.sum(F.octet_length(field(f.name)).cast("bigint")).alias(f"b{i}"))
-            size = F.coalesce(F.col(f"b{i}"), F.lit(0))
+            size = f"coalesce(b{i}, 0)"
         else:
-            size = F.col("rows") * F.lit(_WIDTHS.get(type(f.dataType), 8))
-        items.append(F.struct(F.lit(f.name).alias("column"), size.alias("data_bytes")))
-    return df.agg(*aggregates).select(F.inline(F.array(*items)))
+            size = f"rows * {_WIDTHS.get(type(f.dataType), 8)}"
+        rows.append({"column": literal(f.name), "data_bytes": size})
+    return df.agg(*aggregates).select(result_rows(rows))
 
 
 def profile_summary(df: DataFrame, name: str = "dataset") -> DataFrame:

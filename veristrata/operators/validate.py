@@ -9,9 +9,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.functions.columns import field, normalize_missing
+from veristrata.functions.columns import field, literal, normalize_missing, result_rows
 from veristrata.operators.checks import (
     SKIPPED,
+    Check,
     DistinctCheck,
     RowCheck,
     RowCountCheck,
@@ -36,7 +37,7 @@ def validate(df: DataFrame, suite: Suite) -> DataFrame:
         return df.limit(0).select(*(_null(t).alias(n) for n, t in _RESULT))
     counts = _Counts()
     rows = [_rule_row(suite, i, r, c, counts) for i, (r, c) in enumerate(zip(suite.rules, checks))]
-    long = df.agg(*counts.aggregates()).select(F.inline(F.array(*rows)))
+    long = df.agg(*counts.aggregates).select(result_rows(rows))
     distinct = list(dict.fromkeys(c.column for c in checks if isinstance(c, DistinctCheck)))
     if distinct:
         uniques = distinct_counts(df, distinct).withColumnRenamed("column", "distinct_column")
@@ -161,72 +162,75 @@ class _Counts:
     """Collects the aggregates of a suite; Spark evaluates equal ones once."""
 
     def __init__(self) -> None:
-        self._aggregates: list[Column] = [F.count(F.lit(1)).alias("n")]
+        self.aggregates: list[Column] = [F.count(F.lit(1)).alias("n")]
 
-    def of(self, condition: Column) -> Column:
-        name = f"c{len(self._aggregates)}"
-        self._aggregates.append(F.count(F.when(condition, F.lit(1))).alias(name))
-        return F.col(name)
+    def of(self, condition: Column) -> str:
+        """Number of rows where the condition holds; the name of the aggregate."""
+        return self._add(F.count(F.when(condition, F.lit(1))))
 
-    def aggregates(self) -> list[Column]:
-        return self._aggregates
+    def known(self, column: str) -> str:
+        return self._add(F.count(field(column)))
+
+    def _add(self, aggregate: Column) -> str:
+        name = f"c{len(self.aggregates)}"
+        self.aggregates.append(aggregate.alias(name))
+        return name
 
 
 def _null(data_type: str) -> Column:
     return F.lit(None).cast(data_type)
 
 
-def _rule_row(suite: Suite, idx: int, rule: Rule, check, counts: _Counts) -> Column:
-    """The struct of one rule, with raw counts still to be judged."""
-    absent = _null("bigint")
-    considered = bad = bad_declared = nulls = low = high = absent
-    fixed = fixed_declared = _null("boolean")
-    kind, status, distinct_column = "static", "evaluated", _null("string")
-    type_error = False
+def _rule_row(suite: Suite, idx: int, rule: Rule, check: Check, counts: _Counts) -> dict[str, str]:
+    """The row of one rule as SQL text over the counts, still to be judged."""
+    no_count, no_flag = "cast(NULL AS bigint)", "cast(NULL AS boolean)"
+    considered = bad = bad_declared = nulls = no_count
+    fixed = fixed_declared = no_flag
+    kind, status, distinct_column, type_error = "static", "evaluated", None, False
     if isinstance(check, RowCheck):
-        kind = "row"
-        considered, bad = counts.of(check.considered), counts.of(check.bad)
+        kind, type_error = "row", check.type_error
+        bad = counts.of(check.bad)
         bad_declared = bad if check.bad_declared is None else counts.of(check.bad_declared)
-        nulls = counts.of(field(rule.column).isNull()) if rule.params.get("column") else (
-            F.col("n") - considered
-        )
-        type_error = check.type_error
+        considered = "n" if check.considered is None else counts.of(check.considered)
+        column = rule.params.get("column")
+        nulls = f"n - {counts.known(column)}" if column else f"n - {considered}"
     elif isinstance(check, DistinctCheck):
-        kind = "proportion" if check.proportion else "unique"
-        distinct_column = F.lit(check.column)
-        nulls = counts.of(field(check.column).isNull())
-        considered = F.col("n") - nulls
+        kind, distinct_column = "proportion" if check.proportion else "unique", check.column
+        considered = counts.known(check.column)
+        nulls = f"n - {considered}"
     elif isinstance(check, RowCountCheck):
         kind = "row_count"
     elif isinstance(check, StaticCheck):
-        status, fixed = check.status, F.lit(check.success)
-        fixed_declared = F.lit(check.success_declared)
-        bad = bad_declared = F.lit(check.unexpected).cast("bigint")
+        status = check.status
+        fixed, fixed_declared = literal(check.success), literal(check.success_declared)
+        bad = bad_declared = f"cast({literal(check.unexpected)} AS bigint)"
     if rule.kind in SKIPPED:
         status = "skipped"
-    low, high = (F.lit(rule.params.get(k)).cast("double") if _is_number(rule.params.get(k))
-                 else _null("double") for k in ("min_value", "max_value"))
-    return F.struct(
-        F.lit(suite.name).alias("suite"),
-        F.lit(idx).alias("idx"),
-        F.lit(rule.kind).alias("expectation_type"),
-        F.lit(rule.column).cast("string").alias("column"),
-        F.lit(json.dumps(rule.params, default=str)).alias("kwargs"),
-        F.col("n").alias("element_count"),
-        nulls.alias("null_count"),
-        considered.alias("considered"),
-        bad.alias("bad"),
-        bad_declared.alias("bad_declared"),
-        fixed.alias("fixed"),
-        fixed_declared.alias("fixed_declared"),
-        F.lit(kind).alias("kind"),
-        F.lit(status).alias("status"),
-        F.lit(type_error).alias("type_error"),
-        F.lit(rule.mostly).alias("mostly"),
-        low.alias("low"),
-        high.alias("high"),
-        distinct_column.alias("distinct_column"),
+    low, high = (
+        literal(float(b) if _is_number(b) else None)
+        for b in (rule.params.get("min_value"), rule.params.get("max_value"))
     )
+    return {
+        "suite": literal(suite.name),
+        "idx": literal(idx),
+        "expectation_type": literal(rule.kind),
+        "column": f"cast({literal(rule.column)} AS string)",
+        "kwargs": literal(json.dumps(rule.params, default=str)),
+        "element_count": "n",
+        "null_count": nulls,
+        "considered": considered,
+        "bad": bad,
+        "bad_declared": bad_declared,
+        "fixed": fixed,
+        "fixed_declared": fixed_declared,
+        "kind": literal(kind),
+        "status": literal(status),
+        "type_error": literal(type_error),
+        "mostly": literal(rule.mostly),
+        "low": f"cast({low} AS double)",
+        "high": f"cast({high} AS double)",
+        "distinct_column": f"cast({literal(distinct_column)} AS string)",
+    }
 
 
 def _is_number(value: object) -> bool:
@@ -235,39 +239,26 @@ def _is_number(value: object) -> bool:
 
 def _judge(long: DataFrame) -> DataFrame:
     """Both verdicts from the counts."""
-    kind = F.col("kind")
-    n, considered = F.col("element_count"), F.col("considered")
-    repeated = F.coalesce(F.col("repeated_rows"), F.lit(0))
-    proportion = F.try_divide(F.coalesce(F.col("distinct_count"), F.lit(0)), considered)
-    failed_type = F.col("type_error") & (considered > 0)
-
-    def within(value: Column) -> Column:
-        return F.coalesce(value >= F.col("low"), F.lit(True)) & F.coalesce(
-            value <= F.col("high"), F.lit(True)
-        )
-
-    share_ok = F.coalesce(
-        F.try_divide(considered - F.col("bad_declared"), considered) >= F.col("mostly"), F.lit(True)
-    )
-    observed = (
-        F.when(F.col("status") == "skipped", F.lit(True))
-        .when(kind == "static", F.col("fixed"))
-        .when(kind == "row_count", within(n))
-        .when(kind == "unique", (repeated == 0) & (F.col("null_count") <= 1))
-        .otherwise((F.col("bad") == 0) & ~failed_type)
-    )
-    declared = (
-        F.when(kind == "static", F.col("fixed_declared"))
-        .when(kind == "row_count", within(n))
-        .when(kind == "unique", repeated == 0)
-        .when(kind == "proportion", F.coalesce(within(proportion), F.lit(True)))
-        .otherwise(share_ok & ~failed_type)
-    )
-    return long.select(
-        "suite", "idx", "expectation_type", "column", "kwargs", "element_count", "null_count",
-        F.when(kind == "unique", repeated).otherwise(F.col("bad")).alias("unexpected_count"),
-        observed.alias("success"),
-        declared.alias("success_declared"),
-        F.when(failed_type, F.lit("error")).otherwise(F.col("status")).alias("status"),
-        F.when(failed_type, F.lit("type")).alias("error"),
+    repeated, failed_type = "coalesce(repeated_rows, 0)", "(type_error AND considered > 0)"
+
+    def within(value: str) -> str:
+        return f"(coalesce({value} >= low, true) AND coalesce({value} <= high, true))"
+
+    share = "try_divide(considered - bad_declared, considered)"
+    proportion = "try_divide(coalesce(distinct_count, 0), considered)"
+    return long.selectExpr(
+        "suite", "idx", "expectation_type", "`column`", "kwargs", "element_count", "null_count",
+        f"CASE WHEN kind = 'unique' THEN {repeated} ELSE bad END AS unexpected_count",
+        f"""CASE WHEN status = 'skipped' THEN true
+            WHEN kind = 'static' THEN fixed
+            WHEN kind = 'row_count' THEN {within('element_count')}
+            WHEN kind = 'unique' THEN {repeated} = 0 AND null_count <= 1
+            ELSE bad = 0 AND NOT {failed_type} END AS success""",
+        f"""CASE WHEN kind = 'static' THEN fixed_declared
+            WHEN kind = 'row_count' THEN {within('element_count')}
+            WHEN kind = 'unique' THEN {repeated} = 0
+            WHEN kind = 'proportion' THEN coalesce({within(proportion)}, true)
+            ELSE coalesce({share} >= mostly, true) AND NOT {failed_type} END AS success_declared""",
+        f"CASE WHEN {failed_type} THEN 'error' ELSE status END AS status",
+        f"CASE WHEN {failed_type} THEN 'type' END AS error",
     )
