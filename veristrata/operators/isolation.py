@@ -1,9 +1,9 @@
 """Isolation forest (Liu, Ting, Zhou 2008): trees fitted by tasks, rows scored by all tasks.
 
 A tree needs at most 256 rows, so the forest is a bounded model whatever the size of the table: a few
-ten thousand training rows, chosen by hash, are shuffled by tree; the fitted nodes (at most a few
-thousand numbers per tree) go to the executors with the scoring function. Scoring is one pass without
-a shuffle. At most a hundred rows can be anomalies (the contamination is min(0.1, 100 / rows)), so the
+ten thousand training rows are sampled and shuffled by tree; the fitted nodes (at most a few thousand
+numbers per tree) go to the executors with the scoring function. Scoring is one pass without a
+shuffle. At most a hundred rows can be anomalies (the contamination is min(0.1, 100 / rows)), so the
 cut comes from the highest scores alone.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veristrata.functions.columns import as_double, field, normalize_missing, numeric_columns
-from veristrata.functions.hashing import md5_fraction
 
 TREES = 100
 TREE_ROWS = 256
@@ -39,8 +39,8 @@ def isolation_forest(
 ) -> DataFrame:
     """The anomalous rows: key, features, score and rank, most isolated first.
 
-    Rows with a missing feature take no part. ``key`` names the row in hashes and breaks ties; the
-    features are used when there is none.
+    Rows with a missing feature take no part. ``key`` is returned with the rows and breaks ties of the
+    score; without one the features do.
     """
     df = normalize_missing(df)
     columns = columns or numeric_columns(df)
@@ -51,10 +51,9 @@ def isolation_forest(
     rows = known.count()
     if rows < 2:
         return known.limit(0).withColumns({"score": F.lit(0.0), "rank": F.lit(0)})
-    identity = [field(k).cast("string") for k in (key or columns)]
-    forest = _fit(known, columns, identity, rows, trees, seed)
+    forest = _fit(known, columns, rows, trees, seed)
     scored = known.withColumn(
-        "score", _scorer(forest, min(TREE_ROWS, rows))(*(field(c) for c in columns))
+        "score", _scorer(forest, min(TREE_ROWS, rows))(F.struct(*(field(c) for c in columns)))
     )
     return _cut(scored, rows, [field(k) for k in (key or columns)])
 
@@ -78,21 +77,33 @@ def summarize(anomalies: DataFrame, df: DataFrame, columns: list[str], method: s
     )
 
 
-def _fit(known, columns, identity, rows, trees, seed) -> pd.DataFrame:
-    """All nodes of all trees; bounded by trees x 2 x TREE_ROWS rows, whatever the table."""
+def detect(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Each numeric column on its own: one row per column, as the other methods report."""
+    names = [c for c in (columns or numeric_columns(df)) if c in df.columns]
+    parts = [summarize(isolation_forest(df, [c]), df, [c], "isolation_forest") for c in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _fit(known: DataFrame, columns: list[str], rows: int, trees: int, seed: int) -> pd.DataFrame:
+    """All nodes of all trees; bounded by trees x 2 x TREE_ROWS rows, whatever the table.
+
+    Rows are sampled as rows, not by a hash of their values, so that a value that fills a third of the
+    table is drawn in proportion and cannot flood the pool.
+    """
     pool = known
     if rows > POOL_ROWS:
-        pool = known.filter(md5_fraction(f"{seed}-pool", *identity) < POOL_ROWS / rows)
-    draws = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+        pool = known.sample(fraction=POOL_ROWS / rows, seed=seed)
     features = [field(c).alias(f"x{i}") for i, c in enumerate(columns)]
-    candidates = pool.select(draws, *features, F.xxhash64(*identity).alias("_id")).withColumn(
+    numbered = pool.select(*features, F.monotonically_increasing_id().alias("_id"))
+    draws = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    candidates = numbered.select("*", draws).withColumn(
         "_draw", F.xxhash64(F.lit(seed), "tree", "_id")
     )
     # Keep about twice the rows a tree needs before ranking them.
     share = min(1.0, (2 * TREE_ROWS + 64) / min(rows, POOL_ROWS))
     if share < 1.0:
         candidates = candidates.filter(F.pmod("_draw", F.lit(1_000_000)) < int(share * 1_000_000))
-    order = Window.partitionBy("tree").orderBy("_draw", *(f"x{i}" for i in range(len(columns))))
+    order = Window.partitionBy("tree").orderBy("_draw")
     drawn = candidates.withColumn("_n", F.row_number().over(order)).filter(
         F.col("_n") <= TREE_ROWS
     )
@@ -159,9 +170,9 @@ def _scorer(forest: pd.DataFrame, tree_rows: int):
     levels = math.ceil(math.log2(max(tree_rows, 2))) + 1
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.column_stack([s.to_numpy(dtype=float) for s in batch])
+            x = batch.to_numpy(dtype=float)
             total = np.zeros(len(x))
             every = np.arange(len(x))
             for feature, split, path in trees:

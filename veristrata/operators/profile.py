@@ -27,6 +27,7 @@ from veristrata.functions.hashing import md5_fraction
 from veristrata.functions.moments import adjusted_kurtosis, adjusted_skewness, pearson
 from veristrata.operators.frequencies import distinct_counts, top_values, value_counts
 from veristrata.operators.quantiles import quantile_values
+from veristrata.session import shared_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 PAIRS_PER_PASS = 60
@@ -263,8 +264,11 @@ def overview(df: DataFrame) -> DataFrame:
     )
 
 
-def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (all, if there are fewer), the same ones on every run.
+def sample_rows(
+    df: DataFrame, n: int, key: list[str], seed: int = 42, stored: bool = False
+) -> DataFrame:
+    """Exactly ``n`` rows (all, if there are fewer), the same ones on every run. ``stored`` keeps
+    the sample in the checkpoint folder, for when several passes over it follow.
 
     Rows are ordered by a hash of their key. A threshold on the hash leaves little more than ``n``
     rows before anything is sorted; a count makes sure that it leaves enough.
@@ -281,7 +285,11 @@ def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFr
     digest = F.md5(
         F.concat_ws(":", F.lit(str(seed)), *(field(k).cast("string") for k in key)).cast("binary")
     )
-    return candidates.orderBy(digest, *(field(k) for k in key)).limit(n)
+    sampled = candidates.orderBy(digest, *(field(k) for k in key)).limit(n)
+    if stored:
+        shared_dir(df.sparkSession)
+        sampled = sampled.checkpoint()
+    return sampled
 
 
 def preview(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:

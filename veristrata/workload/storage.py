@@ -1,2 +1,180 @@
-QUERIES={}
-ORACLES={}
+"""Queries on sources, sinks, statements and table metadata."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veristrata.operators.profile import preview
+from veristrata.operators.validate import validate_table
+from veristrata.plans.suite import Suite
+from veristrata.session import scratch_database, scratch_path
+from veristrata.sources import files, tables
+from veristrata.workload.common import base, rounded
+from veristrata.workload.validation import COLUMNS, suite_sql
+
+
+def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
+    customer = base(spark, folder, "customer")
+    path = scratch_path(spark, "customer-csv")
+    files.write_csv(customer, path)
+    return files.read_csv(spark, path, customer.schema)
+
+
+def sink_parquet(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "export")
+    paths = files.export({"supplier": base(spark, folder, "supplier")}, path, "parquet")
+    return spark.read.parquet(paths["supplier"])
+
+
+def file_assets(spark: SparkSession, folder: str) -> DataFrame:
+    found = files.assets(spark, folder, r"(.*)\.parquet")
+    return found.groupBy("asset").agg(F.count(F.lit(1)).alias("files"))
+
+
+def sql_query(spark: SparkSession, folder: str) -> DataFrame:
+    text = """SELECT o_orderstatus, count(*) AS orders, round(avg(o_totalprice), 4) AS avg_price
+              FROM {orders} GROUP BY o_orderstatus"""
+    return tables.query(spark, text, orders=base(spark, folder, "orders"))
+
+
+def sql_param_query(spark: SparkSession, folder: str) -> DataFrame:
+    text = """SELECT o_orderkey, o_orderstatus, o_totalprice FROM {orders}
+              WHERE o_orderstatus = :status AND o_totalprice > :least"""
+    params = {"status": "P", "least": 450000.0}
+    return tables.query(spark, text, params, orders=base(spark, folder, "orders"))
+
+
+def _stored_orders(spark: SparkSession, folder: str) -> tuple[str, str]:
+    database = scratch_database(spark, "vs")
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    base(spark, folder, "orders").select(*columns).write.saveAsTable(f"{database}.orders")
+    return database, f"{database}.orders"
+
+
+_DEAR = F.col("o_totalprice") > 300000.0
+
+
+def dml_update_rewrite(spark: SparkSession, folder: str) -> DataFrame:
+    database, name = _stored_orders(spark, folder)
+    count = tables.update(spark, "orders", _DEAR, {"o_orderstatus": F.lit("X")}, database)
+    return _content(spark.table(name), count)
+
+
+def dml_delete_rewrite(spark: SparkSession, folder: str) -> DataFrame:
+    database, name = _stored_orders(spark, folder)
+    return _content(spark.table(name), tables.delete(spark, "orders", _DEAR, database), name)
+
+
+def _content(df: DataFrame, affected: int, name: str | None = None) -> DataFrame:
+    df = df.sparkSession.table(name) if name else df
+    return rounded(
+        df.groupBy("o_orderstatus").agg(
+            F.count(F.lit(1)).alias("rows"), F.avg("o_totalprice").alias("avg_price")
+        ).withColumn("affected_rows", F.lit(affected).cast("bigint")),
+        4,
+    )
+
+
+def batch_append(spark: SparkSession, folder: str) -> DataFrame:
+    database = scratch_database(spark, "vs")
+    events = base(spark, folder, "events")
+    written = 0
+    for half in (events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")):
+        written += tables.append(half, "events", database)
+    stored = spark.table(f"{database}.events")
+    return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "rows_written", F.lit(written).cast("bigint")
+    )
+
+
+def truncate_then_append(spark: SparkSession, folder: str) -> DataFrame:
+    database, name = _stored_orders(spark, folder)
+    tables.truncate(spark, "orders", database)
+    emptied = spark.table(name).count()
+    orders = base(spark, folder, "orders").filter("o_orderstatus = 'F'")
+    tables.append(orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), "orders", database)
+    return tables.row_count(spark.table(name)).withColumn(
+        "rows_after_truncate", F.lit(emptied).cast("bigint")
+    )
+
+
+def table_schema(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.table_schema(base(spark, folder, "orders"))
+
+
+def row_count(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.row_count(base(spark, folder, "lineitem"))
+
+
+TABLE_SUITE = (
+    Suite("orders").not_null("o_orderkey").unique("o_orderkey").between("o_totalprice", 0, 400000)
+    .in_set("o_orderstatus", ["F", "O"]).row_count(1)
+)
+
+
+def validate_sql_table(spark: SparkSession, folder: str) -> DataFrame:
+    database, _ = _stored_orders(spark, folder)
+    return validate_table(spark, "orders", TABLE_SUITE, schema=database).select(*COLUMNS)
+
+
+def preview_head(spark: SparkSession, folder: str) -> DataFrame:
+    return preview(base(spark, folder, "customer"), ["c_custkey"], 10)
+
+
+QUERIES = {
+    "scan_csv": scan_csv,
+    "sink_parquet": sink_parquet,
+    "file_assets": file_assets,
+    "sql_query": sql_query,
+    "sql_param_query": sql_param_query,
+    "dml_update_rewrite": dml_update_rewrite,
+    "dml_delete_rewrite": dml_delete_rewrite,
+    "batch_append": batch_append,
+    "truncate_then_append": truncate_then_append,
+    "table_schema": table_schema,
+    "row_count": row_count,
+    "validate_sql_table": validate_sql_table,
+    "preview_head": preview_head,
+}
+
+
+# ---- the same in SQL -----------------------------------------------------------------------
+
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+_ORDER_TYPES = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+    "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
+}
+_DEAR_COUNT = "(SELECT count(*) FROM orders WHERE o_totalprice > 300000)"
+ORACLES = {
+    "scan_csv": "SELECT * FROM customer",
+    "sink_parquet": "SELECT * FROM supplier",
+    "file_assets": "SELECT * FROM (VALUES "
+    + ", ".join(f"('{t}', cast(1 AS bigint))" for t in _TABLES) + ") t(asset, files)",
+    "sql_query": """SELECT o_orderstatus, count(*) AS orders, round(avg(o_totalprice), 4)
+ AS avg_price FROM orders GROUP BY o_orderstatus""",
+    "sql_param_query": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+ WHERE o_orderstatus = 'P' AND o_totalprice > 450000""",
+    "dml_update_rewrite": f"""
+SELECT CASE WHEN o_totalprice > 300000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+ count(*) AS rows, round(avg(o_totalprice), 4) AS avg_price, {_DEAR_COUNT} AS affected_rows
+FROM orders GROUP BY 1""",
+    "dml_delete_rewrite": f"""
+SELECT o_orderstatus, count(*) AS rows, round(avg(o_totalprice), 4) AS avg_price,
+ {_DEAR_COUNT} AS affected_rows FROM orders WHERE NOT o_totalprice > 300000 GROUP BY 1""",
+    "batch_append": """SELECT event_type, count(*) AS rows, (SELECT count(*) FROM events)
+ AS rows_written FROM events GROUP BY event_type""",
+    "truncate_then_append": """SELECT count(*) AS row_count, cast(0 AS bigint)
+ AS rows_after_truncate FROM orders WHERE o_orderstatus = 'F'""",
+    "table_schema": "SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, '{c}', '{t}', true)" for i, (c, t) in enumerate(_ORDER_TYPES.items()))
+    + ') t(position, "column", type, nullable)',
+    "row_count": "SELECT count(*) AS row_count FROM lineitem",
+    "validate_sql_table": suite_sql(
+        "orders", TABLE_SUITE, ["o_orderkey", "o_orderstatus", "o_totalprice"]),
+    "preview_head": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
+}
