@@ -72,14 +72,6 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     return column.cast("timestamp_ntz")
 
 
-def long_form(df: DataFrame, columns: dict[str, Column], value: str = "value") -> DataFrame:
-    """One row per (column, value), NULL values left out. All value columns must share a type."""
-    items = [
-        F.struct(F.lit(name).alias("column"), column.alias(value)) for name, column in columns.items()
-    ]
-    return df.select(F.inline(F.array(*items))).filter(F.col(value).isNotNull())
-
-
 def literal(value: object) -> str:
     """A Python value as SQL text."""
     if value is None:
@@ -103,10 +95,3 @@ def result_rows(rows: Sequence[dict[str, str]]) -> Column:
         for row in rows
     ]
     return F.expr(f"inline(array({', '.join(structs)}))")
-
-
-def mean_of_known(scores: Sequence[Column]) -> Column:
-    """Mean of the columns that are not NULL; NULL when there is none."""
-    total = sum((F.coalesce(s, F.lit(0.0)) for s in scores), F.lit(0.0))
-    known = sum((s.isNotNull().cast("int") for s in scores), F.lit(0))
-    return F.try_divide(total, known)

@@ -32,9 +32,7 @@ def is_title(text: Column) -> Column:
 
     ``initcap`` is no substitute: it does not start a new word after an apostrophe or a hyphen.
     """
-    starts_small = text.rlike(rf"(^|[^{_CASED}])\p{{Ll}}")
-    capital_inside = text.rlike(rf"[{_CASED}]\p{{Lu}}")
-    return ~starts_small & ~capital_inside
+    return ~text.rlike(rf"(?:^|[^{_CASED}])\p{{Ll}}|[{_CASED}]\p{{Lu}}")
 
 
 def matches_from_start(text: Column, pattern: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veristrata.functions.columns import field, literal, long_form, result_rows
+from veristrata.functions.columns import field, literal, result_rows
 
 # Longer values are represented by a digest wherever only their identity counts.
 IDENTITY_BYTES = 64
@@ -32,12 +32,27 @@ def value_counts(df: DataFrame, columns: Sequence[str], identities: bool = False
     """``(column, value, occurrences)``, NULL left out.
 
     Equal values are combined before the shuffle, so a value that fills a third of the rows costs
-    one row per task.
+    one row per task. Columns travel under their position, which keeps shuffled rows short.
     """
-    texts = {c: as_text(df, c) for c in columns}
+    names = list(columns)
+    texts = df.select(*(as_text(df, c).alias(f"{i}") for i, c in enumerate(names)))
     if identities:
-        texts = {c: identity(t) for c, t in texts.items()}
-    return long_form(df, texts).groupBy("column", "value").agg(F.count("*").alias("occurrences"))
+        texts = texts.withColumns(
+            {f"{i}": identity(field(f"{i}")) for i, c in enumerate(names)
+             if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))}
+        )
+    counts = (
+        texts.unpivot([], [f"`{i}`" for i in range(len(names))], "position", "value")
+        .filter("value IS NOT NULL")
+        .groupBy("position", "value")
+        .agg(F.count(F.lit(1)).alias("occurrences"))
+    )
+    return counts.select(_name_at("position", names), "value", "occurrences")
+
+
+def _name_at(position: str, names: list[str]) -> Column:
+    listed = ", ".join(literal(n) for n in names)
+    return F.expr(f"element_at(array({listed}), cast({position} AS int) + 1)").alias("column")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:

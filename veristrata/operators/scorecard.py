@@ -14,9 +14,10 @@ from veristrata.functions.columns import (
     field,
     is_numeric_or_bool,
     is_string,
-    mean_of_known,
+    literal,
     normalize_missing,
     numeric_columns,
+    result_rows,
     string_columns,
 )
 from veristrata.functions.text import is_lower, is_title, is_upper, strip
@@ -40,14 +41,18 @@ REACH = 3.0
 
 @dataclass
 class _Plan:
-    """Aggregates of the dimensions, and the score and column count to read from them."""
+    """Aggregates of the dimensions, and score and column count of each as SQL text over them."""
 
-    aggregates: dict[str, Column] = dataclass_field(default_factory=dict)
-    scores: dict[str, tuple[Column, Column]] = dataclass_field(default_factory=dict)
+    aggregates: list[Column] = dataclass_field(default_factory=list)
+    scores: dict[str, tuple[str, str]] = dataclass_field(default_factory=dict)
 
-    def add(self, name: str, expression: Column) -> Column:
-        self.aggregates[name] = expression.alias(name)
-        return F.col(name)
+    def add(self, expression: Column) -> str:
+        name = f"a{len(self.aggregates)}"
+        self.aggregates.append(expression.alias(name))
+        return name
+
+    def count(self, condition: Column) -> str:
+        return self.add(F.count(F.when(condition, F.lit(1))))
 
 
 def dimension_scores(
@@ -67,7 +72,7 @@ def dimension_scores(
     df = normalize_missing(df)
     chosen = [d for d in DIMENSIONS if d in set(dimensions)]
     plan = _Plan()
-    rows = plan.add("rows", F.count(F.lit(1)))
+    rows = plan.add(F.count(F.lit(1)))
     if "completeness" in chosen:
         _completeness(df, plan, rows, required_columns)
     if "validity" in chosen:
@@ -79,69 +84,67 @@ def dimension_scores(
     if "accuracy" in chosen:
         _accuracy(df, plan, mode)
     if "uniqueness" in chosen:
-        plan.scores["uniqueness"] = (F.lit(None).cast("double"), F.lit(0))
-    items = [
-        F.struct(
-            F.lit(d).alias("dimension"),
-            plan.scores[d][0].cast("double").alias("score"),
-            plan.scores[d][1].cast("int").alias("columns_checked"),
-            rows.alias("row_count"),
-        )
+        plan.scores["uniqueness"] = ("NULL", "0")
+    result = [
+        {
+            "dimension": literal(d),
+            "score": f"cast({plan.scores[d][0]} AS double)",
+            "columns_checked": f"cast({plan.scores[d][1]} AS int)",
+            "row_count": rows,
+        }
         for d in chosen
     ]
-    scores = df.agg(*plan.aggregates.values()).select(F.inline(F.array(*items)))
+    scores = df.agg(*plan.aggregates).select(result_rows(result))
     return _with_uniqueness(df, scores, unique_columns, mode) if "uniqueness" in chosen else scores
 
 
-def _completeness(df: DataFrame, plan: _Plan, rows: Column, required: list[str] | None) -> None:
+def _completeness(df: DataFrame, plan: _Plan, rows: str, required: list[str] | None) -> None:
     names = [c for c in required if c in df.columns] if required else df.columns
-    shares = [
-        F.try_divide(plan.add(f"known_{i}", F.count(field(c))), rows) for i, c in enumerate(names)
-    ]
-    plan.scores["completeness"] = _mean(shares, names)
+    shares = [f"try_divide({plan.add(F.count(field(c)))}, {rows})" for c in names]
+    plan.scores["completeness"] = _mean(shares)
 
 
-def _mean(shares: list[Column], names: list[str]) -> tuple[Column, Column]:
+def _mean(shares: list[str]) -> tuple[str, str]:
     """Mean over all columns; 1 without columns, NULL for an empty table."""
-    if not names:
-        return F.lit(1.0), F.lit(0)
-    return sum(shares, F.lit(0.0)) / F.lit(float(len(names))), F.lit(len(names))
+    if not shares:
+        return "1.0D", "0"
+    return f"({' + '.join(shares)}) / {float(len(shares))}D", str(len(shares))
 
 
-def _mean_where_known(shares: list[Column]) -> tuple[Column, Column]:
+def _mean_where_known(shares: list[str]) -> tuple[str, str]:
     """Mean over the columns that have values; 1 when there is none."""
     if not shares:
-        return F.lit(1.0), F.lit(0)
-    known = sum((s.isNotNull().cast("int") for s in shares), F.lit(0))
-    return F.coalesce(mean_of_known(shares), F.lit(1.0)), known
+        return "1.0D", "0"
+    known = f"filter(array({', '.join(shares)}), s -> s IS NOT NULL)"
+    total = f"aggregate({known}, 0.0D, (total, s) -> total + s)"
+    return f"coalesce(try_divide({total}, size({known})), 1.0D)", f"size({known})"
 
 
-def _validity(df: DataFrame, plan: _Plan, rows: Column) -> None:
+def _validity(df: DataFrame, plan: _Plan, rows: str) -> None:
     """Texts: not blank (a missing text counts as valid); numbers: present and finite."""
     shares = []
-    for i, f in enumerate(df.schema.fields):
+    for f in df.schema.fields:
         if is_string(f.dataType):
             good = F.coalesce(strip(field(f.name)) != "", F.lit(True))
         elif is_numeric_or_bool(f.dataType):
-            good = F.coalesce(F.abs(as_double(df, f.name)) < F.lit(float("inf")), F.lit(False))
+            good = F.abs(as_double(df, f.name)) < F.lit(float("inf"))
         else:
-            shares.append(F.lit(1.0))
+            shares.append(f"CASE WHEN {rows} > 0 THEN 1.0D END")
             continue
-        shares.append(F.try_divide(plan.add(f"valid_{i}", F.count(F.when(good, 1))), rows))
-    plan.scores["validity"] = _mean(shares, df.columns)
+        shares.append(f"try_divide({plan.count(good)}, {rows})")
+    plan.scores["validity"] = _mean(shares)
 
 
 def _consistency(df: DataFrame, plan: _Plan) -> None:
     """Per text column the largest share of one writing style: upper, lower or title case."""
     shares = []
-    for i, name in enumerate(string_columns(df)):
+    for name in string_columns(df):
         text = field(name)
-        known = plan.add(f"texts_{i}", F.count(text))
+        known = plan.add(F.count(text))
         styles = [
-            F.try_divide(plan.add(f"{style}_{i}", F.count(F.when(test(text), 1))), known)
-            for style, test in (("upper", is_upper), ("lower", is_lower), ("title", is_title))
+            f"try_divide({plan.count(test(text))}, {known})" for test in (is_upper, is_lower, is_title)
         ]
-        shares.append(F.greatest(*styles))
+        shares.append(f"greatest({', '.join(styles)})")
     plan.scores["consistency"] = _mean_where_known(shares)
 
 
@@ -157,14 +160,13 @@ def _timeliness(df: DataFrame, plan: _Plan, as_of: str, date_columns: list[str]
         ]
     now, oldest = (F.lit(t).cast("timestamp_ntz") for t in (as_of, OLDEST))
     shares = []
-    for i, name in enumerate(names):
+    for name in names:
         moment = as_timestamp(df, name)
-        known = plan.add(f"moments_{i}", F.count(moment))
-        future = plan.add(f"future_{i}", F.count(F.when(moment > now, 1)))
-        old = plan.add(f"old_{i}", F.count(F.when(moment < oldest, 1)))
-        shares.append(F.lit(1.0) - F.try_divide(future, known) - F.try_divide(old, known))
+        known = plan.add(F.count(moment))
+        future, old = plan.count(moment > now), plan.count(moment < oldest)
+        shares.append(f"1.0D - try_divide({future}, {known}) - try_divide({old}, {known})")
     score, checked = _mean_where_known(shares)
-    plan.scores["timeliness"] = (F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), checked)
+    plan.scores["timeliness"] = (f"greatest(0.0D, least(1.0D, {score}))", checked)
 
 
 def _accuracy(df: DataFrame, plan: _Plan, mode: str) -> None:
@@ -172,13 +174,12 @@ def _accuracy(df: DataFrame, plan: _Plan, mode: str) -> None:
     names = numeric_columns(df)
     quartiles = quantile_values(df, names, (0.25, 0.75), mode)
     shares = []
-    for i, name in enumerate(n for n in names if n in quartiles):
+    for name in (n for n in names if n in quartiles):
         q1, q3 = quartiles[name][0.25], quartiles[name][0.75]
         low, high = q1 - REACH * (q3 - q1), q3 + REACH * (q3 - q1)
         value = as_double(df, name)
-        inside = (value >= F.lit(low)) & (value <= F.lit(high))
-        near = plan.add(f"near_{i}", F.count(F.when(inside, 1)))
-        shares.append(F.try_divide(near, plan.add(f"numbers_{i}", F.count(value))))
+        near = plan.count((value >= F.lit(low)) & (value <= F.lit(high)))
+        shares.append(f"try_divide({near}, {plan.add(F.count(value))})")
     plan.scores["accuracy"] = _mean_where_known(shares)
 
 
@@ -213,8 +214,10 @@ def _with_uniqueness(
 def weighted(scores: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
     """Scores with the weight of their dimension; dimensions without a given weight count 1."""
     known = WEIGHTS if weights is None else weights
-    pairs = [F.lit(x) for d in DIMENSIONS for x in (d, float(known.get(d, 1.0)))]
-    return scores.withColumn("weight", F.element_at(F.create_map(*pairs), F.col("dimension")))
+    cases = " ".join(
+        f"WHEN {literal(d)} THEN {literal(float(known.get(d, 1.0)))}" for d in DIMENSIONS
+    )
+    return scores.withColumn("weight", F.expr(f"CASE dimension {cases} END"))
 
 
 def scorecard_long(

@@ -20,6 +20,8 @@ def local_session(cpus: str | int = "*", app: str = "veristrata", memory: str =
         .config("spark.sql.shuffle.partitions", str(parallelism))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Reports aggregate many columns at once; keep them in generated code.
+        .config("spark.sql.codegen.maxFields", "1000")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

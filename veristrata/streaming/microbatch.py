@@ -13,13 +13,13 @@ from veristrata.plans.suite import Suite
 
 def file_stream(
     spark: SparkSession, folder: str, schema: StructType, file_format: str = "parquet",
-    files_per_batch: int = 1,
+    files_per_batch: int = 1, name_pattern: str | None = None,
 ) -> DataFrame:
     """Files of a folder as a stream; the number of files bounds a batch."""
-    return (
-        spark.readStream.schema(schema).format(file_format)
-        .option("maxFilesPerTrigger", files_per_batch).load(folder)
-    )
+    reader = spark.readStream.schema(schema).format(file_format)
+    if name_pattern:
+        reader = reader.option("pathGlobFilter", name_pattern)
+    return reader.option("maxFilesPerTrigger", files_per_batch).load(folder)
 
 
 def validate_stream(

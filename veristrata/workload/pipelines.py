@@ -133,7 +133,7 @@ EVENT_SUITE = (
 def stream_validate(spark: SparkSession, folder: str) -> DataFrame:
     events = base(spark, folder, "events")
     results = scratch_path(spark, "batches")
-    stream = file_stream(spark, f"{folder}/events.parquet", events.schema)
+    stream = file_stream(spark, folder, events.schema, name_pattern="events.parquet")
     query = validate_stream(stream, EVENT_SUITE, results, scratch_path(spark, "stream"))
     query.awaitTermination()
     return stream_totals(spark, results).select(
