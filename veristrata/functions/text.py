@@ -19,6 +19,13 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def is_blank(text: Column) -> Column:
+    """Nothing but white space. Texts that start with a visible ASCII character are told by one
+    comparison."""
+    visible_start = (text >= F.lit("!")) & (text < F.lit("\x7f"))
+    return F.when(visible_start, F.lit(False)).otherwise(strip(text) == "")
+
+
 def is_upper(text: Column) -> Column:
     return text == F.upper(text)
 

@@ -158,32 +158,33 @@ def _scorer(forest: pd.DataFrame, tree_rows: int):
     size = int(forest["node"].max()) + 1
     trees = []
     for _, nodes in forest.sort_values(["tree", "node"]).groupby("tree"):
-        feature = np.full(size, -1, dtype=np.int32)
-        split = np.zeros(size)
-        path = np.zeros(size)
         at = nodes["node"].to_numpy()
-        feature[at] = nodes["feature"].to_numpy()
-        split[at] = nodes["split"].to_numpy()
+        inner = (nodes["feature"] >= 0).to_numpy()
+        feature = np.zeros(size, dtype=np.int32)
+        split = np.full(size, np.inf)
+        # A leaf is its own left child, and nothing goes right of it.
+        left = np.arange(size, dtype=np.int32)
+        path = np.zeros(size)
+        feature[at[inner]] = nodes["feature"].to_numpy()[inner]
+        split[at[inner]] = nodes["split"].to_numpy()[inner]
+        left[at[inner]] = 2 * at[inner]
         path[at] = nodes["depth"].to_numpy() + expected_path(nodes["leaf_rows"].to_numpy())
-        trees.append((feature, split, path))
+        trees.append((feature, split, left, path))
     scale = float(expected_path(tree_rows))
-    levels = math.ceil(math.log2(max(tree_rows, 2))) + 1
+    levels = int(forest["depth"].max())
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for batch in batches:
             x = batch.to_numpy(dtype=float)
-            total = np.zeros(len(x))
+            columns = [np.ascontiguousarray(x[:, i]) for i in range(x.shape[1])]
             every = np.arange(len(x))
-            for feature, split, path in trees:
-                node = np.ones(len(x), dtype=np.int64)
+            total = np.zeros(len(x))
+            for feature, split, left, path in trees:
+                node = np.ones(len(x), dtype=np.int32)
                 for _ in range(levels):
-                    f = feature[node]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    goes_right = x[every, np.maximum(f, 0)] > split[node]
-                    node = np.where(inner, 2 * node + goes_right, node)
+                    value = columns[0] if len(columns) == 1 else x[every, feature[node]]
+                    node = left[node] + (value > split[node])
                 total += path[node]
             yield pd.Series(np.round(2.0 ** (-total / len(trees) / scale), 12))
 

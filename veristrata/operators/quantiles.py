@@ -113,12 +113,14 @@ def _exact(projected: DataFrame, count: int, wanted: list[float]) -> dict[int, d
             else:
                 pending.append(target)
     to_open: list[_Target] = []
+    rounds = 0
     while pending:
         to_open += [t for t in pending if t.inside <= OPEN_LIMIT]
         pending = [t for t in pending if t.inside > OPEN_LIMIT]
         if not pending:
             break
-        _narrow(projected, pending)
+        _narrow(projected, pending, rounds)
+        rounds += 1
         for t in pending:
             if t.low == t.high:
                 answers.setdefault(t.column, {})[t.probability] = t.low
@@ -130,11 +132,11 @@ def _exact(projected: DataFrame, count: int, wanted: list[float]) -> dict[int, d
     return answers
 
 
-def _narrow(projected: DataFrame, targets: list[_Target]) -> None:
+def _narrow(projected: DataFrame, targets: list[_Target], seed: int) -> None:
     """One round: propose smaller brackets from a sample, accept those that the counts prove."""
     largest = max(t.inside for t in targets)
     share = max(SAMPLE_ROWS / largest, SAMPLE_SHARE)
-    sample = projected if share >= 0.5 else projected.sample(fraction=share, seed=42)
+    sample = projected if share >= 0.5 else projected.sample(fraction=share, seed=seed)
     # Targets that still share a bracket share one sketch.
     shared: dict[tuple[int, float, float], list[tuple[int, list[float]]]] = {}
     for j, t in enumerate(targets):
@@ -146,21 +148,25 @@ def _narrow(projected: DataFrame, targets: list[_Target]) -> None:
         positions = [q for _, edges in group for q in edges]
         sketches.append(F.percentile_approx(value, positions, SKETCH_ACCURACY).alias(f"e{k}"))
     row = sample.agg(*sketches).first()
-    proposed: dict[int, tuple[float, float] | None] = {}
+    proposed: dict[int, tuple[float, float]] = {}
     for k, group in enumerate(shared.values()):
         values = row[f"e{k}"]
-        for m, (j, _) in enumerate(group):
-            proposed[j] = (values[2 * m], values[2 * m + 1]) if values else None
+        for m, (j, edges) in enumerate(group):
+            t = targets[j]
+            # The ends of a sample are not the ends of the bracket.
+            low = values[2 * m] if values and edges[0] > 0.0 else t.low
+            high = values[2 * m + 1] if values and edges[1] < 1.0 else t.high
+            proposed[j] = (low, high)
     counts = []
     for j, t in enumerate(targets):
-        low, high = proposed[j] or (t.low, t.high)
+        low, high = proposed[j]
         v = F.col(f"v{t.column}")
         counts.append(F.count(F.when(v < F.lit(low), 1)).alias(f"below{j}"))
         counts.append(F.count(F.when((v >= F.lit(low)) & (v <= F.lit(high)), 1)).alias(f"in{j}"))
     counted = projected.agg(*counts).first()
     tied = []
     for j, t in enumerate(targets):
-        low, high = proposed[j] or (t.low, t.high)
+        low, high = proposed[j]
         below, inside = counted[f"below{j}"], counted[f"in{j}"]
         if not t.holds(below, inside):
             t.widen *= 4

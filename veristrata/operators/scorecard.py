@@ -20,7 +20,7 @@ from veristrata.functions.columns import (
     result_rows,
     string_columns,
 )
-from veristrata.functions.text import is_lower, is_title, is_upper, strip
+from veristrata.functions.text import is_blank, is_lower, is_title, is_upper
 from veristrata.operators.frequencies import distinct_counts
 from veristrata.operators.quantiles import quantile_values
 
@@ -125,7 +125,7 @@ def _validity(df: DataFrame, plan: _Plan, rows: str) -> None:
     shares = []
     for f in df.schema.fields:
         if is_string(f.dataType):
-            good = F.coalesce(strip(field(f.name)) != "", F.lit(True))
+            good = F.coalesce(~is_blank(field(f.name)), F.lit(True))
         elif is_numeric_or_bool(f.dataType):
             good = F.abs(as_double(df, f.name)) < F.lit(float("inf"))
         else:
@@ -193,21 +193,26 @@ def _with_uniqueness(
     is_unique = F.col("dimension") == "uniqueness"
     if not names:
         return scores.withColumn("score", F.when(is_unique, 1.0).otherwise(F.col("score")))
-    # One row: the distinct values of all key columns together.
-    distinct = (
-        distinct_counts(df, names, approximate=mode == "approx")
-        .agg(F.coalesce(F.sum("distinct_count"), F.lit(0)).alias("distinct"))
-        .select(F.lit("uniqueness").alias("dimension"), "distinct")
+    # The distinct values of all key columns together, put under the scores: report rows only.
+    distinct = distinct_counts(df, names, approximate=mode == "approx").agg(
+        F.coalesce(F.sum("distinct_count"), F.lit(0)).alias("distinct")
+    ).select(
+        F.lit("uniqueness").alias("dimension"), F.lit(None).cast("double").alias("score"),
+        F.lit(len(names)).alias("columns_checked"), F.lit(None).cast("bigint").alias("row_count"),
+        "distinct",
     )
     share = F.coalesce(
         F.try_divide(F.col("distinct"), F.col("row_count") * F.lit(len(names))), F.lit(1.0)
     )
-    return scores.join(F.broadcast(distinct), "dimension", "left").select(
-        "dimension",
-        F.when(is_unique, share).otherwise(F.col("score")).alias("score"),
-        F.when(is_unique, F.lit(len(names))).otherwise(F.col("columns_checked"))
-        .alias("columns_checked"),
-        "row_count",
+    return (
+        scores.withColumn("distinct", F.lit(None).cast("bigint"))
+        .unionByName(distinct)
+        .groupBy("dimension")
+        .agg(*(F.max(c).alias(c) for c in ("score", "columns_checked", "row_count", "distinct")))
+        .select(
+            "dimension", F.when(is_unique, share).otherwise(F.col("score")).alias("score"),
+            "columns_checked", "row_count",
+        )
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veristrata.operators.profile import preview
@@ -52,18 +52,19 @@ def _stored_orders(spark: SparkSession, folder: str) -> tuple[str, str]:
     return database, f"{database}.orders"
 
 
-_DEAR = F.col("o_totalprice") > 300000.0
+def _dear() -> Column:
+    return F.col("o_totalprice") > 300000.0
 
 
 def dml_update_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     database, name = _stored_orders(spark, folder)
-    count = tables.update(spark, "orders", _DEAR, {"o_orderstatus": F.lit("X")}, database)
+    count = tables.update(spark, "orders", _dear(), {"o_orderstatus": F.lit("X")}, database)
     return _content(spark.table(name), count)
 
 
 def dml_delete_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     database, name = _stored_orders(spark, folder)
-    return _content(spark.table(name), tables.delete(spark, "orders", _DEAR, database), name)
+    return _content(spark.table(name), tables.delete(spark, "orders", _dear(), database), name)
 
 
 def _content(df: DataFrame, affected: int, name: str | None = None) -> DataFrame:
