@@ -110,7 +110,7 @@ def test_planted_outliers_are_found(outliers, method, threshold):
 
 
 def test_no_spread_is_an_error_not_an_anomaly(spark):
-    df = spark.range(20).select(F.lit(3).alias("c"), (F.col("id") // 19).alias("m"))
+    df = spark.range(20).select(F.lit(3).alias("c"), F.floor(F.col("id") / 19).alias("m"))
     z = {r.column: r for r in anomaly.detect(df, "zscore").collect()}
     m = {r.column: r for r in anomaly.detect(df, "mad").collect()}
     assert (z["c"].error, z["c"].anomaly_count) == ("Zero standard deviation", 0)
