@@ -57,6 +57,18 @@ def test_exact_quantiles(spark, monkeypatch, limit, sample):
             assert got[name][p] == pytest.approx(want, rel=1e-12, abs=1e-12), (name, p)
 
 
+def test_approximate_mode_is_close(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 100).cast("double").alias("v"))
+    exact = {r.column: r for r in profile.column_profile(df).collect()}
+    rough = {r.column: r for r in profile.column_profile(df, mode="approx").collect()}
+    for c in ("id", "v"):
+        assert rough[c].q50 == pytest.approx(exact[c].q50, rel=0.02)
+        assert rough[c].unique_count == pytest.approx(exact[c].unique_count, rel=0.15)
+    assert anomaly.detect(df, mode="approx").count() == 2
+    with pytest.raises(ValueError):
+        anomaly.detect(df, "median")
+
+
 def test_profile_known_answers(spark):
     one_to_ten = frame(spark, list(range(1, 11)), "value")
     row = profile.column_profile(one_to_ten).first()

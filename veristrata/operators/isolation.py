@@ -160,10 +160,10 @@ def _scorer(forest: pd.DataFrame, tree_rows: int):
     for _, nodes in forest.sort_values(["tree", "node"]).groupby("tree"):
         at = nodes["node"].to_numpy()
         inner = (nodes["feature"] >= 0).to_numpy()
-        feature = np.zeros(size, dtype=np.int32)
+        feature = np.zeros(size, dtype=np.int64)
         split = np.full(size, np.inf)
         # A leaf is its own left child, and nothing goes right of it.
-        left = np.arange(size, dtype=np.int32)
+        left = np.arange(size, dtype=np.int64)
         path = np.zeros(size)
         feature[at[inner]] = nodes["feature"].to_numpy()[inner]
         split[at[inner]] = nodes["split"].to_numpy()[inner]
@@ -176,16 +176,16 @@ def _scorer(forest: pd.DataFrame, tree_rows: int):
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            columns = [np.ascontiguousarray(x[:, i]) for i in range(x.shape[1])]
-            every = np.arange(len(x))
+            x = np.ascontiguousarray(batch.to_numpy(dtype=float))
+            cells, first_cell = x.ravel(), np.arange(len(x)) * x.shape[1]
             total = np.zeros(len(x))
             for feature, split, left, path in trees:
-                node = np.ones(len(x), dtype=np.int32)
+                node = np.ones(len(x), dtype=np.int64)
                 for _ in range(levels):
-                    value = columns[0] if len(columns) == 1 else x[every, feature[node]]
-                    node = left[node] + (value > split[node])
-                total += path[node]
+                    value = cells.take(feature.take(node) + first_cell)
+                    goes_right = value > split.take(node)
+                    node = left.take(node) + goes_right
+                total += path.take(node)
             yield pd.Series(np.round(2.0 ** (-total / len(trees) / scale), 12))
 
     return score

@@ -21,6 +21,7 @@ from veristrata.operators.checks import (
 )
 from veristrata.operators.frequencies import as_text, distinct_counts, value_counts
 from veristrata.plans.suite import UNIQUE, Rule, Suite
+from veristrata.session import shared_dir
 
 
 
@@ -66,11 +67,15 @@ def validate_table(
     limit: int | None = None,
     order_by: list[str] | None = None,
 ) -> DataFrame:
-    """A catalog table against a suite, optionally its first ``limit`` rows in a given order."""
+    """A catalog table against a suite, optionally its first ``limit`` rows in a given order.
+
+    Limited rows are stored first: without an order, two passes over a limit may see different rows.
+    """
     df = spark.table(f"{schema}.{table}" if schema else table)
-    if order_by:
-        df = df.orderBy(*order_by)
-    return validate(df.limit(limit) if limit else df, suite)
+    if limit:
+        shared_dir(spark)
+        df = (df.orderBy(*order_by) if order_by else df).limit(limit).checkpoint()
+    return validate(df, suite)
 
 
 def statistics(results: DataFrame, by: tuple[str, ...] = ("suite",)) -> DataFrame:

@@ -116,7 +116,10 @@ TABLE_SUITE = (
 
 def validate_sql_table(spark: SparkSession, folder: str) -> DataFrame:
     database, _ = _stored_orders(spark, folder)
-    return validate_table(spark, "orders", TABLE_SUITE, schema=database).select(*COLUMNS)
+    whole = validate_table(spark, "orders", TABLE_SUITE, schema=database)
+    first = validate_table(spark, "orders", TABLE_SUITE, database, 1000, ["o_orderkey"])
+    scopes = [whole.withColumn("scope", F.lit("all")), first.withColumn("scope", F.lit("first"))]
+    return scopes[0].unionByName(scopes[1]).select("scope", *COLUMNS)
 
 
 def preview_head(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,7 +178,9 @@ SELECT o_orderstatus, count(*) AS rows, round(avg(o_totalprice), 4) AS avg_price
         f"({i}, '{c}', '{t}', true)" for i, (c, t) in enumerate(_ORDER_TYPES.items()))
     + ') t(position, "column", type, nullable)',
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
-    "validate_sql_table": suite_sql(
-        "orders", TABLE_SUITE, ["o_orderkey", "o_orderstatus", "o_totalprice"]),
+    "validate_sql_table": "WITH head AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)\n"
+    + f"SELECT 'all' AS scope, * FROM ({suite_sql('orders', TABLE_SUITE, list(_ORDER_TYPES))})\n"
+    + "UNION ALL\n"
+    + f"SELECT 'first' AS scope, * FROM ({suite_sql('head', TABLE_SUITE, list(_ORDER_TYPES))})",
     "preview_head": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
 }
