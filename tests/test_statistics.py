@@ -1,9 +1,14 @@
 """Quantiles, profiles, anomalies, drift and scores against brute force and known answers."""
 
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from veristrata.functions.text import is_title
@@ -142,6 +147,18 @@ def test_forest_finds_planted_outliers(outliers, spark):
     assert len(rows) <= 100 and {0, 1, 2, 3, 4} <= {r.id for r in rows}
 
 
+def test_task_functions_do_not_import_the_package():
+    code = (
+        "import pickle, sys; import numpy as np; grow = pickle.loads(sys.stdin.buffer.read()); "
+        "print(len(grow(0, np.arange(8.0).reshape(-1, 1), 1)))"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(isolation._grow_tree),
+        capture_output=True, cwd="/tmp", env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
+    )
+    assert done.stdout.strip().isdigit(), done.stderr
+
+
 def ks_brute(a, b):
     a, b = np.sort(a[~np.isnan(a)]), np.sort(b[~np.isnan(b)])
     every = np.concatenate([a, b])

@@ -10,16 +10,21 @@ cut comes from the highest scores alone.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veristrata.functions.columns import as_double, field, normalize_missing, numeric_columns
 
+# Workers get the functions of this module with the task, so that they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 100
 TREE_ROWS = 256
 MAX_ANOMALIES = 100
