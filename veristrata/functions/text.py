@@ -39,7 +39,9 @@ def is_title(text: Column) -> Column:
 
     ``initcap`` is no substitute: it does not start a new word after an apostrophe or a hyphen.
     """
-    return ~text.rlike(rf"(?:^|[^{_CASED}])\p{{Ll}}|[{_CASED}]\p{{Lu}}")
+    small_start = (text >= F.lit("a")) & (text < F.lit("{"))
+    broken = text.rlike(rf"(?:^|[^{_CASED}])\p{{Ll}}|[{_CASED}]\p{{Lu}}")
+    return F.when(small_start, F.lit(False)).otherwise(~broken)
 
 
 def matches_from_start(text: Column, pattern: str) -> Column:
