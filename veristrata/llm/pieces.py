@@ -17,13 +17,15 @@ import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
 REMEMBERED = 200_000  # words in each of the two generations of a Python worker's memory
-SHORT = 48  # up to so many symbols the agenda is a plain list
+SIZES = (8, 12, 16, 24, 48)  # widths of shared agendas; longer words have a heap each
+NONE = np.iinfo(np.int32).max
 
 
 class PieceModel:
@@ -35,6 +37,7 @@ class PieceModel:
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=path)
         self.end = lib.eos_id()
         self.text = [lib.id_to_piece(i) for i in range(lib.get_piece_size())]
+        self.shown = [str(i) for i in range(len(self.text))]
         self.bytes_ids: dict[int, int] = {}
         self.byte_of: dict[int, int] = {}
         self.ids: dict[str, int] = {}
@@ -52,27 +55,95 @@ class PieceModel:
         unfit = any(BLANK in p.lstrip(BLANK) for p in longer) or any("\n" in p for p in longer)
         if unfit or len(self.bytes_ids) != 256 or any(lib.is_unused(i) for i in range(len(self.text))):
             raise ValueError("not a merge-type vocabulary of words with byte pieces")
+        self._pairs(longer)
+
+    def _pairs(self, longer: list[str]) -> None:
+        """All pairs of pieces whose union is a piece, sorted, with the rank of its score and its id."""
+        order = {x: r for r, x in enumerate(sorted({self.scores[p] for p in longer}, reverse=True))}
+        found = [
+            (self.ids[p[:k]] << 32 | self.ids[p[k:]], order[self.scores[p]], self.ids[p])
+            for p in longer for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids
+        ]
+        found.sort()
+        self.pair_keys = np.array([f[0] for f in found], np.int64)
+        self.pair_ranks = np.array([f[1] for f in found], np.int32)
+        self.pair_ids = np.array([f[2] for f in found], np.int64)
+
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (NONE where they don't join) and id of the union of symbols; symbols without a piece are -1."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        joins = (self.pair_keys[at] == keys) & (left >= 0) & (right >= 0)
+        return np.where(joins, self.pair_ranks[at], NONE).astype(np.int32), self.pair_ids[at]
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of many words: those of similar length share their agenda, a row of pair ranks for each
+        word, of which every step takes the best pair of every word that still has one."""
+        out: list[list[int]] = [[]] * len(words)
+        by_size: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_size.setdefault(next((s for s in SIZES if len(word) <= s), 0), []).append(i)
+        for size, rows in by_size.items():
+            if size:
+                for i, ids in zip(rows, self._together([words[i] for i in rows], size), strict=True):
+                    out[i] = ids
+            else:
+                for i in rows:
+                    out[i] = self._spelled(self._by_heap(list(words[i])))
+        return out
 
-    def merged(self, word: str) -> list[str]:
-        """Symbols of a word after all merges."""
-        symbols = list(word)
-        return self._by_list(symbols) if len(symbols) <= SHORT else self._by_heap(symbols)
-
-    def _by_list(self, symbols: list[str]) -> list[str]:
-        score, none = self.scores.get, float("-inf")
-        agenda = [score(a + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
-        while agenda:
-            best = max(agenda)
-            if best == none:
-                break
-            i = agenda.index(best)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-            del agenda[i]
-            if i:
-                agenda[i - 1] = score(symbols[i - 1] + symbols[i], none)
-            if i < len(agenda):
-                agenda[i] = score(symbols[i] + symbols[i + 1], none)
-        return symbols
+    def _together(self, words: list[str], size: int) -> list[list[int]]:
+        n, width = len(words), size + 1
+        codes = np.zeros((n, size), np.uint32)
+        lengths = np.array([len(w) for w in words])
+        inside = np.arange(size) < lengths[:, None]
+        codes[inside] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        alphabet, where = np.unique(codes, return_inverse=True)
+        known = np.array([self.ids.get(chr(c), -1) if c else -1 for c in alphabet.tolist()], np.int64)
+        if codes.size and not alphabet[0]:  # the character zero is spelled in bytes, the filling is no symbol
+            known[0] = -1
+        symbols = np.full((n, width), -1, np.int64)
+        symbols[:, :size] = known[where.reshape(n, size)]
+        alive = np.zeros((n, width), bool)
+        alive[:, :size] = inside
+        after = np.tile(np.arange(1, width + 1), (n, 1))
+        before = np.tile(np.arange(-1, width - 1), (n, 1))
+        ranks = np.full((n, width), NONE, np.int32)
+        ranks[:, :size - 1], _ = self._look_up(symbols[:, :size - 1], symbols[:, 1:size])
+        rows = np.arange(n)
+        while len(rows):
+            at = ranks[rows].argmin(1)
+            going = ranks[rows, at] != NONE
+            rows, at = rows[going], at[going]
+            right = after[rows, at]
+            _, merged = self._look_up(symbols[rows, at], symbols[rows, right])
+            symbols[rows, at] = merged
+            alive[rows, right] = False
+            ranks[rows, right] = NONE
+            beyond = after[rows, right]
+            after[rows, at] = beyond
+            beyond = np.minimum(beyond, size)  # the last column is never alive: no symbol
+            before[rows, beyond] = at
+            ranks[rows, at], _ = self._look_up(merged, symbols[rows, beyond])
+            left = before[rows, at]
+            has_left = left >= 0
+            lr, ll = rows[has_left], left[has_left]
+            ranks[lr, ll], _ = self._look_up(symbols[lr, ll], merged[has_left])
+        row, column = np.nonzero(alive)
+        ids = symbols[row, column]
+        ends = np.searchsorted(row, np.arange(n), side="right").tolist()
+        plain = ids.tolist()
+        out, start = [], 0
+        odd = set(row[ids < 0].tolist())
+        columns = column.tolist()
+        for i, end in enumerate(ends):
+            if i in odd:
+                stops = [*columns[start + 1 : end], len(words[i])]
+                out.append(self._spelled([words[i][a:b] for a, b in zip(columns[start:end], stops, strict=True)]))
+            else:
+                out.append(plain[start:end])
+            start = end
+        return out
 
     def _by_heap(self, symbols: list[str]) -> list[str]:
         n, score = len(symbols), self.scores.get
@@ -89,7 +160,8 @@ class PieceModel:
             offer(i, i + 1)
         while agenda:
             _, left, right, joined = heapq.heappop(agenda)
-            if not symbols[left] or not symbols[right] or symbols[left] + symbols[right] != joined or after[left] != right:
+            stale = not symbols[left] or not symbols[right] or after[left] != right
+            if stale or symbols[left] + symbols[right] != joined:
                 continue
             symbols[left], symbols[right] = joined, ""
             after[left] = after[right]
@@ -99,13 +171,6 @@ class PieceModel:
             offer(left, after[left])
         return [s for s in symbols if s]
 
-    def encode_word(self, word: str) -> list[int]:
-        symbols = self.merged(word)
-        try:
-            return [self.ids[s] for s in symbols]
-        except KeyError:
-            return self._spelled(symbols)
-
     def _spelled(self, symbols: list[str]) -> list[int]:
         out: list[int] = []
         for symbol in symbols:
@@ -130,11 +195,10 @@ class PieceModel:
         """Against the library. It puts a blank before each text, so a word that starts without one is
         shown to it after a line break, which joins with nothing."""
         shown = [w[1:] if w[0] == BLANK else "\n" + w for w in words]
-        lead = [0 if w[0] == BLANK else 2 for w in words]
         theirs = self.library.encode(shown, num_threads=1)
-        for word, mine, other, n in zip(words, found, theirs, lead, strict=True):
-            if mine != other[n:]:
-                raise ValueError(f"{word!r}: {mine}, the library has {other[n:]}")
+        for word, mine, other in zip(words, found, theirs, strict=True):
+            if mine != (other if word[0] == BLANK else other[2:]):
+                raise ValueError(f"{word!r}: {mine}, the library has {other}")
 
 
 WORD = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
@@ -145,40 +209,50 @@ class Codec:
 
     def __init__(self, path: str):
         self.model = PieceModel(path)
-        self.young: dict[str, tuple[str, int, str]] = {}
-        self.old: dict[str, tuple[str, int, str]] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, tuple[str, int, str]]:
-        model = self.model
-        found = [model.encode_word(w) for w in words]
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
+        self.unlike: dict[str, str] = {}  # what words decode to that don't decode to themselves
+
+    def _learn(self, words: list[str]) -> dict[str, str]:
+        """Ids as text of new words, checked."""
+        model, learnt = self.model, {}
+        shown = model.shown
+        found = model.encode_words(words)
         model.check(words, found)
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        learnt = {
-            word: (" ".join(map(str, ids)), len(ids), model.decode_word(ids))
-            for word, ids in zip(words, found, strict=True)
-        }
-        self.young.update((w, x) for w, x in learnt.items() if len(w) <= SHORT)
+        for word, ids in zip(words, found, strict=True):
+            learnt[word] = " ".join([shown[i] for i in ids])
+            back = model.decode_word(ids)
+            if back != word.replace(BLANK, " "):
+                self.unlike[word] = back
+        self.young.update((w, x) for w, x in learnt.items() if len(w) <= SIZES[-1])
         return learnt
 
     def batch(self, texts: list[str]) -> Iterator[tuple[str, int, str]]:
         """(ids as text, their number, decoded text) of each text, the end id included."""
-        split = [WORD.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-        young, old = self.young, self.old
-        needed = set().union(*map(set, split)) if split else set()
-        for word in [w for w in needed if w not in young]:
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        shown = [(BLANK + t).replace(" ", BLANK) if t else "" for t in texts]
+        split = [WORD.findall(t) for t in shown]
+        young, old, new, rare = self.young, self.old, [], {}
+        for word in set().union(*split) - young.keys():
             if word in old:
                 young[word] = old[word]
-        known = {w: young[w] for w in needed if w in young}
-        missing = [w for w in needed if w not in known]
-        if missing:
-            known |= self._learn(missing)
-        end = str(self.model.end)
-        for words in split:
-            parts = [known[w] for w in words]
-            ids = " ".join([p[0] for p in parts] + [end])
-            yield ids, sum([p[1] for p in parts]) + 1, "".join([p[2] for p in parts])[1:]
-
+            else:
+                new.append(word)
+        if new:
+            rare = {w: x for w, x in self._learn(new).items() if w not in young}
+        find, end = young.__getitem__, f" {self.model.end}"
+        for text, words in zip(shown, split, strict=True):
+            if rare and not rare.keys().isdisjoint(words):
+                parts = [rare[w] if w in rare else young[w] for w in words]
+            else:
+                parts = map(find, words)
+            ids = (" ".join(parts) + end).lstrip()
+            if self.unlike and not self.unlike.keys().isdisjoint(words):
+                back = "".join([self.unlike.get(w) or w.replace(BLANK, " ") for w in words])
+            else:  # every word decodes to itself
+                back = text.replace(BLANK, " ")
+            yield ids, ids.count(" ") + 1, back[1:]
 
 
 _CODECS: dict[str, Codec] = {}
