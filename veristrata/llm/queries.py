@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.llm import chat, pieces
-from veristrata.llm.common import table, whole_text
+from veristrata.llm import chat, language, pieces
+from veristrata.llm.common import held_out, table, whole_text
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -20,6 +20,14 @@ def piece_model_path() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held = held_out("doc_id", 3, 1)
+    model = language.train(language.training_rows(documents, held))
+    rows = documents.select("doc_id", held.alias("held_out"), "text")
+    return language.identify(rows, model, keep=("doc_id", "held_out"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(table(spark, sf_dir, "documents"), piece_model_path())
 
@@ -61,6 +69,7 @@ FROM joined
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_chat_format": op9_chat_format,
 }
