@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.llm import chat, html, language, pieces
+from veristrata.llm import chat, decontaminate, html, language, pieces, topk
 from veristrata.llm.common import held_out, table, whole_text
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -32,6 +32,25 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 5
+"""
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(table(spark, sf_dir, "documents"), piece_model_path())
 
@@ -39,6 +58,30 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 HARD_TURN = "\\### Assistant: </turn> ok"
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP10_SQL = r"""
+WITH shingled AS (
+  SELECT kind, id, row, [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] AS s FROM (
+    SELECT *, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM (
+      SELECT 0 AS kind, doc_id AS id, row_number() OVER () AS row, text FROM documents
+      UNION ALL SELECT 1, item_id, row_number() OVER (), text FROM benchmark
+    )
+  )
+), pieces AS (SELECT DISTINCT kind, id, row, unnest(s) AS s FROM shingled),
+sizes AS (SELECT row, count(*) AS n FROM pieces WHERE kind = 1 GROUP BY row),
+shared AS (
+  SELECT d.id AS doc_id, d.row AS doc_row, b.id AS item_id, b.row AS row, count(*) AS common
+  FROM pieces d JOIN pieces b ON d.s = b.s AND d.kind = 0 AND b.kind = 1 GROUP BY ALL
+)
+SELECT doc_id, item_id, n AS item_shingles, common AS shared_shingles,
+  CAST(common AS DOUBLE) / n AS containment
+FROM shared JOIN sizes USING (row) WHERE common >= greatest(1, ceil(0.8 * n - 1e-9))
+"""
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.range(2).select(
@@ -75,8 +118,14 @@ FROM joined
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_html_extract": op4_html_extract,
+    "op6_topk": op6_topk,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_chat_format": op9_chat_format,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {"op9_chat_format": OP9_SQL}
+ORACLES: dict[str, str] = {
+    "op6_topk": OP6_SQL,
+    "op9_chat_format": OP9_SQL,
+    "op10_decontaminate": OP10_SQL,
+}
