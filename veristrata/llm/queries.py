@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.llm import chat, decontaminate, html, language, pieces, topk
+from veristrata.llm import chat, decontaminate, html, language, pieces, simhash, topk
 from veristrata.llm.common import held_out, table, whole_text
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -20,6 +20,10 @@ def piece_model_path() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = held_out("doc_id", 3, 1)
@@ -116,6 +120,7 @@ FROM joined
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op3_language_id": op3_language_id,
     "op4_html_extract": op4_html_extract,
     "op6_topk": op6_topk,
