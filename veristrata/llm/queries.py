@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.llm import chat, decontaminate, html, language, pieces, simhash, topk
+from veristrata.llm import chat, decontaminate, html, language, lm, pieces, simhash, topk
 from veristrata.llm.common import held_out, table, whole_text
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -20,6 +20,10 @@ def piece_model_path() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
@@ -120,6 +124,7 @@ FROM joined
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_simhash": op2_simhash,
     "op3_language_id": op3_language_id,
     "op4_html_extract": op4_html_extract,
