@@ -43,10 +43,10 @@ CLASSES = OWN + SHARED + 1
 ENDS = CLASSES - 1
 START = CLASSES  # context before the first token
 DIM = 16
-NOISE = 48
-BATCH = 8192
+NOISE = 32
+BATCH = 2048
 ROUNDS = 3
-RATE = 0.08
+RATE = 0.15
 FLUSH = 300_000
 
 
