@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +47,45 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BLOOM_BITS = 1 << 24
+
+
+def _bloom_places(first: Column, second: Column) -> list[Column]:
+    mask = F.lit(BLOOM_BITS - 1)
+    return [x.bitwiseAND(mask) for x in (first, second, F.shiftright(first, 24), F.shiftright(second, 24))]
+
+
+def bloom(ids: DataFrame, first: str, second: str) -> np.ndarray:
+    """A bit field of fixed size (2 MB) that holds the ids, pairs of hashes. It only saves work: with very many
+    ids it lets all through."""
+    place = F.explode(F.array(*_bloom_places(F.col(first), F.col(second)))).alias("p")
+    words = ids.select(place).groupBy(F.shiftright("p", 5).cast("int").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(p & 31))")).alias("bits")
+    )
+    out = np.zeros(BLOOM_BITS // 32, np.uint32)
+    rows = words.toPandas()  # 524,288 rows at most
+    out[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def bloom_holds(bits: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    held = np.ones(len(first), bool)
+    for x in (first, second, first >> 24, second >> 24):
+        p = x & (BLOOM_BITS - 1)
+        held &= (bits[p >> 5] >> (p & 31).astype(np.uint32) & 1).astype(bool)
+    return held
+
+
+def sifted(df: DataFrame, bits: np.ndarray, first: str, second: str, inside: bool = True) -> DataFrame:
+    """Rows whose ids may be in the field (or, with ``inside`` false, those whose ids are surely not)."""
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+    a, b = df.columns.index(first), df.columns.index(second)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = bloom_holds(shared.value, batch.column(a).to_numpy(), batch.column(b).to_numpy())
+            yield batch.filter(pa.array(held if inside else ~held))
+
+    return df.mapInArrow(run, df.schema)

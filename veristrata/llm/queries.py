@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.llm import chat, decontaminate, html, language, lm, pieces, simhash, topk
+from veristrata.llm import chat, decontaminate, html, language, lm, pieces, simhash, suffix, topk
 from veristrata.llm.common import held_out, table, whole_text
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -40,6 +40,10 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.report(table(spark, sf_dir, "documents"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
 
@@ -128,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_language_id": op3_language_id,
     "op4_html_extract": op4_html_extract,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_topk": op6_topk,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_chat_format": op9_chat_format,
