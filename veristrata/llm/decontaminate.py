@@ -201,3 +201,28 @@ def _searcher(shared, key: str, item_key: str, item_kind):
             )
 
     return run
+
+
+def without(documents: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
+            item_text: str = "text", share: float = SHARE, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """The documents that hold no item, all columns as they were; each block of items sifts them in their tasks."""
+    context = documents.sparkSession.sparkContext
+    at = documents.columns.index(text)
+    rest = documents
+    for chosen in item_blocks(items, item_key, item_text, block):
+        shared = context.broadcast(Sketches(chosen, share))  # one block: bounded by BLOCK_SHINGLES
+        rest = rest.mapInArrow(_sieve(shared, at), documents.schema)
+    return rest
+
+
+def _sieve(shared, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches = shared.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                clean = [not sketches.matches(t, h) for t, h in zip(texts, shingle_hashes(texts), strict=True)]
+                yield part.filter(pa.array(clean, pa.bool_()))
+
+    return run

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.llm import chat, decontaminate, html, language, lm, pieces, simhash, suffix, topk
+from veristrata.llm import chat, decontaminate, html, language, lm, pieces, simhash, suffix, topk, warc
 from veristrata.llm.common import held_out, table, whole_text
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -94,6 +94,83 @@ FROM shared JOIN sizes USING (row) WHERE common >= greatest(1, ceil(0.8 * n - 1e
 """
 
 
+# Captures of a page: the full response, then by the page's number a revisit that agrees, one whose validator
+# differs, or one before the response.
+FIRST_CAPTURE, APART, DAY = 1704067200, 37, 86400
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """The texts of WARC records made from the pages."""
+    html, url = F.coalesce(F.col("html"), F.lit("")), F.coalesce(F.col("url"), F.lit(""))
+    taken = F.lit(FIRST_CAPTURE) + F.col("page_id") * APART
+    tag = F.concat(F.lit('"'), F.substring(F.md5(html.cast("binary")), 1, 12), F.lit('"'))
+    age = lambda n: F.concat(F.lit("max-age="), (F.pmod(F.col("page_id"), F.lit(7)) * n).cast("string"))
+    name = lambda kind: F.concat(F.lit(f"<urn:{kind}:"), F.col("page_id").cast("string"), F.lit(">"))
+    response = warc.record_text(
+        "response", name("response"), url, F.timestamp_seconds(taken), "200 OK",
+        [("Content-Type", F.lit("text/html; charset=utf-8")), ("Content-Length", F.octet_length(html)), ("ETag", tag),
+         ("Cache-Control", age(60))],
+        html,
+    )
+    turn = F.pmod(F.col("page_id"), F.lit(4))
+    later = F.when(turn == 1, DAY).when(turn == 2, 2 * DAY).otherwise(-DAY)
+    seen = F.when(turn == 2, F.lit('"other"')).otherwise(F.concat(F.lit("W/"), tag))
+    revisit = warc.record_text(
+        "revisit", name("revisit"), url, F.timestamp_seconds(taken + later),
+        "304 Not Modified",
+        [("ETag", seen), ("Cache-Control", age(90)), ("Content-Length", F.lit(0)), ("X-Cache", F.lit("HIT"))],
+        F.lit(""),
+    )
+    records = F.when(turn == 0, F.array(response)).otherwise(F.array(response, revisit))
+    return pages.select(F.explode(records).alias("record"))
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve(warc.parse(captures(table(spark, sf_dir, "pages"))))
+    lines = F.transform("fields", lambda h: F.concat(h["name"], F.lit(": "), h["value"]))
+    return found.select(
+        "record_id", "canonical", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), "outcome", "refers_to",
+        F.array_join(lines, "\n").alias("headers"), "payload_bytes", "payload_sha256",
+    )
+
+
+OP8_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, regexp_replace(trim(coalesce(url, '')), '#.*$', '') AS u FROM pages
+), q AS (
+  SELECT *, regexp_replace(u, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM p
+), k AS (
+  SELECT page_id, html, 1704067200 + page_id * 37 AS taken, '"' || substr(md5(html), 1, 12) || '"' AS tag,
+    page_id % 4 AS turn,
+    regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
+    || CASE WHEN len(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+         lambda x: x <> '' AND NOT regexp_matches(x, '^(?i:utm_|fbclid|gclid)'))) > 0
+       THEN '?' || array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+         lambda x: x <> '' AND NOT regexp_matches(x, '^(?i:utm_|fbclid|gclid)'))), '&') ELSE '' END AS canonical
+  FROM q
+), v AS (
+  SELECT *, taken + CASE turn WHEN 1 THEN 86400 WHEN 2 THEN 172800 ELSE -86400 END AS moment,
+    CASE WHEN turn = 2 THEN '"other"' ELSE tag END AS seen
+  FROM k WHERE turn <> 0
+), f AS (
+  SELECT v.page_id, v.canonical, v.moment, v.seen, r.page_id AS rid, r.tag, r.html AS payload,
+    row_number() OVER (PARTITION BY v.page_id ORDER BY r.taken DESC, '<urn:response:' || r.page_id || '>' DESC) AS place
+  FROM v LEFT JOIN k r ON r.canonical = v.canonical AND r.taken < v.moment
+)
+SELECT '<urn:revisit:' || page_id || '>' AS record_id, canonical,
+  strftime(make_timestamp(moment * 1000000), '%Y-%m-%d %H:%M:%S') AS date,
+  CASE WHEN rid IS NULL THEN 'no response' WHEN seen <> tag THEN 'validators differ' ELSE 'resolved' END AS outcome,
+  CASE WHEN seen = tag THEN '<urn:response:' || rid || '>' END AS refers_to,
+  CASE WHEN seen = tag THEN 'cache-control: max-age=' || (page_id % 7) * 90 || chr(10) || 'content-length: '
+    || strlen(payload) || chr(10) || 'content-type: text/html; charset=utf-8' || chr(10) || 'etag: W/' || seen
+    || chr(10) || 'x-cache: HIT' END AS headers,
+  CASE WHEN seen = tag THEN CAST(strlen(payload) AS BIGINT) END AS payload_bytes,
+  CASE WHEN seen = tag THEN sha256(payload) END AS payload_sha256
+FROM f WHERE place = 1
+"""
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.range(2).select(
@@ -135,12 +212,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_topk": op6_topk,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_warc_revisits": op8_warc_revisits,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
     "op6_topk": OP6_SQL,
+    "op8_warc_revisits": OP8_SQL,
     "op9_chat_format": OP9_SQL,
     "op10_decontaminate": OP10_SQL,
 }

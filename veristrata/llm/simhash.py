@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veristrata.llm.common import stored, whole_text, words_of
+from veristrata.llm.common import bloom, sifted, stored, whole_text, words_of
 from veristrata.llm.components import components
 
 SHINGLE = 3
@@ -134,3 +134,23 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     return marked.join(classes, "fp").select(
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
+                    segments: int = SEGMENTS, radius: int = RADIUS) -> DataFrame:
+    """The rows with the smallest key of each group; of repeated rows of a key one stays. Rows that are surely
+    alone in their group are not shuffled."""
+    names = df.columns
+    found = stored(groups(df, key, text, size, segments, radius).select(key, "component_id"), "groups")
+    counts = found.groupBy("component_id").agg(F.count("*").alias("_members"))
+    crowd = found.join(counts.where("_members > 1"), "component_id", "left_semi").select(key).distinct()
+    # Groups without any key have NULL for their name, which joins with nothing: their rows are in the crowd.
+    crowd = stored(crowd.union(found.where(F.col("component_id").isNull()).select(key).distinct()), "crowd")
+    marks = {"_a": F.xxhash64(F.col(key)), "_b": F.xxhash64(F.lit("second"), F.col(key))}
+    bits = bloom(crowd.withColumns(marks), "_a", "_b")
+    rows = df.withColumns(marks)
+    alone = sifted(rows, bits, "_a", "_b", inside=False).select(names)
+    first = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
+    crowded = sifted(rows, bits, "_a", "_b").select(names)
+    kept = crowded.join(first, F.col(key).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([key])
+    return alone.union(kept)
