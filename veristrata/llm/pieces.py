@@ -193,11 +193,12 @@ class PieceModel:
 
     def check(self, words: list[str], found: list[list[int]]) -> None:
         """Against the library. It puts a blank before each text, so a word that starts without one is
-        shown to it after a line break, which joins with nothing."""
-        shown = [w[1:] if w[0] == BLANK else "\n" + w for w in words]
+        shown to it after a line break, which joins with nothing; one more follows each word, as a blank alone
+        would be an empty text."""
+        shown = [(w[1:] if w[0] == BLANK else "\n" + w) + "\n" for w in words]
         theirs = self.library.encode(shown, num_threads=1)
         for word, mine, other in zip(words, found, theirs, strict=True):
-            if mine != (other if word[0] == BLANK else other[2:]):
+            if mine != (other if word[0] == BLANK else other[2:])[:-1]:
                 raise ValueError(f"{word!r}: {mine}, the library has {other}")
 
 
