@@ -171,14 +171,17 @@ def word_scores(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def best_path(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """Language of each word on the path of the highest sum of scores less ``switch`` per change.
 
-    If one language leads in sum and no stretch of words gains more than the price of leaving it, the path
-    stays with it (a detour pays at least one change); else Viterbi's recursion runs word by word.
+    If one language leads in sum and no stretch of words gains more than the price of leaving it, no path that
+    has this language anywhere is better than staying with it (each stretch in another pays one change). A
+    path of r stretches without it has r - 1 changes, so it must gain more than the price in its first and last
+    stretch together. If neither is possible, the path stays; else Viterbi's recursion runs word by word.
     """
     sums = np.cumsum(scores, axis=0)
     best = int(sums[-1].argmax())
     lead = sums - sums[:, best : best + 1]
     low = np.minimum(np.minimum.accumulate(lead, axis=0), 0.0)
-    if (lead - low).max() <= switch:
+    first, last = lead.max(), (lead[-1] - lead).max()
+    if (lead - low).max() <= switch and first + last <= switch:
         return np.full(len(scores), best, np.int64)
     n, k = scores.shape
     came = np.zeros((n, k), np.int64)
