@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tools.compare import compare, connect
+from veristrata.workload import all_oracles as oracle_sql
+from veristrata.workload import all_queries as queries
 
 ORACLES = oracle_sql()
 
@@ -19,10 +21,8 @@ def test_query_equals_sql(spark, db, sf_dir, name):
     assert ok, text
 
 
-def test_only_forests_have_no_sql():
-    assert {n for n in queries() if n not in ORACLES} == {
-        "anomaly_iforest", "anomaly_iforest_columns", "anomaly_iforest_multi"
-    }
+def test_every_query_has_sql():
+    assert set(queries()) == set(ORACLES)
 
 
 def test_entry(spark):

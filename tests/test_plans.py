@@ -2,13 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import queries
 from veristrata.operators.profile import top_value_profile
 from veristrata.operators.validate import validate
 from veristrata.plans.suite import Suite
 from veristrata.sources.entities import base
+from veristrata.workload import all_queries
 
-QUERIES = queries()
+QUERIES = all_queries()
 PLANNED = [
     "val_suite_patients", "val_all_suites", "val_unexpected_rows", "rec_quarantine",
     "ref_integrity_orphans", "lookup_reference_ranges", "profile_columns", "anomaly_all_columns",
@@ -33,7 +33,9 @@ def test_scan_reads_only_the_columns_of_the_rules(spark, sf_dir):
 
 def test_top_values_are_limited_inside_the_tasks(spark, sf_dir):
     plan = plan_of(top_value_profile(base(spark, sf_dir, "orders")))
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") == 4
+    large = plan_of(top_value_profile(base(spark, sf_dir, "orders"), 2000))
+    assert "_part" in large and large.count("Exchange") == 3
 
 
 def test_row_rules_need_no_shuffle_but_the_final_merge(spark, sf_dir):

@@ -47,20 +47,6 @@ DIAGNOSIS_CODES = {
     "bladder": ["C67.0", "C67.1", "C67.2", "C67.9"],
 }
 
-# Chemotherapy drugs as (name, NDC code, route).
-DRUGS = [
-    ("Paclitaxel", "00015-3475-30", "IV"),
-    ("Carboplatin", "00015-3214-30", "IV"),
-    ("Doxorubicin", "00069-3030-20", "IV"),
-    ("Cyclophosphamide", "00015-0503-41", "IV"),
-    ("Cisplatin", "00015-3220-22", "IV"),
-    ("Gemcitabine", "00002-7501-01", "IV"),
-    ("Fluorouracil", "63323-0117-10", "IV"),
-    ("Methotrexate", "00703-4250-01", "IV"),
-    ("Vincristine", "61703-0309-18", "IV"),
-    ("Etoposide", "00015-3063-20", "IV"),
-]
-
 # Laboratory tests as (code, name, category, unit, low, high).
 LAB_TESTS = [
     ("6690-2", "WBC", "hematology", "10^3/uL", 4.5, 11.0),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,12 +65,38 @@ def as_double(df: DataFrame, name: str) -> Column:
     return column.cast("double")
 
 
-def as_timestamp(df: DataFrame, name: str) -> Column:
-    """Column as wall-clock timestamp; text that does not parse becomes NULL."""
+# Forms of dates in texts, tried in this order after ISO 8601; day or month without a leading zero, too. A
+# numeric form reads the month first.
+DATE_FORMS = (
+    "yyyyMMdd", "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy/M/d", "yyyy/M/d H:mm:ss", "M-d-yyyy",
+    "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d yyyy",
+)
+
+
+def as_timestamp(df: DataFrame, name: str, forms: Sequence[str] = DATE_FORMS) -> Column:
+    """Column as wall-clock timestamp; text in none of the forms becomes NULL.
+
+    Texts that are no ISO dates are looked at by their shape first, so that each is tried in few forms.
+    """
     column = field(name)
-    if is_string(df.schema[name].dataType):
-        return F.expr(f"try_cast(`{name.replace('`', '``')}` AS timestamp_ntz)")
-    return column.cast("timestamp_ntz")
+    if not is_string(df.schema[name].dataType):
+        return column.cast("timestamp_ntz")
+    text = F.btrim(column)
+    iso = F.expr(f"try_cast(trim(`{name.replace('`', '``')}`) AS timestamp_ntz)")
+    tried = [
+        F.when(text.rlike(_shape(form)), F.try_to_timestamp(text, F.lit(form))).cast("timestamp_ntz") for form in forms
+    ]
+    plain_year_first = text.rlike("^[0-9]{8}$")
+    return F.coalesce(F.when(~plain_year_first, iso), *tried)
+
+
+def _shape(form: str) -> str:
+    """A pattern that texts of a form have: digits for numbers, letters for names of months."""
+    shapes = {
+        "yyyyMMdd": "[0-9]{8}", "yyyy": "[0-9]{4}", "MMMM": "[A-Za-z]{3,9}", "MMM": "[A-Za-z]{3}", "mm": "[0-9]{2}",
+        "ss": "[0-9]{2}", "M": "[0-9]{1,2}", "d": "[0-9]{1,2}", "H": "[0-9]{1,2}",
+    }
+    return "^" + re.sub("|".join(shapes), lambda m: shapes[m[0]], form) + "$"
 
 
 def literal(value: object) -> str:

@@ -44,6 +44,30 @@ def is_title(text: Column) -> Column:
     return F.when(small_start, F.lit(False)).otherwise(~broken)
 
 
+def plain_number(value: Column) -> Column:
+    """A double as text without an exponent where its size is between 1e-4 and 1e16, always with a fraction;
+    beyond, a mantissa and a signed exponent of two digits at least: ``12345678.0``, ``1e-05``."""
+    text = value.cast("string")
+    size = F.abs(value)
+    digits = F.when(size < 1, text.try_cast("decimal(38,24)").cast("string")).otherwise(
+        text.try_cast("decimal(38,12)").cast("string")
+    )
+    plain = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    exponent = F.substring_index(text, "E", -1)
+    sign = F.when(exponent.startswith("-"), "-").otherwise("+")
+    power = F.lpad(F.regexp_replace(exponent, "^-", ""), 2, "0")
+    long_power = F.when(F.char_length(F.regexp_replace(exponent, "^-", "")) > 2, F.regexp_replace(exponent, "^-", ""))
+    scientific = F.concat(mantissa, F.lit("e"), sign, F.coalesce(long_power, power))
+    infinite = F.when(value > 0, "inf").otherwise("-inf")
+    return (
+        F.when(size == float("inf"), infinite)
+        .when(~text.contains("E"), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(scientific)
+    )
+
+
 def matches_from_start(text: Column, pattern: str) -> Column:
     """Pattern anchored at the start of the text only."""
     return text.cast("string").rlike(f"^(?:{pattern})")

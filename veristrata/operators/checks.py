@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veristrata.functions.columns import as_timestamp, field, is_string, is_temporal
-from veristrata.functions.text import matches_from_start
+from veristrata.functions.text import matches_from_start, plain_number
 from veristrata.plans import suite as S
 
 SKIPPED = {S.COLUMN_SET, S.DATE_PARSEABLE, S.TYPE_LIST, S.UNIQUE_PROPORTION}
@@ -126,6 +126,8 @@ def _regex(df: DataFrame, p: dict[str, Any]) -> Check:
     column = field(p["column"])
     if isinstance(df.schema[p["column"]].dataType, T.BooleanType):
         column = F.initcap(column.cast("string"))
+    elif isinstance(df.schema[p["column"]].dataType, (T.DoubleType, T.FloatType)):
+        column = plain_number(column.cast("double"))
     hit = matches_from_start(column, p.get("regex", ".*"))
     return RowCheck(column.isNotNull(), F.coalesce(~hit, F.lit(False)))
 

@@ -66,6 +66,13 @@ def statistical_drift(
 ) -> DataFrame:
     """Relative change of mean and deviation per column; both tables in one aggregate."""
     names = columns or common_numeric_columns(reference, current, both=False)
+    if not names:
+        numbers = ["drift_score", "mean_diff_pct", "std_diff_pct"]
+        numbers += [f"{s}_{k}" for s in ("reference", "current") for k in ("mean", "std", "min", "max", "median")]
+        fields = {n: "double" for n in numbers} | {"drift_detected": "boolean"}
+        order = ["drift_score", "drift_detected", *numbers[1:]]
+        listed = ", ".join(f"{n} {fields[n]}" for n in order)
+        return reference.sparkSession.createDataFrame([], f"`column` string, drift_type string, {listed}")
     both = _sides(reference, current, names)
     side = {"reference": F.col("is_reference"), "current": ~F.col("is_reference")}
     medians = quantiles_of(

@@ -12,6 +12,7 @@ from veristrata.functions.columns import field, literal, result_rows
 
 # Longer values are represented by a digest wherever only their identity counts.
 IDENTITY_BYTES = 64
+TOP_PARTS = 256
 
 
 def as_text(df: DataFrame, name: str) -> Column:
@@ -22,6 +23,16 @@ def as_text(df: DataFrame, name: str) -> Column:
     return column.cast("string")
 
 
+def identity_text(df: DataFrame, name: str) -> Column:
+    """Text that is the same for equal values only: an instant by its microseconds, as its clock text in a
+    zone with summer time stands for two instants; long texts by a digest."""
+    data_type = df.schema[name].dataType
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(field(name)).cast("string")
+    text = as_text(df, name)
+    return identity(text) if isinstance(data_type, (T.StringType, T.BinaryType)) else text
+
+
 def identity(text: Column) -> Column:
     """The text itself, or a SHA-256 mark for long ones, so that shuffles stay narrow."""
     digest = F.concat(F.lit("#"), F.sha2(text.cast("binary"), 256))
@@ -35,12 +46,8 @@ def value_counts(df: DataFrame, columns: Sequence[str], identities: bool = False
     one row per task. Columns travel under their position, which keeps shuffled rows short.
     """
     names = list(columns)
-    texts = df.select(*(as_text(df, c).alias(f"{i}") for i, c in enumerate(names)))
-    if identities:
-        texts = texts.withColumns(
-            {f"{i}": identity(field(f"{i}")) for i, c in enumerate(names)
-             if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))}
-        )
+    text = identity_text if identities else as_text
+    texts = df.select(*(text(df, c).alias(f"{i}") for i, c in enumerate(names)))
     counts = (
         texts.unpivot([], [f"`{i}`" for i in range(len(names))], "position", "value")
         .filter("value IS NOT NULL")
@@ -85,7 +92,12 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 def top_values(counts: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` most frequent values per column, ties by value.
 
-    The rank filter is applied inside each task before the values of a column meet.
+    The values of a column are ranked in parts first, so that no more than ``k`` of each part meet, whatever ``k``.
     """
-    order = Window.partitionBy("column").orderBy(F.desc("occurrences"), F.asc("value"))
+    best = [F.desc("occurrences"), F.asc("value")]
+    part = F.pmod(F.xxhash64("value"), F.lit(TOP_PARTS))
+    parts = counts.withColumn("_part", part)
+    local = Window.partitionBy("column", "_part").orderBy(*best)
+    counts = parts.withColumn("_n", F.row_number().over(local)).filter(F.col("_n") <= k).drop("_n", "_part")
+    order = Window.partitionBy("column").orderBy(*best)
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

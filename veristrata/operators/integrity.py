@@ -28,9 +28,13 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str |
 
 
 def children_per_parent(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
-    """One row: parents, children, mean children per parent, and parents without any child."""
+    """One row: parents, children, mean children per parent, and parents without any child.
+
+    A parent is a key: repeated rows of a key are one parent, and its children count once. Children are
+    counted per key before they meet the parents.
+    """
     counted = child.groupBy(key).agg(F.count(F.lit(1)).alias("children"))
-    joined = parent.select(key).join(counted, key, "left")
+    joined = parent.select(key).distinct().join(counted, key, "left")
     linked = F.coalesce(F.sum("children"), F.lit(0))
     return joined.agg(
         F.count(F.lit(1)).alias("parents"),

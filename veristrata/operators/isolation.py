@@ -1,7 +1,8 @@
 """Isolation forest (Liu, Ting, Zhou 2008): trees fitted by tasks, rows scored by all tasks.
 
-A tree needs at most 256 rows, so the forest is a bounded model whatever the size of the table: a few
-ten thousand training rows are sampled and shuffled by tree; the fitted nodes (at most a few thousand
+A tree draws 256 rows, so the forest is a bounded model whatever the size of the table. Every row takes part in
+the draw of every tree, by one rule at every size: a hash of tree and key, of which the smallest 256 are drawn; rows
+whose hash is too large to be among them are left out before anything is shuffled. The fitted nodes (at most a few thousand
 numbers per tree) go to the executors with the scoring function. Scoring is one pass without a
 shuffle. At most a hundred rows can be anomalies (the contamination is min(0.1, 100 / rows)), so the
 cut comes from the highest scores alone.
@@ -29,9 +30,7 @@ TREES = 100
 TREE_ROWS = 256
 MAX_ANOMALIES = 100
 MAX_SHARE = 0.1
-# Rows that may train the forest, before each tree draws its own from them.
-POOL_ROWS = 30_000
-
+_HASHES = 1 << 62
 _NODES = "tree int, node int, feature int, split double, leaf_rows int, depth int"
 
 
@@ -44,8 +43,8 @@ def isolation_forest(
 ) -> DataFrame:
     """The anomalous rows: key, features, score and rank, most isolated first.
 
-    Rows with a missing feature take no part. ``key`` is returned with the rows and breaks ties of the
-    score; without one the features do.
+    Rows with a missing feature take no part. ``key`` is returned with the rows, breaks ties of the score and
+    decides the draw; without one the features do, and rows of equal features are drawn together.
     """
     df = normalize_missing(df)
     columns = columns or numeric_columns(df)
@@ -56,7 +55,7 @@ def isolation_forest(
     rows = known.count()
     if rows < 2:
         return known.limit(0).withColumns({"score": F.lit(0.0), "rank": F.lit(0)})
-    forest = _fit(known, columns, rows, trees, seed)
+    forest = _fit(known, columns, key or columns, rows, trees, seed)
     scored = known.withColumn(
         "score", _scorer(forest, min(TREE_ROWS, rows))(F.struct(*(field(c) for c in columns)))
     )
@@ -83,35 +82,36 @@ def summarize(anomalies: DataFrame, df: DataFrame, columns: list[str], method: s
 
 
 def detect(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Each numeric column on its own: one row per column, as the other methods report."""
+    """Each numeric column on its own: one row per column, as the other methods report; none without columns."""
     names = [c for c in (columns or numeric_columns(df)) if c in df.columns]
     parts = [summarize(isolation_forest(df, [c]), df, [c], "isolation_forest") for c in names]
+    if not parts:
+        return df.sparkSession.createDataFrame(
+            [], "columns string, method string, anomaly_count bigint, row_count bigint, anomaly_rate double"
+        )
     return reduce(DataFrame.unionByName, parts)
 
 
-def _fit(known: DataFrame, columns: list[str], rows: int, trees: int, seed: int) -> pd.DataFrame:
+def _fit(known: DataFrame, columns: list[str], key: list[str], rows: int, trees: int, seed: int) -> pd.DataFrame:
     """All nodes of all trees; bounded by trees x 2 x TREE_ROWS rows, whatever the table.
 
-    Rows are sampled as rows, not by a hash of their values, so that a value that fills a third of the
-    table is drawn in proportion and cannot flood the pool.
+    A tree draws the rows with the smallest hashes of (seed, tree, key), so a draw does not depend on how the rows are
+    spread over tasks. Of ``rows`` rows about twice as many as needed pass the first filter, more than enough
+    in practice: fewer than 256 of them come with a chance below 1e-30.
     """
-    pool = known
-    if rows > POOL_ROWS:
-        pool = known.sample(fraction=POOL_ROWS / rows, seed=seed)
+    least = min(1.0, (2 * TREE_ROWS + 64) / rows)
+    number = lambda tree: F.xxhash64(F.lit(seed), tree, *(field(k) for k in key)).bitwiseAND(_HASHES - 1)
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+    chosen = F.filter(numbers, lambda tree: number(tree) < int(least * _HASHES)) if least < 1.0 else numbers
     features = [field(c).alias(f"x{i}") for i, c in enumerate(columns)]
-    numbered = pool.select(*features, F.monotonically_increasing_id().alias("_id"))
-    draws = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-    candidates = numbered.select("*", draws).withColumn(
-        "_draw", F.xxhash64(F.lit(seed), "tree", "_id")
-    )
-    # Keep about twice the rows a tree needs before ranking them.
-    share = min(1.0, (2 * TREE_ROWS + 64) / min(rows, POOL_ROWS))
-    if share < 1.0:
-        candidates = candidates.filter(F.pmod("_draw", F.lit(1_000_000)) < int(share * 1_000_000))
-    order = Window.partitionBy("tree").orderBy("_draw")
-    drawn = candidates.withColumn("_n", F.row_number().over(order)).filter(
+    keys = [field(k).alias(f"k{i}") for i, k in enumerate(key)]
+    candidates = known.select(*features, *keys, F.explode(chosen).alias("tree"))
+    hashed = F.xxhash64(F.lit(seed), "tree", *(f"k{i}" for i in range(len(key)))).bitwiseAND(_HASHES - 1)
+    ties = [f"x{i}" for i in range(len(columns))]
+    order = Window.partitionBy("tree").orderBy("_draw", *ties)
+    drawn = candidates.withColumn("_draw", hashed).withColumn("_n", F.row_number().over(order)).filter(
         F.col("_n") <= TREE_ROWS
-    )
+    ).select("tree", "_n", *ties)
     width = len(columns)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

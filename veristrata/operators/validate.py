@@ -19,7 +19,7 @@ from veristrata.operators.checks import (
     StaticCheck,
     compile_rule,
 )
-from veristrata.operators.frequencies import as_text, distinct_counts, value_counts
+from veristrata.operators.frequencies import distinct_counts, identity_text, value_counts
 from veristrata.plans.suite import UNIQUE, Rule, Suite
 from veristrata.session import shared_dir
 
@@ -35,7 +35,7 @@ def validate(df: DataFrame, suite: Suite) -> DataFrame:
     df = normalize_missing(df)
     checks = [compile_rule(df, rule) for rule in suite.rules]
     if not checks:
-        return df.limit(0).select(*(_null(t).alias(n) for n, t in _RESULT))
+        return _no_results(df.sparkSession)
     counts = _Counts()
     rows = [_rule_row(suite, i, r, c, counts) for i, (r, c) in enumerate(zip(suite.rules, checks))]
     long = df.agg(*counts.aggregates).select(result_rows(rows))
@@ -56,6 +56,8 @@ def validate_many(tables: Mapping[str, tuple[DataFrame, Suite]]) -> DataFrame:
         validate(df, suite).select(F.lit(name).alias("dataset"), "*")
         for name, (df, suite) in tables.items()
     ]
+    if not parts:
+        return _no_results(SparkSession.active()).select(F.lit("").alias("dataset"), "*")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -78,10 +80,22 @@ def validate_table(
     return validate(df, suite)
 
 
-def statistics(results: DataFrame, by: tuple[str, ...] = ("suite",)) -> DataFrame:
-    """Evaluated, successful and failed rules, the success percent, and overall success."""
+def statistics(results: DataFrame, by: tuple[str, ...] = ("suite",), suite: str | None = None) -> DataFrame:
+    """Evaluated, successful and failed rules, the success percent, and overall success.
+
+    With the name of the ``suite`` there is always its one row: a suite without rules passes, at 0 percent.
+    """
     passed, declared = F.count_if("success"), F.count_if("success_declared")
     total = F.count("*")
+    if suite is not None:
+        nothing = F.coalesce(F.try_divide(passed, total) * 100, F.lit(0.0))
+        nothing_declared = F.coalesce(F.try_divide(declared, total) * 100, F.lit(0.0))
+        return results.agg(
+            total.alias("evaluated"), passed.alias("successful"), (total - passed).alias("unsuccessful"),
+            nothing.alias("success_percent"), nothing_declared.alias("success_percent_declared"),
+            F.coalesce(F.bool_and("success"), F.lit(True)).alias("success"),
+            F.coalesce(F.bool_and("success_declared"), F.lit(True)).alias("success_declared"),
+        ).select(F.lit(suite).alias("suite"), "*")
     return results.groupBy(*by).agg(
         total.alias("evaluated"),
         passed.alias("successful"),
@@ -145,13 +159,13 @@ def unexpected_rows(df: DataFrame, suite: Suite, declared: bool = True) -> DataF
 
 def _mark_repeated(df: DataFrame, column: str, flag: str) -> DataFrame:
     repeated = (
-        value_counts(df, [column])
+        value_counts(df, [column], identities=True)
         .filter("occurrences > 1")
         .select(F.col("value").alias("_key"), F.lit(True).alias(flag))
     )
     row_hash = F.xxhash64(*(field(c) for c in df.columns)).cast("string")
     absent = F.concat(F.lit("\x00absent:"), row_hash)
-    keyed = df.withColumn("_key", F.coalesce(as_text(df, column), absent))
+    keyed = df.withColumn("_key", F.coalesce(identity_text(df, column), absent))
     return keyed.join(repeated, "_key", "left").drop("_key")
 
 
@@ -163,6 +177,10 @@ _RESULT = [
 ]
 
 
+def _no_results(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], ", ".join(f"`{n}` {t}" for n, t in _RESULT))
+
+
 class _Counts:
     """Collects the aggregates of a suite; Spark evaluates equal ones once."""
 

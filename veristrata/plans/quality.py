@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veristrata.functions.columns import numeric_columns
 from veristrata.operators.anomaly import detect
 from veristrata.operators.profile import profile_summary
-from veristrata.operators.validate import statistics, validate
+from veristrata.operators.validate import statistics, validate, validate_many
 from veristrata.plans import catalog
 
 ORDER = ("patients", "treatments", "lab_results")
@@ -28,11 +28,13 @@ def suite_statistics(tables: Mapping[str, DataFrame]) -> DataFrame:
         statistics(quick_check(tables[name], name)).select(F.lit(name).alias("dataset"), "*")
         for name in ORDER if tables.get(name) is not None
     ]
+    if not parts:
+        return statistics(validate_many({})).select(F.lit("").alias("dataset"), "*").limit(0)
     return reduce(DataFrame.unionByName, parts)
 
 
 def quality_score(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Mean success percent of the suites, and whether all of them passed."""
+    """Mean success percent of the suites, and whether all of them passed; without tables 0 and NULL."""
     return suite_statistics(tables).agg(
         F.count(F.lit(1)).alias("suites"),
         F.coalesce(F.avg("success_percent"), F.lit(0.0)).alias("quality_score"),
@@ -48,9 +50,10 @@ def quality_report(tables: Mapping[str, DataFrame], threshold: float = 1.5,
     stats = suite_statistics(tables)
     parts.append(_long(stats, "validation", "dataset", [
         "evaluated", "successful", "unsuccessful", "success_percent"]))
-    summaries = reduce(DataFrame.unionByName, [profile_summary(tables[n], n) for n in given])
-    parts.append(_long(summaries, "profile", "name", [
-        "row_count", "column_count", "columns_with_nulls", "avg_null_rate"]))
+    if given:
+        summaries = reduce(DataFrame.unionByName, [profile_summary(tables[n], n) for n in given])
+        parts.append(_long(summaries, "profile", "name", [
+            "row_count", "column_count", "columns_with_nulls", "avg_null_rate"]))
     labs = tables.get("lab_results")
     if labs is not None and numeric_columns(labs):
         found = detect(labs, "iqr", threshold, mode=mode).select(
@@ -62,10 +65,12 @@ def quality_report(tables: Mapping[str, DataFrame], threshold: float = 1.5,
     detail = reduce(DataFrame.unionByName, parts)
     # The totals come from the report rows, not from another look at the tables.
     is_metric = {
-        "quality_score": F.avg(F.when(F.col("metric") == "success_percent", F.col("value"))),
+        "quality_score": F.coalesce(
+            F.avg(F.when(F.col("metric") == "success_percent", F.col("value"))), F.lit(0.0)),
         "anomaly_count": F.coalesce(
             F.sum(F.when(F.col("section") == "anomaly", F.col("value"))), F.lit(0.0)),
-        "records_processed": F.sum(F.when(F.col("metric") == "row_count", F.col("value"))),
+        "records_processed": F.coalesce(
+            F.sum(F.when(F.col("metric") == "row_count", F.col("value"))), F.lit(0.0)),
         "passed": F.max(F.when(F.col("metric") == "unsuccessful", F.col("value"))),
     }
     totals = detail.agg(*(v.alias(k) for k, v in is_metric.items())).withColumn(

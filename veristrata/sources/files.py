@@ -1,19 +1,28 @@
-"""File sources and sinks, discovery of assets in a folder, and files as a stream of chunks."""
+"""File sources and sinks, and discovery of assets in a folder."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+# Quotes inside cells are doubled, cells may hold line breaks, and white space is kept; an empty cell is
+# missing, quoted or not.
+CSV_OPTIONS = {
+    "header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "quote": '"', "escape": '"',
+    "multiLine": "true", "lineSep": "\n", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "", "maxCharsPerColumn": "-1",
+}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV with a header. With a schema codes such as ``02101`` keep their zeros; without one the
-    types are inferred by an extra pass over the files."""
+    types are inferred by an extra pass over the files.
+
+    As a cell may hold line breaks, a file is read by one task: large data belong into many files, or better
+    into Parquet."""
     reader = spark.read.options(**CSV_OPTIONS)
     if schema is None:
         return reader.option("inferSchema", "true").csv(path)
@@ -65,14 +74,3 @@ def read_assets(spark: SparkSession, folder: str, schema: StructType | str, exte
     asset = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{extension}$", 1)
     return df.withColumn("asset", asset)
 
-
-def row_chunks(df: DataFrame, chunk_size: int = 10_000) -> Iterator[list]:
-    """Rows in chunks of bounded size, fetched partition by partition as they are consumed."""
-    chunk: list = []
-    for row in df.toLocalIterator():
-        chunk.append(row)
-        if len(chunk) == chunk_size:
-            yield chunk
-            chunk = []
-    if chunk:
-        yield chunk

@@ -9,7 +9,7 @@ from veristrata.operators.faults import inject_faults
 from veristrata.operators.summary import category_distribution, dataset_summary
 from veristrata.operators.validate import validate
 from veristrata.plans import catalog, checkpoints, quality
-from veristrata.plans.etl import TablePipeline, add_metadata_columns
+from veristrata.plans.etl import Pipeline, Step, add_metadata_columns, has_columns
 from veristrata.plans.suite import Suite
 from veristrata.session import scratch_path
 from veristrata.streaming.microbatch import file_stream, stream_totals, validate_stream
@@ -35,26 +35,19 @@ def quick_check(spark: SparkSession, folder: str) -> DataFrame:
     return results.select("suite", "idx", "expectation_type", "unexpected_count", "success")
 
 
-class CompletedTreatments(TablePipeline):
+def completed_treatments(source: DataFrame, target: str) -> Pipeline:
     """Treatments with status completed, as a table of their own."""
-
-    def __init__(self, source: DataFrame, target: str) -> None:
-        super().__init__("completed_treatments", ["treatment_id", "status"])
-        self.source, self.target = source, target
-
-    def extract(self) -> DataFrame:
-        return self.source
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return add_metadata_columns(df.filter("status = 'completed'"), self.name, AS_OF)
-
-    def load(self, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.target)
+    name, gate = "completed_treatments", has_columns(["treatment_id", "status"])
+    steps = [
+        Step("read", lambda _: source, gate),
+        Step("select", lambda df: add_metadata_columns(df.filter("status = 'completed'"), name, AS_OF), gate),
+    ]
+    return Pipeline(name, steps, lambda df: df.write.mode("overwrite").parquet(target), count_source=True)
 
 
 def etl_run(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "completed")
-    record = CompletedTreatments(entity(spark, folder, "treatments"), target).run()
+    record = completed_treatments(entity(spark, folder, "treatments"), target).run()
     stored = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("stored_rows"))
     return record.to_frame(spark).join(
         stored, F.col("records_processed") == F.col("stored_rows"), "left"
@@ -132,8 +125,9 @@ EVENT_SUITE = (
 
 def stream_validate(spark: SparkSession, folder: str) -> DataFrame:
     events = base(spark, folder, "events")
-    results = scratch_path(spark, "batches")
-    stream = file_stream(spark, folder, events.schema, name_pattern="events.parquet")
+    results, source = scratch_path(spark, "batches"), scratch_path(spark, "events")
+    events.repartition(4, "event_id").write.parquet(source)
+    stream = file_stream(spark, source, events.schema, name_pattern="*.parquet")
     query = validate_stream(stream, EVENT_SUITE, results, scratch_path(spark, "stream"))
     query.awaitTermination()
     return stream_totals(spark, results).select(
@@ -234,7 +228,7 @@ SELECT count(*) AS suites, round(avg(success_percent), 6) AS quality_score,
     + "SELECT suite, idx, expectation_type, unexpected_count, success FROM ("
     + suite_sql("treatments", _STANDARD["treatments"]) + ")",
     "etl_run": with_entities("treatments") + """
-SELECT 'completed_treatments' AS pipeline, 'completed' AS status, 'load' AS step,
+SELECT 'completed_treatments' AS pipeline, 'completed' AS status, 'write' AS step,
  count(*) AS extracted_rows, count(*) FILTER (WHERE status = 'completed') AS records_processed,
  cast(0 AS bigint) AS records_failed, 1.0e0 AS success_rate, '' AS errors,
  count(*) FILTER (WHERE status = 'completed') AS stored_rows FROM treatments""",

@@ -80,8 +80,10 @@ def ref_orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def children_per_parent(spark: SparkSession, folder: str) -> DataFrame:
+    """Over parents of which every third is there twice: they count once, with their children once."""
     t = entities(spark, folder)
-    return rounded(integrity.children_per_parent(t["patients"], t["treatments"], "patient_id"))
+    twice = t["patients"].union(t["patients"].where(F.pmod(F.xxhash64("patient_id"), F.lit(3)) == 0))
+    return rounded(integrity.children_per_parent(twice, t["treatments"], "patient_id"))
 
 
 def lookup_reference_ranges(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,34 +2,69 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.operators.profile import preview
+from veristrata.operators.profile import null_profile, preview
 from veristrata.operators.validate import validate_table
 from veristrata.plans.suite import Suite
 from veristrata.session import scratch_database, scratch_path
 from veristrata.sources import files, tables
-from veristrata.workload.common import base, rounded
+from veristrata.workload.common import base, entities, rounded, with_entities
 from veristrata.workload.validation import COLUMNS, suite_sql
 
 
-def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
-    customer = base(spark, folder, "customer")
-    path = scratch_path(spark, "customer-csv")
-    files.write_csv(customer, path)
-    return files.read_csv(spark, path, customer.schema)
+def _through_csv(table: str):
+    """The whole table written as CSV and read back."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        df = base(spark, folder, table)
+        path = scratch_path(spark, f"{table}-csv")
+        files.write_csv(df, path)
+        return files.read_csv(spark, path, df.schema)
+
+    return run
+
+
+ENTITY_NAMES = ("patients", "treatments", "lab_results")
 
 
 def sink_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "export")
-    paths = files.export({"supplier": base(spark, folder, "supplier")}, path, "parquet")
-    return spark.read.parquet(paths["supplier"])
+    """Every entity exported; what can be read back, counted."""
+    given = entities(spark, folder)
+    paths = files.export({n: given[n] for n in ENTITY_NAMES}, scratch_path(spark, "export"), "parquet")
+    parts = [
+        spark.read.parquet(paths[n]).agg(
+            F.lit(n).alias("entity"), F.count(F.lit(1)).alias("rows"),
+            F.countDistinct(key).alias("keys"),
+        )
+        for n, key in zip(ENTITY_NAMES, ("patient_id", "treatment_id", "result_id"), strict=True)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def summary_json(spark: SparkSession, folder: str) -> DataFrame:
+    """An export with its summary, and the summary read back from JSON."""
+    orders = base(spark, folder, "orders")
+    summary = rounded(orders.agg(
+        F.count(F.lit(1)).alias("orders"), F.countDistinct("o_custkey").alias("customers"),
+        F.avg("o_totalprice").alias("avg_price"),
+    ), 4)
+    paths = files.export({"orders": orders}, scratch_path(spark, "export"), "parquet", summary)
+    return spark.read.schema(summary.schema).json(paths["summary"])
 
 
 def file_assets(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of the folder as assets, with the rows in them."""
     found = files.assets(spark, folder, r"(.*)\.parquet")
-    return found.groupBy("asset").agg(F.count(F.lit(1)).alias("files"))
+    names = [r[0] for r in found.select("asset").distinct().orderBy("asset").collect()]  # one per table
+    rows = [
+        base(spark, folder, n).agg(F.lit(n).alias("asset"), F.count(F.lit(1)).alias("rows")) for n in names
+    ]
+    counted = reduce(DataFrame.unionByName, rows)
+    return found.groupBy("asset").agg(F.count(F.lit(1)).alias("files")).join(counted, "asset")
 
 
 def sql_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +128,7 @@ def truncate_then_append(spark: SparkSession, folder: str) -> DataFrame:
     database, name = _stored_orders(spark, folder)
     tables.truncate(spark, "orders", database)
     emptied = spark.table(name).count()
-    orders = base(spark, folder, "orders").filter("o_orderstatus = 'F'")
+    orders = base(spark, folder, "orders")
     tables.append(orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), "orders", database)
     return tables.row_count(spark.table(name)).withColumn(
         "rows_after_truncate", F.lit(emptied).cast("bigint")
@@ -101,7 +136,10 @@ def truncate_then_append(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_schema(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.table_schema(base(spark, folder, "orders"))
+    """Columns with their types, and how often each is missing."""
+    orders = base(spark, folder, "orders")
+    missing = null_profile(orders).select("column", "null_count")
+    return tables.table_schema(orders).join(F.broadcast(missing), "column")
 
 
 def row_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,7 +165,10 @@ def preview_head(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "scan_csv": scan_csv,
+    "scan_csv": _through_csv("customer"),
+    "scan_csv_documents": _through_csv("documents"),
+    "scan_csv_conversations": _through_csv("conversations"),
+    "summary_json": summary_json,
     "sink_parquet": sink_parquet,
     "file_assets": file_assets,
     "sql_query": sql_query,
@@ -156,9 +197,15 @@ _ORDER_TYPES = {
 _DEAR_COUNT = "(SELECT count(*) FROM orders WHERE o_totalprice > 300000)"
 ORACLES = {
     "scan_csv": "SELECT * FROM customer",
-    "sink_parquet": "SELECT * FROM supplier",
-    "file_assets": "SELECT * FROM (VALUES "
-    + ", ".join(f"('{t}', cast(1 AS bigint))" for t in _TABLES) + ") t(asset, files)",
+    "scan_csv_documents": "SELECT * FROM documents",
+    "scan_csv_conversations": "SELECT * FROM conversations",
+    "summary_json": """SELECT count(*) AS orders, count(DISTINCT o_custkey) AS customers,
+ round(avg(o_totalprice), 4) AS avg_price FROM orders""",
+    "sink_parquet": with_entities(*ENTITY_NAMES) + "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS entity, count(*) AS rows, count(DISTINCT {k}) AS keys FROM {n}"
+        for n, k in zip(ENTITY_NAMES, ("patient_id", "treatment_id", "result_id"), strict=True)),
+    "file_assets": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS asset, cast(1 AS bigint) AS files, count(*) AS rows FROM {t}" for t in _TABLES),
     "sql_query": """SELECT o_orderstatus, count(*) AS orders, round(avg(o_totalprice), 4)
  AS avg_price FROM orders GROUP BY o_orderstatus""",
     "sql_param_query": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
@@ -173,10 +220,10 @@ SELECT o_orderstatus, count(*) AS rows, round(avg(o_totalprice), 4) AS avg_price
     "batch_append": """SELECT event_type, count(*) AS rows, (SELECT count(*) FROM events)
  AS rows_written FROM events GROUP BY event_type""",
     "truncate_then_append": """SELECT count(*) AS row_count, cast(0 AS bigint)
- AS rows_after_truncate FROM orders WHERE o_orderstatus = 'F'""",
-    "table_schema": "SELECT * FROM (VALUES " + ", ".join(
-        f"({i}, '{c}', '{t}', true)" for i, (c, t) in enumerate(_ORDER_TYPES.items()))
-    + ') t(position, "column", type, nullable)',
+ AS rows_after_truncate FROM orders""",
+    "table_schema": "\nUNION ALL\n".join(
+        f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, true AS nullable, "
+        f"count(*) - count({c}) AS null_count FROM orders" for i, (c, t) in enumerate(_ORDER_TYPES.items())),
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
     "validate_sql_table": "WITH head AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)\n"
     + f"SELECT 'all' AS scope, * FROM ({suite_sql('orders', TABLE_SUITE, list(_ORDER_TYPES))})\n"

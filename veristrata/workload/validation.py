@@ -94,6 +94,28 @@ def _check(table: str, suite: Suite) -> Callable[[SparkSession, str], DataFrame]
     return run
 
 
+# The same dates in several written forms; the SQL has them in one.
+MIXED_DATES = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 7 THEN 'n/a' WHEN o_orderkey % 70 = 3 THEN NULL
+ ELSE date_format(o_orderdate, element_at(array('yyyy-MM-dd', 'MM/dd/yyyy', 'M/d/yyyy', 'yyyyMMdd',
+  'MMM d, yyyy', 'd MMMM yyyy', 'yyyy/MM/dd'), cast(o_orderkey % 7 AS int) + 1)) END AS start_text,
+ date_format(date_add(o_orderdate, cast(o_orderkey % 5 AS int) - 1), 'M/d/yyyy') AS end_text FROM {orders}
+"""
+MIXED_DATES_SQL = """
+SELECT CASE WHEN o_orderkey % 50 = 7 THEN 'n/a' WHEN o_orderkey % 70 = 3 THEN NULL
+ ELSE cast(cast(o_orderdate AS date) AS string) END AS start_text,
+ CASE WHEN o_orderkey % 50 = 7 THEN NULL WHEN o_orderkey % 70 = 3 THEN NULL ELSE cast(o_orderdate AS date) END AS d,
+ cast(o_orderdate AS date) + cast(o_orderkey % 5 - 1 AS int) AS e FROM orders
+"""
+
+
+def val_date_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates in several forms, and a pair of them in order; the SQL knows the dates behind the texts."""
+    dated = spark.sql(MIXED_DATES, orders=base(spark, folder, "orders"))
+    suite = Suite("check").date_parseable("start_text").greater("end_text", "start_text", or_equal=True)
+    return validate(dated, suite).select("expectation_type", "element_count", "null_count", "unexpected_count")
+
+
 def val_date_parseable(spark: SparkSession, folder: str) -> DataFrame:
     text = TEXT_DATES.replace("FROM orders", "FROM {orders}")
     df = spark.sql(text, orders=base(spark, folder, "orders"))
@@ -146,6 +168,7 @@ def custom_rule(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {key: _check(table, suite) for key, (table, suite) in CHECKS.items()} | {
     "val_date_parseable": val_date_parseable,
+    "val_date_forms": val_date_forms,
     "val_builtin_suites": val_builtin_suites,
     "val_all_suites": val_all_suites,
     "val_success_percent": val_success_percent,
@@ -285,6 +308,12 @@ ORACLES = {
 } | {
     "val_date_parseable": f"WITH dated AS ({TEXT_DATES})\n"
     + suite_sql("dated", Suite("check").date_parseable("start_text"), ["start_text"]),
+    "val_date_forms": f"""WITH dated AS ({MIXED_DATES_SQL})
+SELECT 'expect_column_values_to_be_dateutil_parseable' AS expectation_type, count(*) AS element_count,
+ count(*) - count(start_text) AS null_count, count(*) FILTER (WHERE start_text IS NOT NULL AND d IS NULL)
+ AS unexpected_count FROM dated
+UNION ALL SELECT 'expect_column_pair_values_A_to_be_greater_than_B', count(*), count(*) - count(d),
+ count(*) FILTER (WHERE e < d) FROM dated""",
     "val_builtin_suites": ENTITIES + _all_sql(catalog.STANDARD_SHORT),
     "val_all_suites": ENTITIES + _all_sql(catalog.STANDARD),
     "val_success_percent": ENTITIES + f"""
