@@ -12,7 +12,8 @@ places, so only stretches with the same anchor need to be compared.
    search. The order and every string found are verified by their bytes; where hashes have misled, the group is
    sorted anew by its bytes.
 4. Anchors with more than ``GROUP`` different stretches (passages that thousands of texts share) are not
-   gathered: each window becomes a row, and rows are counted by the hashes of anchor and window (128 bits).
+   gathered: blocks of windows, and the windows of blocks that are not repeated, become rows and are counted by the
+   hashes of anchor and block or window (128 bits).
 
 Texts are known by 128-bit hashes of their content, so repeated rows are found as repeats of their windows;
 copies of a whole text are told by counts. Only texts that hold a repeat are shuffled.
@@ -40,6 +41,7 @@ from veristrata.llm.rolling import PrefixHash
 SIZE = 200
 PART = 64
 GROUP = 64
+RUN = 16  # windows in a block, for anchors with more stretches than GROUP
 BLOCK = 1 << 20
 
 ID = ["i1", "i2"]
@@ -262,24 +264,63 @@ def _resolve(size: int):
     return run
 
 
-def _windows(size: int):
-    """Each window of each stretch as a row (h, x, w, c, i1, i2, at)."""
+def _blocks(size: int):
+    """Stretches in blocks of RUN windows at fixed distances from the anchor: (h, b, bw, c, i1, i2, start, x, ws), with
+    the hash ``bw`` of a block's bytes (NULL where a stretch has only a part of the block), the first window's place
+    and distance, and the hashes of the windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["h", "b", "bw", "c", *ID, "start", "x", "ws"]
+        kinds = [pa.int64()] * 8 + [pa.list_(pa.int64())]
         for batch in batches:
-            h, c, i1, i2, start, lead = (batch.column(k).to_numpy() for k in range(6))
-            for k, data in enumerate(batch.column(6).to_pylist()):
-                w = PrefixHash(np.frombuffer(data, np.uint8)).every(size).view(np.int64)
-                at = np.arange(len(w))
-                full = lambda v: pa.array(np.full(len(at), v))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays(
-                    [full(h[k]), pa.array(lead[k] - at), pa.array(w), full(c[k]), full(i1[k]), full(i2[k]), pa.array(start[k] + at)],
-                    names=["h", "x", "w", "c", *ID, "start"],
-                )
+            out: list[tuple] = []
+            for h, c, i1, i2, start, lead, data in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+                prefix = PrefixHash(np.frombuffer(data, np.uint8))
+                ws = prefix.every(size).view(np.int64).tolist()
+                at = 0
+                while at < len(ws):
+                    x = lead - at
+                    stop = min(len(ws), at + x % RUN + 1)
+                    whole = None
+                    if stop - at == RUN:
+                        whole = int(prefix.part(np.array([at]), np.array([stop + size - 1])).view(np.int64)[0])
+                    out.append((h, x // RUN, whole, c, i1, i2, start + at, x, ws[at:stop]))
+                    at = stop
+            columns = list(zip(*out, strict=True)) or [[]] * 9
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
 
     return run
 
 
+def _of_crowds(cut: DataFrame, size: int) -> DataFrame:
+    """(i1, i2, start, n) of repeated windows under anchors with very many stretches, without gathering them.
+
+    Blocks of windows that occur again are found first; only the windows of the others, with one block of
+    each repeated kind for comparison, are looked at one by one.
+    """
+    blocks = stored(cut.mapInArrow(
+        _blocks(size),
+        "h long, b long, bw long, c long, i1 long, i2 long, start long, x long, ws array<long>",
+    ), "blocks")
+    key = ["h", "b", "bw"]
+    kinds = stored(blocks.where("bw IS NOT NULL").groupBy(*key).agg(
+        F.sum("c").alias("times"), F.min(F.struct(*ID, "start", "x", "ws")).alias("r")
+    ), "block-kinds")
+    runs = blocks.where("bw IS NOT NULL AND c = 1").join(kinds.where("times > 1").select(key), key).select(
+        *ID, "start", F.lit(RUN).alias("n")
+    )
+    looked_at = kinds.select("h", "times", "r.*").union(
+        blocks.where("bw IS NULL").select("h", "c", *ID, "start", "x", "ws")
+    )
+    windows = looked_at.select("h", "times", *ID, "start", "x", F.posexplode("ws").alias("k", "w")).select(
+        "h", (F.col("x") - F.col("k")).alias("x"), "w", "times", *ID, (F.col("start") + F.col("k")).alias("start")
+    )
+    key = ["h", "x", "w"]
+    often = windows.groupBy(*key).agg(F.sum("times").alias("all")).where(F.col("all") > 1).select(key)
+    single = windows.where("times = 1").join(often, key).select(*ID, "start", F.lit(1).alias("n"))
+    return runs.union(single)
+
+
 def _cut_bytes(size: int):
     """From (i1, i2, text, wanted) the bytes of the wanted stretches."""
 
@@ -327,13 +368,7 @@ def repeated_windows(rows: DataFrame, size: int = SIZE, part: int = PART, group:
     sorted_ = cut.where("NOT big").select(plain).repartition("h").sortWithinPartitions("h").mapInArrow(
         _resolve(size), "i1 long, i2 long, start long, n int"
     )
-    windows = cut.where("big").select(plain).mapInArrow(
-        _windows(size), "h long, x long, w long, c long, i1 long, i2 long, start long"
-    )
-    key = ["h", "x", "w"]
-    often = windows.groupBy(*key).agg(F.sum("c").alias("times")).where("times > 1").select(key)
-    single = windows.where("c = 1").join(often, key).select(*ID, "start", F.lit(1).alias("n"))
-    return whole.union(sorted_).union(single)
+    return whole.union(sorted_).union(_of_crowds(cut.where("big").select(plain), size))
 
 
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("n", T.IntegerType())]))
