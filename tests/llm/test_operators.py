@@ -143,8 +143,34 @@ def test_representatives(spark):
     texts = ["one two three four", "one  two three four", None, "", "alone in the world here"]
     df = documents(spark, texts)
     df = df.union(df.where("doc_id = 4")).union(documents(spark, texts[:1]).selectExpr("cast(null as long)", "text", "lang", "source", "key", "n"))
-    assert sorted(r["doc_id"] for r in simhash.representatives(df).collect()) == [0, 2, 4]
-    assert simhash.representatives(documents(spark, [])).collect() == []
+    for grouped in (simhash.groups, simhash.near_copies):
+        assert sorted(r["doc_id"] for r in simhash.representatives(df, grouped(df)).collect()) == [0, 2, 4]
+        none = documents(spark, [])
+        assert simhash.representatives(none, grouped(none)).collect() == []
+
+
+def test_near_copies_of_crowds(spark):
+    """Copies with one word in fifty changed, in groups of 2 to 120, among texts of their own."""
+    draw, texts, group = random.Random(11), [], []
+    for g, n in enumerate([2, 3, 8, 40, 120]):
+        base = prose(WORDS, 7000 + g, 260).split()
+        for i in range(n):
+            copy = list(base)
+            for _ in range(4 if i else 0):
+                copy[draw.randrange(len(copy))] = f"changed{draw.randrange(10**6)}"
+            texts.append(" ".join(copy))
+            group.append(g)
+    texts += [prose(WORDS, 8000 + i, 200) for i in range(100)]
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, texts)).collect()}
+    sets = [set(decontaminate.shingle_texts(t)) for t in texts]
+    wrong = 0
+    for i, g in enumerate(group):
+        first = group.index(g)
+        similar = len(sets[i] & sets[first]) >= 0.8 * len(sets[i] | sets[first])
+        wrong += similar and found[i] != first
+        assert group[found[i]] == g
+    assert wrong <= 0.03 * len(group)
+    assert all(found[i] == i for i in range(len(group), len(texts)))
 
 
 # Languages
