@@ -153,8 +153,8 @@ SHARE, WORDS = 0.8, 5
 FAR = 16  # candidates whose first 64 bits differ in more are no near copies: shares of 0.8 mean 5 to 8 bits
 
 
-def _votes(text: str, size: int) -> tuple[np.ndarray, int]:
-    """Votes of the shingles for each of WIDTH * TABLES bits, and the first fingerprint."""
+def _votes(text: str, size: int) -> tuple[np.ndarray, int, int]:
+    """Votes of the shingles for each of WIDTH * TABLES bits, the first fingerprint, and the hash of the words."""
     import xxhash
 
     words = words_of(text)
@@ -169,7 +169,8 @@ def _votes(text: str, size: int) -> tuple[np.ndarray, int]:
             counts += bits.sum(0, dtype=np.int64)
         votes.append(2 * counts - len(hashes))
         hashes = mix(hashes + np.uint64(turn + 1))
-    return np.concatenate(votes), int.from_bytes(np.packbits(votes[0] > 0).tobytes(), "big")
+    fp = int.from_bytes(np.packbits(votes[0] > 0).tobytes(), "big")
+    return np.concatenate(votes), fp, digest(" ".join(words).encode(), SEED + 1)
 
 
 def _boxes(votes: np.ndarray) -> np.ndarray:
@@ -188,30 +189,31 @@ def _boxes(votes: np.ndarray) -> np.ndarray:
 
 
 def _marked(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(key, fp, cells)."""
+    """(key, words, fp, cells): hash of the words, fingerprint, cells of its boxes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                fps, cells = [], []
+                fps, words, cells = [], [], []
                 for value in part.column(1).to_pylist():
-                    votes, fp = _votes(value, size)
+                    votes, fp, whole = _votes(value, size)
                     fps.append(fp)
+                    words.append(whole)
                     cells.append(_boxes(votes))
+                numbers = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (words, fps)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(cells, pa.list_(pa.int64()))],
-                    names=[key, "fp", "cells"],
+                    [part.column(0), *numbers, pa.array(cells, pa.list_(pa.int64()))], names=[key, "words", "fp", "cells"]
                 )
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(F.col(key), whole_text(text).alias("_text")).mapInArrow(
-        run, f"`{key}` {kind}, fp long, cells array<long>"
+        run, f"`{key}` {kind}, words long, fp long, cells array<long>"
     )
 
 
 def _shingle_sets(df: DataFrame, text: str, words: int) -> DataFrame:
-    """(fp, shingles: sorted distinct hashes) of rows (fp, text)."""
+    """(words, shingles: sorted distinct hashes) of rows (words, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -224,16 +226,21 @@ def _shingle_sets(df: DataFrame, text: str, words: int) -> DataFrame:
                 found = np.fromiter((xxhash.xxh64_intdigest(s.encode(), SEED) for s in shingles), np.uint64, len(shingles))
                 sets.append(np.sort(found).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["fp", "shingles"]
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["words", "shingles"]
             )
 
-    return df.select("fp", text).mapInArrow(run, "fp long, shingles array<long>")
+    return df.select("words", text).mapInArrow(run, "words long, shingles array<long>")
 
 
 def near_links(df: DataFrame, marked: DataFrame, key: str, text: str, words: int = WORDS, share: float = SHARE) -> DataFrame:
-    """(a, b): fingerprints of texts that have at least ``share`` of their different shingles of ``words`` words in
-    common. ``marked`` has (key, fp, cells) of the rows of ``df``."""
-    nodes = stored(marked.groupBy("fp").agg(F.min(key).alias("first"), F.min("cells").alias("cells")), "boxes")
+    """(a, b): different texts, by the hashes of their words, that have at least ``share`` of their different
+    shingles of ``words`` words in common. ``marked`` has (key, words, fp, cells) of the rows of ``df``.
+
+    Of the texts of one fingerprint the first stands for them in the search; the others are compared with it.
+    """
+    texts_of = stored(marked.groupBy("words").agg(
+        F.min("fp").alias("fp"), F.min(key).alias("first"), F.min("cells").alias("cells")), "texts")
+    nodes = stored(texts_of.groupBy("fp").agg(F.min("words").alias("words"), F.min("cells").alias("cells")), "boxes")
     cells = nodes.select(F.col("fp").alias("node"), F.explode("cells").alias("cell"))
     # The smallest after some bits are flipped: a member drawn at random, in a number that is cheap to compare.
     flips = [(i * 0x9E3779B97F4A7C15) % (1 << 63) for i in range(1, HUBS + 1)]
@@ -257,16 +264,23 @@ def near_links(df: DataFrame, marked: DataFrame, key: str, text: str, words: int
     crowded = drawn.where(F.col("members") > 2).select("cell")
     known = cells.join(middle, "node").join(crowded, "cell", "left_semi")
     best = known.groupBy("cell").agg(F.array(F.min_by("node", F.struct("mean", "node"))).alias("hubs"))
-    pairs = stored(first.union(met(best)).distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    keys = stored(nodes.join(wanted, "fp", "left_semi").select("fp", "first"), "wanted-texts")
+    stands = nodes.select("fp", F.col("words").alias("stands"))
+    between = first.union(met(best)).distinct()
+    between = between.join(stands.withColumnRenamed("fp", "a").withColumnRenamed("stands", "x"), "a").join(
+        stands.withColumnRenamed("fp", "b").withColumnRenamed("stands", "y"), "b"
+    ).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    within = texts_of.join(stands, "fp").where(F.col("words") != F.col("stands")).select("stands", "words")
+    pairs = stored(between.union(within), "candidates")
+    wanted = pairs.select(F.col("a").alias("words")).union(pairs.select("b")).distinct()
+    keys = stored(texts_of.join(wanted, "words", "left_semi").select("words", "first"), "wanted-texts")
     marks = lambda c: {"_a": F.xxhash64(F.col(c)), "_b": F.xxhash64(F.lit("second"), F.col(c))}
     bits = bloom(keys.withColumns(marks("first")), "_a", "_b")
     texts = sifted(df.select(F.col(key).alias("first"), whole_text(text).alias("_text")).withColumns(marks("first")), bits, "_a", "_b")
-    texts = texts.select("first", "_text").join(keys, "first").groupBy("fp").agg(F.first("_text").alias("_text"))
+    texts = texts.select("first", "_text").join(keys, "first")
+    texts = texts.groupBy("words").agg(F.first("_text").alias("_text"))
     sets = stored(_shingle_sets(texts, "_text", words), "shingle-sets")
-    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b"
+    both = pairs.join(sets.select(F.col("words").alias("a"), F.col("shingles").alias("x")), "a").join(
+        sets.select(F.col("words").alias("b"), F.col("shingles").alias("y")), "b"
     )
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common >= F.lit(share) * (F.size("x") + F.size("y") - common)).select("a", "b")
@@ -274,17 +288,17 @@ def near_links(df: DataFrame, marked: DataFrame, key: str, text: str, words: int
 
 def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, words: int = WORDS,
                 share: float = SHARE) -> DataFrame:
-    """(key, component_id): groups of near copies; equal fingerprints are one node."""
+    """(key, component_id): groups of near copies. Texts with the same words are one; documents without a key
+    are compared by their words only."""
     marked = stored(_marked(df, key, text, size), "marks")
-    nodes = marked.groupBy("fp").agg(F.min(key).alias("first"))
+    nodes = marked.groupBy("words").agg(F.min(key).alias("first"))
     found = components(near_links(df, marked, key, text, words, share))
-    grouped = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component")
+    grouped = nodes.join(found.withColumnRenamed("node", "words"), "words", "left").select(
+        "words", "first", F.coalesce("component", "words").alias("component")
     )
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    return marked.select(key, "fp").join(grouped.join(least, "component").select("fp", "component_id"), "fp").select(
-        key, "component_id"
-    )
+    classes = grouped.join(least, "component").select("words", "component_id")
+    return marked.select(key, "words").join(classes, "words").select(key, "component_id")
 
 
 def representatives(df: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
