@@ -160,6 +160,12 @@ def test_forest_does_not_depend_on_partitions(spark, rows):
     assert one == many
 
 
+def test_forest_as_a_method_of_detect(outliers):
+    row = anomaly.detect(outliers, "isolation_forest", columns=["reading"]).first()
+    assert (row.column, row.method, row.row_count, row.lower_bound) == ("reading", "isolation_forest", 84, None)
+    assert row.anomaly_count <= 9 and row.asDict().keys() == anomaly.detect(outliers, columns=["reading"]).first().asDict().keys()
+
+
 def test_forest_without_columns(spark):
     assert isolation.detect(spark.createDataFrame([("x",)], "t string")).count() == 0
 

@@ -19,6 +19,7 @@ from veristrata.functions.columns import (
     numeric_columns,
     result_rows,
 )
+from veristrata.operators import isolation
 from veristrata.operators.quantiles import quantile_values, quantiles_of
 
 METHODS = ("iqr", "zscore", "mad")
@@ -123,7 +124,17 @@ def detect(
     columns: list[str] | None = None,
     mode: str = "exact",
 ) -> DataFrame:
-    """One row per column: outliers, rows, rate and bounds. All columns are counted in one scan."""
+    """One row per column: outliers, rows, rate and bounds. All columns are counted in one scan.
+
+    Method ``isolation_forest`` has no bounds and takes no threshold: those cells are NULL.
+    """
+    if method == "isolation_forest":
+        found = isolation.detect(df, columns)
+        bounds = {n: _number(None) for n in ("threshold", "lower_bound", "upper_bound", "center", "scale")}
+        return found.select(
+            F.col("columns").alias("column"), "method", "anomaly_count", "row_count", "anomaly_rate",
+            *(v.alias(n) for n, v in bounds.items()), F.lit(None).cast("string").alias("error"),
+        )
     fitted = fit_bounds(df, method, threshold, columns, mode)
     return count_anomalies(df, fitted)
 

@@ -109,13 +109,27 @@ def affected(df: DataFrame, condition: Column) -> DataFrame:
     return df.agg(F.count(F.when(condition, F.lit(1))).alias("affected_rows"))
 
 
+class RewriteFailed(RuntimeError):
+    """The overwrite of a table failed; ``staged`` holds the complete new content."""
+
+    def __init__(self, table: str, staged: str):
+        super().__init__(f"{table} may be incomplete; its whole new content is in {staged}")
+        self.staged = staged
+
+
 def rewrite(spark: SparkSession, table: str, changed: DataFrame, schema: str | None = None) -> None:
-    """Replace the content of a table by a frame that reads it. The new rows are written to the
-    shared folder first, so that a failure leaves either the old or the complete new content."""
+    """Replace the content of a table by a frame that reads it.
+
+    The new rows are written to the shared folder first. The overwrite of a file table is not atomic: Spark
+    removes the old files before the new ones are all there. If it fails, the error names the staged copy.
+    """
     staged = scratch_path(spark, f"rewrite-{table}")
     changed.write.parquet(staged)
     name = qualified(table, schema)
-    spark.read.parquet(staged).write.mode("overwrite").insertInto(name)
+    try:
+        spark.read.schema(changed.schema).parquet(staged).write.mode("overwrite").insertInto(name)
+    except Exception as error:
+        raise RewriteFailed(name, staged) from error
 
 
 def update(spark: SparkSession, table: str, condition: Column, values: Mapping[str, Column],
