@@ -36,6 +36,14 @@ def drift_ks(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(found, 9)
 
 
+def drift_ks_same(spark: SparkSession, folder: str) -> DataFrame:
+    """Two halves of one table: distances near zero, nothing detected."""
+    lines = base(spark, folder, "lineitem")
+    half = (F.col("l_orderkey") + F.col("l_linenumber")) % 2
+    found = drift.distribution_drift(lines.where(half == 0), lines.where(half == 1), HALVED)
+    return rounded(found, 9)
+
+
 def drift_statistical(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(drift.statistical_drift(*order_versions(spark, folder)))
 
@@ -44,9 +52,12 @@ def drift_compare(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(drift.compare(*_changed_schema(spark, folder)), 9)
 
 
+HALVED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
 QUERIES = {
     "drift_schema": drift_schema,
     "drift_ks": drift_ks,
+    "drift_ks_same": drift_ks_same,
     "drift_statistical": drift_statistical,
     "drift_compare": drift_compare,
 }
@@ -109,6 +120,9 @@ ORACLES = {
  'o_custkey:bigint->string' AS type_changes, 6 AS reference_column_count,
  6 AS current_column_count""",
     "drift_ks": SIDES + _ks_all(NUMBERS),
+    "drift_ks_same": "WITH " + ", ".join(
+        f"{s} AS (SELECT * FROM lineitem WHERE (l_orderkey + l_linenumber) % 2 = {i})" for i, s in enumerate("ru")
+    ) + _ks_all(HALVED),
     "drift_statistical": SIDES + "\nUNION ALL\n".join(_stats_sql(c) for c in NUMBERS),
     "drift_compare": SIDES + f"""
 SELECT drift_type, "column", drift_score, p_value, drift_detected, true AS any_drift FROM

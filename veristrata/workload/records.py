@@ -30,6 +30,21 @@ def _violations(name: str):
     return run
 
 
+# Faults put into the lab results, as the same text for both engines.
+LAB_FAULTS = {
+    "result_unit": "CASE WHEN result_id LIKE '%7' THEN repeat('u', 60) ELSE result_unit END",
+    "test_category": "CASE WHEN result_id LIKE '%13' THEN 'unheard of' ELSE test_category END",
+    "specimen_type": "CASE WHEN result_id LIKE '%21' THEN NULL ELSE specimen_type END",
+    "performing_lab": "CASE WHEN result_id LIKE '%40' THEN repeat('l', 201) ELSE performing_lab END",
+    "patient_id": "CASE WHEN result_id LIKE '%99' THEN NULL ELSE patient_id END",
+}
+
+
+def rec_violations_faulty_labs(spark: SparkSession, folder: str) -> DataFrame:
+    labs = entity(spark, folder, "lab_results").withColumns({c: F.expr(e) for c, e in LAB_FAULTS.items()})
+    return violation_counts(labs, "lab_results", AS_OF)
+
+
 def rec_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     bad = quarantined_rows(entity(spark, folder, "patients"), "patients", AS_OF)
     return bad.select("patient_id", F.array_join("violations", ",").alias("rules"))
@@ -96,6 +111,7 @@ def lookup_diagnosis_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f"rec_violations_{n}": _violations(n) for n in ENTITIES} | {
+    "rec_violations_faulty_labs": rec_violations_faulty_labs,
     "rec_quarantine": rec_quarantine,
     "rec_standardize": rec_standardize,
     "rec_range_flags": rec_range_flags,
@@ -146,12 +162,12 @@ def _conditions(name: str) -> dict[str, str]:
     return found
 
 
-def _violations_sql(name: str) -> str:
+def _violations_sql(name: str, more: str = "", table: str | None = None) -> str:
     parts = [
-        f"SELECT '{rule}' AS rule, count(*) AS rows FROM {name} WHERE {bad}"
+        f"SELECT '{rule}' AS rule, count(*) AS rows FROM {table or name} WHERE {bad}"
         for rule, bad in _conditions(name).items()
     ]
-    return with_entities(name) + "SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE rows > 0"
+    return with_entities(name).rstrip() + more + "\nSELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE rows > 0"
 
 
 def _values(rows: list[tuple]) -> str:
@@ -163,6 +179,12 @@ def _values(rows: list[tuple]) -> str:
 
 _DIFFERS = "count(*) FILTER (WHERE r.name IS NOT NULL AND {a} IS DISTINCT FROM {b}) AS {c}"
 ORACLES = {f"rec_violations_{n}": _violations_sql(n) for n in ENTITIES} | {
+    "rec_violations_faulty_labs": _violations_sql(
+        "lab_results",
+        ", faulty AS (SELECT * REPLACE ("
+        + ", ".join(f"{e} AS {c}" for c, e in LAB_FAULTS.items()) + ") FROM lab_results)",
+        "faulty",
+    ),
     "rec_quarantine": with_entities("patients")
     + "SELECT * FROM (SELECT patient_id, concat_ws(',', "
     + ", ".join(f"CASE WHEN {b} THEN '{r}' END" for r, b in _conditions("patients").items())
