@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from veristrata.operators.validate import statistics, validate
 from veristrata.plans import catalog
 from veristrata.plans.suite import Suite
+from veristrata.plans.together import together
 
 
 @dataclass(frozen=True)
@@ -60,10 +61,10 @@ def run_all(
     store: str | None = None,
 ) -> DataFrame:
     """Every checkpoint that has a table; without any there are no rows."""
-    runs = [
-        run_checkpoint(c, tables[name], run_name, run_time, store)
+    runs = together([
+        partial(run_checkpoint, c, tables[name], run_name, run_time, store)
         for name, c in checkpoints.items() if name in tables
-    ]
+    ])
     if not runs:
         none = Checkpoint("", Suite(""))
         return run_checkpoint(none, SparkSession.active().range(0), run_name, run_time)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +14,7 @@ from veristrata.operators.scorecard import (
     scorecard_long,
 )
 from veristrata.operators.scorecard import scorecard as one_scorecard
+from veristrata.plans.together import together
 from veristrata.workload.common import AS_OF, entities, entity, rounded, with_entities
 from veristrata.workload.profiles import FLAGS, MOMENTS, NUMBERS, TEXTS, columns_of
 
@@ -26,7 +27,9 @@ def _dimension(name: str):
 
 
 def scorecard(spark: SparkSession, folder: str) -> DataFrame:
-    cards = [one_scorecard(df, name, AS_OF) for name, df in entities(spark, folder).items()]
+    cards = together([
+        partial(one_scorecard, df, name, AS_OF) for name, df in entities(spark, folder).items()
+    ])
     return rounded(reduce(DataFrame.unionByName, cards))
 
 
