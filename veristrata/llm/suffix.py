@@ -40,9 +40,10 @@ from veristrata.llm.rolling import PrefixHash
 
 SIZE = 200
 PART = 64
-GROUP = 64
+GROUP = 256
 RUN = 16  # windows in a block, for anchors with more stretches than GROUP
-BLOCK = 1 << 20
+BLOCK = 1 << 19
+ROWS = 1024  # texts that are unpacked at a time
 
 ID = ["i1", "i2"]
 
@@ -74,12 +75,18 @@ def chunks(texts: list[bytes], size: int) -> Iterator[tuple[list[int], list[int]
         yield which, offsets, parts
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def stretches(rows: DataFrame, size: int, part: int) -> DataFrame:
     """(h, g, i1, i2, start, n, lead): hashes of anchor and stretch, text, first window, windows, and the anchor's
     distance from the first window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             i1, i2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for which, offsets, parts in chunks(batch.column(2).cast(pa.binary()).to_pylist(), size):
                 lengths = np.array([len(p) for p in parts])
@@ -326,7 +333,7 @@ def _cut_bytes(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["h", "c", "big", *ID, "start", "lead", "bytes"]
-        for batch in batches:
+        for batch in _slices(batches):
             i1, i2, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())
             out: list[tuple] = []
             for a, b, text, wanted in zip(i1, i2, texts.to_pylist(), batch.column(3).to_pylist(), strict=True):
@@ -396,7 +403,7 @@ def kept_text(data: bytes, runs: list[tuple[int, int]]) -> str:
 
 def _removed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             texts = batch.column(2).cast(pa.binary()).to_pylist()
             for data, spans in zip(texts, batch.column(3).to_pylist(), strict=True):
