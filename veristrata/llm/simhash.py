@@ -147,8 +147,10 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
 # chance, as every search by fingerprints is. Candidates are verified by their sets of shingles.
 #
 # A cell with more than HUBS members is not paired up: members meet HUBS of its members, drawn at random, which tells
-# the member that is nearest to those it met, in a crowd of copies their common original; with it all are compared.
+# the member that is nearest to those it met, in a crowd of copies their common original; with it and with COMPARED of
+# the drawn ones all are compared.
 WIDTH, TABLES, UNSURE, HUBS = 32, 4, 4, 8
+COMPARED = 4  # of the drawn members of a crowd that all others are compared with
 SHARE, WORDS = 0.8, 5
 FAR = 16  # candidates whose first 64 bits differ in more are no near copies: shares of 0.8 mean 5 to 8 bits
 
@@ -247,17 +249,18 @@ def near_links(df: DataFrame, marked: DataFrame, key: str, text: str, words: int
     draws = [F.min(F.col("node").bitwiseXOR(F.lit(f))).alias(f"h{i}") for i, f in enumerate(flips)]
     drawn = cells.groupBy("cell").agg(F.count("*").alias("members"), *draws).where("members > 1")
     members = F.array(*[F.col(f"h{i}").bitwiseXOR(F.lit(f)) for i, f in enumerate(flips)])
-    hubs = drawn.select("cell", F.array_distinct(members).alias("hubs"), (F.col("members") <= HUBS).alias("few"))
+    hubs = drawn.select("cell", F.array_distinct(members).alias("hubs"), F.when(F.col("members") <= HUBS, HUBS).otherwise(COMPARED).alias("upto"))
 
     def met(hubs: DataFrame, *more: str) -> DataFrame:
-        pairs = cells.join(hubs, "cell").select("node", F.explode("hubs").alias("hub"), *more)
+        pairs = cells.join(hubs, "cell").select("node", F.posexplode("hubs").alias("at", "hub"), *more)
         near = F.bit_count(F.col("node").bitwiseXOR(F.col("hub"))) <= FAR
         return pairs.where((F.col("node") != F.col("hub")) & near).select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), *more
+            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "at", *more
         )
 
-    # Whether a pair met in a cell that is no crowd; pairs of crowds only tell who is in the middle.
-    first = stored(met(hubs, "few").groupBy("a", "b").agg(F.bool_or("few").alias("few")), "met")
+    # Whether a pair is compared; the other pairs of crowds only tell who is in the middle.
+    first = met(hubs, "upto").groupBy("a", "b").agg(F.bool_or(F.col("at") < F.col("upto")).alias("few"))
+    first = stored(first, "met")
     bits = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     seen = first.select(F.col("a").alias("node"), bits.alias("bits")).union(first.select("b", bits))
     # The mean distance from members that were met, with two far ones added so that few meetings count little.
@@ -266,7 +269,7 @@ def near_links(df: DataFrame, marked: DataFrame, key: str, text: str, words: int
     known = cells.join(middle, "node").join(crowded, "cell", "left_semi")
     best = known.groupBy("cell").agg(F.array(F.min_by("node", F.struct("mean", "node"))).alias("hubs"))
     stands = nodes.select("fp", F.col("words").alias("stands"))
-    between = first.where("few").select("a", "b").union(met(best)).distinct()
+    between = first.where("few").select("a", "b").union(met(best).select("a", "b")).distinct()
     between = between.join(stands.withColumnRenamed("fp", "a").withColumnRenamed("stands", "x"), "a").join(
         stands.withColumnRenamed("fp", "b").withColumnRenamed("stands", "y"), "b"
     ).select(F.col("x").alias("a"), F.col("y").alias("b"))
