@@ -173,6 +173,45 @@ def test_near_copies_of_crowds(spark):
     assert all(found[i] == i for i in range(len(group), len(texts)))
 
 
+def near_by_brute_force(texts):
+    """For each text the smallest number of its group, all pairs compared."""
+    sets = []
+    for t in texts:
+        w = words_of(t)
+        sets.append({" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or {" ".join(w)})
+    first = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and first[i] != first[j]:
+                low, high = sorted((first[i], first[j]))
+                first = [low if f == high else f for f in first]
+    return first
+
+
+def test_near_copies_lose_no_pair(spark):
+    """Appended, cut, short and scattered copies at shares of 0.7 to 0.95, and texts without a key."""
+    texts, fresh = [], iter(range(10**6))
+    for i in range(150):
+        n = (10, 12, 50, 300)[i % 4]
+        base = [f"{w}{next(fresh)}" for w in prose(WORDS, 9000 + i, n).split()]
+        part = 1 if n < 50 else int(n * random.Random(i).uniform(0.05, 0.3))
+        copy = list(base)
+        if i % 3 == 0:
+            copy += [f"new{next(fresh)}" for _ in range(part)]
+        elif i % 3 == 1:
+            copy = copy[part:]
+        else:
+            for _ in range(max(1, part // 5)):
+                copy[random.Random(next(fresh)).randrange(n)] = f"new{next(fresh)}"
+        texts += [" ".join(base), " ".join(copy)]
+    want = near_by_brute_force(texts)
+    assert 50 < sum(w != i for i, w in enumerate(want)) < 140
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    keyless = documents(spark, [texts[6], texts[6] + " x y"]).selectExpr("if(doc_id = 0, 1L, null) doc_id", "text")
+    assert [r["component_id"] for r in simhash.near_copies(keyless).collect()] == [1, 1]
+
+
 # Languages
 
 

@@ -17,16 +17,16 @@ whole; an empty table gives no row; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veristrata.llm.common import bloom, sifted, stored, whole_text, words_of
+from veristrata.llm.common import bloom, bloom_holds, sifted, stored, whole_text, words_of
 from veristrata.llm.components import components
-from veristrata.llm.rolling import mix
 
 SHINGLE = 3
 RADIUS = 2
@@ -137,152 +137,132 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     )
 
 
-# Near copies at a given share of equal shingles.
+# Near copies at a given share of equal shingles, found without loss.
 #
-# The fingerprints of near copies differ in a few bits, and those are bits whose vote was close. So a table of
-# WIDTH bits is seen as a point with a segment for each bit, whose bit count is a range (0 to 1) where the vote was
-# one of the UNSURE closest, else one number: a box in the grid. Boxes that share a cell have Manhattan distance zero, a
-# lower bound for what surely differs; they are candidates in any of TABLES tables. On the made-up near copies
-# of the test tables (equal five-word shingles 0.8 to 0.9) this finds 99 in 100 pairs; it is a search with a
-# chance, as every search by fingerprints is. Candidates are verified by their sets of shingles.
-#
-# A cell with more than HUBS members is not paired up: members meet HUBS of its members, drawn at random, which tells
-# the member that is nearest to those it met, in a crowd of copies their common original; with it and with COMPARED of
-# the drawn ones all are compared.
-WIDTH, TABLES, UNSURE, HUBS = 32, 4, 4, 8
-COMPARED = 4  # of the drawn members of a crowd that all others are compared with
+# Put all shingles in one order, the same for all texts. Two texts with at least ``share`` of their different shingles in
+# common have at least share * n of the n shingles of either in common, so one of the first n - share * n + 1 of each is
+# the same. These first shingles are joined by their hashes, and every pair that meets is verified by its sets. Any order
+# does; the one used puts shingles that are frequent in a sample of the texts last, so that few texts meet in them.
 SHARE, WORDS = 0.8, 5
-FAR = 16  # candidates whose first 64 bits differ in more are no near copies: shares of 0.8 mean 5 to 8 bits
+SAMPLED, OFTEN = 16, 3  # one text in SAMPLED is counted; shingles counted OFTEN times or more go last
+MAX_OFTEN = 1_000_000  # of these, the most frequent; they are sent to all tasks
 
 
-def _votes(text: str, size: int) -> tuple[np.ndarray, int, int]:
-    """Votes of the shingles for each of WIDTH * TABLES bits, the first fingerprint, and the hash of the words."""
+def _word_hash(words: list[str]) -> int:
     import xxhash
 
-    words = words_of(text)
-    shingles = [" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] or [" ".join(words)]
+    return xxhash.xxh64_intdigest(" ".join(words).encode(), SEED + 1)
+
+
+def _shingle_set(words: list[str], size: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles; a text of fewer words than a shingle is one shingle."""
+    import xxhash
+
+    joined = " ".join(words).encode()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s.encode(), SEED) for s in shingles), np.uint64, len(shingles))
-    votes = []
-    for turn in range(WIDTH * TABLES // 64):
-        counts = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), STEP):
-            bits = np.unpackbits(hashes[at : at + STEP].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            counts += bits.sum(0, dtype=np.int64)
-        votes.append(2 * counts - len(hashes))
-        hashes = mix(hashes + np.uint64(turn + 1))
-    fp = int.from_bytes(np.packbits(votes[0] > 0).tobytes(), "big")
-    return np.concatenate(votes), fp, digest(" ".join(words).encode(), SEED + 1)
-
-
-def _boxes(votes: np.ndarray) -> np.ndarray:
-    """Cells of the boxes of all tables, as 64-bit numbers."""
-    out = []
-    powers = 1 << np.arange(WIDTH, dtype=np.int64)[::-1]
-    choices = np.arange(1 << UNSURE)
-    for t in range(TABLES):
-        own = votes[t * WIDTH : (t + 1) * WIDTH]
-        unsure = np.argsort(np.abs(own), kind="stable")[:UNSURE]
-        sure = np.where(own > 0, powers, 0)
-        sure[unsure] = 0
-        free = ((choices[:, None] >> np.arange(UNSURE)) & 1) @ powers[unsure]
-        out.append(((sure.sum() + free) << 3) | t)
-    return np.concatenate(out)
-
-
-def _marked(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(key, words, fp, cells): hash of the words, fingerprint, cells of its boxes."""
+    if len(words) <= size:
+        return np.array([digest(joined, SEED)], np.uint64).view(np.int64)
+    lengths = np.fromiter((len(w.encode()) for w in words), np.int64, len(words))
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    n = len(words) - size + 1
+    ends = (starts + lengths)[size - 1 :].tolist()
+    found = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends, strict=True)), np.uint64, n)
+    return np.unique(found.view(np.int64))
+
+
+def _marked(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, words: hash of the words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                fps, words, cells = [], [], []
-                for value in part.column(1).to_pylist():
-                    votes, fp, whole = _votes(value, size)
-                    fps.append(fp)
-                    words.append(whole)
-                    cells.append(_boxes(votes))
-                numbers = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (words, fps)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *numbers, pa.array(cells, pa.list_(pa.int64()))], names=[key, "words", "fp", "cells"]
-                )
+            found = np.fromiter((_word_hash(words_of(t)) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=[key, "words"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), whole_text(text).alias("_text")).mapInArrow(
-        run, f"`{key}` {kind}, words long, fp long, cells array<long>"
-    )
+    return df.select(F.col(key), whole_text(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, words long")
 
 
-def _shingle_sets(df: DataFrame, text: str, words: int) -> DataFrame:
-    """(words, shingles: sorted distinct hashes) of rows (words, text)."""
+def _sets(df: DataFrame, text: str, size: int, wanted: Callable[[int], bool], chosen: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """(words, n, shingles): for texts that are ``wanted`` by the hash of their words, the number of different shingles
+    and the ``chosen`` of them. A text is given once by each task that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
+        given: set[int] = set()
         for batch in batches:
-            sets = []
-            for value in batch.column(1).to_pylist():
-                w = words_of(value)
-                shingles = {" ".join(w[i : i + words]) for i in range(len(w) - words + 1)} or {" ".join(w)}
-                found = np.fromiter((xxhash.xxh64_intdigest(s.encode(), SEED) for s in shingles), np.uint64, len(shingles))
-                sets.append(np.sort(found).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["words", "shingles"]
-            )
+            for at in range(0, batch.num_rows, 256):
+                marks, sizes, sets = [], [], []
+                for value in batch.column(0).slice(at, 256).to_pylist():
+                    words = words_of(value)
+                    mark = _word_hash(words)
+                    if mark in given or not wanted(mark):
+                        continue
+                    given.add(mark)
+                    own = _shingle_set(words, size)
+                    marks.append(mark)
+                    sizes.append(len(own))
+                    sets.append(chosen(own))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
+                     pa.array(sets, pa.list_(pa.int64()))], names=["words", "n", "shingles"]
+                )
 
-    return df.select("words", text).mapInArrow(run, "words long, shingles array<long>")
+    return df.select(whole_text(text).alias("_text")).mapInArrow(run, "words long, n long, shingles array<long>")
 
 
-def near_links(df: DataFrame, marked: DataFrame, key: str, text: str, words: int = WORDS, share: float = SHARE) -> DataFrame:
-    """(a, b): different texts, by the hashes of their words, that have at least ``share`` of their different
-    shingles of ``words`` words in common. ``marked`` has (key, words, fp, cells) of the rows of ``df``.
+def _frequent(df: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles of a sample of the texts, sorted, and their counts. They only decide the order."""
+    sample = _sets(df, text, size, lambda mark: mark % SAMPLED == 0, lambda own: own)
+    counts = sample.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    rows = counts.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "s").limit(MAX_OFTEN).toPandas().sort_values("s")
+    return rows["s"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
 
-    Of the texts of one fingerprint the first stands for them in the search; the others are compared with it.
-    """
-    texts_of = stored(marked.groupBy("words").agg(
-        F.min("fp").alias("fp"), F.min(key).alias("first"), F.min("cells").alias("cells")), "texts")
-    nodes = stored(texts_of.groupBy("fp").agg(F.min("words").alias("words"), F.min("cells").alias("cells")), "boxes")
-    cells = nodes.select(F.col("fp").alias("node"), F.explode("cells").alias("cell"))
-    # The smallest after some bits are flipped: a member drawn at random, in a number that is cheap to compare.
-    flips = [(i * 0x9E3779B97F4A7C15) % (1 << 63) for i in range(1, HUBS + 1)]
-    draws = [F.min(F.col("node").bitwiseXOR(F.lit(f))).alias(f"h{i}") for i, f in enumerate(flips)]
-    drawn = cells.groupBy("cell").agg(F.count("*").alias("members"), *draws).where("members > 1")
-    members = F.array(*[F.col(f"h{i}").bitwiseXOR(F.lit(f)) for i, f in enumerate(flips)])
-    hubs = drawn.select("cell", F.array_distinct(members).alias("hubs"), F.when(F.col("members") <= HUBS, HUBS).otherwise(COMPARED).alias("upto"))
-
-    def met(hubs: DataFrame, *more: str) -> DataFrame:
-        pairs = cells.join(hubs, "cell").select("node", F.posexplode("hubs").alias("at", "hub"), *more)
-        near = F.bit_count(F.col("node").bitwiseXOR(F.col("hub"))) <= FAR
-        return pairs.where((F.col("node") != F.col("hub")) & near).select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "at", *more
-        )
-
-    # Whether a pair is compared; the other pairs of crowds only tell who is in the middle.
-    first = met(hubs, "upto").groupBy("a", "b").agg(F.bool_or(F.col("at") < F.col("upto")).alias("few"))
-    first = stored(first, "met")
-    bits = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    seen = first.select(F.col("a").alias("node"), bits.alias("bits")).union(first.select("b", bits))
-    # The mean distance from members that were met, with two far ones added so that few meetings count little.
-    middle = seen.groupBy("node").agg(((F.sum("bits") + 2 * FAR) / (F.count("*") + 2)).alias("mean"))
-    crowded = drawn.where(F.col("members") > 2).select("cell")
-    known = cells.join(middle, "node").join(crowded, "cell", "left_semi")
-    best = known.groupBy("cell").agg(F.array(F.min_by("node", F.struct("mean", "node"))).alias("hubs"))
-    stands = nodes.select("fp", F.col("words").alias("stands"))
-    between = first.where("few").select("a", "b").union(met(best).select("a", "b")).distinct()
-    between = between.join(stands.withColumnRenamed("fp", "a").withColumnRenamed("stands", "x"), "a").join(
-        stands.withColumnRenamed("fp", "b").withColumnRenamed("stands", "y"), "b"
-    ).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    within = texts_of.join(stands, "fp").where(F.col("words") != F.col("stands")).select("stands", "words")
-    pairs = stored(between.union(within), "candidates")
-    wanted = pairs.select(F.col("a").alias("words")).union(pairs.select("b")).distinct()
-    keys = stored(texts_of.join(wanted, "words", "left_semi").select("words", "first"), "wanted-texts")
-    marks = lambda c: {"_a": F.xxhash64(F.col(c)), "_b": F.xxhash64(F.lit("second"), F.col(c))}
-    bits = bloom(keys.withColumns(marks("first")), "_a", "_b")
-    texts = sifted(df.select(F.col(key).alias("first"), whole_text(text).alias("_text")).withColumns(marks("first")), bits, "_a", "_b")
-    texts = texts.select("first", "_text").join(keys, "first")
-    texts = texts.groupBy("words").agg(F.first("_text").alias("_text"))
-    sets = stored(_shingle_sets(texts, "_text", words), "shingle-sets")
+
+def _least_common(n: int, share: float) -> int:
+    return max(1, math.ceil(share * n - 1e-9))
+
+
+def _prefixes(df: DataFrame, text: str, size: int, share: float) -> DataFrame:
+    """(words, n, shingles): the first shingles of each text in the common order."""
+    shared = df.sparkSession.sparkContext.broadcast(_frequent(df, text, size))
+
+    def first(own: np.ndarray) -> np.ndarray:
+        often, counts = shared.value
+        rank = np.zeros(len(own), np.int64)
+        if len(often):
+            at = np.minimum(np.searchsorted(often, own), len(often) - 1)
+            rank = np.where(often[at] == own, counts[at], 0)
+        return own[np.lexsort((own, rank))][: len(own) - _least_common(len(own), share) + 1]
+
+    return _sets(df, text, size, lambda mark: True, first)
+
+
+def _whole_sets(df: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
+    """(words, n, shingles) of the texts ``wanted`` (words), and of a few more."""
+    bits = bloom(wanted.select("words", F.col("words").bitwiseXOR(F.shiftright("words", 20)).alias("_b")), "words", "_b")
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    def holds(mark: int) -> bool:
+        marks = np.array([mark], np.uint64).view(np.int64)
+        return bool(bloom_holds(shared.value, marks, marks ^ (marks >> 20))[0])
+
+    rows = _sets(df, text, size, holds, lambda own: own)
+    return rows.groupBy("words").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+
+
+def near_links(df: DataFrame, text: str, words: int = WORDS, share: float = SHARE) -> DataFrame:
+    """(a, b): different texts, by the hashes of their words, that have at least ``share`` of their different
+    shingles of ``words`` words in common."""
+    prefixes = stored(_prefixes(df, text, words, share), "prefixes")
+    entries = prefixes.select(F.explode("shingles").alias("shingle"), F.col("words").alias("node"), "n")
+    # Most shingles are in one text only: these are counted, and not joined.
+    seen = entries.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    several = stored(seen.where("low < high").select("shingle"), "several")
+    marks = {"_a": F.xxhash64("shingle"), "_b": F.xxhash64(F.lit("second"), F.col("shingle"))}
+    bits = bloom(several.withColumns(marks), "_a", "_b")
+    met = sifted(entries.withColumns(marks), bits, "_a", "_b").select("shingle", "node", "n")
+    met = stored(met.join(several, "shingle", "left_semi").distinct(), "met")
+    pairs = stored(_pairs(met, share), "candidates")
+    sets = stored(_whole_sets(df, text, words, pairs.select(F.explode(F.array("a", "b")).alias("words"))), "shingle-sets")
     both = pairs.join(sets.select(F.col("words").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("words").alias("b"), F.col("shingles").alias("y")), "b"
     )
@@ -290,13 +270,19 @@ def near_links(df: DataFrame, marked: DataFrame, key: str, text: str, words: int
     return both.where(common >= F.lit(share) * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
-def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, words: int = WORDS,
+def _pairs(met: DataFrame, share: float) -> DataFrame:
+    """(a, b): pairs of nodes that have a shingle of ``met`` (shingle, node, n) in common and sizes that allow the share."""
+    left, right = (met.select("shingle", F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    fits = F.least("n_a", "n_b") >= F.lit(share) * F.greatest("n_a", "n_b") - 1e-6
+    return left.join(right, "shingle").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
+
+
+def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                 share: float = SHARE) -> DataFrame:
-    """(key, component_id): groups of near copies. Texts with the same words are one; documents without a key
-    are compared by their words only."""
-    marked = stored(_marked(df, key, text, size), "marks")
+    """(key, component_id): groups of near copies. Texts with the same words are one."""
+    marked = stored(_marked(df, key, text), "marks")
     nodes = marked.groupBy("words").agg(F.min(key).alias("first"))
-    found = components(near_links(df, marked, key, text, words, share))
+    found = components(near_links(df, text, words, share))
     grouped = nodes.join(found.withColumnRenamed("node", "words"), "words", "left").select(
         "words", "first", F.coalesce("component", "words").alias("component")
     )
