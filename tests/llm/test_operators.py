@@ -212,6 +212,26 @@ def test_near_copies_lose_no_pair(spark):
     assert [r["component_id"] for r in simhash.near_copies(keyless).collect()] == [1, 1]
 
 
+def test_crowds_with_copies_of_their_own(spark, monkeypatch):
+    """Copies of one text at about 0.75 of it, each with a copy of its own, and two crowds with a common passage."""
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", 40)
+    draw, texts = random.Random(23), []
+    for crowd in range(2):
+        base = (prose(WORDS, 1, 30) + " " + prose(WORDS, 300 + crowd, 300)).split()
+        for i in range(80):
+            copy = list(base)
+            for at in range(0, 300, 34):
+                copy[at + draw.randrange(30)] = f"own{crowd}x{i}x{at}"
+            kid = list(copy)
+            for at in range(0, 120, 34):
+                kid[at + draw.randrange(30)] = f"kid{crowd}x{i}x{at}"
+            texts += [" ".join(copy), " ".join(kid)]
+    want = near_by_brute_force(texts)
+    assert len(set(want)) > 60
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 # Languages
 
 

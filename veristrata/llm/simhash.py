@@ -21,6 +21,7 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,9 +144,16 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
 # common have at least share * n of the n shingles of either in common, so one of the first n - share * n + 1 of each is
 # the same. These first shingles are joined by their hashes, and every pair that meets is verified by its sets. Any order
 # does; the one used puts shingles that are frequent in a sample of the texts last, so that few texts meet in them.
+#
+# Texts that meet in a shingle of more than FEW texts are a crowd, with all that they are linked to by such shingles. A
+# crowd is dealt into blocks, and each two blocks are compared whole, in one task, by their sets. Of the links found
+# there a spanning forest is kept: the same groups, with fewer links than texts.
 SHARE, WORDS = 0.8, 5
 SAMPLED, OFTEN = 16, 3  # one text in SAMPLED is counted; shingles counted OFTEN times or more go last
 MAX_OFTEN = 1_000_000  # of these, the most frequent; they are sent to all tasks
+FEW = 16
+BLOCK_TEXTS, BLOCK_SHINGLES = 256, 250_000  # mean size of a block
+COLUMNS = 4096  # shingles that are compared at a time
 
 
 def _word_hash(words: list[str]) -> int:
@@ -261,13 +269,71 @@ def near_links(df: DataFrame, text: str, words: int = WORDS, share: float = SHAR
     bits = bloom(several.withColumns(marks), "_a", "_b")
     met = sifted(entries.withColumns(marks), bits, "_a", "_b").select("shingle", "node", "n")
     met = stored(met.join(several, "shingle", "left_semi").distinct(), "met")
-    pairs = stored(_pairs(met, share), "candidates")
-    sets = stored(_whole_sets(df, text, words, pairs.select(F.explode(F.array("a", "b")).alias("words"))), "shingle-sets")
+    counts = met.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("node").alias("least"))
+    counts = stored(counts, "shingle-counts")
+    pairs = _pairs(met.join(counts.where(F.col("texts") <= FEW), "shingle", "left_semi"), share)
+    pairs = stored(pairs, "candidates")
+    hot = met.join(counts.where(F.col("texts") > FEW), "shingle")
+    crowds = stored(components(hot.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b"))), "crowds")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("words")).union(crowds.select("node"))
+    sets = stored(_whole_sets(df, text, words, wanted), "shingle-sets")
     both = pairs.join(sets.select(F.col("words").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("words").alias("b"), F.col("shingles").alias("y")), "b"
     )
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= F.lit(share) * (F.size("x") + F.size("y") - common)).select("a", "b")
+    near = both.where(common >= F.lit(share) * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return near.union(_crowd_links(crowds, sets, share))
+
+
+def _crowd_links(crowds: DataFrame, sets: DataFrame, share: float) -> DataFrame:
+    """(a, b): links that connect what is near in each crowd (node, component); all its texts are compared."""
+    members = crowds.join(sets, F.col("node") == F.col("words")).select("component", "node", "n", "shingles")
+    sizes = members.groupBy("component").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = members.join(sizes, "component").withColumn("own", own).select("component", "node", "shingles", "own", others)
+    dealt = dealt.select("component", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "shingles")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = near_forest([np.asarray(x) for x in pdf["shingles"]], share)
+        nodes = pdf["node"].to_numpy()
+        return pd.DataFrame({"a": nodes[found[:, 0]], "b": nodes[found[:, 1]]}, dtype="int64")
+
+    return dealt.groupBy("component", "p", "q").applyInPandas(compare, "a long, b long")
+
+
+def near_forest(sets: list[np.ndarray], share: float) -> np.ndarray:
+    """Pairs of positions, a spanning forest of the graph of all pairs of sets that have the share in common."""
+    n = len(sets)
+    sizes = np.fromiter(map(len, sets), np.int64, n)
+    rows = np.repeat(np.arange(n), sizes)
+    values, columns, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = np.flatnonzero(times > 1)
+    place = np.full(len(values), -1)
+    place[several] = np.arange(len(several))
+    columns = place[columns]
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
+    common = np.zeros((n, n), np.float32)  # whole numbers below 2 ** 24: exact
+    for at in range(0, len(several), COLUMNS):
+        first, last = np.searchsorted(columns, [at, at + COLUMNS])
+        held = np.zeros((n, min(COLUMNS, len(several) - at)), np.float32)
+        held[rows[first:last], columns[first:last] - at] = 1
+        common += held @ held.T
+    common = common.astype(np.int64)
+    near = common >= share * (sizes[:, None] + sizes[None, :] - common)
+    left, links = np.ones(n, bool), []
+    while left.any():
+        front = np.flatnonzero(left)[:1]
+        left[front] = False
+        while len(front):
+            reached = np.flatnonzero(near[front].any(0) & left)
+            links.append(np.stack([front[near[np.ix_(front, reached)].argmax(0)], reached], axis=1))
+            left[reached] = False
+            front = reached
+    return np.concatenate(links) if links else np.zeros((0, 2), np.int64)
 
 
 def _pairs(met: DataFrame, share: float) -> DataFrame:
