@@ -166,6 +166,22 @@ def test_forest_as_a_method_of_detect(outliers):
     assert row.anomaly_count <= 9 and row.asDict().keys() == anomaly.detect(outliers, columns=["reading"]).first().asDict().keys()
 
 
+def test_forest_of_few_values(spark):
+    """A value is drawn as often as its rows are: all trees get their rows, in the shares of the table."""
+    df = spark.range(60_000).select(F.expr("CASE WHEN id % 3 < 2 THEN 1.0D WHEN id % 100 < 99 THEN 2.0D ELSE 9.0D END").alias("v"))
+    row = isolation.detect(df, ["v"]).first()
+    assert (row.row_count, row.anomaly_count <= 100) == (60_000, True)
+    one, many = (
+        isolation._fit(isolation._numbered(df.repartition(n), ["v"]), ["v"], ["v", isolation._COPY], 60_000, 100, 42)
+        .sort_values(["tree", "node"]).reset_index(drop=True) for n in (1, 16)
+    )
+    assert one.equals(many)
+    roots = one[one["node"] == 1]
+    assert len(roots) == 100 and set(roots["leaf_rows"]) == {256} and (roots["feature"] == 0).all()
+    numbered = isolation._numbered(df, ["v"])
+    assert numbered.count() == numbered.distinct().count() == 60_000
+
+
 def test_forest_without_columns(spark):
     assert isolation.detect(spark.createDataFrame([("x",)], "t string")).count() == 0
 

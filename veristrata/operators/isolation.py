@@ -30,6 +30,8 @@ TREES = 100
 TREE_ROWS = 256
 MAX_ANOMALIES = 100
 MAX_SHARE = 0.1
+PIECE = 4096  # rows of a value that are numbered at a time
+_COPY = "_copy"
 _HASHES = 1 << 62
 _NODES = "tree int, node int, feature int, split double, leaf_rows int, depth int"
 
@@ -44,7 +46,8 @@ def isolation_forest(
     """The anomalous rows: key, features, score and rank, most isolated first.
 
     Rows with a missing feature take no part. ``key`` is returned with the rows, breaks ties of the score and
-    decides the draw; without one the features do, and rows of equal features are drawn together.
+    decides the draw, so it has to tell rows apart; without one the rows of equal features are counted and numbered,
+    and features and number decide, so that a value is drawn as often as its rows are.
     """
     df = normalize_missing(df)
     columns = columns or numeric_columns(df)
@@ -55,13 +58,25 @@ def isolation_forest(
     rows = known.count()
     if rows < 2:
         return known.limit(0).withColumns({"score": F.lit(0.0), "rank": F.lit(0)})
-    forest = _fit(known, columns, key or columns, rows, trees, seed)
+    forest = _fit(known if key else _numbered(known, columns), columns, key or [*columns, _COPY], rows, trees, seed)
     scored = known.withColumn(
         "score", _scorer(forest, min(TREE_ROWS, rows))(F.struct(*(field(c) for c in columns)))
     )
     return _cut(scored, rows, [field(k) for k in (key or columns)])
 
 
+def _numbered(known: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of ``columns`` with a number among their equals. Only counts of values are shuffled; the rows of a
+    frequent value are made in pieces, which are dealt over the tasks."""
+    names = [field(c) for c in columns]
+    counted = known.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    last = F.floor((F.col("_rows") - 1) / PIECE)
+    pieces = counted.select(*names, "_rows", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_piece"))
+    pieces = pieces.repartition(*names, "_piece")
+    start = F.col("_piece") * PIECE
+    return pieces.select(*names, F.explode(F.sequence(start, F.least(start + PIECE, "_rows") - 1)).alias(_COPY))
+
+
 def summarize(anomalies: DataFrame, df: DataFrame, columns: list[str], method: str) -> DataFrame:
     """One row: anomalies, the rows that took part, and their share."""
     known = normalize_missing(df).select(*(field(c) for c in columns)).dropna().agg(
