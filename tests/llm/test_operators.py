@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from veristrata.llm import chat, decontaminate, html, language, lm, pieces, simhash, suffix, topk, warc
 from veristrata.llm.common import held_out, words_of
 from veristrata.llm.components import components
@@ -258,6 +259,18 @@ def test_language_spans_and_edges(spark):
     assert {r["lang_pred"] for r in language.identify(documents(spark, texts), None).collect()} == {"und"}
 
 
+def test_corpus_in_one_language(spark):
+    """Through stage 1: texts in the one language stay, texts in scripts that it does not use go."""
+    texts = ["the cat and the dog", "日本 語", "", *[f"this is text {i}" for i in range(20)]]
+    docs = documents(spark, texts)
+    docs = docs.selectExpr("doc_id", "text", "if(doc_id = 1, null, lang) lang", "source", "key", "n")
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, *range(3, 23)]
+    model = language.train(documents(spark, texts[3:]))
+    found = list(language.label(model, texts[:3]))
+    assert found == [("en", 1.0, found[0][2]), ("en", 0.0, []), ("und", 0.0, [])] and found[0][2]
+
+
 def test_best_path_is_the_best():
     draw = np.random.default_rng(3)
     for n in (1, 2, 5, 7):

@@ -152,12 +152,13 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Model | None
     return Model(names, logs.astype(np.float32), uses, int(scripts.sum(0).argmax()))
 
 
-def word_scores(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each word: first position, length, and scores under the languages (best 0, worst -CLIP)."""
+def word_scores(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word: first position, length, scores under the languages (best 0, worst -CLIP), and whether any
+    language uses its script."""
     kinds = script_table()[codes]
     at, buckets = windows(codes, kinds)
     if not len(at):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(model.languages)))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(model.languages))), np.zeros(0, bool)
     first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
     sums = np.add.reduceat(model.scores[buckets], first, axis=0).astype(np.float64)
     uses = model.uses[kinds[at[first]]]
@@ -165,7 +166,7 @@ def word_scores(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     sums[~uses] = -np.inf
     sums[unknown] = 0.0
     sums -= sums.max(1, keepdims=True)
-    return at[first], np.diff(first, append=len(at)), np.maximum(sums, -CLIP)
+    return at[first], np.diff(first, append=len(at)), np.maximum(sums, -CLIP), ~unknown
 
 
 def best_path(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -204,7 +205,7 @@ def label(model: Model, texts: list[str]) -> Iterator[tuple[str, float, list[tup
     code points of the small-lettered text, language)."""
     for block in _blocks(texts):
         codes, starts = code_points(block)
-        begin, length, scores = word_scores(model, codes)
+        begin, length, scores, known = word_scores(model, codes)
         cut = np.searchsorted(begin, starts)
         for i in range(len(block)):
             a, b = cut[i], cut[i + 1]
@@ -212,11 +213,11 @@ def label(model: Model, texts: list[str]) -> Iterator[tuple[str, float, list[tup
                 yield "und", 0.0, []
                 continue
             own = scores[a:b]
-            path = best_path(own)
-            letters = np.bincount(path, weights=length[a:b], minlength=len(model.languages))
-            if not own.any():
+            if not known[a:b].any():
                 yield model.languages[model.usual], 0.0, []
                 continue
+            path = best_path(own)
+            letters = np.bincount(path, weights=length[a:b], minlength=len(model.languages))
             top = int(letters.argmax())
             turn = np.flatnonzero(np.diff(path, prepend=-1))
             last = np.append(turn[1:], len(path)) - 1
