@@ -447,6 +447,19 @@ def test_revisits(spark):
     assert warc.resolve(warc.parse(df.where("false"))).collect() == []
 
 
+def test_revisits_of_dates_with_fractions(spark):
+    def record(kind, name, date, status):
+        return (f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {name}\r\nWARC-Target-URI: http://a.com/\r\n"
+                f"WARC-Date: {date}\r\n\r\nHTTP/1.1 {status}\r\nETag: \"1\"\r\n\r\nx",)
+
+    df = spark.createDataFrame([
+        record("response", "r1", "2024-01-01T00:00:00.25Z", "200 OK"), record("response", "r2", "2024-01-01T00:00:00.123456789Z", "200 OK"),
+        record("revisit", "v1", "2024-01-01T00:00:00.2Z", "304 Not Modified"), record("revisit", "v2", "2024-01-01T00:00:01Z", "304 Not Modified"),
+    ], "record string")
+    got = {r["record_id"]: r["refers_to"] for r in warc.resolve(warc.parse(df)).collect()}
+    assert got == {"v1": "r2", "v2": "r1"}
+
+
 # Conversations
 
 

@@ -72,7 +72,7 @@ def parse(df: DataFrame, record: str = "record") -> DataFrame:
     rows = rows.select(
         field(F.col("_warc"), "warc-record-id").alias("record_id"), field(F.col("_warc"), "warc-type").alias("type"),
         field(F.col("_warc"), "warc-target-uri").alias("url"),
-        F.try_to_timestamp(field(F.col("_warc"), "warc-date"), F.lit("yyyy-MM-dd'T'HH:mm:ssX")).alias("date"),
+        F.try_to_timestamp(field(F.col("_warc"), "warc-date"), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]X")).alias("date"),
         answer.alias("_answer"), payload.alias("_payload"),
     )
     return rows.select(
