@@ -138,12 +138,23 @@ class Sketches:
         return out
 
 
+def _word_counts(rows: DataFrame) -> DataFrame:
+    """(words) of the column ``text``, by the same words as the shingles have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [sum(1 for _ in WORD.finditer(t.lower())) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64())], names=["words"])
+
+    return rows.select("text").mapInArrow(run, "words long")
+
+
 def item_blocks(items: DataFrame, key: str, text: str, block: int = BLOCK_SHINGLES) -> Iterator[list[tuple]]:
     """Items in blocks of about ``block`` words at most, each collected on its own; dealt by a hash."""
     rows = items.select(
         F.col(key).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    size = rows.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
+    size = _word_counts(rows).agg(F.sum("words")).first()[0] or 0
     parts = max(1, math.ceil(size / block))
     for part in range(parts):
         mine = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
