@@ -145,14 +145,17 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
 # the same. These first shingles are joined by their hashes, and every pair that meets is verified by its sets. Any order
 # does; the one used puts shingles that are frequent in a sample of the texts last, so that few texts meet in them.
 #
-# Texts that meet in a shingle of more than FEW texts are a crowd, with all that they are linked to by such shingles. A
-# crowd is dealt into blocks, and each two blocks are compared whole, in one task, by their sets. Of the links found
-# there a spanning forest is kept: the same groups, with fewer links than texts.
+# A digest of BITS bits, the parities of the shingles by hash, differs in no more bits than the sets differ in shingles,
+# so pairs whose digests differ in more than the share allows are surely not near, and their sets are not fetched.
+# Texts that meet in a shingle of more than FEW texts are dealt into blocks, and each two blocks compared by digests in one
+# task; what may be near, over any steps, is a crowd. The blocks of a crowd are compared by their sets in the same way. Of
+# the links found a spanning forest is kept each time: the same groups, with fewer links than texts.
 SHARE, WORDS = 0.8, 5
 SAMPLED, OFTEN = 16, 3  # one text in SAMPLED is counted; shingles counted OFTEN times or more go last
 MAX_OFTEN = 1_000_000  # of these, the most frequent; they are sent to all tasks
 FEW = 16
 BLOCK_TEXTS, BLOCK_SHINGLES = 256, 250_000  # mean size of a block
+BITS = 2048
 COLUMNS = 4096  # shingles that are compared at a time
 
 
@@ -190,15 +193,25 @@ def _marked(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key), whole_text(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, words long")
 
 
+def _digest(own: np.ndarray) -> np.ndarray:
+    odd = np.bincount(own & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def _differing(share: float) -> float:
+    """Shingles that two sets may differ in, as a share of the sum of their sizes."""
+    return (1 - share) / (1 + share)
+
+
 def _sets(df: DataFrame, text: str, size: int, wanted: Callable[[int], bool], chosen: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """(words, n, shingles): for texts that are ``wanted`` by the hash of their words, the number of different shingles
-    and the ``chosen`` of them. A text is given once by each task that has it."""
+    """(words, n, digest, shingles): for texts that are ``wanted`` by the hash of their words, the number of different
+    shingles, their digest, and the ``chosen`` of them. A text is given once by each task that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                marks, sizes, sets = [], [], []
+                marks, sizes, digests, sets = [], [], [], []
                 for value in batch.column(0).slice(at, 256).to_pylist():
                     words = words_of(value)
                     mark = _word_hash(words)
@@ -208,13 +221,15 @@ def _sets(df: DataFrame, text: str, size: int, wanted: Callable[[int], bool], ch
                     own = _shingle_set(words, size)
                     marks.append(mark)
                     sizes.append(len(own))
+                    digests.append(_digest(own))
                     sets.append(chosen(own))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
-                     pa.array(sets, pa.list_(pa.int64()))], names=["words", "n", "shingles"]
+                     pa.array(digests, pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))],
+                    names=["words", "n", "digest", "shingles"],
                 )
 
-    return df.select(whole_text(text).alias("_text")).mapInArrow(run, "words long, n long, shingles array<long>")
+    return df.select(whole_text(text).alias("_text")).mapInArrow(run, "words long, n long, digest array<long>, shingles array<long>")
 
 
 def _frequent(df: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +245,7 @@ def _least_common(n: int, share: float) -> int:
 
 
 def _prefixes(df: DataFrame, text: str, size: int, share: float) -> DataFrame:
-    """(words, n, shingles): the first shingles of each text in the common order."""
+    """(words, n, digest, shingles): the first shingles of each text in the common order."""
     shared = df.sparkSession.sparkContext.broadcast(_frequent(df, text, size))
 
     def first(own: np.ndarray) -> np.ndarray:
@@ -269,12 +284,17 @@ def near_links(df: DataFrame, text: str, words: int = WORDS, share: float = SHAR
     bits = bloom(several.withColumns(marks), "_a", "_b")
     met = sifted(entries.withColumns(marks), bits, "_a", "_b").select("shingle", "node", "n")
     met = stored(met.join(several, "shingle", "left_semi").distinct(), "met")
-    counts = met.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("node").alias("least"))
+    counts = met.groupBy("shingle").agg(F.count("*").alias("texts"))
     counts = stored(counts, "shingle-counts")
     pairs = _pairs(met.join(counts.where(F.col("texts") <= FEW), "shingle", "left_semi"), share)
-    pairs = stored(pairs, "candidates")
-    hot = met.join(counts.where(F.col("texts") > FEW), "shingle")
-    crowds = stored(components(hot.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b"))), "crowds")
+    digests = prefixes.groupBy("words").agg(F.first("n").alias("n"), F.first("digest").alias("digest"))
+    digests = stored(digests.select(F.col("words").alias("node"), "n", "digest"), "digests")
+    left, right = (digests.select(F.col("node").alias(x), F.col("digest").alias(f"d_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    unlike = F.aggregate(F.zip_with("d_a", "d_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    close = unlike <= F.lit(_differing(share)) * (F.col("n_a") + F.col("n_b")) + 1e-6
+    pairs = stored(pairs.join(left, "a").join(right, "b").where(close).select("a", "b"), "candidates")
+    hot = met.drop("n").join(counts.where(F.col("texts") > FEW), "shingle").join(digests, "node")
+    crowds = stored(components(_hot_links(hot, share)), "crowds")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("words")).union(crowds.select("node"))
     sets = stored(_whole_sets(df, text, words, wanted), "shingle-sets")
     both = pairs.join(sets.select(F.col("words").alias("a"), F.col("shingles").alias("x")), "a").join(
@@ -285,16 +305,45 @@ def near_links(df: DataFrame, text: str, words: int = WORDS, share: float = SHAR
     return near.union(_crowd_links(crowds, sets, share))
 
 
+def _block_pairs(rows: DataFrame, group: str, *columns: str) -> DataFrame:
+    """(group, p, q, columns): the rows, dealt by ``node`` into ``blocks`` of their group, once for each two blocks."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = rows.withColumn("own", own).select(group, *columns, "own", others)
+    return dealt.select(group, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), *columns)
+
+
+def _hot_links(hot: DataFrame, share: float) -> DataFrame:
+    """(a, b): links that connect all texts of a shingle whose digests allow the share; of ``hot`` (shingle, texts,
+    node, n, digest)."""
+    most = _differing(share)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes, sizes = pdf["node"].to_numpy(), pdf["n"].to_numpy()
+        digests = np.stack(pdf["digest"].to_list()).view(np.uint64)
+        left, links, front = np.arange(len(nodes)), [], []
+        while len(left):
+            if not front:
+                front, left = [int(left[0])], left[1:]
+            at = front.pop()
+            unlike = np.bitwise_count(digests[left] ^ digests[at]).sum(1, dtype=np.int64)
+            near = unlike <= most * (sizes[left] + sizes[at]) + 1e-6
+            links += [(nodes[at], nodes[x]) for x in left[near]]
+            front += left[near].tolist()
+            left = left[~near]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    blocks = hot.withColumn("blocks", F.ceil(F.col("texts") / BLOCK_TEXTS).cast("int"))
+    return _block_pairs(blocks, "shingle", "node", "n", "digest").groupBy("shingle", "p", "q").applyInPandas(compare, "a long, b long")
+
+
 def _crowd_links(crowds: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     """(a, b): links that connect what is near in each crowd (node, component); all its texts are compared."""
     members = crowds.join(sets, F.col("node") == F.col("words")).select("component", "node", "n", "shingles")
     sizes = members.groupBy("component").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = members.join(sizes, "component").withColumn("own", own).select("component", "node", "shingles", "own", others)
-    dealt = dealt.select("component", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "shingles")
+    dealt = _block_pairs(members.join(sizes, "component"), "component", "node", "shingles")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         found = near_forest([np.asarray(x) for x in pdf["shingles"]], share)
