@@ -141,96 +141,48 @@ def test_components_of_long_chain(spark):
 
 
 def test_representatives(spark):
-    texts = ["one two three four", "one  two three four", None, "", "alone in the world here"]
+    """One row a group: the smallest key, NULL last; no text of another group goes with a repeated or missing key."""
+    base = prose(WORDS, 5, 400)
+    other = prose(WORDS, 6, 400)
+    texts = [base, base, other, other.upper(), prose(WORDS, 9, 50)]
     df = documents(spark, texts)
-    df = df.union(df.where("doc_id = 4")).union(documents(spark, texts[:1]).selectExpr("cast(null as long)", "text", "lang", "source", "key", "n"))
-    for grouped in (simhash.groups, simhash.near_copies):
-        assert sorted(r["doc_id"] for r in simhash.representatives(df, grouped(df)).collect()) == [0, 2, 4]
-        none = documents(spark, [])
-        assert simhash.representatives(none, grouped(none)).collect() == []
-
-
-def test_near_copies_of_crowds(spark):
-    """Copies with one word in fifty changed, in groups of 2 to 120, among texts of their own."""
-    draw, texts, group = random.Random(11), [], []
-    for g, n in enumerate([2, 3, 8, 40, 120]):
-        base = prose(WORDS, 7000 + g, 260).split()
-        for i in range(n):
+    assert sorted(r["doc_id"] for r in simhash.representatives(df).collect()) == [0, 2, 4]
+    none = df.where("false")
+    assert simhash.representatives(none).collect() == [] and simhash.groups(none).collect() == []
+    own = [prose(WORDS, 40 + i, 60) for i in range(7)]
+    ids = [None, None, None, 3, 5, 5, 7, 7]
+    rows = [(i, own[min(n, 6)], n, "a", 1) for n, i in enumerate(ids)] + [(3, own[5], 9, "b", 2), (None, own[0], 0, "a", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, h1 int, H2 string, content int")
+    kept = simhash.representatives(df)
+    assert kept.columns == df.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert sorted(t for _, t, *_ in got) == sorted(set(own))
+    assert {(i, t) for i, t, *_ in got} == {
+        (None, own[0]), (None, own[1]), (None, own[2]), (3, own[3]), (5, own[4]), (3, own[5]), (7, own[6])
+    }
+
+
+def test_representatives_by_brute_force(spark):
+    """Against all pairs: groups of texts that differ in few bits, with hot copies, NULL texts and long ones."""
+    draw, texts = random.Random(77), [None, "", "a", "a", "A", prose(WORDS, 3, 30000)]
+    for g in range(30):
+        base = prose(WORDS, 600 + g, 300).split()
+        for _ in range(draw.choice([1, 2, 5, 20])):
             copy = list(base)
-            for _ in range(4 if i else 0):
-                copy[draw.randrange(len(copy))] = f"changed{draw.randrange(10**6)}"
+            if draw.random() < 0.7:
+                copy[draw.randrange(300)] = "other"
             texts.append(" ".join(copy))
-            group.append(g)
-    texts += [prose(WORDS, 8000 + i, 200) for i in range(100)]
-    found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, texts)).collect()}
-    sets = [set(decontaminate.shingle_texts(t)) for t in texts]
-    wrong = 0
-    for i, g in enumerate(group):
-        first = group.index(g)
-        similar = len(sets[i] & sets[first]) >= 0.8 * len(sets[i] | sets[first])
-        wrong += similar and found[i] != first
-        assert group[found[i]] == g
-    assert wrong <= 0.03 * len(group)
-    assert all(found[i] == i for i in range(len(group), len(texts)))
-
-
-def near_by_brute_force(texts):
-    """For each text the smallest number of its group, all pairs compared."""
-    sets = []
-    for t in texts:
-        w = words_of(t)
-        sets.append({" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or {" ".join(w)})
+    found = [simhash.fingerprint(t or "") for t in texts]
     first = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
-            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and first[i] != first[j]:
+            if (found[i] ^ found[j]).bit_count() <= 2 and first[i] != first[j]:
                 low, high = sorted((first[i], first[j]))
                 first = [low if f == high else f for f in first]
-    return first
-
-
-def test_near_copies_lose_no_pair(spark):
-    """Appended, cut, short and scattered copies at shares of 0.7 to 0.95, and texts without a key."""
-    texts, fresh = [], iter(range(10**6))
-    for i in range(150):
-        n = (10, 12, 50, 300)[i % 4]
-        base = [f"{w}{next(fresh)}" for w in prose(WORDS, 9000 + i, n).split()]
-        part = 1 if n < 50 else int(n * random.Random(i).uniform(0.05, 0.3))
-        copy = list(base)
-        if i % 3 == 0:
-            copy += [f"new{next(fresh)}" for _ in range(part)]
-        elif i % 3 == 1:
-            copy = copy[part:]
-        else:
-            for _ in range(max(1, part // 5)):
-                copy[random.Random(next(fresh)).randrange(n)] = f"new{next(fresh)}"
-        texts += [" ".join(base), " ".join(copy)]
-    want = near_by_brute_force(texts)
-    assert 50 < sum(w != i for i, w in enumerate(want)) < 140
-    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, texts)).collect()}
-    assert [got[i] for i in range(len(texts))] == want
-    keyless = documents(spark, [texts[6], texts[6] + " x y"]).selectExpr("if(doc_id = 0, 1L, null) doc_id", "text")
-    assert [r["component_id"] for r in simhash.near_copies(keyless).collect()] == [1, 1]
-
-
-def test_crowds_with_copies_of_their_own(spark, monkeypatch):
-    """Copies of one text at about 0.75 of it, each with a copy of its own, and two crowds with a common passage."""
-    monkeypatch.setattr(simhash, "BLOCK_TEXTS", 40)
-    draw, texts = random.Random(23), []
-    for crowd in range(2):
-        base = (prose(WORDS, 1, 30) + " " + prose(WORDS, 300 + crowd, 300)).split()
-        for i in range(80):
-            copy = list(base)
-            for at in range(0, 300, 34):
-                copy[at + draw.randrange(30)] = f"own{crowd}x{i}x{at}"
-            kid = list(copy)
-            for at in range(0, 120, 34):
-                kid[at + draw.randrange(30)] = f"kid{crowd}x{i}x{at}"
-            texts += [" ".join(copy), " ".join(kid)]
-    want = near_by_brute_force(texts)
-    assert len(set(want)) > 60
-    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, texts)).collect()}
-    assert [got[i] for i in range(len(texts))] == want
+    df = documents(spark, texts)
+    assert 30 < len(set(first)) < len(texts)
+    assert sorted(r["doc_id"] for r in simhash.representatives(df).collect()) == sorted(set(first))
+    assert {r["doc_id"]: r["component_id"] for r in simhash.groups(df).collect()} == dict(enumerate(first))
 
 
 # Languages

@@ -40,6 +40,30 @@ def words_of(text: str) -> list[str]:
     return [w for w in SPACES.split(text.translate(ASCII_LOWER)) if w]
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns to add that no column of ``df`` has, told apart as Spark does, without regard to case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_marks(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of all columns of a row; NULL differs from any value, maps count as their JSON."""
+    columns = []
+    for field in df.schema.fields:
+        own = F.col(f"`{field.name}`")
+        nil = own.isNull()
+        if "map<" in field.dataType.simpleString():
+            own = F.to_json(F.struct(own))
+        columns += [own, nil]
+    return [F.xxhash64(F.lit(start), *columns) for start in ("first", "second")]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read back: later steps start from the files, so a
     lost executor costs no more than the step it was in."""

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 1 << 15  # of the windows' hashes
 SWITCH = 12.0  # price of a change of language, in nats
@@ -30,6 +31,10 @@ CLIP = 6.0  # a word speaks against a language by no more than this
 RARE_SCRIPT = 0.001  # a language uses the scripts of at least this share of its letters
 MAX_LANGUAGES = 200  # the model is a table of languages x windows; more is an error, not cut
 
+SPANS = T.ArrayType(T.StructType([
+    T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType())
+]))
+
 # Blocks of the Unicode standard by script, as first and last code point.
 SCRIPTS = {
     "latin": [(0x41, 0x24F), (0x250, 0x2AF), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFF21, 0xFF5A)],
@@ -230,10 +235,13 @@ def label(model: Model, texts: list[str]) -> Iterator[tuple[str, float, list[tup
 
 
 def identify(df: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-             spans: bool = False) -> DataFrame:
-    """The columns ``keep``, ``lang_pred``, ``score``, and on request ``spans`` (start, end, lang)."""
-    kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    schema = f"{kept}, lang_pred string, score double" + ", spans array<struct<start:int,end:int,lang:string>>" * spans
+             spans: bool = False, lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
+    """The columns ``keep``, ``lang_pred``, ``score``, and on request ``spans`` (start, end, lang); where kept columns
+    have these names, give others by ``lang_name`` and ``score_name``."""
+    fields = [df.schema[c] for c in keep]
+    fields += [T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())]
+    fields += [T.StructField("spans", SPANS)] * spans
+    schema = T.StructType(fields)
     shared = df.sparkSession.sparkContext.broadcast(model)  # languages x windows, at most 26 MB at 200 languages
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
@@ -249,7 +257,7 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", keep: tuple
                 if spans:
                     rows = [[{"start": a, "end": b, "lang": x} for a, b, x in f[2]] for f in found]
                     columns.append(pa.array(rows, kind))
-                names = [*keep, "lang_pred", "score"] + ["spans"] * spans
+                names = [*keep, lang_name, score_name] + ["spans"] * spans
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_text_of_row"))

@@ -17,16 +17,15 @@ whole; an empty table gives no row; other columns are ignored.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from veristrata.llm.common import bloom, bloom_holds, sifted, stored, whole_text, words_of
+from veristrata.llm.common import bloom, free_names, row_marks, sifted, stored, whole_text, words_of
 from veristrata.llm.components import components
 
 SHINGLE = 3
@@ -63,14 +62,20 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
 
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """(key, fp): the fingerprint as a signed 64-bit number."""
+    return _with_fingerprint(df.select(F.col(key), whole_text(text).alias("_text")), size)
+
+
+def _with_fingerprint(df: DataFrame, size: int) -> DataFrame:
+    """The columns but the last, a text, and ``fp``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(t, size) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=[key, "fp"])
+            *kept, texts = batch.columns
+            found = np.fromiter((fingerprint(t, size) for t in texts.to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found.view(np.int64))], names=[*names, "fp"])
 
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), whole_text(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, fp long")
+    names = df.columns[:-1]
+    return df.mapInArrow(run, T.StructType([*df.schema.fields[:-1], T.StructField("fp", T.LongType())]))
 
 
 def _bit_counts(fp: Column, segments: int) -> list[Column]:
@@ -126,300 +131,44 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
            segments: int = SEGMENTS, radius: int = RADIUS) -> DataFrame:
     """(key, fingerprint as 16 hexadecimal digits, component_id: the smallest key of the group)."""
     marked = stored(fingerprints(df, key, text, size), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min(key).alias("first")), "nodes")
-    found = components(links(nodes, "fp", segments, radius))
-    grouped = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component")
-    )
-    least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = grouped.join(least, "component").select("fp", "component_id")
+    classes = _classes(marked, key, segments, radius)
     return marked.join(classes, "fp").select(
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-# Near copies at a given share of equal shingles, found without loss.
-#
-# Put all shingles in one order, the same for all texts. Two texts with at least ``share`` of their different shingles in
-# common have at least share * n of the n shingles of either in common, so one of the first n - share * n + 1 of each is
-# the same. These first shingles are joined by their hashes, and every pair that meets is verified by its sets. Any order
-# does; the one used puts shingles that are frequent in a sample of the texts last, so that few texts meet in them.
-#
-# A digest of BITS bits, the parities of the shingles by hash, differs in no more bits than the sets differ in shingles,
-# so pairs whose digests differ in more than the share allows are surely not near, and their sets are not fetched.
-# Texts that meet in a shingle of more than FEW texts are dealt into blocks, and each two blocks compared by digests in one
-# task; what may be near, over any steps, is a crowd. The blocks of a crowd are compared by their sets in the same way. Of
-# the links found a spanning forest is kept each time: the same groups, with fewer links than texts.
-SHARE, WORDS = 0.8, 5
-SAMPLED, OFTEN = 16, 3  # one text in SAMPLED is counted; shingles counted OFTEN times or more go last
-MAX_OFTEN = 1_000_000  # of these, the most frequent; they are sent to all tasks
-FEW = 16
-BLOCK_TEXTS, BLOCK_SHINGLES = 256, 250_000  # mean size of a block
-BITS = 2048
-COLUMNS = 4096  # shingles that are compared at a time
-
-
-def _word_hash(words: list[str]) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(" ".join(words).encode(), SEED + 1)
-
-
-def _shingle_set(words: list[str], size: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles; a text of fewer words than a shingle is one shingle."""
-    import xxhash
-
-    joined = " ".join(words).encode()
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= size:
-        return np.array([digest(joined, SEED)], np.uint64).view(np.int64)
-    lengths = np.fromiter((len(w.encode()) for w in words), np.int64, len(words))
-    starts = np.cumsum(lengths + 1) - lengths - 1
-    n = len(words) - size + 1
-    ends = (starts + lengths)[size - 1 :].tolist()
-    found = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends, strict=True)), np.uint64, n)
-    return np.unique(found.view(np.int64))
-
-
-def _marked(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, words: hash of the words)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.fromiter((_word_hash(words_of(t)) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=[key, "words"])
-
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), whole_text(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, words long")
-
-
-def _digest(own: np.ndarray) -> np.ndarray:
-    odd = np.bincount(own & (BITS - 1), minlength=BITS) & 1
-    return np.packbits(odd.astype(bool)).view(np.int64)
-
-
-def _differing(share: float) -> float:
-    """Shingles that two sets may differ in, as a share of the sum of their sizes."""
-    return (1 - share) / (1 + share)
-
-
-def _sets(df: DataFrame, text: str, size: int, wanted: Callable[[int], bool], chosen: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """(words, n, digest, shingles): for texts that are ``wanted`` by the hash of their words, the number of different
-    shingles, their digest, and the ``chosen`` of them. A text is given once by each task that has it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given: set[int] = set()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                marks, sizes, digests, sets = [], [], [], []
-                for value in batch.column(0).slice(at, 256).to_pylist():
-                    words = words_of(value)
-                    mark = _word_hash(words)
-                    if mark in given or not wanted(mark):
-                        continue
-                    given.add(mark)
-                    own = _shingle_set(words, size)
-                    marks.append(mark)
-                    sizes.append(len(own))
-                    digests.append(_digest(own))
-                    sets.append(chosen(own))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
-                     pa.array(digests, pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))],
-                    names=["words", "n", "digest", "shingles"],
-                )
-
-    return df.select(whole_text(text).alias("_text")).mapInArrow(run, "words long, n long, digest array<long>, shingles array<long>")
-
-
-def _frequent(df: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles of a sample of the texts, sorted, and their counts. They only decide the order."""
-    sample = _sets(df, text, size, lambda mark: mark % SAMPLED == 0, lambda own: own)
-    counts = sample.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
-    rows = counts.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "s").limit(MAX_OFTEN).toPandas().sort_values("s")
-    return rows["s"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-
-
-def _least_common(n: int, share: float) -> int:
-    return max(1, math.ceil(share * n - 1e-9))
-
-
-def _prefixes(df: DataFrame, text: str, size: int, share: float) -> DataFrame:
-    """(words, n, digest, shingles): the first shingles of each text in the common order."""
-    shared = df.sparkSession.sparkContext.broadcast(_frequent(df, text, size))
-
-    def first(own: np.ndarray) -> np.ndarray:
-        often, counts = shared.value
-        rank = np.zeros(len(own), np.int64)
-        if len(often):
-            at = np.minimum(np.searchsorted(often, own), len(often) - 1)
-            rank = np.where(often[at] == own, counts[at], 0)
-        return own[np.lexsort((own, rank))][: len(own) - _least_common(len(own), share) + 1]
-
-    return _sets(df, text, size, lambda mark: True, first)
-
-
-def _whole_sets(df: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
-    """(words, n, shingles) of the texts ``wanted`` (words), and of a few more."""
-    bits = bloom(wanted.select("words", F.col("words").bitwiseXOR(F.shiftright("words", 20)).alias("_b")), "words", "_b")
-    shared = df.sparkSession.sparkContext.broadcast(bits)
-
-    def holds(mark: int) -> bool:
-        marks = np.array([mark], np.uint64).view(np.int64)
-        return bool(bloom_holds(shared.value, marks, marks ^ (marks >> 20))[0])
-
-    rows = _sets(df, text, size, holds, lambda own: own)
-    return rows.groupBy("words").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
-
-
-def near_links(df: DataFrame, text: str, words: int = WORDS, share: float = SHARE) -> DataFrame:
-    """(a, b): different texts, by the hashes of their words, that have at least ``share`` of their different
-    shingles of ``words`` words in common."""
-    prefixes = stored(_prefixes(df, text, words, share), "prefixes")
-    entries = prefixes.select(F.explode("shingles").alias("shingle"), F.col("words").alias("node"), "n")
-    # Most shingles are in one text only: these are counted, and not joined.
-    seen = entries.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    several = stored(seen.where("low < high").select("shingle"), "several")
-    marks = {"_a": F.xxhash64("shingle"), "_b": F.xxhash64(F.lit("second"), F.col("shingle"))}
-    bits = bloom(several.withColumns(marks), "_a", "_b")
-    met = sifted(entries.withColumns(marks), bits, "_a", "_b").select("shingle", "node", "n")
-    met = stored(met.join(several, "shingle", "left_semi").distinct(), "met")
-    counts = met.groupBy("shingle").agg(F.count("*").alias("texts"))
-    counts = stored(counts, "shingle-counts")
-    pairs = _pairs(met.join(counts.where(F.col("texts") <= FEW), "shingle", "left_semi"), share)
-    digests = prefixes.groupBy("words").agg(F.first("n").alias("n"), F.first("digest").alias("digest"))
-    digests = stored(digests.select(F.col("words").alias("node"), "n", "digest"), "digests")
-    left, right = (digests.select(F.col("node").alias(x), F.col("digest").alias(f"d_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    unlike = F.aggregate(F.zip_with("d_a", "d_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    close = unlike <= F.lit(_differing(share)) * (F.col("n_a") + F.col("n_b")) + 1e-6
-    pairs = stored(pairs.join(left, "a").join(right, "b").where(close).select("a", "b"), "candidates")
-    hot = met.drop("n").join(counts.where(F.col("texts") > FEW), "shingle").join(digests, "node")
-    crowds = stored(components(_hot_links(hot, share)), "crowds")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("words")).union(crowds.select("node"))
-    sets = stored(_whole_sets(df, text, words, wanted), "shingle-sets")
-    both = pairs.join(sets.select(F.col("words").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("words").alias("b"), F.col("shingles").alias("y")), "b"
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    near = both.where(common >= F.lit(share) * (F.size("x") + F.size("y") - common)).select("a", "b")
-    return near.union(_crowd_links(crowds, sets, share))
-
-
-def _block_pairs(rows: DataFrame, group: str, *columns: str) -> DataFrame:
-    """(group, p, q, columns): the rows, dealt by ``node`` into ``blocks`` of their group, once for each two blocks."""
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = rows.withColumn("own", own).select(group, *columns, "own", others)
-    return dealt.select(group, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), *columns)
-
-
-def _hot_links(hot: DataFrame, share: float) -> DataFrame:
-    """(a, b): links that connect all texts of a shingle whose digests allow the share; of ``hot`` (shingle, texts,
-    node, n, digest)."""
-    most = _differing(share)
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        nodes, sizes = pdf["node"].to_numpy(), pdf["n"].to_numpy()
-        digests = np.stack(pdf["digest"].to_list()).view(np.uint64)
-        left, links, front = np.arange(len(nodes)), [], []
-        while len(left):
-            if not front:
-                front, left = [int(left[0])], left[1:]
-            at = front.pop()
-            unlike = np.bitwise_count(digests[left] ^ digests[at]).sum(1, dtype=np.int64)
-            near = unlike <= most * (sizes[left] + sizes[at]) + 1e-6
-            links += [(nodes[at], nodes[x]) for x in left[near]]
-            front += left[near].tolist()
-            left = left[~near]
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-
-    blocks = hot.withColumn("blocks", F.ceil(F.col("texts") / BLOCK_TEXTS).cast("int"))
-    return _block_pairs(blocks, "shingle", "node", "n", "digest").groupBy("shingle", "p", "q").applyInPandas(compare, "a long, b long")
-
-
-def _crowd_links(crowds: DataFrame, sets: DataFrame, share: float) -> DataFrame:
-    """(a, b): links that connect what is near in each crowd (node, component); all its texts are compared."""
-    members = crowds.join(sets, F.col("node") == F.col("words")).select("component", "node", "n", "shingles")
-    sizes = members.groupBy("component").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    )
-    dealt = _block_pairs(members.join(sizes, "component"), "component", "node", "shingles")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = near_forest([np.asarray(x) for x in pdf["shingles"]], share)
-        nodes = pdf["node"].to_numpy()
-        return pd.DataFrame({"a": nodes[found[:, 0]], "b": nodes[found[:, 1]]}, dtype="int64")
-
-    return dealt.groupBy("component", "p", "q").applyInPandas(compare, "a long, b long")
-
-
-def near_forest(sets: list[np.ndarray], share: float) -> np.ndarray:
-    """Pairs of positions, a spanning forest of the graph of all pairs of sets that have the share in common."""
-    n = len(sets)
-    sizes = np.fromiter(map(len, sets), np.int64, n)
-    rows = np.repeat(np.arange(n), sizes)
-    values, columns, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    several = np.flatnonzero(times > 1)
-    place = np.full(len(values), -1)
-    place[several] = np.arange(len(several))
-    columns = place[columns]
-    order = np.argsort(columns, kind="stable")
-    rows, columns = rows[order], columns[order]
-    common = np.zeros((n, n), np.float32)  # whole numbers below 2 ** 24: exact
-    for at in range(0, len(several), COLUMNS):
-        first, last = np.searchsorted(columns, [at, at + COLUMNS])
-        held = np.zeros((n, min(COLUMNS, len(several) - at)), np.float32)
-        held[rows[first:last], columns[first:last] - at] = 1
-        common += held @ held.T
-    common = common.astype(np.int64)
-    near = common >= share * (sizes[:, None] + sizes[None, :] - common)
-    left, links = np.ones(n, bool), []
-    while left.any():
-        front = np.flatnonzero(left)[:1]
-        left[front] = False
-        while len(front):
-            reached = np.flatnonzero(near[front].any(0) & left)
-            links.append(np.stack([front[near[np.ix_(front, reached)].argmax(0)], reached], axis=1))
-            left[reached] = False
-            front = reached
-    return np.concatenate(links) if links else np.zeros((0, 2), np.int64)
-
-
-def _pairs(met: DataFrame, share: float) -> DataFrame:
-    """(a, b): pairs of nodes that have a shingle of ``met`` (shingle, node, n) in common and sizes that allow the share."""
-    left, right = (met.select("shingle", F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
-    fits = F.least("n_a", "n_b") >= F.lit(share) * F.greatest("n_a", "n_b") - 1e-6
-    return left.join(right, "shingle").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
-
-
-def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
-                share: float = SHARE) -> DataFrame:
-    """(key, component_id): groups of near copies. Texts with the same words are one."""
-    marked = stored(_marked(df, key, text), "marks")
-    nodes = marked.groupBy("words").agg(F.min(key).alias("first"))
-    found = components(near_links(df, text, words, share))
-    grouped = nodes.join(found.withColumnRenamed("node", "words"), "words", "left").select(
-        "words", "first", F.coalesce("component", "words").alias("component")
+def _classes(marked: DataFrame, key: str, segments: int, radius: int) -> DataFrame:
+    """(fp, component: a fingerprint that names the group, component_id: its smallest key)."""
+    nodes = stored(marked.groupBy("fp").agg(F.min(key).alias("first")), "nodes")
+    found = components(links(nodes, "fp", segments, radius))
+    grouped = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component")
     )
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = grouped.join(least, "component").select("words", "component_id")
-    return marked.select(key, "words").join(classes, "words").select(key, "component_id")
+    return grouped.join(least, "component").select("fp", "component", "component_id")
 
 
-def representatives(df: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows with the smallest key of each group of ``found`` (key, component_id); of repeated rows of a key one
-    stays. Rows that are surely alone in their group are not shuffled."""
-    names = df.columns
-    found = stored(found.select(key, "component_id"), "groups")
-    counts = found.groupBy("component_id").agg(F.count("*").alias("_members"))
-    crowd = found.join(counts.where("_members > 1"), "component_id", "left_semi").select(key).distinct()
-    # Groups without any key have NULL for their name, which joins with nothing: their rows are in the crowd.
-    crowd = stored(crowd.union(found.where(F.col("component_id").isNull()).select(key).distinct()), "crowd")
-    marks = {"_a": F.xxhash64(F.col(key)), "_b": F.xxhash64(F.lit("second"), F.col(key))}
-    bits = bloom(crowd.withColumns(marks), "_a", "_b")
-    rows = df.withColumns(marks)
-    alone = sifted(rows, bits, "_a", "_b", inside=False).select(names)
-    first = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
-    crowded = sifted(rows, bits, "_a", "_b").select(names)
-    kept = crowded.join(first, F.col(key).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([key])
-    return alone.union(kept)
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
+                    segments: int = SEGMENTS, radius: int = RADIUS) -> DataFrame:
+    """One row of each group, whole: the one with the smallest key, NULL last, and of several with that key the one
+    with the smallest hash of its columns.
+
+    Groups are told by fingerprints, not by keys, so repeated and NULL keys put no other group's text at risk. Rows
+    are known by 128 bits of all their columns; rows that are surely alone in their group are not shuffled.
+    """
+    h1, h2, content = free_names(df, "h1", "h2", "content")
+    rows = df.withColumns(dict(zip((h1, h2), row_marks(df), strict=True)))
+    named = rows.select(F.col(f"`{key}`").alias("key"), F.col(h1).alias("h1"), F.col(h2).alias("h2"), whole_text(text).alias(content))
+    marked = stored(_with_fingerprint(named, size), "fingerprints")
+    grouped = marked.join(_classes(marked, "key", segments, radius).select("fp", "component"), "fp")
+    order = F.struct(F.col("key").isNull().alias("nil"), "key", "h1", "h2")
+    groups = grouped.groupBy("component").agg(F.count("*").alias("rows"), F.min(order).alias("first"))
+    groups = stored(groups.where("rows > 1").select("component", "first.h1", "first.h2"), "groups")
+    crowd = stored(grouped.join(groups.select("component"), "component", "left_semi").select("h1", "h2").distinct(), "crowd")
+    bits = bloom(crowd, "h1", "h2")
+    alone = sifted(rows, bits, h1, h2, inside=False).select(df.columns)
+    maybe = sifted(rows, bits, h1, h2)
+    on = lambda other: (maybe[h1] == other["h1"]) & (maybe[h2] == other["h2"])
+    spared = maybe.join(crowd, on(crowd), "left_anti")
+    kept = maybe.join(groups, on(groups), "left_semi").dropDuplicates([h1, h2])
+    return alone.union(spared.select(df.columns)).union(kept.select(df.columns))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veristrata.llm.anchors import LONGEST, Stretches
-from veristrata.llm.common import bloom, sifted, stored, whole_text
+from veristrata.llm.common import bloom, free_names, sifted, stored, whole_text
 from veristrata.llm.rolling import PrefixHash
 
 SIZE = 200
@@ -464,8 +464,12 @@ def remove(df: DataFrame, text: str = "text", size: int = SIZE) -> DataFrame:
     """The rows with what is left of their texts; texts that lose nothing are as they were (NULL stays NULL) and
     are not shuffled."""
     names = df.columns
-    rows = df.withColumns({"i1": F.xxhash64(whole_text(text)), "i2": F.xxhash64(F.lit("second"), whole_text(text))})
-    found = stored(removals(rows.select(*ID, whole_text(text).alias("text")), size).select(*ID, "kept"), "kept")
+    i1, i2 = free_names(df, *ID)
+    rows = df.withColumns({i1: F.xxhash64(whole_text(text)), i2: F.xxhash64(F.lit("second"), whole_text(text))})
+    narrow = rows.select(F.col(i1).alias("i1"), F.col(i2).alias("i2"), whole_text(text).alias("text"))
+    found = stored(removals(narrow, size).select(*ID, "kept"), "kept")
     bits = bloom(found, *ID)
-    touched = sifted(rows, bits, *ID).join(found, ID, "left").withColumn(text, F.coalesce("kept", text)).select(names)
-    return sifted(rows, bits, *ID, inside=False).select(names).union(touched)
+    rest = sifted(rows, bits, i1, i2)
+    on = (rest[i1] == found["i1"]) & (rest[i2] == found["i2"])
+    left = [F.coalesce(found["kept"], rest[c]).alias(c) if c == text else rest[c] for c in names]
+    return sifted(rows, bits, i1, i2, inside=False).select(names).union(rest.join(found, on, "left").select(left))
