@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veristrata.llm import decontaminate, language, pieces, simhash, suffix
-from veristrata.llm.common import held_out, table
+from veristrata.llm.common import free_names, held_out, table
 from veristrata.llm.queries import piece_model_path
 from veristrata.session import shared_dir
 
@@ -18,15 +18,16 @@ LEAST_SHARE = 0.5  # of the letters that the main language of a kept document ha
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of which one language has at least half of the letters; those without letters go."""
     model = language.train(language.training_rows(docs, held_out("doc_id", 3, 1)))
-    labelled = language.identify(docs, model, keep=tuple(docs.columns))
-    kept = labelled.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
+    lang, score = free_names(docs, "lang_pred", "score")
+    labelled = language.identify(docs, model, keep=tuple(docs.columns), lang_name=lang, score_name=score)
+    kept = labelled.where((F.col(lang) != "und") & (F.col(score) >= LEAST_SHARE))
     return kept.select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of copies and near copies (0.8 of their
-    five-word shingles in common)."""
-    return simhash.representatives(docs, simhash.near_copies(docs))
+    """Keeps the document with the smallest doc_id of each group whose fingerprints of three-word shingles link at
+    two or fewer differing bits."""
+    return simhash.representatives(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
