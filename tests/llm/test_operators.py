@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from veristrata.llm import chat, decontaminate, html, language, lm, pieces, simhash, suffix, topk, warc
@@ -275,8 +276,8 @@ def plain_removed(texts, size):
     return out
 
 
-@pytest.mark.parametrize("group", [64, 1])
-def test_suffix_by_brute_force(spark, group, monkeypatch):
+@pytest.mark.parametrize("group", [64, 5, 1])
+def test_suffix_by_brute_force(spark, group):
     draw = random.Random(8)
     passages = [prose(WORDS, 100 + i, 70) for i in range(6)]
     texts = [*SPECIAL, "z" * 700, "ab" * 400, "ab" * 400, "é" * 150]
@@ -287,7 +288,9 @@ def test_suffix_by_brute_force(spark, group, monkeypatch):
             text += p[a:b] + prose(WORDS, 999 + i, draw.choice([0, 0, 3]))
         texts.append(text)
     texts += [texts[-1], texts[-2] + " more", "x" + texts[-3]]
-    monkeypatch.setattr(suffix, "GROUP", group)
+    # A passage in very different surroundings, of which some share a part, too.
+    for i in range(30):
+        texts.append(prose(WORDS, 5000 + i % 7, 30) + f" {i} " + passages[0] + f"{i % 5} " + prose(WORDS, 6000 + i % 3, 30))
     rows = suffix.with_id(documents(spark, texts).selectExpr("doc_id", "coalesce(text, '') as text"))
     found = {(r["i1"], r["i2"]): r for r in suffix.removals(rows.select("i1", "i2", "text"), group=group).collect()}
     want = plain_removed(texts, 200)
@@ -310,6 +313,24 @@ def test_suffix_report_and_remove(spark):
     assert suffix.report(documents(spark, [])).collect() == []
 
 
+def test_suffix_with_clashing_columns(spark):
+    passage = prose(WORDS, 3, 80)
+    rows = [(0, "a " + passage, 7, 8, "k"), (1, passage + " b", 9, None, "l"), (2, None, 1, 2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, i1 long, I2 long, kept string")
+    left = suffix.remove(df)
+    assert left.columns == df.columns
+    got = sorted(tuple(r) for r in left.collect())
+    assert [r[2:] for r in got] == [r[2:] for r in rows]
+    assert passage[10:-10] not in got[0][1] + got[1][1] and got[2][1] is None
+
+
+def test_collisions_of_stretches_stop_the_query(spark):
+    rows = spark.createDataFrame([(1, 2, 5), (1, 2, 6)], "h long, g long, check long")
+    kinds = rows.groupBy("h", "g").agg(suffix._same(F.min("check"), F.max("check"), F.count("*"), "stretches").alias("c"))
+    with pytest.raises(Exception, match="hashes of different stretches"):
+        kinds.collect()
+
+
 def test_sorting_survives_bad_hashes(monkeypatch):
     parts = [prose(WORDS, i, 60).encode()[:220] for i in range(12)]
     parts = [p[:100] + parts[0][100:164] + p[164:] for p in parts]

@@ -6,14 +6,18 @@ places, so only stretches with the same anchor need to be compared.
 
 1. Anchors that occur once are dropped (counts are added up in the tasks first).
 2. Stretches that occur more than once as a whole repeat in all their windows.
-3. The other stretches of an anchor are sorted by what follows from the anchor: a mergesort whose comparisons
-   find the common extension by binary search on prefix hashes, so each takes logarithmic time. The common
-   prefixes of neighbours give those of all pairs; what the pairs have in common to the left is found by the same
-   search. The order and every string found are verified by their bytes; where hashes have misled, the group is
-   sorted anew by its bytes.
-4. Anchors with more than ``GROUP`` different stretches (passages that thousands of texts share) are not
-   gathered: blocks of windows, and the windows of blocks that are not repeated, become rows and are counted by the
-   hashes of anchor and block or window (128 bits).
+3. The other stretches of an anchor are one group. A group of more than ``GROUP`` different stretches is cut in two by its
+   windows: those that begin at most m bytes before the anchor, and the others. All windows of a half have a longer core
+   in common, so the half falls into groups by that core's hash; stretches that are the same in a half are one from
+   there on. At last a half is a single window, which has one stretch a core, so every group gets small, in eight
+   rounds at most, and whatever has one partner less is never carried on.
+4. Each group is sorted by what follows from the anchor: a mergesort whose comparisons find the common extension by
+   binary search on prefix hashes, so each takes logarithmic time. The common prefixes of neighbours give those of all
+   pairs; what the pairs have in common to the left is found by the same search. The order and every string found are
+   verified by their bytes; where hashes have misled, the group is sorted anew by its bytes.
+
+What is taken for one by a polynomial hash is verified, too: whole stretches by an independent hash of their bytes,
+halves by the bytes themselves. A collision stops the query.
 
 Texts are known by 128-bit hashes of their content, so repeated rows are found as repeats of their windows;
 copies of a whole text are told by counts. Only texts that hold a repeat are shuffled.
@@ -36,12 +40,11 @@ from pyspark.sql import types as T
 
 from veristrata.llm.anchors import LONGEST, Stretches
 from veristrata.llm.common import bloom, free_names, sifted, stored, whole_text
-from veristrata.llm.rolling import PrefixHash
+from veristrata.llm.rolling import PrefixHash, mix
 
 SIZE = 200
 PART = 64
-GROUP = 256
-RUN = 16  # windows in a block, for anchors with more stretches than GROUP
+GROUP = 256  # stretches that are sorted together
 BLOCK = 1 << 19
 ROWS = 1024  # texts that are unpacked at a time
 
@@ -82,8 +85,9 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def stretches(rows: DataFrame, size: int, part: int) -> DataFrame:
-    """(h, g, i1, i2, start, n, lead): hashes of anchor and stretch, text, first window, windows, and the anchor's
-    distance from the first window."""
+    """(h, g, check, i1, i2, start, n, lead): hashes of anchor and stretch, an independent hash of the stretch's bytes,
+    text, first window, windows, and the anchor's distance from the first window."""
+    import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -98,19 +102,23 @@ def stretches(rows: DataFrame, size: int, part: int) -> DataFrame:
                     groups = [list(zip(which, offsets, parts, strict=True))]
                 for group in groups:
                     ends = np.cumsum([len(p) for _, _, p in group])
-                    found = Stretches(np.frombuffer(b"".join(p for _, _, p in group), np.uint8), ends, size, part)
+                    data = b"".join(p for _, _, p in group)
+                    found = Stretches(np.frombuffer(data, np.uint8), ends, size, part)
+                    last = (found.first + found.count + size - 1).tolist()
+                    check = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(found.first.tolist(), last, strict=True)]
                     text = np.array([w for w, _, _ in group])[found.text]
                     base = (np.concatenate([[0], ends[:-1]]) - [o for _, o, _ in group])[found.text]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(found.kind.view(np.int64)), pa.array(found.whole.view(np.int64)),
+                            pa.array(np.array(check, np.uint64).view(np.int64)),
                             pa.array(i1[text]), pa.array(i2[text]), pa.array(found.first - base, pa.int64()),
                             pa.array(found.count, pa.int32()), pa.array(found.anchor - found.first, pa.int32()),
                         ],
-                        names=["h", "g", *ID, "start", "n", "lead"],
+                        names=["h", "g", "check", *ID, "start", "n", "lead"],
                     )
 
-    return rows.select(*ID, "text").mapInArrow(run, "h long, g long, i1 long, i2 long, start long, n int, lead int")
+    return rows.select(*ID, "text").mapInArrow(run, "h long, g long, check long, i1 long, i2 long, start long, n int, lead int")
 
 
 class Sorter:
@@ -240,20 +248,32 @@ class Sorter:
         return which, self.lead[which] - high, high - low + 1
 
 
+# A piece: its group (h, k), what it is (g), the stretches it stands for (c), its place, its anchor's distance from the
+# first window, the range of distances that its group is about, and the bytes of its windows.
+PIECE = "h long, k long, g long, c long, i1 long, i2 long, start long, lead int, low int, high int, bytes binary"
+PIECE_NAMES = ["h", "k", "g", "c", *ID, "start", "lead", "low", "high", "bytes"]
+PIECE_TYPES = [pa.int64()] * 7 + [pa.int32()] * 3 + [pa.binary()]
+
+
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(PIECE_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, PIECE_TYPES, strict=True)], names=PIECE_NAMES)
+
+
 def _resolve(size: int):
-    """Over rows (h, c, i1, i2, start, lead, bytes), sorted by h: (i1, i2, start, n) of repeated windows."""
+    """Over pieces sorted by (h, k), the group: (i1, i2, start, n) of repeated windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def solved(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = np.array([r[0] for r in rows], np.int64)
-            group = np.cumsum(np.diff(kinds, prepend=kinds[0] - 1 if kinds[0] > -(2**62) else kinds[0] + 1) != 0)
-            sorter = Sorter([r[6] for r in rows], np.array([r[5] for r in rows]), group)
+            names = {}
+            group = np.array([names.setdefault((r[0], r[1]), len(names)) for r in rows])
+            sorter = Sorter([r[-1] for r in rows], np.array([r[7] for r in rows]), group)
             which, first, n = sorter.repeats(size)
-            open_ = np.array([r[1] for r in rows])[which] == 1  # the others repeat as a whole
+            open_ = np.array([r[3] for r in rows])[which] == 1  # the others repeat as a whole
             which, first, n = which[open_], first[open_], n[open_]
-            columns = [np.array([r[k] for r in rows], np.int64)[which] for k in (2, 3, 4)]
+            columns = [np.array([r[k] for r in rows], np.int64)[which] for k in (4, 5, 6)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2] + first), pa.array(n.astype(np.int32))],
                 names=[*ID, "start", "n"],
@@ -261,7 +281,7 @@ def _resolve(size: int):
 
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if len(held) >= 4096 and row[0] != held[-1][0]:
+                if len(held) >= 4096 and row[:2] != held[-1][:2]:
                     yield solved(held)
                     held = []
                 held.append(row)
@@ -271,111 +291,104 @@ def _resolve(size: int):
     return run
 
 
-def _blocks(size: int):
-    """Stretches in blocks of RUN windows at fixed distances from the anchor: (h, b, bw, c, i1, i2, start, x, ws), with
-    the hash ``bw`` of a block's bytes (NULL where a stretch has only a part of the block), the first window's place
-    and distance, and the hashes of the windows."""
+def _halves(size: int):
+    """Each piece as its pieces in the halves of its range: ``k`` is the hash of the core that all windows of a half have
+    in common, ``g`` that of the piece; both with the range and the place in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "b", "bw", "c", *ID, "start", "x", "ws"]
-        kinds = [pa.int64()] * 8 + [pa.list_(pa.int64())]
         for batch in batches:
             out: list[tuple] = []
-            for h, c, i1, i2, start, lead, data in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+            for h, _, _, c, i1, i2, start, lead, low, high, data in zip(*[x.to_pylist() for x in batch.columns], strict=True):
                 prefix = PrefixHash(np.frombuffer(data, np.uint8))
-                ws = prefix.every(size).view(np.int64).tolist()
-                at = 0
-                while at < len(ws):
-                    x = lead - at
-                    stop = min(len(ws), at + x % RUN + 1)
-                    whole = None
-                    if stop - at == RUN:
-                        whole = int(prefix.part(np.array([at]), np.array([stop + size - 1])).view(np.int64)[0])
-                    out.append((h, x // RUN, whole, c, i1, i2, start + at, x, ws[at:stop]))
-                    at = stop
-            columns = list(zip(*out, strict=True)) or [[]] * 9
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
+                least = lead - (len(data) - size)
+                middle = (low + high) // 2
+                for a, b in ((low, middle), (middle + 1, high)):
+                    near, far = max(a, least), min(b, lead)
+                    if near > far:
+                        continue
+                    first, last = np.array([lead - a, lead - far]), np.array([lead + size - b, lead + size - near])
+                    places = np.array([a << 48 | b << 32, near << 48 | far << 32], np.uint64)
+                    k, g = mix(prefix.part(first, last) ^ mix(places)).view(np.int64).tolist()
+                    out.append((h, k, g, c, i1, i2, start + lead - far, far, a, b, data[lead - far : lead - near + size]))
+            yield _pieces(out)
 
     return run
 
 
-def _of_crowds(cut: DataFrame, size: int) -> DataFrame:
-    """(i1, i2, start, n) of repeated windows under anchors with very many stretches, without gathering them.
-
-    Blocks of windows that occur again are found first; only the windows of the others, with one block of
-    each repeated kind for comparison, are looked at one by one.
-    """
-    blocks = stored(cut.mapInArrow(
-        _blocks(size),
-        "h long, b long, bw long, c long, i1 long, i2 long, start long, x long, ws array<long>",
-    ), "blocks")
-    key = ["h", "b", "bw"]
-    kinds = stored(blocks.where("bw IS NOT NULL").groupBy(*key).agg(
-        F.sum("c").alias("times"), F.min(F.struct(*ID, "start", "x", "ws")).alias("r")
-    ), "block-kinds")
-    runs = blocks.where("bw IS NOT NULL AND c = 1").join(kinds.where("times > 1").select(key), key).select(
-        *ID, "start", F.lit(RUN).alias("n")
-    )
-    looked_at = kinds.select("h", "times", "r.*").union(
-        blocks.where("bw IS NULL").select("h", "c", *ID, "start", "x", "ws")
-    )
-    windows = looked_at.select("h", "times", *ID, "start", "x", F.posexplode("ws").alias("k", "w")).select(
-        "h", (F.col("x") - F.col("k")).alias("x"), "w", "times", *ID, (F.col("start") + F.col("k")).alias("start")
-    )
-    key = ["h", "x", "w"]
-    often = windows.groupBy(*key).agg(F.sum("times").alias("all")).where(F.col("all") > 1).select(key)
-    single = windows.where("times = 1").join(often, key).select(*ID, "start", F.lit(1).alias("n"))
-    return runs.union(single)
-
-
-def _cut_bytes(size: int):
-    """From (i1, i2, text, wanted) the bytes of the wanted stretches."""
+def _cut_bytes(size: int, most: int):
+    """From (i1, i2, text, wanted) the wanted stretches as pieces, each anchor one group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "c", "big", *ID, "start", "lead", "bytes"]
         for batch in _slices(batches):
             i1, i2, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())
             out: list[tuple] = []
             for a, b, text, wanted in zip(i1, i2, texts.to_pylist(), batch.column(3).to_pylist(), strict=True):
                 for w in wanted:
                     data = text[w["start"] : w["start"] + w["n"] + size - 1]
-                    out.append((w["h"], w["c"], w["big"], a, b, w["start"], w["lead"], data))
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            columns = list(zip(*out, strict=True)) or [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
+                    out.append((w["h"], 0, w["g"], w["c"], a, b, w["start"], w["lead"], 0, most, data))
+            yield _pieces(out)
 
     return run
 
 
+def _same(low, high, value, what: str):
+    """``value`` if both hashes, or bytes, are the same; else the query stops."""
+    return F.when(low == high, value).otherwise(F.raise_error(F.lit(f"hashes of different {what} are equal")).cast("long"))
+
+
+def _within_groups(pieces: DataFrame, size: int, group: int) -> DataFrame:
+    """(i1, i2, start, n) of the windows of pieces that another piece of their group has, too."""
+    found = None
+    while True:
+        counts = pieces.groupBy("h", "k").agg(
+            F.count("*").alias("kinds"), F.sum(F.when(F.col("c") == 1, 1).otherwise(0)).alias("open")
+        )
+        counts = stored(counts.where("kinds > 1 AND open > 0"), "groups")
+        small = pieces.join(counts.where(F.col("kinds") <= group).select("h", "k"), ["h", "k"]).select(PIECE_NAMES)
+        solved = small.repartition("h", "k").sortWithinPartitions("h", "k").mapInArrow(
+            _resolve(size), "i1 long, i2 long, start long, n int"
+        )
+        found = solved if found is None else found.union(solved)
+        large = stored(counts.where(F.col("kinds") > group).select("h", "k"), "large-groups")
+        if large.isEmpty():
+            return found
+        key = ["h", "k", "g"]
+        cut = stored(pieces.join(large, ["h", "k"]).select(PIECE_NAMES).mapInArrow(_halves(size), PIECE), "halves")
+        kinds = cut.groupBy(*key).agg(
+            _same(F.min("bytes"), F.max("bytes"), F.sum("c"), "strings").alias("c"), F.count("*").alias("pieces"),
+            F.min(F.struct(*PIECE_NAMES[4:])).alias("r"),
+        )
+        kinds = stored(kinds, "kinds")
+        again = kinds.where("c > 1 AND pieces > 1").select(key)
+        whole = cut.where("c = 1").join(again, key).select(
+            *ID, "start", (F.octet_length("bytes") - F.lit(size - 1)).cast("int").alias("n")
+        )
+        found = found.union(whole)
+        pieces = kinds.select(*key, "c", "r.*").select(PIECE_NAMES)
+
+
 def repeated_windows(rows: DataFrame, size: int = SIZE, part: int = PART, group: int = GROUP) -> DataFrame:
     """(i1, i2, start, n): windows of texts (rows i1, i2, text) that also start elsewhere."""
     found = stretches(rows, size, part)
-    often = found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
+    often = stored(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "anchors")
     repeated = stored(found.join(often, "h"), "stretches")
     kinds = repeated.groupBy("h", "g").agg(
-        F.count("*").alias("c"), F.min(F.struct(*ID, "start", "n", "lead")).alias("r")
+        _same(F.min("check"), F.max("check"), F.count("*"), "stretches").alias("c"),
+        F.min(F.struct(*ID, "start", "n", "lead")).alias("r"),
     )
     kinds = stored(kinds, "kinds")
     whole = repeated.join(kinds.where("c > 1").select("h", "g"), ["h", "g"]).select(*ID, "start", "n")
     mixed = kinds.groupBy("h").agg(
         F.count("*").alias("kinds"), F.sum(F.when(F.col("c") == 1, 1).otherwise(0)).alias("open")
-    ).where("kinds > 1 AND open > 0").select("h", (F.col("kinds") > group).alias("big"))
-    wanted = kinds.join(mixed, "h").groupBy("r.i1", "r.i2").agg(
-        F.collect_list(F.struct("h", "c", "big", "r.start", "r.n", "r.lead")).alias("wanted")
+    ).where("kinds > 1 AND open > 0").select("h")
+    wanted = kinds.join(stored(mixed, "mixed"), "h").groupBy("r.i1", "r.i2").agg(
+        F.collect_list(F.struct("h", "g", "c", "r.start", "r.n", "r.lead")).alias("wanted")
     )
     wanted = stored(wanted, "wanted")
     texts = sifted(rows.select(*ID, "text"), bloom(wanted, *ID), *ID)
     texts = texts.groupBy(*ID).agg(F.first("text").alias("text"))
-    cut = texts.join(wanted, ID).select(*ID, "text", "wanted").mapInArrow(
-        _cut_bytes(size),
-        "h long, c long, big boolean, i1 long, i2 long, start long, lead int, bytes binary",
-    )
-    cut = stored(cut, "parts")
-    plain = ["h", "c", *ID, "start", "lead", "bytes"]
-    sorted_ = cut.where("NOT big").select(plain).repartition("h").sortWithinPartitions("h").mapInArrow(
-        _resolve(size), "i1 long, i2 long, start long, n int"
-    )
-    return whole.union(sorted_).union(_of_crowds(cut.where("big").select(plain), size))
+    pieces = texts.join(wanted, ID).select(*ID, "text", "wanted").mapInArrow(_cut_bytes(size, size - part), PIECE)
+    return whole.union(_within_groups(stored(pieces, "pieces"), size, group))
 
 
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("n", T.IntegerType())]))
