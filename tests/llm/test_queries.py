@@ -13,8 +13,8 @@ def test_query_equals_sql(spark, sf_dir, name):
     assert ok, text
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stage_by_stage(spark, sf_dir, folder):

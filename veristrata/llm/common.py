@@ -73,6 +73,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def portions(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours that have ``most`` together, or are a single one."""
+    first, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > first and held + size > most:
+            yield first, i
+            first, held = i, 0
+        held += size
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
 BLOOM_BITS = 1 << 24
 
 

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and the SQL of those that SQL can express."""
+"""The registered queries of the thirteen operators, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,17 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristrata.llm import chat, decontaminate, html, language, lm, pieces, simhash, suffix, topk, warc
+from veristrata.llm import (
+    chat, decontaminate, html, language, lm, packing, pieces, ranked, runs, simhash, suffix, topk, warc,
+)
 from veristrata.llm.common import held_out, table, whole_text
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
 def piece_model_path() -> str:
     """The model file comes with an installed package, the same on every machine."""
+    return _tokenizer_path(PIECE_MODEL)
+
+
+def byte_model_path() -> str:
+    return _tokenizer_path(BYTE_MODEL)
+
+
+def _tokenizer_path(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(PIECE_MODEL)
+    return public_tokenizers.path(name)
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,6 +215,80 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIG
 FROM joined
 """
 
+
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# Java, Python and C agree on ln to within a unit of the last place; the floor of a thousand times it hides that.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ts
+  FROM documents
+), i AS (
+  SELECT r, item_id, unnest(ts) AS t FROM (
+    SELECT row_number() OVER () AS r, item_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ts
+    FROM benchmark)
+), total AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(ts)) AS BIGINT) AS terms FROM d WHERE len(ts) > 0
+), p AS (
+  SELECT r, doc_id, n, t, CAST(count(*) AS BIGINT) AS tf FROM (
+    SELECT r, doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS t FROM d)
+  WHERE t IN (SELECT t FROM i) GROUP BY ALL
+), w AS (
+  SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, total GROUP BY t, docs
+), scored AS (
+  SELECT p.r, p.doc_id, p.t,
+    w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (100 - 75 + ((75 * p.n * docs) // terms)))) AS part
+  FROM p JOIN w ON p.t = w.t, total
+), ranked AS (
+  SELECT i.r AS item, i.item_id, s.doc_id, CAST(sum(s.part) AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY i.r ORDER BY sum(s.part) DESC, s.doc_id NULLS LAST) AS place
+  FROM i JOIN scored s ON i.t = s.t GROUP BY i.r, i.item_id, s.r, s.doc_id HAVING sum(s.part) > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+
+def periodic(documents: DataFrame) -> DataFrame:
+    """One document in ten, by the crc32 of its doc_id, repeats a part of its words from some word on; NULL ids none."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.filter(F.split(whole_text(), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    rows = documents.select("doc_id", whole_text().alias("text"), words.alias("w"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("n", F.size("w"))
+    first = F.when(F.col("n") > 0, F.col("g") % F.col("n"))
+    rows = rows.withColumn("a", first.cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    rows = rows.withColumn("p", period.cast("int"))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    made = F.array_join(F.concat(F.slice("w", 1, F.col("a")), F.slice(again, 1, rest)), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find(periodic(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"])))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    rows = found.withColumn("longest", longest)
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start"), F.col("longest.length"),
+        F.col("longest.period"),
+        F.expr("longest.length * 1000 div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"), byte_model_path())
+    return found.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_simhash": op2_simhash,
@@ -215,6 +300,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_packing": op13_packing,
 }
 
 ORACLES: dict[str, str] = {
@@ -222,4 +310,5 @@ ORACLES: dict[str, str] = {
     "op8_warc_revisits": OP8_SQL,
     "op9_chat_format": OP9_SQL,
     "op10_decontaminate": OP10_SQL,
+    "op11_ranked_search": OP11_SQL,
 }
