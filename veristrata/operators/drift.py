@@ -15,11 +15,14 @@ from veristrata.functions.columns import (
     result_rows,
 )
 from veristrata.operators.quantiles import SAMPLE_ROWS, SAMPLE_SHARE, SKETCH_ACCURACY, quantiles_of
+from veristrata.session import stored
 
 # Places where the value range is cut for the KS pass: even steps, and finer ones in the tails.
 KNOTS = [0.0, 0.0005, 0.002, 0.008, *(i / 48 for i in range(1, 48)), 0.992, 0.998, 0.9995, 1.0]
 CELLS_PER_KNOT = 32
 COLUMNS_PER_PASS = 16
+RANKED = 50_000  # different values that one task ranks
+PARTS = 32  # into which a range of more values is cut
 
 
 def schema_drift(reference: DataFrame, current: DataFrame) -> DataFrame:
@@ -124,8 +127,9 @@ def distribution_drift(
 
     The value range is cut into cells. Counts per cell give both distribution functions at the cell
     edges, and a ceiling for their distance inside each cell. Only cells whose ceiling beats the best
-    edge are opened, and only their values are grouped and ranked, each cell by its own task. The
-    table as a whole is never sorted or shuffled.
+    edge are opened, and only their values are grouped. A cell of more than RANKED different values is cut
+    by its quantiles, counted and judged again, until each range left is ranked by its own task.
+    The table as a whole is never sorted or shuffled.
     """
     names = columns or common_numeric_columns(reference, current)
     parts = [
@@ -186,8 +190,8 @@ def _ks(reference: DataFrame, current: DataFrame, names: list[str]) -> DataFrame
         F.count(F.when(F.col("is_reference"), F.lit(1))).alias("r"),
         F.count(F.when(~F.col("is_reference"), F.lit(1))).alias("u"),
     ]
-    # From here at most columns x knots x CELLS_PER_KNOT rows.
-    per_cell = located.groupBy("c", "cell").agg(*sides)
+    # At most columns x knots x CELLS_PER_KNOT rows.
+    per_cell = stored(located.groupBy("c", "cell").agg(*sides), "drift-cells")
     whole = Window.partitionBy("c")
     upto = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edges = (
@@ -201,32 +205,25 @@ def _ks(reference: DataFrame, current: DataFrame, names: list[str]) -> DataFrame
         .withColumn("best_edge", F.max("at_edge").over(whole))
     )
     r_before, u_before = F.col("r_upto") - F.col("r"), F.col("u_upto") - F.col("u")
-    ceiling = F.greatest(
-        F.col("r_upto") / F.col("n_r") - u_before / F.col("n_u"),
-        F.col("u_upto") / F.col("n_u") - r_before / F.col("n_r"),
+    to_open = edges.filter(_may_beat(F.col("best_edge"))).select(
+        "c", "cell", r_before.alias("r_before"), u_before.alias("u_before"), "n_r", "n_u",
+        (F.col("r") + F.col("u")).alias("rows"), "best_edge",
     )
-    # A cell with rows of one side only cannot beat its own edges.
-    to_open = edges.filter(
-        (ceiling > F.col("best_edge")) & (F.col("r") > 0) & (F.col("u") > 0)
-    ).select("c", "cell", r_before.alias("r_before"), u_before.alias("u_before"), "n_r", "n_u")
-    by_value = (
-        located.join(F.broadcast(to_open), ["c", "cell"])
+    opened = [r.asDict() for r in to_open.groupBy("c").agg(
+        F.max("rows").alias("rows"), F.max("best_edge").alias("best")
+    ).collect()]  # a row for each column
+    values = (
+        located.join(F.broadcast(to_open.drop("rows", "best_edge")), ["c", "cell"])
         .groupBy("c", "cell", "v", "r_before", "u_before", "n_r", "n_u")
         .agg(*sides)
+        .withColumn("part", F.col("cell").cast("string")).drop("cell")
     )
-    inside = Window.partitionBy("c", "cell").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    opened = by_value.select(
-        "c",
-        _distance(
-            F.col("r_before") + F.sum("r").over(inside), F.col("u_before") + F.sum("u").over(inside)
-        ).alias("distance"),
-        "n_r",
-        "n_u",
-    )
+    if max((r["rows"] for r in opened), default=0) <= RANKED:
+        inside = [_ranked(values)]
+    else:
+        inside = _refined(stored(values, "drift-values"), {r["c"]: r["best"] for r in opened})
     at_edges = edges.select("c", F.col("at_edge").alias("distance"), "n_r", "n_u")
-    found = at_edges.unionByName(opened).groupBy("c").agg(
+    found = reduce(DataFrame.unionByName, inside, at_edges).groupBy("c").agg(
         F.max("distance").alias("drift_score"),
         F.max("n_r").alias("reference_count"),
         F.max("n_u").alias("current_count"),
@@ -237,6 +234,67 @@ def _ks(reference: DataFrame, current: DataFrame, names: list[str]) -> DataFrame
     )
 
 
+def _may_beat(best: Column) -> Column:
+    """Whether the distance inside a range may be larger than ``best``, from the counts up to its end (``r_upto``,
+    ``u_upto``) and in it. A range with rows of one side only cannot beat its own edges."""
+    r_before, u_before = F.col("r_upto") - F.col("r"), F.col("u_upto") - F.col("u")
+    ceiling = F.greatest(
+        F.col("r_upto") / F.col("n_r") - u_before / F.col("n_u"),
+        F.col("u_upto") / F.col("n_u") - r_before / F.col("n_r"),
+    )
+    return (ceiling > best) & (F.col("r") > 0) & (F.col("u") > 0)
+
+
+def _ranked(values: DataFrame) -> DataFrame:
+    """(c, distance, n_r, n_u) at each value of ranges (c, part), each ranked by its own task."""
+    inside = Window.partitionBy("c", "part").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    r, u = F.col("r_before") + F.sum("r").over(inside), F.col("u_before") + F.sum("u").over(inside)
+    return values.select("c", _distance(r, u).alias("distance"), "n_r", "n_u")
+
+
+def _refined(values: DataFrame, best: dict[int, float]) -> list[DataFrame]:
+    """(c, distance, n_r, n_u) that decide the ranges of ``values`` (c, part, v, r, u and the counts before the range).
+
+    Ranges of at most RANKED values are ranked. The others are cut at quantiles of their values, which leaves a part of
+    them little more than 1 / PARTS each; the counts of the parts give distances at their ends, and ceilings inside
+    them, and only parts that may beat the best distance so far are kept. So a few rounds are enough for any
+    number of values, and no task ranks more than RANKED of them.
+    """
+    found = []
+    steps = F.array(*(F.lit(i / PARTS) for i in range(1, PARTS)))
+    key = ["c", "part"]
+    while True:
+        counts = values.groupBy(*key).agg(F.count(F.lit(1)).alias("values"))
+        large = stored(counts.filter(F.col("values") > RANKED).select(*key), "drift-large")
+        found.append(_ranked(values.join(large, key, "left_anti")))
+        if large.isEmpty():
+            return found
+        rest = values.join(large, key, "left_semi")
+        cuts = rest.groupBy(*key).agg(F.percentile_approx("v", steps, SKETCH_ACCURACY).alias("cuts"))
+        number = F.size(F.filter("cuts", lambda x: x < F.col("v")))
+        cut = stored(rest.join(cuts, key).withColumn("number", number).drop("cuts"), "drift-parts")
+        before = Window.partitionBy(*key).orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        same = [F.first(c).alias(c) for c in ("r_before", "u_before", "n_r", "n_u")]
+        parts = cut.groupBy(*key, "number").agg(F.sum("r").alias("r"), F.sum("u").alias("u"), *same)
+        parts = parts.withColumn("r_upto", F.col("r_before") + F.sum("r").over(before)).withColumn(
+            "u_upto", F.col("u_before") + F.sum("u").over(before)
+        )
+        parts = stored(parts.withColumn("distance", _distance(F.col("r_upto"), F.col("u_upto"))), "drift-edges")
+        found.append(parts.select("c", "distance", "n_r", "n_u"))
+        for r in parts.groupBy("c").agg(F.max("distance").alias("d")).collect():  # a row for each column
+            best[r["c"]] = max(best[r["c"]], r["d"])
+        so_far = F.expr("CASE c " + " ".join(f"WHEN {c} THEN {literal(d)}" for c, d in best.items()) + " END")
+        kept = parts.filter(_may_beat(so_far)).select(
+            *key, "number", (F.col("r_upto") - F.col("r")).alias("r_from"), (F.col("u_upto") - F.col("u")).alias("u_from")
+        )
+        values = stored(cut.join(kept, [*key, "number"]).select(
+            "c", F.concat_ws(".", "part", "number").alias("part"), "v", "r", "u",
+            F.col("r_from").alias("r_before"), F.col("u_from").alias("u_before"), "n_r", "n_u",
+        ), "drift-values")
+
+
 def _distance(r: Column, u: Column) -> Column:
     return F.abs(r / F.col("n_r") - u / F.col("n_u"))
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -55,6 +55,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once under the shared folder and read back, so that later passes see the same ones and a lost
+    executor costs no more than the step it was in."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_database(spark: SparkSession, name: str) -> str:
     """A fresh database whose managed tables live under the shared folder."""
     database = f"{name}_{uuid.uuid4().hex[:12]}"
