@@ -7,16 +7,25 @@ from pyspark.sql import functions as F
 
 from veristrata.functions import coding
 from veristrata.functions.columns import field
+from veristrata.operators.hotkeys import hot_and_rest, key_filter
+from veristrata.session import stored
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key is in no parent row. A missing key refers to nothing and is no orphan.
 
-    Which side is broadcast is left to adaptive execution, which knows the sizes; when both are
-    large it also splits the partitions of a parent with very many children.
+    The dangling keys are found from counts. Only child rows that may have one of them go on: the rows of very frequent
+    keys by a broadcast of these, the others by a shuffle.
     """
-    keys = parent.select(field(parent_key or key).alias(key))
-    return child.filter(field(key).isNotNull()).join(keys, key, "left_anti")
+    dangling = stored(orphan_keys(child, parent, key, parent_key), "orphan-keys")
+    hot, rest, rows = hot_and_rest(dangling, "rows")
+    if not rows:
+        return child.filter(F.lit(False))
+    maybe = child.filter(key_filter(dangling, key)(field(key)))
+    few = F.broadcast(hot.select(key))  # HOT keys at most
+    frequent = maybe.join(few, key, "left_semi")
+    others = maybe.join(few, key, "left_anti").join(rest.select(key), key, "left_semi")
+    return frequent.unionByName(others).select(*(field(c) for c in child.columns))
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:

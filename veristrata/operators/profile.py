@@ -23,10 +23,10 @@ from veristrata.functions.columns import (
     string_columns,
     temporal_columns,
 )
-from veristrata.functions.hashing import md5_fraction
 from veristrata.functions.moments import adjusted_kurtosis, adjusted_skewness, pearson
 from veristrata.operators.frequencies import distinct_counts, top_values, value_counts
 from veristrata.operators.quantiles import quantile_values
+from veristrata.operators.selection import digest_of, smallest
 from veristrata.session import shared_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -270,22 +270,9 @@ def sample_rows(
     """Exactly ``n`` rows (all, if there are fewer), the same ones on every run. ``stored`` keeps
     the sample in the checkpoint folder, for when several passes over it follow.
 
-    Rows are ordered by a hash of their key. A threshold on the hash leaves little more than ``n``
-    rows before anything is sorted; a count makes sure that it leaves enough.
+    These are the rows with the smallest hashes of their key, found without a sort (see ``selection``).
     """
-    total = df.count()
-    if total <= n:
-        return df
-    fraction = md5_fraction(str(seed), *(field(k) for k in key))
-    share = (n + 6 * n**0.5 + 50) / total
-    candidates = df.filter(fraction < share)
-    while share < 1 and candidates.count() < n:
-        share *= 2
-        candidates = df.filter(fraction < share)
-    digest = F.md5(
-        F.concat_ws(":", F.lit(str(seed)), *(field(k).cast("string") for k in key)).cast("binary")
-    )
-    sampled = candidates.orderBy(digest, *(field(k) for k in key)).limit(n)
+    sampled = smallest(df, n, digest_of(str(seed), *(field(k) for k in key)))
     if stored:
         shared_dir(df.sparkSession)
         sampled = sampled.checkpoint()

@@ -20,9 +20,10 @@ from veristrata.operators.checks import (
     compile_rule,
 )
 from veristrata.operators.frequencies import distinct_counts, identity_text, value_counts
+from veristrata.operators.hotkeys import hot_and_rest, key_filter
+from veristrata.operators.selection import first_rows
 from veristrata.plans.suite import UNIQUE, Rule, Suite
-from veristrata.session import shared_dir
-
+from veristrata.session import stored
 
 
 def validate(df: DataFrame, suite: Suite) -> DataFrame:
@@ -74,10 +75,7 @@ def validate_table(
     Limited rows are stored first: without an order, two passes over a limit may see different rows.
     """
     df = spark.table(f"{schema}.{table}" if schema else table)
-    if limit:
-        shared_dir(spark)
-        df = (df.orderBy(*order_by) if order_by else df).limit(limit).checkpoint()
-    return validate(df, suite)
+    return validate(first_rows(df, limit, order_by) if limit else df, suite)
 
 
 def statistics(results: DataFrame, by: tuple[str, ...] = ("suite",), suite: str | None = None) -> DataFrame:
@@ -134,12 +132,12 @@ def summary_text(results: DataFrame, first: int = 5) -> str:
 def unexpected_rows(df: DataFrame, suite: Suite, declared: bool = True) -> DataFrame:
     """The rows that break at least one rule, with the positions of those rules in the suite.
 
-    Values that occur more than once are found by one shuffle of value counts; the mark goes back to
-    the rows by an equality join, which adaptive execution splits when one value dominates. Rows
-    without a value are spread over tasks by a hash of the row, as they never match.
+    Values that occur more than once are found by one shuffle of value counts. Only rows that may have such a value are
+    shuffled to be marked, those of very frequent values not even then (see ``hotkeys``).
     """
     original, df = df.columns, normalize_missing(df)
     marks: list[Column] = []
+    unique: dict[str, str] = {}  # column -> flag
     for idx, rule in enumerate(suite.rules):
         check = compile_rule(df, rule)
         if isinstance(check, RowCheck) and (declared or rule.kind not in SKIPPED):
@@ -148,25 +146,51 @@ def unexpected_rows(df: DataFrame, suite: Suite, declared: bool = True) -> DataF
                 bad = check.bad_declared
             marks.append(F.when(bad, F.lit(idx)))
         elif isinstance(check, DistinctCheck) and rule.kind == UNIQUE:
-            flag = f"_repeated_{idx}"
-            df = _mark_repeated(df, check.column, flag)
+            flag = unique.setdefault(check.column, f"_repeated_{len(unique)}")
             marks.append(F.when(field(flag), F.lit(idx)))
+    if unique:
+        df = _mark_repeated(df, unique)
     broken = F.array_compact(F.array(*marks)) if marks else F.array().cast("array<int>")
     return df.select(*(field(c) for c in original), broken.alias("violations")).filter(
         F.size("violations") > 0
     )
 
 
-def _mark_repeated(df: DataFrame, column: str, flag: str) -> DataFrame:
-    repeated = (
-        value_counts(df, [column], identities=True)
-        .filter("occurrences > 1")
-        .select(F.col("value").alias("_key"), F.lit(True).alias(flag))
+def _mark_repeated(df: DataFrame, flags: Mapping[str, str]) -> DataFrame:
+    """Adds a flag for each column: whether the row's value of it occurs more than once (else NULL)."""
+    repeated = stored(
+        value_counts(df, list(flags), identities=True).filter("occurrences > 1"), "repeated-values"
     )
-    row_hash = F.xxhash64(*(field(c) for c in df.columns)).cast("string")
-    absent = F.concat(F.lit("\x00absent:"), row_hash)
-    keyed = df.withColumn("_key", F.coalesce(identity_text(df, column), absent))
-    return keyed.join(repeated, "_key", "left").drop("_key")
+    keys = {c: f"_key{i}" for i, c in enumerate(flags)}
+    rows = df.select("*", *(identity_text(df, c).alias(k) for c, k in keys.items()))
+    rest, possible = {}, {}
+    for column, flag in flags.items():
+        key = keys[column]
+        own = repeated.filter(F.col("column") == column).select(F.col("value").alias(key), "occurrences")
+        hot, others, count = hot_and_rest(own, "occurrences")
+        if not count:
+            rows = rows.withColumn(flag, F.lit(None).cast("boolean"))
+            continue
+        few = F.broadcast(hot.select(key, F.lit(True).alias(flag)))  # at most a thousand values
+        rows = rows.join(few, key, "left")
+        rest[column] = others.select(F.col(key).alias(f"{key}_again"), F.lit(True).alias(f"{flag}_again"))
+        possible[column] = field(flag).isNull() & key_filter(own, key)(field(key))
+    if not rest:
+        return rows
+    some = reduce(Column.__or__, possible.values())
+    marked = rows.filter(some)
+    row_hash = F.concat(F.lit("\x00absent:"), F.xxhash64(*(field(c) for c in df.columns)).cast("string"))
+    for column, others in rest.items():
+        # Rows that surely match nothing are dealt by their own hash.
+        key, flag = keys[column], flags[column]
+        on = F.when(possible[column], field(key)).otherwise(row_hash)
+        joined = marked.withColumn("_on", on).join(others, F.col("_on") == field(f"{key}_again"), "left")
+        marked = joined.withColumn(f"{flag}_found", F.coalesce(field(flag), field(f"{flag}_again"))).drop(
+            "_on", f"{key}_again", f"{flag}_again"
+        )
+    for flag in (flags[c] for c in rest):
+        marked = marked.withColumn(flag, field(f"{flag}_found")).drop(f"{flag}_found")
+    return rows.filter(~some).unionByName(marked.select(*(field(c) for c in rows.columns)))
 
 
 _RESULT = [
