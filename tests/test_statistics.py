@@ -172,7 +172,8 @@ def test_forest_of_few_values(spark):
     row = isolation.detect(df, ["v"]).first()
     assert (row.row_count, row.anomaly_count <= 100) == (60_000, True)
     one, many = (
-        isolation._fit(isolation._numbered(df.repartition(n), ["v"]), ["v"], ["v", isolation._COPY], 60_000, 100, 42)
+        isolation._fit(isolation._numbered(df.repartition(n), ["v"]).withColumn(isolation._FOREST, F.lit(0)), ["v"],
+                       ["v", isolation._COPY], [60_000], 100, 42)
         .sort_values(["tree", "node"]).reset_index(drop=True) for n in (1, 16)
     )
     assert one.equals(many)
@@ -182,6 +183,37 @@ def test_forest_of_few_values(spark):
     assert numbered.count() == numbered.distinct().count() == 60_000
 
 
+def test_forests_of_many_columns_are_one_job(spark):
+    """Jobs don't grow with the columns; each forest finds its planted values."""
+    uniform = lambda i, k: F.pmod(F.xxhash64("id", F.lit(10 * i + k)), F.lit(10**6)) / 10**4
+    df = spark.range(30_000).select(*(
+        F.when(F.col("id") < 3, 10_000 + F.col("id")).when(F.col("id") % 7 == i, None)
+        .otherwise(uniform(i, 0) + uniform(i, 1) + uniform(i, 2) + uniform(i, 3)).alias(f"c{i}") for i in range(6)
+    ), F.lit(None).cast("int").alias("empty"), F.lit(4).alias("same"))
+    tracker, groups = spark.sparkContext, {}
+    for n in (1, 6):
+        tracker.setJobGroup(f"forests-{n}", "")
+        found = isolation.anomalous_values(df, [f"c{i}" for i in range(n)]).collect()
+        groups[n] = len(tracker.statusTracker().getJobIdsForGroup(f"forests-{n}"))
+        for i in range(n):
+            assert {10_000.0, 10_001.0, 10_002.0} <= {r.value for r in found if r["column"] == f"c{i}"}
+    tracker.setJobGroup("other", "")
+    assert groups[6] <= groups[1] + 1
+    report = {r.columns: r for r in isolation.detect(df).collect()}
+    assert len(report) == 8 and report["empty"].row_count == 0 and report["same"].anomaly_count == 0
+    assert all(3 <= report[f"c{i}"].anomaly_count <= 100 for i in range(6))
+
+
+def test_draw_of_trees_is_binomial(spark):
+    """Rows are candidates of a binomial number of trees, and every tree has enough of them."""
+    rows, trees = 50_000, 100
+    limits = np.array(isolation._thresholds(rows, trees), dtype=float) / isolation._HASHES
+    times = np.searchsorted(limits, np.random.default_rng(2).random(400_000), side="right")
+    share = 576 / rows
+    assert abs(times.mean() - trees * share) < 0.02 and abs(times.var() - trees * share * (1 - share)) < 0.03
+    assert isolation._thresholds(300, 100) == [0] * 100
+
+
 def test_forest_without_columns(spark):
     assert isolation.detect(spark.createDataFrame([("x",)], "t string")).count() == 0
 

@@ -1,11 +1,15 @@
 """Isolation forest (Liu, Ting, Zhou 2008): trees fitted by tasks, rows scored by all tasks.
 
-A tree draws 256 rows, so the forest is a bounded model whatever the size of the table. Every row takes part in
-the draw of every tree, by one rule at every size: a hash of tree and key, of which the smallest 256 are drawn; rows
-whose hash is too large to be among them are left out before anything is shuffled. The fitted nodes (at most a few thousand
+A tree draws 256 rows, so the forest is a bounded model whatever the size of the table. By one rule at every size, one hash of
+its key tells in how many trees a row is a candidate: a binomial number, so mostly none, and such rows are left out
+before anything else is done for them. The others take that number of different trees, by further hashes, and each tree
+draws the 256 candidates with the smallest hashes. The fitted nodes (at most a few thousand
 numbers per tree) go to the executors with the scoring function. Scoring is one pass without a
 shuffle. At most a hundred rows can be anomalies (the contamination is min(0.1, 100 / rows)), so the
 cut comes from the highest scores alone.
+
+Forests of single columns need only the different values and their counts; those of many columns are fitted and scored
+together, so the number of jobs does not grow with the columns.
 """
 
 from __future__ import annotations
@@ -18,10 +22,11 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veristrata.functions.columns import as_double, field, normalize_missing, numeric_columns
+from veristrata.session import stored
 
 # Workers get the functions of this module with the task, so that they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,9 +36,12 @@ TREE_ROWS = 256
 MAX_ANOMALIES = 100
 MAX_SHARE = 0.1
 PIECE = 4096  # rows of a value that are numbered at a time
+TOGETHER = 16  # columns whose forests are fitted together
+NEGLIGIBLE = 1e-15  # chance of more trees than are looked at
 _COPY = "_copy"
+_FOREST = "_forest"
 _HASHES = 1 << 62
-_NODES = "tree int, node int, feature int, split double, leaf_rows int, depth int"
+_NODES = "forest int, tree int, node int, feature int, split double, leaf_rows int, depth int"
 
 
 def isolation_forest(
@@ -58,10 +66,9 @@ def isolation_forest(
     rows = known.count()
     if rows < 2:
         return known.limit(0).withColumns({"score": F.lit(0.0), "rank": F.lit(0)})
-    forest = _fit(known if key else _numbered(known, columns), columns, key or [*columns, _COPY], rows, trees, seed)
-    scored = known.withColumn(
-        "score", _scorer(forest, min(TREE_ROWS, rows))(F.struct(*(field(c) for c in columns)))
-    )
+    drawn_from = known if key else _numbered(known, columns)
+    forest = _fit(drawn_from.withColumn(_FOREST, F.lit(0)), columns, key or [*columns, _COPY], [rows], trees, seed)
+    scored = known.withColumn("score", _scorer(forest, [rows])(F.struct(F.lit(0.0), *(field(c) for c in columns))))
     return _cut(scored, rows, [field(k) for k in (key or columns)])
 
 
@@ -69,7 +76,12 @@ def _numbered(known: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of ``columns`` with a number among their equals. Only counts of values are shuffled; the rows of a
     frequent value are made in pieces, which are dealt over the tasks."""
     names = [field(c) for c in columns]
-    counted = known.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    return _copies(known.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows")), columns)
+
+
+def _copies(counted: DataFrame, columns: list[str]) -> DataFrame:
+    """A row for each of the ``_rows`` of each value, numbered."""
+    names = [field(c) for c in columns]
     last = F.floor((F.col("_rows") - 1) / PIECE)
     pieces = counted.select(*names, "_rows", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_piece"))
     pieces = pieces.repartition(*names, "_piece")
@@ -77,64 +89,132 @@ def _numbered(known: DataFrame, columns: list[str]) -> DataFrame:
     return pieces.select(*names, F.explode(F.sequence(start, F.least(start + PIECE, "_rows") - 1)).alias(_COPY))
 
 
-def summarize(anomalies: DataFrame, df: DataFrame, columns: list[str], method: str) -> DataFrame:
-    """One row: anomalies, the rows that took part, and their share."""
-    known = normalize_missing(df).select(*(field(c) for c in columns)).dropna().agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
-    parts = known.select("row_count", F.lit(0).cast("bigint").alias("anomaly_count")).unionByName(
-        anomalies.agg(F.count(F.lit(1)).alias("anomaly_count")).select(
-            F.lit(0).cast("bigint").alias("row_count"), "anomaly_count"
-        )
-    )
-    return parts.agg(
-        F.sum("anomaly_count").alias("anomaly_count"), F.sum("row_count").alias("row_count")
-    ).select(
-        F.lit(",".join(columns)).alias("columns"), F.lit(method).alias("method"),
-        "anomaly_count", "row_count",
-        F.coalesce(F.try_divide("anomaly_count", "row_count"), F.lit(0.0)).alias("anomaly_rate"),
-    )
+_VALUES = "`column` string, value double, occurrences bigint, row_count bigint, score double"
+
+
+def anomalous_values(df: DataFrame, columns: list[str] | None = None, trees: int = TREES, seed: int = 42) -> DataFrame:
+    """(column, value, occurrences, row_count, score): for each numeric column on its own the values that its forest
+    isolates. Missing values take no part."""
+    return _values(df, [c for c in (columns or numeric_columns(df)) if c in df.columns], trees, seed)[0]
 
 
 def detect(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Each numeric column on its own: one row per column, as the other methods report; none without columns."""
     names = [c for c in (columns or numeric_columns(df)) if c in df.columns]
-    parts = [summarize(isolation_forest(df, [c]), df, [c], "isolation_forest") for c in names]
-    if not parts:
-        return df.sparkSession.createDataFrame(
-            [], "columns string, method string, anomaly_count bigint, row_count bigint, anomaly_rate double"
+    found, rows = _values(df, names, TREES, 42)
+    given = df.sparkSession.createDataFrame(
+        [(c, rows[c]) for c in names], "columns string, row_count bigint"  # a row for each column
+    )
+    counted = found.groupBy(F.col("column").alias("columns")).agg(F.sum("occurrences").alias("found"))
+    count = F.coalesce("found", F.lit(0)).cast("bigint")
+    return given.join(counted, "columns", "left").select(
+        "columns", F.lit("isolation_forest").alias("method"), count.alias("anomaly_count"), "row_count",
+        F.coalesce(F.try_divide(count, "row_count"), F.lit(0.0)).alias("anomaly_rate"),
+    )
+
+
+def _values(df: DataFrame, names: list[str], trees: int, seed: int) -> tuple[DataFrame, dict[str, int]]:
+    """The anomalous values, and the rows of each column."""
+    df, spark = normalize_missing(df), df.sparkSession
+    parts, known = [], {}
+    for i in range(0, len(names), TOGETHER):
+        chosen = names[i : i + TOGETHER]
+        points = [F.struct(F.lit(j).alias(_FOREST), as_double(df, c).alias("x")) for j, c in enumerate(chosen)]
+        counted = stored(
+            df.select(F.inline(F.array(*points))).filter("x IS NOT NULL").groupBy(_FOREST, "x").agg(F.count("*").alias("_rows")),
+            "forest-values",
         )
-    return reduce(DataFrame.unionByName, parts)
+        totals = {r[0]: r[1] for r in counted.groupBy(_FOREST).agg(F.sum("_rows")).collect()}
+        rows = [totals.get(j, 0) for j in range(len(chosen))]
+        known |= dict(zip(chosen, rows, strict=True))
+        if max(rows) < 2:
+            continue
+        forest = _fit(_copies(counted, [_FOREST, "x"]), ["x"], ["x", _COPY], rows, trees, seed)
+        scored = counted.withColumn("score", _scorer(forest, rows)(F.struct(F.col(_FOREST).cast("double"), "x")))
+        found = _cut_values(scored, rows)
+        name_of = F.element_at(F.array(*(F.lit(c) for c in chosen)), F.col(_FOREST) + 1)
+        rows_of = F.element_at(F.array(*(F.lit(n).cast("bigint") for n in rows)), F.col(_FOREST) + 1)
+        parts.append(found.select(
+            name_of.alias("column"), F.col("x").alias("value"), F.col("_rows").alias("occurrences"), rows_of.alias("row_count"), "score"
+        ))
+    return (reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], _VALUES)), known
+
+
+def _cut_values(scored: DataFrame, rows: list[int]) -> DataFrame:
+    """As ``_cut``, for each forest, where a value stands for ``_rows`` equal rows. The highest scores needed are at
+    most MAX_ANOMALIES + 2 values."""
+    places = [_cut_place(n) for n in rows]
+    ranks = [(n - math.floor(p), n - math.ceil(p), p - math.floor(p)) for n, p in zip(rows, places, strict=True)]
+    low, high, between = (
+        F.element_at(F.array(*(F.lit(r[k]) for r in ranks)), F.col(_FOREST) + 1) for k in range(3)
+    )
+    order = Window.partitionBy(_FOREST).orderBy(F.desc("score"), "x")
+    whole = Window.partitionBy(_FOREST)
+    top = scored.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= MAX_ANOMALIES + 2)
+    upto = F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    top = top.withColumn("_upto", upto)
+    # The score at a rank is the highest of the values that end there or later.
+    at_low = F.max(F.when(F.col("_upto") >= low, F.col("score"))).over(whole)
+    at_high = F.max(F.when(F.col("_upto") >= high, F.col("score"))).over(whole)
+    cut = at_low + between * (at_high - at_low)
+    return top.withColumn("_cut", cut).filter(F.col("score") > F.col("_cut"))
+
+
+def _thresholds(rows: int, trees: int) -> list[int]:
+    """Hashes from which a row is a candidate of at least one tree, of two, and so on: the number of trees is binomial.
+
+    Of ``rows`` rows about twice as many as needed are candidates of a tree, more than enough in practice: fewer than
+    256 of them come with a chance below 1e-30.
+    """
+    share = min(1.0, (2 * TREE_ROWS + 64) / max(rows, 1))
+    if share == 1.0:
+        return [0] * trees
+    chance, below, out = (1.0 - share) ** trees, 0.0, []
+    for k in range(trees):
+        below += chance
+        if 1.0 - below < NEGLIGIBLE:
+            break
+        out.append(int(below * _HASHES))
+        chance *= (trees - k) / (k + 1) * share / (1.0 - share)
+    return out
 
 
-def _fit(known: DataFrame, columns: list[str], key: list[str], rows: int, trees: int, seed: int) -> pd.DataFrame:
-    """All nodes of all trees; bounded by trees x 2 x TREE_ROWS rows, whatever the table.
+def _fit(points: DataFrame, columns: list[str], key: list[str], rows: list[int], trees: int, seed: int) -> pd.DataFrame:
+    """All nodes of all trees of the forests in ``points`` (_forest, columns, key) with so many ``rows``; bounded by
+    forests x trees x 2 x TREE_ROWS rows, whatever the table.
 
-    A tree draws the rows with the smallest hashes of (seed, tree, key), so a draw does not depend on how the rows are
-    spread over tasks. Of ``rows`` rows about twice as many as needed pass the first filter, more than enough
-    in practice: fewer than 256 of them come with a chance below 1e-30.
+    A draw depends on seed, tree and key only, not on how the rows are spread over tasks.
     """
-    least = min(1.0, (2 * TREE_ROWS + 64) / rows)
-    number = lambda tree: F.xxhash64(F.lit(seed), tree, *(field(k) for k in key)).bitwiseAND(_HASHES - 1)
+    keys = [field(k) for k in key]
+
+    def number(purpose: int, *tree: Column) -> Column:
+        return F.xxhash64(F.lit(seed), F.lit(purpose), F.col(_FOREST), *tree, *keys).bitwiseAND(_HASHES - 1)
+
+    lists = ", ".join(f"array({', '.join(f'{t}L' for t in _thresholds(n, trees)) or f'{_HASHES}L'})" for n in rows)
+    candidates = points.withColumns({"_u": number(0), "_from": F.element_at(F.expr(f"array({lists})"), F.col(_FOREST) + 1)})
+    candidates = candidates.filter(F.col("_u") >= F.element_at("_from", 1))
+    times = F.size(F.filter("_from", lambda t: t <= F.col("_u")))
     numbers = F.sequence(F.lit(0), F.lit(trees - 1))
-    chosen = F.filter(numbers, lambda tree: number(tree) < int(least * _HASHES)) if least < 1.0 else numbers
+    shuffled = F.array_sort(F.transform(numbers, lambda t: F.struct(number(1, t).alias("h"), t.alias("tree"))))
     features = [field(c).alias(f"x{i}") for i, c in enumerate(columns)]
-    keys = [field(k).alias(f"k{i}") for i, k in enumerate(key)]
-    candidates = known.select(*features, *keys, F.explode(chosen).alias("tree"))
-    hashed = F.xxhash64(F.lit(seed), "tree", *(f"k{i}" for i in range(len(key)))).bitwiseAND(_HASHES - 1)
+    kept = [k.alias(f"k{i}") for i, k in enumerate(keys)]
+    taken = candidates.select(_FOREST, *features, *kept, F.explode(F.slice(shuffled, 1, times)["tree"]).alias("tree"))
+    draw = F.xxhash64(F.lit(seed), F.lit(2), F.col(_FOREST), "tree", *(f"k{i}" for i in range(len(key))))
     ties = [f"x{i}" for i in range(len(columns))]
-    order = Window.partitionBy("tree").orderBy("_draw", *ties)
-    drawn = candidates.withColumn("_draw", hashed).withColumn("_n", F.row_number().over(order)).filter(
+    order = Window.partitionBy(_FOREST, "tree").orderBy("_draw", *ties)
+    drawn = taken.withColumn("_draw", draw).withColumn("_n", F.row_number().over(order)).filter(
         F.col("_n") <= TREE_ROWS
-    ).select("tree", "_n", *ties)
+    ).select(_FOREST, "tree", "_n", *ties)
     width = len(columns)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values("_n")
         x = ordered[[f"x{i}" for i in range(width)]].to_numpy(dtype=float)
-        return _grow_tree(int(pdf["tree"].iloc[0]), x, seed)
+        nodes = _grow_tree(int(pdf["tree"].iloc[0]), x, seed)
+        nodes.insert(0, "forest", int(pdf[_FOREST].iloc[0]))
+        return nodes
 
-    return drawn.groupBy("tree").applyInPandas(grow, _NODES).toPandas()
+    return drawn.groupBy(_FOREST, "tree").applyInPandas(grow, _NODES).toPandas()
 
 
 def _grow_tree(tree: int, x: np.ndarray, seed: int) -> pd.DataFrame:
@@ -173,48 +253,60 @@ def expected_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
 
 
-def _scorer(forest: pd.DataFrame, tree_rows: int):
-    """Vectorized score of a batch of rows: 2 ** (-mean path / expected path)."""
-    size = int(forest["node"].max()) + 1
-    trees = []
-    for _, nodes in forest.sort_values(["tree", "node"]).groupby("tree"):
-        at = nodes["node"].to_numpy()
-        inner = (nodes["feature"] >= 0).to_numpy()
+def _scorer(nodes: pd.DataFrame, rows: list[int]):
+    """Vectorized score of a batch of (forest, features): 2 ** (-mean path / expected path)."""
+    size = int(nodes["node"].max()) + 1
+    forests: dict[int, list] = {}
+    for (forest, _), own in nodes.sort_values(["forest", "tree", "node"]).groupby(["forest", "tree"]):
+        at = own["node"].to_numpy()
+        inner = (own["feature"] >= 0).to_numpy()
         feature = np.zeros(size, dtype=np.int64)
         split = np.full(size, np.inf)
         # A leaf is its own left child, and nothing goes right of it.
         left = np.arange(size, dtype=np.int64)
         path = np.zeros(size)
-        feature[at[inner]] = nodes["feature"].to_numpy()[inner]
-        split[at[inner]] = nodes["split"].to_numpy()[inner]
+        feature[at[inner]] = own["feature"].to_numpy()[inner]
+        split[at[inner]] = own["split"].to_numpy()[inner]
         left[at[inner]] = 2 * at[inner]
-        path[at] = nodes["depth"].to_numpy() + expected_path(nodes["leaf_rows"].to_numpy())
-        trees.append((feature, split, left, path))
-    scale = float(expected_path(tree_rows))
-    levels = int(forest["depth"].max())
+        path[at] = own["depth"].to_numpy() + expected_path(own["leaf_rows"].to_numpy())
+        forests.setdefault(int(forest), []).append((feature, split, left, path))
+    scales = {f: float(expected_path(min(TREE_ROWS, rows[f]))) for f in forests}
+    levels = int(nodes["depth"].max())
+
+    def scores(x: np.ndarray, forest: int) -> np.ndarray:
+        cells, first_cell = x.ravel(), np.arange(len(x)) * x.shape[1]
+        total = np.zeros(len(x))
+        for feature, split, left, path in forests[forest]:
+            node = np.ones(len(x), dtype=np.int64)
+            for _ in range(levels):
+                value = cells.take(feature.take(node) + first_cell)
+                goes_right = value > split.take(node)
+                node = left.take(node) + goes_right
+            total += path.take(node)
+        return np.round(2.0 ** (-total / len(forests[forest]) / scales[forest]), 12)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.ascontiguousarray(batch.to_numpy(dtype=float))
-            cells, first_cell = x.ravel(), np.arange(len(x)) * x.shape[1]
-            total = np.zeros(len(x))
-            for feature, split, left, path in trees:
-                node = np.ones(len(x), dtype=np.int64)
-                for _ in range(levels):
-                    value = cells.take(feature.take(node) + first_cell)
-                    goes_right = value > split.take(node)
-                    node = left.take(node) + goes_right
-                total += path.take(node)
-            yield pd.Series(np.round(2.0 ** (-total / len(trees) / scale), 12))
+            given = batch.to_numpy(dtype=float)
+            of, x = given[:, 0].astype(int), np.ascontiguousarray(given[:, 1:])
+            out = np.zeros(len(x))
+            for forest in np.unique(of).tolist():
+                if forest in forests:  # a forest of fewer than two rows isolates nothing
+                    out[of == forest] = scores(np.ascontiguousarray(x[of == forest]), forest)
+            yield pd.Series(out)
 
     return score
 
 
+def _cut_place(rows: int) -> float:
+    """Where the (1 - contamination) quantile of so many scores lies."""
+    return (1.0 - min(MAX_SHARE, MAX_ANOMALIES / max(rows, 1))) * max(rows - 1, 0)
+
+
 def _cut(scored: DataFrame, rows: int, ties: list) -> DataFrame:
     """Rows above the (1 - contamination) quantile of the scores, from the highest scores alone."""
-    contamination = min(MAX_SHARE, MAX_ANOMALIES / rows)
-    position = (1.0 - contamination) * (rows - 1)
+    position = _cut_place(rows)
     low, high = math.floor(position), math.ceil(position)
     # Ranks from the top (1 = highest) of the two neighbours of the cut.
     rank_low, rank_high = rows - low, rows - high

@@ -13,6 +13,7 @@ LINE_NUMBERS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax",
 ]
+ORDER_NUMBERS = ["o_totalprice", "o_custkey"]
 PRICES = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
@@ -73,11 +74,27 @@ def anomaly_iforest_multi(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def anomaly_iforest_columns(spark: SparkSession, folder: str) -> DataFrame:
-    """One forest per column; the number of flagged rows is at most what the contamination allows."""
-    labs = entity(spark, folder, "lab_results")
-    found = isolation.detect(labs, ["result_value", "reference_range_high"])
+    """One forest per column, with a few values moved far outside: these are found, and no more rows are flagged than
+    the contamination allows."""
+    orders = base(spark, folder, "orders")
+    moved = F.expr("o_orderkey <= 5")
+    table = orders.select(
+        moved.alias("planted"), *(F.when(moved, F.col(c) * PLANTED).otherwise(F.col(c)).alias(c) for c in ORDER_NUMBERS)
+    )
+    found = isolation.anomalous_values(table, ORDER_NUMBERS)
+    values = table.select("planted", F.inline(F.array(*(
+        F.struct(F.lit(c).alias("columns"), F.col(c).cast("double").alias("value")) for c in ORDER_NUMBERS
+    ))))
+    marked = values.join(
+        found.select(F.col("column").alias("columns"), "value", F.lit(True).alias("found")), ["columns", "value"], "left"
+    ).groupBy("columns").agg(
+        F.count_if("planted").alias("planted"), F.count_if(F.col("planted") & F.col("found").isNotNull()).alias("planted_found")
+    )
     allowed = F.least(F.col("row_count") * 0.1, F.lit(100.0))
-    return found.select("columns", "method", "row_count", (F.col("anomaly_count") <= allowed).alias("within_allowed"))
+    counts = isolation.detect(table, ORDER_NUMBERS)
+    return counts.join(marked, "columns").select(
+        "columns", "method", "row_count", "planted", "planted_found", (F.col("anomaly_count") <= allowed).alias("within_allowed")
+    )
 
 
 QUERIES = {
@@ -159,10 +176,11 @@ SELECT count(*) AS row_count, count(*) FILTER (WHERE {planted}) AS planted,
 ORACLES = {
     "anomaly_iforest": _forest_sql("orders", "o_orderkey <= 5"),
     "anomaly_iforest_multi": _forest_sql("lineitem", "l_orderkey <= 3"),
-    "anomaly_iforest_columns": with_entities("lab_results") + """
-SELECT c AS columns, 'isolation_forest' AS method, n AS row_count, true AS within_allowed FROM (
- SELECT 'result_value' AS c, count(result_value) AS n FROM lab_results
- UNION ALL SELECT 'reference_range_high', count(reference_range_high) FROM lab_results)""",
+    "anomaly_iforest_columns": """
+SELECT c AS columns, 'isolation_forest' AS method, n AS row_count, planted, planted AS planted_found, true AS within_allowed
+FROM (SELECT 'o_totalprice' AS c, count(o_totalprice) AS n, count(o_totalprice) FILTER (WHERE o_orderkey <= 5) AS planted
+ FROM orders
+ UNION ALL SELECT 'o_custkey', count(o_custkey), count(o_custkey) FILTER (WHERE o_orderkey <= 5) FROM orders)""",
     "anomaly_iqr": _labs_sql(iqr_sql, 1.5),
     "anomaly_zscore": _labs_sql(_zscore_sql, 1.5),
     "anomaly_mad": _labs_sql(_mad_sql, 1.5),
