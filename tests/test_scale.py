@@ -126,3 +126,77 @@ def test_first_rows_of_a_large_limit(spark, monkeypatch, order):
         want = [r.id for r in df.orderBy(*order).limit(n).collect()]
         assert sorted(r.id for r in got.collect()) == sorted(want)
     assert selection.first_rows(df, 300).count() == 300 and selection.first_rows(df, 5, ["id"]).count() == 5
+
+
+def scans(monkeypatch):
+    from veristrata.operators import quantiles as Q
+
+    seen, scan = [], Q._scan
+    monkeypatch.setattr(Q, "_scan", lambda df, aggregates: seen.append(1) or scan(df, aggregates))
+    return seen
+
+
+def wide_shapes(n, rng):
+    return {
+        "normal": rng.normal(size=n), "skewed": rng.exponential(size=n) ** 6, "ties": rng.integers(0, 20, n) * 1.0,
+        "hot": np.where(rng.random(n) < 0.7, 5.0, rng.normal(size=n)), "two": rng.integers(0, 2, n) * 1e9,
+        "gaps": np.where(rng.random(n) < 0.9, np.nan, rng.normal(size=n)), "steps": np.round(rng.normal(size=n), 1),
+        "far": rng.normal(size=n) + 1e12,
+    }
+
+
+def test_quartiles_in_three_passes(spark, monkeypatch):
+    """Sketch, proof, and opening together with the other statistics; the same numbers as numpy's."""
+    monkeypatch.setattr("veristrata.operators.quantiles.OPEN_LIMIT", 3000)
+    data = wide_shapes(120_000, np.random.default_rng(3))
+    df = spark.createDataFrame(pd.DataFrame({c: data[c] for c in ("normal", "skewed", "far")}))
+    seen = scans(monkeypatch)
+    got = {r["column"]: r for r in profile.numeric_profile(df).collect()}
+    assert len(seen) == 2  # the third is the report itself
+    for name in df.columns:
+        want = np.quantile(data[name], [0.25, 0.5, 0.75])
+        assert [got[name][q] for q in ("q25", "q50", "q75")] == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("limit", [2500, 8000, 200_000, 40])
+def test_median_deviations_in_four_passes(spark, monkeypatch, limit):
+    from veristrata.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "OPEN_LIMIT", limit)
+    data = wide_shapes(120_000, np.random.default_rng(4))
+    df = spark.createDataFrame(pd.DataFrame(data | {"none": np.nan, "same": 3.0}))
+    seen = scans(monkeypatch)
+    got = Q.median_deviations(df, df.columns)
+    assert "none" not in got and got["same"] == (3.0, 0.0)
+    for name, values in data.items():
+        known = values[~np.isnan(values)]
+        median = np.median(known)
+        assert got[name] == pytest.approx((median, np.median(np.abs(known - median))), rel=1e-12), name
+    if limit > 2500:
+        seen.clear()
+        Q.median_deviations(df, ["normal", "gaps", "far"])
+        assert len(seen) <= 4
+
+
+def test_correlations_of_many_columns_in_one_scan(spark, folder):
+    rng = np.random.default_rng(6)
+    n, width = 3000, 40
+    base = rng.normal(size=(n, 3))
+    x = base @ rng.normal(size=(3, width)) + rng.normal(size=(n, width)) * 0.3 + 1e6
+    x[rng.random((n, width)) < 0.1] = np.nan
+    frame = pd.DataFrame(x, columns=[f"c{i}" for i in range(width)])
+    frame["c3"], frame["c4"], frame["c5"] = 0.1, np.nan, frame["c5"].round(0)
+    spark.createDataFrame(frame).repartition(5).write.parquet(f"{folder}/wide")
+    df = spark.read.parquet(f"{folder}/wide")
+    found = profile.correlations(df)
+    plan = plan_of(found)
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") == 1
+    got = found.collect()
+    assert len(got) == width * width
+    want = frame.corr()
+    for a, b, r in got:
+        w = want.loc[a, b]
+        assert (r is None) if np.isnan(w) else r == pytest.approx(w, abs=1e-9), (a, b)
+    infinite = spark.createDataFrame(frame.head(50).assign(c0=np.inf))
+    odd = {(a, b): r for a, b, r in profile.correlations(infinite).collect()}
+    assert np.isnan(odd["c0", "c1"]) and not np.isnan(odd["c1", "c2"]) and odd["c3", "c1"] is None

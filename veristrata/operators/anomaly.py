@@ -20,7 +20,7 @@ from veristrata.functions.columns import (
     result_rows,
 )
 from veristrata.operators import isolation
-from veristrata.operators.quantiles import quantile_values, quantiles_of
+from veristrata.operators.quantiles import median_deviations, quantile_values
 
 METHODS = ("iqr", "zscore", "mad")
 # Makes the median absolute deviation comparable to a standard deviation.
@@ -100,14 +100,12 @@ def _fit_zscore(df: DataFrame, names: list[str], t: float, mode: str) -> list[Bo
 
 
 def _fit_mad(df: DataFrame, names: list[str], t: float, mode: str) -> list[Bounds]:
-    medians = quantile_values(df, names, (0.5,), mode)
-    distances = {c: F.abs(as_double(df, c) - F.lit(m[0.5])) for c, m in medians.items()}
-    deviations = quantiles_of(df, distances, (0.5,), mode)
+    found = median_deviations(df, names, mode)
     fitted = []
     for name in names:
         b = Bounds(name, "mad", t)
-        if name in medians:
-            b.center, b.scale = medians[name][0.5], deviations[name][0.5]
+        if name in found:
+            b.center, b.scale = found[name]
             if b.scale == 0:
                 b.error = "Zero MAD"
             else:

@@ -25,7 +25,8 @@ from veristrata.functions.columns import (
 )
 from veristrata.functions.moments import adjusted_kurtosis, adjusted_skewness, pearson
 from veristrata.operators.frequencies import distinct_counts, top_values, value_counts
-from veristrata.operators.quantiles import quantile_values
+from veristrata.operators.gram import gram_correlations
+from veristrata.operators.quantiles import fused_quantiles, quantile_values
 from veristrata.operators.selection import digest_of, smallest
 from veristrata.session import shared_dir
 
@@ -59,11 +60,13 @@ def column_profile(
     """
     df = normalize_missing(df)
     names, parts = list(columns or df.columns), set(parts)
-    quartiles = {}
+    quartiles, aggregates = {}, [F.count(F.lit(1)).alias("count")]
     if "numeric" in parts:
         numbers = [c for c in names if is_numeric_or_bool(df.schema[c].dataType)]
-        quartiles = quantile_values(df, numbers, QUARTILES, mode)
-    aggregates: list[Column] = [F.count(F.lit(1)).alias("count")]
+        if mode == "exact":
+            quartiles = fused_quantiles(df, numbers, QUARTILES, aggregates)
+        else:
+            quartiles = quantile_values(df, numbers, QUARTILES, mode)
     rows = [_statistics(df, c, i, parts, quartiles.get(c), aggregates) for i, c in enumerate(names)]
     stats = df.agg(*aggregates).select(result_rows(rows))
     if "distinct" in parts:
@@ -118,7 +121,8 @@ def _statistics(
         return f"cast({f'{key}_{i}' if key in values else 'NULL'} AS {data_type})"
 
     def quartile(p: float) -> str:
-        return f"cast({literal((quartiles or {}).get(p))} AS double)"
+        found = (quartiles or {}).get(p)
+        return f"cast({found if isinstance(found, str) else literal(found)} AS double)"
 
     days = f"timestampdiff(DAY, min_ts_{i}, max_ts_{i})" if "min_ts" in values else "NULL"
     return {
@@ -184,20 +188,14 @@ def string_profile(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson matrix in long form ``(a, b, r)``; empty with fewer than two numeric columns.
 
-    All pairs of a group of columns are one aggregate over one scan.
+    One scan for any number of columns: a few pairs are one aggregate, more are sums of matrix products of Arrow batches.
     """
     df = normalize_missing(df)
     names = columns or numeric_columns(df)
     if len(names) < 2:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
     pairs = [*combinations(names, 2), *((n, n) for n in names)]
-    parts = [
-        _correlate(df, pairs[i : i + PAIRS_PER_PASS]) for i in range(0, len(pairs), PAIRS_PER_PASS)
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return _correlate(df, pairs) if len(pairs) <= PAIRS_PER_PASS else gram_correlations(df, names)
 
 
 def _correlate(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
