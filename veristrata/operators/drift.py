@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from veristrata.functions.columns import (
     as_double,
+    field,
     is_numeric_or_bool,
     literal,
     normalize_missing,
@@ -41,6 +42,38 @@ def schema_drift(reference: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
+def schema_changes(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """A row for each column that was added, removed or changed its type: both types, and how often it is missing in
+    either version. Each table is read once, only the changed columns of it; without changes there are no rows."""
+    old, new = dict(reference.dtypes), dict(current.dtypes)
+    changed = [c for c in [*old, *(c for c in new if c not in old)] if old.get(c) != new.get(c)]
+    kinds = {c: "added" if c not in old else "removed" if c not in new else "retyped" for c in changed}
+    parts = []
+    for version, table, types in (("reference", reference, old), ("current", current, new)):
+        names = [c for c in changed if c in types]
+        if names:
+            counted = normalize_missing(table).agg(
+                F.count(F.lit(1)).alias("rows"), *(F.count(field(c)).alias(f"n{i}") for i, c in enumerate(names))
+            )
+            parts.append(counted.select(result_rows([
+                {"column": literal(c), f"{version}_nulls": f"rows - n{i}"} for i, c in enumerate(names)
+            ])))
+    columns = "`column` string, reference_nulls bigint, current_nulls bigint"
+    if not parts:
+        empty = reference.sparkSession.createDataFrame([], columns)
+        nulls = empty
+    else:
+        nulls = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).groupBy("column").agg(
+            *((F.max(n) if any(n in p.columns for p in parts) else F.lit(None).cast("bigint")).alias(n)
+              for n in ("reference_nulls", "current_nulls"))
+        )
+    known = reference.sparkSession.createDataFrame(
+        [(c, kinds[c], old.get(c), new.get(c)) for c in changed],
+        "`column` string, change string, reference_type string, current_type string",
+    )
+    return known.join(F.broadcast(nulls), "column", "left")  # a row for each changed column
+
+
 def common_numeric_columns(reference: DataFrame, current: DataFrame, both: bool = True) -> list[str]:
     """Shared columns that are numeric (or boolean) in the reference, and in the current table."""
     names = []

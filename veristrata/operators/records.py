@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veristrata.functions import coding
 from veristrata.functions.columns import field, is_string, normalize_missing
@@ -108,19 +109,34 @@ ENTITIES: dict[str, list[Field]] = {
 }
 
 
-def standardize(df: DataFrame, entity: str) -> DataFrame:
-    """Texts without white space at the ends, and defaults in place of missing values."""
+def standardize(df: DataFrame, entity: str, as_text: bool = False) -> DataFrame:
+    """Texts without white space at the ends, and defaults in place of missing values. With ``as_text`` ids and closed
+    enumerations become text, whatever their type: 16 bytes are written as a UUID."""
     defaults = {f.name: f.default for f in ENTITIES[entity] if f.default is not None}
+    enumerations = {f.name for f in ENTITIES[entity] if f.members is not None}
     df = normalize_missing(df)
     projected = []
     for f in df.schema.fields:
-        c = strip(field(f.name)) if is_string(f.dataType) else field(f.name)
+        c = field(f.name)
+        if as_text and (f.name in enumerations or f.name.endswith("_id")):
+            c = strip(plain_text(c, f.dataType))
+        elif is_string(f.dataType):
+            c = strip(c)
         if f.name in defaults:
             c = F.coalesce(c, F.lit(defaults[f.name]))
         projected.append(c.alias(f.name))
     return df.select(*projected)
 
 
+def plain_text(value: Column, data_type: T.DataType) -> Column:
+    """A value as text; 16 bytes as the text of a UUID, other bytes as hexadecimal digits."""
+    if not isinstance(data_type, T.BinaryType):
+        return value.cast("string")
+    digits = F.lower(F.hex(value))
+    parts = [F.substring(digits, start, size) for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.when(F.octet_length(value) == 16, F.concat_ws("-", *parts)).otherwise(digits)
+
+
 def with_violations(df: DataFrame, entity: str, as_of: str) -> DataFrame:
     """Standardized rows with ``violations``, the ids of the rules each row breaks."""
     df = standardize(df, entity)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from veristrata.functions.columns import field, is_string
+
 # Quotes inside cells are doubled, cells may hold line breaks, and white space is kept; an empty cell is
 # missing, quoted or not.
 CSV_OPTIONS = {
@@ -17,20 +19,38 @@ CSV_OPTIONS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, one_line: bool = False) -> DataFrame:
     """CSV with a header. With a schema codes such as ``02101`` keep their zeros; without one the
     types are inferred by an extra pass over the files.
 
-    As a cell may hold line breaks, a file is read by one task: large data belong into many files, or better
-    into Parquet."""
-    reader = spark.read.options(**CSV_OPTIONS)
-    if schema is None:
-        return reader.option("inferSchema", "true").csv(path)
-    return reader.schema(schema).csv(path)
+    As a cell may hold line breaks, a file is read by one task. Files that ``write_csv`` has written with ``one_line`` have
+    a row on every line, so large ones are split and read by many."""
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(not one_line).lower())
+    df = reader.option("inferSchema", "true").csv(path) if schema is None else reader.schema(schema).csv(path)
+    return _each_text(df, _broken) if one_line else df
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", one_line: bool = False) -> None:
+    """CSV with a header. With ``one_line`` line breaks in texts are written as \\n and \\r, and backslashes doubled."""
+    (_each_text(df, _unbroken) if one_line else df).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+
+
+def _each_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    return df.select(*(
+        change(field(f.name)).alias(f.name) if is_string(f.dataType) else field(f.name) for f in df.schema.fields
+    ))
+
+
+def _unbroken(text: Column) -> Column:
+    doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+def _broken(text: Column) -> Column:
+    """Undoes ``_unbroken``: between doubled backslashes a single one begins a line break."""
+    parts = F.split(text, r"\\\\")
+    lines = lambda x: F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.when(text.contains("\\"), F.array_join(F.transform(parts, lines), "\\")).otherwise(text)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

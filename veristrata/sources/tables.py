@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veristrata.functions.columns import field
-from veristrata.session import scratch_path
 
 
 def query(spark: SparkSession, text: str, params: Mapping[str, Any] | None = None,
@@ -62,10 +63,11 @@ def table_exists(spark: SparkSession, table: str, schema: str | None = None) ->
 
 
 def table_schema(df: DataFrame) -> DataFrame:
-    """``(position, column, type, nullable)`` of a table; metadata only."""
+    """``(position, column, type, nullable, default)`` of a table, the default as SQL text; metadata only."""
     return df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)],
-        "position int, `column` string, type string, nullable boolean",
+        [(i, f.name, f.dataType.simpleString(), f.nullable, (f.metadata or {}).get("CURRENT_DEFAULT"))
+         for i, f in enumerate(df.schema.fields)],
+        "position int, `column` string, type string, nullable boolean, default string",
     )
 
 
@@ -75,8 +77,6 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def append(df: DataFrame, table: str, schema: str | None = None, file_format: str = "parquet") -> int:
     """Append to a table (created if needed); returns the number of rows, counted while writing."""
-    from pyspark.sql import Observation
-
     seen = Observation("append")
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("append").format(file_format).saveAsTable(qualified(table, schema))
@@ -109,43 +109,34 @@ def affected(df: DataFrame, condition: Column) -> DataFrame:
     return df.agg(F.count(F.when(condition, F.lit(1))).alias("affected_rows"))
 
 
-class RewriteFailed(RuntimeError):
-    """The overwrite of a table failed; ``staged`` holds the complete new content."""
-
-    def __init__(self, table: str, staged: str):
-        super().__init__(f"{table} may be incomplete; its whole new content is in {staged}")
-        self.staged = staged
-
+def rewrite(spark: SparkSession, table: str, change, condition: Column, schema: str | None = None) -> int:
+    """Replace the content of a file table by what ``change`` makes of it; returns the rows that met ``condition``.
 
-def rewrite(spark: SparkSession, table: str, changed: DataFrame, schema: str | None = None) -> None:
-    """Replace the content of a table by a frame that reads it.
-
-    The new rows are written to the shared folder first. The overwrite of a file table is not atomic: Spark
-    removes the old files before the new ones are all there. If it fails, the error names the staged copy.
+    The table is read once: the new content is written to a folder of its own while the rows are counted, and one change of
+    the table's location puts it in place. Until then, and if the write fails, the table is what it was; readers that
+    have begun go on with the old files, which stay where they are.
     """
-    staged = scratch_path(spark, f"rewrite-{table}")
-    changed.write.parquet(staged)
     name = qualified(table, schema)
-    try:
-        spark.read.schema(changed.schema).parquet(staged).write.mode("overwrite").insertInto(name)
-    except Exception as error:
-        raise RewriteFailed(name, staged) from error
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        raise ValueError(f"{name} is partitioned: its partitions have locations of their own")
+    seen = Observation("rewrite")
+    rows = spark.table(name).observe(seen, F.count(F.when(condition, F.lit(1))).alias("touched"))
+    version = re.sub("--[0-9a-f]{12}$", "", about["Location"].rstrip("/")) + f"--{uuid.uuid4().hex[:12]}"
+    change(rows).write.format(about["Provider"]).save(version)
+    touched = seen.get["touched"]
+    if touched:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    return touched
 
 
 def update(spark: SparkSession, table: str, condition: Column, values: Mapping[str, Column],
            schema: str | None = None) -> int:
     """UPDATE on a file-backed table; returns the number of affected rows."""
-    df = spark.table(qualified(table, schema))
-    touched = affected(df, condition).first()["affected_rows"]
-    if touched:
-        rewrite(spark, table, updated(df, condition, values), schema)
-    return touched
+    return rewrite(spark, table, lambda df: updated(df, condition, values), condition, schema)
 
 
 def delete(spark: SparkSession, table: str, condition: Column, schema: str | None = None) -> int:
     """DELETE on a file-backed table; returns the number of affected rows."""
-    df = spark.table(qualified(table, schema))
-    touched = affected(df, condition).first()["affected_rows"]
-    if touched:
-        rewrite(spark, table, deleted(df, condition), schema)
-    return touched
+    return rewrite(spark, table, lambda df: deleted(df, condition), condition, schema)

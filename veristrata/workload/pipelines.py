@@ -136,6 +136,22 @@ def stream_validate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+KEY_SUITE = Suite("keys").unique("event_id").not_null("event_id").between("value", 10, 90)
+
+
+def stream_unique_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of which one in fifty comes again in a later file: found over the batches, though unique in each."""
+    events = base(spark, folder, "events")
+    results, keys, source = scratch_path(spark, "batches"), scratch_path(spark, "keys"), scratch_path(spark, "events")
+    events.coalesce(2).write.parquet(source)
+    events.where("event_id % 50 = 0").coalesce(1).write.mode("append").parquet(source)
+    stream = file_stream(spark, source, events.schema, name_pattern="*.parquet")
+    validate_stream(stream, KEY_SUITE, results, scratch_path(spark, "stream"), keys=keys).awaitTermination()
+    return stream_totals(spark, results, keys).select(
+        "suite", "idx", "expectation_type", "column", "element_count", "null_count", "unexpected_count", "success"
+    )
+
+
 QUERIES = {
     "quality_pipeline": quality_pipeline,
     "quality_score": quality_score,
@@ -149,6 +165,7 @@ QUERIES = {
     "dataset_summary": dataset_summary_query,
     "category_distribution": category_distribution_query,
     "stream_validate": stream_validate,
+    "stream_unique_keys": stream_unique_keys,
 }
 
 
@@ -271,4 +288,7 @@ SELECT 'treatment_type', treatment_type, count(*) FROM treatments GROUP BY 2""",
     "stream_validate": "SELECT suite, idx, expectation_type, \"column\", element_count, null_count, "
     "unexpected_count, success FROM ("
     + suite_sql("events", EVENT_SUITE, ["event_id", "event_type", "value", "props"]) + ")",
+    "stream_unique_keys": "WITH again AS (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 50 = 0)\n"
+    "SELECT suite, idx, expectation_type, \"column\", element_count, null_count, unexpected_count, success FROM ("
+    + suite_sql("again", KEY_SUITE, ["event_id", "event_type", "value", "props"]) + ")",
 }

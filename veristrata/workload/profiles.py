@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veristrata.operators import profile as P
+from veristrata.operators import sketches
+from veristrata.session import stored
 from veristrata.workload.common import base, entity, rounded, with_entities
 
 # Columns of the entity views by type class, for the SQL side.
@@ -81,7 +83,33 @@ def sample_n_profile(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(P.numeric_profile(sample))
 
 
+def profile_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Two halves of the orders profiled alone, stored and combined, against the whole: the exact numbers, and whether
+    the sketches are within their error."""
+    orders = base(spark, folder, "orders")
+    halves = [orders.where(F.col("o_orderkey") % 2 == i) for i in range(2)]
+    combined = stored(sketches.combine(*(stored(sketches.sketch_profile(h), "half") for h in halves)), "profile")
+    found = sketches.report(combined)
+    numbers = ["o_orderkey", "o_custkey", "o_totalprice"]
+    medians = {r["column"]: r["q50"] for r in found.collect() if r["column"] in numbers}  # a row for each column
+    counts = orders.agg(
+        *(F.countDistinct(c).alias(f"d_{c}") for c in orders.columns),
+        *(F.avg((F.col(c) <= F.lit(medians[c])).cast("double")).alias(f"r_{c}") for c in numbers),
+    ).select(F.inline(F.array(*(
+        F.struct(F.lit(c).alias("column"), F.col(f"d_{c}").alias("exact"),
+                 (F.col(f"r_{c}") if c in numbers else F.lit(None).cast("double")).alias("rank")) for c in orders.columns
+    ))))
+    near = F.abs(F.col("unique_count") - F.col("exact")) <= F.greatest(F.col("exact") * sketches.HLL_ERROR, F.lit(1))
+    # Of a number with few values a rank may be off by the rows of one.
+    middle = F.abs(F.col("rank") - 0.5) <= sketches.KLL_ERROR + F.try_divide(F.lit(1.0), F.col("exact"))
+    return rounded(found.join(counts, "column").select(
+        "column", "count", "null_count", "mean", "std", "min", "max", near.alias("distinct_within"),
+        F.coalesce(middle, F.lit(True)).alias("median_within"),
+    ), 4)
+
+
 QUERIES = {
+    "profile_sketches": profile_sketches,
     "profile_table": _on("lab_results", P.table_profile, "lab_results"),
     "profile_nulls": _on("treatments", P.null_profile),
     "profile_unique": _on("patients", P.unique_profile),
@@ -192,7 +220,21 @@ def _pair(a: str, b: str) -> str:
 
 _DOCUMENT_TEXTS = ["text", "lang", "source"]
 _DIGEST = "md5(concat('42:', cast(o_orderkey AS varchar)))"
+def _sketched_sql(c: str, number: bool) -> str:
+    cells = f"avg({c}), stddev_samp({c}), min({c}), max({c})".split(", ") if number else ["NULL"] * 4
+    listed = ", ".join(
+        f"round(cast({e} AS double), 4) AS {n}" for e, n in zip(cells, ("mean", "std", "min", "max"), strict=True)
+    )
+    return (
+        f"SELECT '{c}' AS \"column\", count(*) AS count, count(*) - count({c}) AS null_count, {listed}, "
+        "true AS distinct_within, true AS median_within FROM orders"
+    )
+
+
 ORACLES = {
+    "profile_sketches": "\nUNION ALL\n".join(
+        _sketched_sql(c, c in ("o_orderkey", "o_custkey", "o_totalprice")) for c in (
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")),
     "profile_table": with_entities("lab_results")
     + "SELECT 'lab_results' AS name, count(*) AS row_count, 18 AS column_count FROM lab_results",
     "profile_nulls": _union("treatments", [

@@ -55,6 +55,12 @@ def rec_standardize(spark: SparkSession, folder: str) -> DataFrame:
     return clean.select("patient_id", "last_name", "race", "ethnicity", "city", "phone")
 
 
+def rec_plain_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids given as 16 bytes, as the text of a UUID; enumerations as text."""
+    given = entity(spark, folder, "patients").withColumn("patient_id", F.unhex(F.md5(F.col("patient_id").cast("binary"))))
+    return standardize(given, "patients", as_text=True).select("patient_id", "gender", "race", "cancer_type")
+
+
 def rec_range_flags(spark: SparkSession, folder: str) -> DataFrame:
     flagged = with_range_flags(entity(spark, folder, "lab_results"))
     return flagged.groupBy("test_code", "derived_abnormal", "derived_critical").agg(
@@ -114,6 +120,7 @@ QUERIES = {f"rec_violations_{n}": _violations(n) for n in ENTITIES} | {
     "rec_violations_faulty_labs": rec_violations_faulty_labs,
     "rec_quarantine": rec_quarantine,
     "rec_standardize": rec_standardize,
+    "rec_plain_texts": rec_plain_texts,
     "rec_range_flags": rec_range_flags,
     "rec_status_from_dates": rec_status_from_dates,
     "rec_tiered_round": rec_tiered_round,
@@ -192,6 +199,10 @@ ORACLES = {f"rec_violations_{n}": _violations_sql(n) for n in ENTITIES} | {
     "rec_standardize": with_entities("patients") + """
 SELECT patient_id, trim(last_name) AS last_name, coalesce(race, 'U') AS race,
  coalesce(ethnicity, 'U') AS ethnicity, trim(city) AS city, trim(phone) AS phone FROM patients""",
+    "rec_plain_texts": with_entities("patients") + """
+SELECT concat_ws('-', substr(m, 1, 8), substr(m, 9, 4), substr(m, 13, 4), substr(m, 17, 4), substr(m, 21, 12)) AS patient_id,
+ trim(gender) AS gender, coalesce(trim(race), 'U') AS race, trim(cancer_type) AS cancer_type
+FROM (SELECT *, md5(patient_id) AS m FROM patients)""",
     "rec_range_flags": with_entities("lab_results") + """
 SELECT test_code, result_value < reference_range_low OR result_value > reference_range_high
  AS derived_abnormal, result_value < 0.5e0 * reference_range_low

@@ -12,6 +12,7 @@ from veristrata.operators.validate import validate_table
 from veristrata.plans.suite import Suite
 from veristrata.session import scratch_database, scratch_path
 from veristrata.sources import files, tables
+from veristrata.sources.chunks import with_chunks
 from veristrata.workload.common import base, entities, rounded, with_entities
 from veristrata.workload.validation import COLUMNS, suite_sql
 
@@ -28,6 +29,26 @@ def _through_csv(table: str):
     return run
 
 
+def scan_csv_one_line(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, line breaks and all, in CSV files that can be split."""
+    df = base(spark, folder, "documents")
+    path = scratch_path(spark, "documents-csv")
+    files.write_csv(df, path, one_line=True)
+    return files.read_csv(spark, path, df.schema, one_line=True)
+
+
+def chunked_query(spark: SparkSession, folder: str) -> DataFrame:
+    """A query's result in chunks: their number, and the rows of the largest and of all."""
+    text = "SELECT l_orderkey, l_linenumber, l_tax FROM {lineitem} WHERE l_quantity > :least"
+    found = tables.query(spark, text, {"least": 10.0}, lineitem=base(spark, folder, "lineitem"))
+    sizes = with_chunks(found, CHUNK_ROWS).groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"))
+    return sizes.agg(
+        F.count(F.lit(1)).alias("chunks"), F.max("rows").alias("largest"), F.sum("rows").alias("rows"),
+        F.max("chunk").alias("last_chunk"),
+    )
+
+
+CHUNK_ROWS = 10_000
 ENTITY_NAMES = ("patients", "treatments", "lab_results")
 
 
@@ -168,6 +189,8 @@ QUERIES = {
     "scan_csv": _through_csv("customer"),
     "scan_csv_documents": _through_csv("documents"),
     "scan_csv_conversations": _through_csv("conversations"),
+    "scan_csv_one_line": scan_csv_one_line,
+    "chunked_query": chunked_query,
     "summary_json": summary_json,
     "sink_parquet": sink_parquet,
     "file_assets": file_assets,
@@ -199,6 +222,10 @@ ORACLES = {
     "scan_csv": "SELECT * FROM customer",
     "scan_csv_documents": "SELECT * FROM documents",
     "scan_csv_conversations": "SELECT * FROM conversations",
+    "scan_csv_one_line": "SELECT * FROM documents",
+    "chunked_query": f"""
+SELECT cast(ceil(count(*) / {CHUNK_ROWS}e0) AS bigint) AS chunks, least(count(*), {CHUNK_ROWS}) AS largest, count(*) AS rows,
+ cast(ceil(count(*) / {CHUNK_ROWS}e0) AS bigint) - 1 AS last_chunk FROM lineitem WHERE l_quantity > 10""",
     "summary_json": """SELECT count(*) AS orders, count(DISTINCT o_custkey) AS customers,
  round(avg(o_totalprice), 4) AS avg_price FROM orders""",
     "sink_parquet": with_entities(*ENTITY_NAMES) + "\nUNION ALL\n".join(
@@ -223,7 +250,7 @@ SELECT o_orderstatus, count(*) AS rows, round(avg(o_totalprice), 4) AS avg_price
  AS rows_after_truncate FROM orders""",
     "table_schema": "\nUNION ALL\n".join(
         f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, true AS nullable, "
-        f"count(*) - count({c}) AS null_count FROM orders" for i, (c, t) in enumerate(_ORDER_TYPES.items())),
+        f"cast(NULL AS varchar) AS \"default\", count(*) - count({c}) AS null_count FROM orders" for i, (c, t) in enumerate(_ORDER_TYPES.items())),
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
     "validate_sql_table": "WITH head AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)\n"
     + f"SELECT 'all' AS scope, * FROM ({suite_sql('orders', TABLE_SUITE, list(_ORDER_TYPES))})\n"
