@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -253,6 +254,97 @@ def test_main_text(page, text):
     assert html.main_text(page or "") == text
 
 
+ARTICLE = "This is an article, with commas, and a good deal of text. " * 11
+
+
+@pytest.mark.parametrize("marks", [
+    "post hentry tag-python", "container sidebar-left", "wrapper nav-open", "content widget-area", "entry share-enabled",
+    "sidebar-left", "post comments-open",
+])
+def test_layout_classes_keep_the_article(marks):
+    alone = f'<body><div class="{marks}"><p>{ARTICLE}</p></div></body>'
+    assert html.main_text(alone) == ARTICLE.strip()
+    page = (
+        f'<body><nav><a href=x>menu</a></nav><div class="{marks}"><p>{ARTICLE}</p>'
+        f'<div class="comments-area"><p>{ARTICLE}</p></div></div></body>'
+    )
+    assert html.main_text(page) == ARTICLE.strip()
+
+
+@pytest.mark.parametrize("marks", ["sidebar", "widget-area", "social-share", "post-comments content", "cookie-banner", "tags"])
+def test_noise_classes_go(marks):
+    page = f'<body><div class="post"><p>{ARTICLE}</p></div><div class="{marks}"><p>{ARTICLE}</p></div></body>'
+    assert html.main_text(page) == ARTICLE.strip()
+
+
+@pytest.mark.parametrize("page", [
+    lambda n: "<b>" * n + "<p>x" * n, lambda n: "<div>x" * n, lambda n: "<span>" * n + "</q>" * n + "x",
+    lambda n: "<span>" * n + "<li>x" * n, lambda n: "<article>" + "<header>x" * n + "<h1>h", lambda n: "<td>x<b>" * n,
+    lambda n: "".join(f"<x{i}>" for i in range(n)) + "</div>" * n + "x", lambda n: "<ul><li>x" * n, lambda n: "<p>x</p>" * n,
+])
+def test_time_is_linear_in_the_page(page):
+    def seconds(n):
+        begin = time.process_time()
+        assert html.main_text(page(n))
+        return time.process_time() - begin
+
+    seconds(1000)
+    assert seconds(40_000) < 14 * max(seconds(5000), 0.01)
+
+
+def plain_points(root):
+    """The scores by their definition: each element asks all blocks below it."""
+    found = html.blocks(root)
+
+    def distance(node, owner):
+        holder = owner.parent if owner.tag in html.PARAGRAPHS and owner.parent else owner
+        steps = 1
+        while holder is not None and holder is not node:
+            holder, steps = holder.parent, steps + 1
+        return steps if holder is node else None
+
+    def points(node):
+        own = [(distance(node, o), t, linked) for o, t, linked in found]
+        own = [(d, t, linked) for d, t, linked in own if d is not None]
+        total = sum(html._points(t) * (1 - linked / len(t)) / d for d, t, linked in own)
+        if node.tag in ("article", "main"):
+            total = total * 2 + 25
+        elif html.ARTICLE.search(node.marks):
+            total = total * 1.25 + 5
+        length = sum(len(t) for _, t, _ in own)
+        return (total * (1 - sum(x for *_, x in own) / max(length, 1)), length) if own else None
+
+    out, stack = {}, [root]
+    while stack:
+        node = stack.pop()
+        value = points(node)
+        if value:
+            out[id(node)] = value
+        stack += [c for c in node.children if isinstance(c, html.Node)]
+    return out
+
+
+def test_scores_by_brute_force():
+    draw = random.Random(6)
+    tags = "div p span b a ul li table tr td h2 article header section main body blockquote".split()
+    for _ in range(400):
+        parts = []
+        for _ in range(draw.randrange(1, 50)):
+            kind, tag = draw.random(), draw.choice(tags)
+            if kind < 0.4:
+                parts.append(f"<{tag}{draw.choice(['', ' class=post', ' class=sidebar', ' id=x'])}>")
+            elif kind < 0.65:
+                parts.append(f"</{tag}>")
+            else:
+                parts.append(draw.choice(["some words here, and more of them ", "x", "a, b, c, d", "Long enough to be read? " * 5]))
+        nodes = []
+        root = html.parse("".join(parts), nodes)
+        scored = {id(n): (n.points, n.length) for n in html.score(html.blocks(root), nodes)}
+        want = plain_points(root)
+        assert scored.keys() == want.keys()
+        assert all(scored[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_extract_keeps_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>é</p>", "x"), (2, None, None, "y")], "page_id long, url string, html string, text string")
     assert [tuple(r) for r in html.extract(pages).orderBy("page_id").collect()] == [(1, "u", "é", 1), (2, None, "", 0)]

@@ -2,14 +2,18 @@
 
 Every block of text (a paragraph, heading, item, cell or bare text of a container) has points for its
 length and its commas. It passes them to its parent in full, to the grandparent by half, then by a
-third, a quarter and so on; a container's points are discounted by the share of its text that stands
-inside links. Tags that mean an article or a main part add points, and what is no content by its tag, role
+third, a quarter and so on, up to LEVELS containers; a container's points are discounted by the share of its text that
+stands inside links. Tags that mean an article or a main part add points, and what is no content by its tag, role
 or class has been taken out before. The best container is kept with those siblings that have enough points
 themselves or read like running text.
 
+A class that is a word for what is no content takes its element out. A class that only has such a word as a part
+("sidebar-left", "tag-python") does so, too, unless another class names content or layout, or nothing would be
+left of the page; words for readers' comments always do.
+
 Defined cases: NULL html is empty and gives an empty text; pages without tags are one block; unclosed and
 misplaced tags are closed where the next block begins; a page whose blocks are all links or removed gives an
-empty text; the tree is walked without recursion, so depth is no matter; very long pages are read whole;
+empty text; time grows in proportion to the page, however deep its tree; very long pages are read whole;
 repeated rows and other columns make no difference.
 """
 
@@ -45,18 +49,30 @@ ENDS = {
     "body": {"head"},
 }
 BOUND = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
+TABLE = {"table"}
+# The kinds of opening tags that an element matters for, as what they end or as what bounds them.
+STARTS: dict[str, list[str]] = {}
+for _kind, _ended in ENDS.items():
+    for _tag in _ended | BOUND.get(_kind, TABLE):
+        STARTS.setdefault(_tag, []).append(_kind)
 KEEPS_P = frozenset("caption option optgroup td th tr tbody thead tfoot".split())
 
 # Words of class, id or role that tell what is not the article.
-NOISE = re.compile(
-    r"(?:^|(?<!has)(?<!no)(?<!with)[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|breadcrumbs?|comments?|commentary|"
+_NOISE_WORDS = (
+    r"ad|ads|adv|advert|adverts|advertisement|advertising|banner|breadcrumbs?|comments?|commentary|"
     r"complementary|contentinfo|cookies?|consent|disqus|discussion|footer|gdpr|masthead|menu|menubar|modal|nav|"
     r"navbar|navigation|newsletter|notice|notification|outbrain|pagination|pager|popup|promo|promoted|promotion|"
     r"related|recommended|replies|respond|rss|share|sharing|shoutbox|sidebar|signup|skip|skyscraper|social|sponsor|"
     r"sponsored|subscribe|subscription|taboola|tags?|teaser|toolbar|tooltip|topbar|widget|alert|alertdialog|search|"
-    r"toc|login|site-header|disclaimer|paywall|adsense|adslot|adbox|adunit|sidebars|warning)"
-    r"(?:$|[\s_-])",
-    re.I,
+    r"toc|login|site-header|disclaimer|paywall|adsense|adslot|adbox|adunit|sidebars|warning"
+)
+NOISE = re.compile(rf"(?:^|(?<!has)(?<!no)(?<!with)[\s_-])(?:{_NOISE_WORDS})(?:$|[\s_-])", re.I)
+NOISE_CLASS = re.compile(_NOISE_WORDS, re.I)
+# Readers' comments, unless the word only tells whether there may be any.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentary|disqus|discussion|replies|respond)(?:$|\s|[_-](?!open|closed|enabled|disabled|on\b|off\b))", re.I)
+# Classes that name content or its frame.
+FRAMES = frozenset(
+    "article articles blog body container content entry hentry layout main page post site story text wrap wrapper".split()
 )
 HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text|blog)(?:$|[\s_-])", re.I)
@@ -70,14 +86,43 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
+LEVELS = 64  # containers that a block passes points to
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "gone", "marks", "points", "length", "linked")
+    """An element. ``depth`` is its place in the tree; ``stop`` the nearest element, itself included, that an open
+    paragraph is looked for in, ``edge`` the depth of the nearest block, ``tops`` the topmost open elements that opening tags end."""
+
+    __slots__ = ("tag", "parent", "children", "gone", "maybe", "marks", "points", "length", "linked", "depth", "stop", "edge", "tops",
+                 "in_article", "headed", "kept")
 
-    def __init__(self, tag: str, parent: Node | None, marks: str = "", gone: bool = False):
-        self.tag, self.parent, self.marks, self.gone = tag, parent, marks, gone
+    def __init__(self, tag: str, parent: Node | None, marks: str = "", gone: bool = False, maybe: bool = False):
+        self.tag, self.parent, self.marks, self.gone, self.maybe = tag, parent, marks, gone, maybe
         self.children: list[Node | str] = []
         self.points = 0.0
         self.length = self.linked = 0
+        self.headed = self.kept = False
+        self.in_article = tag in ("article", "main") or parent is not None and parent.in_article
+        if parent is None:
+            self.depth, self.stop, self.edge, self.tops = 0, self, 0, {}
+            return
+        self.depth = parent.depth + 1
+        self.stop = self if tag == "p" or tag in BLOCKS and tag not in HEADINGS else parent.stop
+        self.edge = self.depth if tag in BLOCKS else parent.edge
+        self.tops = parent.tops
+        if tag in STARTS:
+            tops = dict(parent.tops)
+            for kind in STARTS[tag]:
+                if tag in BOUND.get(kind, TABLE):
+                    tops[kind] = None
+                elif tops.get(kind) is None:
+                    tops[kind] = self
+            self.tops = tops
+        if tag in HEADINGS:
+            up = parent
+            while up is not None and not up.headed:
+                up.headed = True
+                up = up.parent
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -93,12 +138,30 @@ def _opened(tag: str, source: str, parent: Node) -> Node:
         r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I
     )
     noisy = tag not in ("html", "body", "article", "main") and not given.get("role") == "main" and NOISE.search(marks)
-    return Node(tag, parent, marks, bool(tag in DROPPED or hidden or noisy))
+    maybe = False
+    if noisy and not any(NOISE_CLASS.fullmatch(c) for c in marks.split()):
+        comments = COMMENTS.search(marks)
+        framed = not comments and any(c.lower() in FRAMES for c in marks.split())
+        noisy, maybe = not framed, not framed and not comments
+    gone = bool(tag in DROPPED or hidden)
+    return Node(tag, parent, marks, gone or bool(noisy), maybe and not gone)
+
+
+def parse(html: str, nodes: list[Node] | None = None) -> Node:
+    """Tree of a page. Raw elements hold their source; texts have their references decoded. ``nodes`` gets all
+    elements in the order of their beginnings."""
+    root = node = Node("#root", None)
+    nodes = [] if nodes is None else nodes
+    nodes.append(root)
+    opened: dict[str, list[Node]] = {}  # of each tag the open elements, outermost first
 
+    def up_to(target: Node) -> Node:
+        while node_at[0] is not target:
+            opened[node_at[0].tag].pop()
+            node_at[0] = node_at[0].parent
+        return target
 
-def parse(html: str) -> Node:
-    """Tree of a page. Raw elements hold their source; texts have their references decoded."""
-    root = node = Node("#root", None)
+    node_at = [root]
     at, size, lower = 0, len(html), None
     while at < size:
         m = TOKEN.search(html, at)
@@ -110,18 +173,19 @@ def parse(html: str) -> Node:
         at = m.end()
         if m[2]:
             tag = m[2].lower()
-            node = _make_room(node, tag)
+            node = up_to(_make_room(node, tag))
             new = _opened(tag, m[3], node)
             node.children.append(new)
+            nodes.append(new)
             if tag in RAW:
                 lower = lower or html.lower()
                 end = lower.find(f"</{tag}", at)
                 at = size if end < 0 else end
-                node = new
-            elif tag not in VOID:
-                node = new
+            if tag in RAW or tag not in VOID:
+                opened.setdefault(tag, []).append(new)
+                node = node_at[0] = new
         elif m[1]:
-            node = _close(node, m[1].lower())
+            node = up_to(_close(node, m[1].lower(), opened))
         elif m[0].startswith("<![CDATA["):
             node.children.append(m[0][9:].removesuffix("]]>"))
     return root
@@ -129,53 +193,27 @@ def parse(html: str) -> Node:
 
 def _make_room(node: Node, tag: str) -> Node:
     """Ends what an opening tag ends: an open paragraph before a block, an item before an item."""
-    if tag in BLOCKS and tag not in KEEPS_P:
-        up = node
-        while up.parent and up.tag != "p" and (up.tag not in BLOCKS or up.tag in HEADINGS):
-            up = up.parent
-        if up.tag == "p":
-            node = up.parent
-    ends = ENDS.get(tag)
-    if ends:
-        bound = BOUND.get(tag, {"table"})
-        up, last = node, None
-        while up.parent and up.tag not in bound:
-            if up.tag in ends:
-                last = up
-            up = up.parent
-        if last:
+    if tag in BLOCKS and tag not in KEEPS_P and node.stop.tag == "p":
+        node = node.stop.parent
+    if tag in ENDS:
+        last = node.tops.get(tag)
+        if last is not None:
             node = last.parent
     return node
 
 
-def _close(node: Node, tag: str) -> Node:
+def _close(node: Node, tag: str, opened: dict[str, list[Node]]) -> Node:
     """An end tag without a beginning is passed over; one inside a block doesn't end what is around it,
     unless it is a block itself."""
-    up = node
-    while up.parent:
-        if up.tag == tag:
-            return up.parent
-        if tag not in BLOCKS and up.tag in BLOCKS:
-            return node
-        up = up.parent
-    return node
+    same = opened.get(tag)
+    if not same or tag not in BLOCKS and same[-1].depth <= node.edge:
+        return node
+    return same[-1].parent
 
 
 def _kept_header(node: Node) -> bool:
     """A header inside an article that has its heading is part of it."""
-    up = node.parent
-    while up and up.tag not in ("article", "main"):
-        up = up.parent
-    if up is None:
-        return False
-    stack = list(node.children)
-    while stack:
-        x = stack.pop()
-        if isinstance(x, Node):
-            if x.tag in HEADINGS:
-                return True
-            stack.extend(x.children)
-    return False
+    return node.headed and node.parent is not None and node.parent.in_article
 
 
 class _Block:
@@ -235,36 +273,58 @@ PARAGRAPHS = frozenset("p pre blockquote li dd dt td th figcaption caption summa
 
 def main_text(html: str) -> str:
     """Blocks of the article, joined by line breaks."""
-    found = blocks(parse(html))
-    if not found:
-        return ""
+    nodes: list[Node] = []
+    root = parse(html, nodes)
+    text = _best_text(root, nodes)
+    if not text and any(n.maybe for n in nodes):
+        for n in nodes:
+            n.gone = n.gone and not n.maybe
+            n.points, n.length, n.linked, n.kept = 0.0, 0, 0, False
+        text = _best_text(root, nodes)
+    return text
+
+
+def score(found: list[tuple[Node, str, int]], nodes: list[Node]) -> list[Node]:
+    """Gives the elements their points, and the lengths of their text; those with points, nearest to their blocks first."""
     scored: dict[int, Node] = {}
     for owner, text, linked in found:
         value = _points(text) * (1 - linked / len(text))
         holder = owner.parent if owner.tag in PARAGRAPHS and owner.parent else owner
+        holder.length += len(text)
+        holder.linked += linked
         share, up = 1, holder
-        while up is not None:
+        while up is not None and share <= LEVELS:
             up.points += value / share
-            up.length += len(text)
-            up.linked += linked
             scored[id(up)] = up
             share += 1
             up = up.parent
-    best, most = None, 0.0
+    for node in reversed(nodes):  # children come after their parents
+        if node.parent is not None:
+            node.parent.length += node.length
+            node.parent.linked += node.linked
     for node in scored.values():
         if node.tag in ("article", "main"):
             node.points = node.points * 2 + 25
         elif ARTICLE.search(node.marks):
             node.points = node.points * 1.25 + 5
         node.points *= 1 - node.linked / max(node.length, 1)
-        if best is None or node.points > most:
-            best, most = node, node.points
-    if best is None or most <= 0:
+    return list(scored.values())
+
+
+def _best_text(root: Node, nodes: list[Node]) -> str:
+    found = blocks(root)
+    if not found:
+        return ""
+    scored = score(found, nodes)
+    best = max(scored, key=lambda n: n.points)  # the first of equals
+    most = best.points
+    if most <= 0:
         return ""
-    kept = {id(best)}
+    best.kept = True
     if best.parent is not None and best.tag not in ("html", "body", "#root"):
+        with_points = {id(n) for n in scored}
         for sibling in best.parent.children:
-            if not isinstance(sibling, Node) or sibling is best or id(sibling) not in scored:
+            if not isinstance(sibling, Node) or sibling is best or id(sibling) not in with_points:
                 continue
             running = sibling.length >= 80 and sibling.linked / sibling.length < 0.25 and sibling.tag in PARAGRAPHS
             enough = sibling.points >= max(10.0, 0.2 * most)
@@ -272,17 +332,17 @@ def main_text(html: str) -> str:
                 enough = enough and sibling.tag in ("article", "main", "section")
                 running = False
             if enough or running:
-                kept.add(id(sibling))
+                sibling.kept = True
     if best.parent is not None and best.tag not in ("article", "main"):
-        kept |= {id(n) for n in _headings_before(best)}
-    lines = []
-    for owner, text, linked in found:
-        up = owner
-        while up is not None and id(up) not in kept:
-            up = up.parent
-        if up is not None and not (linked == len(text) and owner.tag in ("li", "td") and best.tag in ("body", "html", "#root")):
-            lines.append(text)
-    return "\n".join(lines)
+        for heading in _headings_before(best):
+            heading.kept = True
+    for node in nodes:  # parents come before their children
+        node.kept = node.kept or node.parent is not None and node.parent.kept
+    whole = best.tag in ("body", "html", "#root")
+    return "\n".join(
+        text for owner, text, linked in found
+        if owner.kept and not (whole and linked == len(text) and owner.tag in ("li", "td"))
+    )
 
 
 def _headings_before(best: Node) -> list[Node]:
