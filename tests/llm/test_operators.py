@@ -584,7 +584,8 @@ def test_blocks_of_items_in_any_script(spark):
     texts = [" ".join(f"слово{chr(0x430 + i)}" for i in range(20)) for _ in range(60)]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
     blocks = list(decontaminate.item_blocks(items, "item_id", "text", 100))
-    assert len(blocks) == 12 and sorted(i for b in blocks for i, _ in b) == list(range(60))
+    assert len(blocks) == 12 and sorted(i for b, _ in blocks for i, _ in b) == list(range(60))
+    assert not any(only for _, only in blocks)
 
 
 def test_words_of_has_only_the_contract_spaces():

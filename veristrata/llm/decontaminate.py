@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veristrata.llm.common import stored
 from veristrata.llm.rolling import PrefixHash, mix, powers
 
 WORDS = 5
@@ -149,8 +150,9 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "words long")
 
 
-def item_blocks(items: DataFrame, key: str, text: str, block: int = BLOCK_SHINGLES) -> Iterator[list[tuple]]:
-    """Items in blocks of about ``block`` words at most, each collected on its own; dealt by a hash."""
+def item_blocks(items: DataFrame, key: str, text: str, block: int = BLOCK_SHINGLES) -> Iterator[tuple[list[tuple], bool]]:
+    """Items in blocks of about ``block`` words at most, each collected on its own, and whether it is the only one;
+    dealt by a hash."""
     rows = items.select(
         F.col(key).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
@@ -158,7 +160,7 @@ def item_blocks(items: DataFrame, key: str, text: str, block: int = BLOCK_SHINGL
     parts = max(1, math.ceil(size / block))
     for part in range(parts):
         mine = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
-        yield [tuple(r) for r in mine.collect()]
+        yield [tuple(r) for r in mine.collect()], parts == 1
 
 
 def find(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
@@ -173,9 +175,13 @@ def find(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     source = documents.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     context = documents.sparkSession.sparkContext
     passes = []
-    for chosen in item_blocks(items, item_key, item_text, block):
+    for chosen, only in item_blocks(items, item_key, item_text, block):
         shared = context.broadcast(Sketches(chosen, share))  # one block: bounded by BLOCK_SHINGLES
-        passes.append(source.mapInArrow(_searcher(shared, key, item_key, item_kind), schema))
+        found = source.mapInArrow(_searcher(shared, key, item_key, item_kind), schema)
+        if not only:
+            found = stored(found, "matches")
+            shared.destroy()  # before the next block is sent
+        passes.append(found)
     result = passes[0]
     for more in passes[1:]:
         result = result.union(more)
@@ -216,13 +222,17 @@ def _searcher(shared, key: str, item_key: str, item_kind):
 
 def without(documents: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
             item_text: str = "text", share: float = SHARE, block: int = BLOCK_SHINGLES) -> DataFrame:
-    """The documents that hold no item, all columns as they were; each block of items sifts them in their tasks."""
+    """The documents that hold no item, all columns as they were. Of several blocks of items each sifts what the ones
+    before it have left; what is left is written down, so that the tasks hold one block at a time."""
     context = documents.sparkSession.sparkContext
     at = documents.columns.index(text)
     rest = documents
-    for chosen in item_blocks(items, item_key, item_text, block):
+    for chosen, only in item_blocks(items, item_key, item_text, block):
         shared = context.broadcast(Sketches(chosen, share))  # one block: bounded by BLOCK_SHINGLES
         rest = rest.mapInArrow(_sieve(shared, at), documents.schema)
+        if not only:
+            rest = stored(rest, "clean")
+            shared.destroy()  # before the next block is sent
     return rest
 
 
