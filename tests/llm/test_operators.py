@@ -284,12 +284,16 @@ def test_noise_classes_go(marks):
 ])
 def test_time_is_linear_in_the_page(page):
     def seconds(n):
-        begin = time.process_time()
-        assert html.main_text(page(n))
-        return time.process_time() - begin
-
-    seconds(1000)
-    assert seconds(40_000) < 14 * max(seconds(5000), 0.01)
+        """The least of three runs, as the collector of garbage may come in between."""
+        took = []
+        for _ in range(3):
+            begin = time.process_time()
+            assert html.main_text(page(n))
+            took.append(time.process_time() - begin)
+        return min(took)
+
+    # Eight times the page: 8 times the time if it is linear, 64 times if it is square.
+    assert seconds(40_000) < 24 * max(seconds(5000), 0.01)
 
 
 def plain_points(root):
