@@ -70,17 +70,39 @@ def test_lm_probabilities_add_up(spark):
     known.prepare()
     draw = np.random.default_rng(1)
     parameters = lm.Parameters.of(draw.normal(0, 0.5, lm.Parameters.initial(known.class_counts).flat().shape))
-    a, b, normal = parameters.tables()
-    chances = np.exp(a[7] + b[lm.START] - normal[7, lm.START])
-    assert chances.sum() == pytest.approx(1)
+    every = np.arange(len(known.class_counts))
+    before = np.full(len(every), 7), np.full(len(every), known.start)
+    chances = np.exp(parameters.scores(*before, every) - parameters.normalisers(3)[7, known.start])
+    assert chances.sum() == pytest.approx(1, abs=1e-4)
     # Words of a shared class, with one more for unseen words, have all of its chance.
     shares = collections.Counter()
     for r in counts.collect():
-        _, kind = known.class_ids([r["word"]])
-        if lm.OWN <= kind[0] < lm.ENDS:
+        _, kind = known.class_ids([r["word"].encode()])
+        if known.own <= kind[0] < known.ends:
             shares[int(kind[0])] += r["c"] + 1
     for kind, n in shares.items():
-        assert n + 1 == known.within[kind - lm.OWN]
+        assert n + 1 == known.within[kind - known.own]
+
+
+def test_lm_long_words_and_growing_classes(spark):
+    long = ["w" * 65, "w" * 64, "日本語" * 30, "é" + "x" * 80, "x" * 80 + "é", "a" * 5_000]
+    texts = [f"{w} {w}a b" for w in long] * 3 + [None] + [prose(WORDS, i, 60) for i in range(20)]
+    never = F.lit(False)
+    got = {r["doc_id"]: r for r in lm.score(documents(spark, texts), never).collect()}
+    counts = collections.Counter(w for t in texts for w in plain_tokens(t))
+    size = sum(counts.values()) + len(counts) + 1
+    for i, t in enumerate(texts):
+        own = plain_tokens(t)
+        assert got[i]["n_known"] == len(own)
+        assert got[i]["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / size) for w in own))
+    # The head is bounded by bytes; names, classes and their sums agree between Python and Spark.
+    table = lm.word_counts(documents(spark, texts).select(F.coalesce("text", F.lit(""))))
+    known = lm.vocabulary(table)
+    assert max(map(len, known.words)) <= lm.LONGEST
+    for r in table.select("word", lm.ending_column(F.col("word")).alias("k")).collect():
+        assert lm.ending(r["word"].encode()) == r["k"]
+    words = spark.range(5_000).select(F.concat(F.lit("v"), F.col("id")).alias("word"), F.lit(2).alias("c"))
+    assert lm.vocabulary(words.limit(1_000)).own < lm.vocabulary(words).own <= lm.OWN
 
 
 def test_lm_learns_and_survives_nothing(spark):

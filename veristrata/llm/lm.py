@@ -3,16 +3,18 @@
 The model predicts the class of a token from the two tokens before it: each context class has a vector for each
 of the two places, each predicted class a vector and a bias, and the score of a class is the inner product of its
 vector with the sum of the context's, plus the bias. The most frequent words and the end are classes of
-their own; all other words share classes by their ending, within which a word has its share of the
-counts (each count plus one, one more for all words never seen). So the probabilities of all words add up
-to one in any context. Normalisers of all pairs of context classes are one matrix product.
+their own, eight times the cube root of the number of different words, up to 3,968 (a table of all pairs of
+contexts then takes 64 MB in a task); all other words share classes by their ending, within which a word has its
+share of the counts (each count plus one, one more for all words never seen). So the probabilities of all words
+add up to one in any context. Normalisers of all pairs of context classes are products of matrices.
 
-Counts are taken over all training texts. Training goes through every training text once, in rounds: each
-task trains a copy of the parameters on its texts, the copies are averaged by their numbers of tokens, and the
-next round starts from the average. Only parameters (a fixed number) reach the driver.
+Counts are taken over all training texts. Then each text is cut into words once more and stored as two bytes for
+each token, its class; training and scores read these. Training goes through every training text once, in rounds:
+each task trains a copy of the parameters on its texts, the copies are averaged by their numbers of tokens, and
+the next round starts from the average. Only parameters (49 for each class) reach the driver.
 
-Words in the head of the vocabulary (a bounded number, broadcast) are looked up inside the tasks; the others are
-joined with the table of counts.
+Words in the head of the vocabulary (a bounded number of at most 64 bytes each, broadcast) are looked up inside the
+tasks; the others are joined with the table of counts. Longer words stand in the tables with their SHA-256.
 
 Defined cases: NULL texts are empty; an empty text has one token, the end; without any training text all
 probabilities are uniform over the classes; repeated rows are scored and counted each; a NULL key counts as
@@ -21,11 +23,13 @@ the empty text for the split; an empty table gives no row; very long texts are w
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veristrata.llm.common import ASCII_LOWER, SPACES, stored, whole_text
+from veristrata.llm.common import stored, whole_text
 
-END = "\n"  # no word has white space
+END = b"\n"  # no word has white space
 HEAD = 400_000  # words at most in the broadcast head of the vocabulary
-OWN = 384  # words with a class of their own
+LONGEST = 64  # bytes of a word that stands for itself
+OWN = 3_968  # words at most with a class of their own
 SHARED = 127  # classes by ending
-CLASSES = OWN + SHARED + 1
-ENDS = CLASSES - 1
-START = CLASSES  # context before the first token
 DIM = 16
 NOISE = 32
 BATCH = 2048
@@ -50,36 +52,38 @@ RATE = 0.15
 FLUSH = 300_000
 
 
-def tokens(text: str) -> list[str]:
-    words = SPACES.split(text.translate(ASCII_LOWER))
-    if words and not words[-1]:
-        words.pop()
-    if words and not words[0]:
-        del words[0]
-    words.append(END)
-    return words
+def tokens(text: str) -> list[bytes]:
+    """Words and the end. Bytes are lower-cased and split by ASCII alone, as the tokens are defined."""
+    return [*text.encode().lower().split(), END]
 
 
-def ending(word: str) -> int:
-    """The shared class of a word."""
-    return zlib.crc32((word[-2:] + ("" if word.isascii() else "+")).encode()) % SHARED
+def named(word: bytes) -> bytes:
+    """The word, or the mark of a long one, by which the tables know it."""
+    if len(word) <= LONGEST:
+        return word
+    return END + hashlib.sha256(word).hexdigest().encode() + word.decode()[-2:].encode()
 
 
-def ending_column(word: Column) -> Column:
-    mark = F.when(F.char_length(word) < F.octet_length(word), "+").otherwise("")
-    return (F.crc32(F.concat(F.right(word, F.lit(2)), mark).cast("binary")) % SHARED).cast("int")
+def ending(name: bytes) -> int:
+    """The shared class of a word, by its name."""
+    return zlib.crc32(name[-2:] if name.isascii() else name[-4:] + b"+") % SHARED
+
+
+def ending_column(name: Column) -> Column:
+    raw = name.cast("binary")
+    wide = F.concat(F.substring(raw, -4, 4), F.lit("+").cast("binary"))
+    return (F.crc32(F.when(F.char_length(name) < F.octet_length(name), wide).otherwise(F.substring(raw, -2, 2))) % SHARED).cast("int")
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, c) of all tokens; each task adds up before anything is shuffled."""
+    """(word, c) of all tokens, words by name; each task adds up before anything is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        counts: Counter[bytes] = Counter()
 
         def out() -> pa.RecordBatch:
-            found = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-            )
+            words = pa.array([named(w) for w in counts], pa.binary()).cast(pa.string())
+            found = pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
             counts.clear()
             return found
 
@@ -95,16 +99,27 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Totals, the head of the vocabulary, and the classes."""
+    """Totals, the head of the vocabulary, and the classes: own words, shared classes, the end."""
 
     total: int
     distinct: int
-    words: list[str]
+    words: list[bytes]
     counts: np.ndarray
+    own: int  # words with a class of their own
     classes: np.ndarray  # of the head's words
     class_counts: np.ndarray
     within: np.ndarray  # per shared class: the sum of its words' counts plus one, plus one
-    index: dict[str, int] = field(default_factory=dict)
+    index: dict[bytes, int] = field(default_factory=dict)
+
+    @property
+    def ends(self) -> int:
+        """The class of the end."""
+        return self.own + SHARED
+
+    @property
+    def start(self) -> int:
+        """The context before the first token."""
+        return self.own + SHARED + 1
 
     def __getstate__(self):
         return {**self.__dict__, "index": {}}
@@ -113,36 +128,36 @@ class Vocabulary:
         if not self.index:
             self.index = {w: i for i, w in enumerate(self.words)}
 
-    def class_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def class_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Position in the head (-1: not there) and class of each word."""
-        find = self.index.get
-        at = np.fromiter([find(w, -1) for w in words], np.int64, len(words))
-        if not len(self.words):
-            return at, np.fromiter([ENDS if w == END else OWN + ending(w) for w in words], np.int64, len(words))
-        kinds = self.classes[at]
-        for i in np.flatnonzero(at < 0).tolist():
-            kinds[i] = ENDS if words[i] == END else OWN + ending(words[i])
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        kinds = self.classes[at] if len(self.words) else np.zeros(len(words), np.int16)
+        outside = np.flatnonzero(at < 0)
+        kinds[outside] = [self.ends if words[i] == END else self.own + ending(named(words[i])) for i in outside.tolist()]
         return at, kinds
 
 
 def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     totals = counts.agg(F.sum("c"), F.count("*")).first()
     level = F.floor(F.log2("c") * 16).cast("int")
-    levels = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # about 16 a doubling
+    short = counts.where(F.octet_length("word") <= LONGEST)  # the marks of long words are longer
+    levels = short.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # about 16 a doubling
     least, seen = None, 0
     for row in levels:
         seen += row["count"]
         if seen > head:
             break
         least = row["level"]
-    rows = [] if least is None else counts.where(level >= least).collect()  # at most ``head``
-    rows = sorted(((r["word"], r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
+    rows = [] if least is None else short.where(level >= least).collect()  # at most ``head``
+    rows = sorted(((r["word"].encode(), r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
     words = [r[0] for r in rows]
     numbers = np.array([r[1] for r in rows], np.int64)
-    own = [w for w in words if w != END][:OWN]
-    place = {w: i for i, w in enumerate(own)} | {END: ENDS}
-    classes = np.fromiter((place[w] if w in place else OWN + ending(w) for w in words), np.int64, len(words))
-    shared = counts.where(~F.col("word").isin(END)).groupBy(ending_column(F.col("word")).alias("k")).agg(
+    most = min(OWN, int(8 * np.cbrt(totals[1])))
+    own = [w for w in words[: most + 1] if w != END][:most]
+    ends = len(own) + SHARED
+    place = {w: i for i, w in enumerate(own)} | {END: ends}
+    classes = np.fromiter((place[w] if w in place else len(own) + ending(w) for w in words), np.int16, len(words))
+    shared = counts.where(F.col("word") != END.decode()).groupBy(ending_column(F.col("word")).alias("k")).agg(
         F.sum("c").alias("c"), F.count("*").alias("n")
     ).collect()  # one row per shared class
     sums, kinds = np.zeros(SHARED, np.int64), np.zeros(SHARED, np.int64)
@@ -152,11 +167,11 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     for word in own:
         sums[ending(word)] -= numbers_of[word]
         kinds[ending(word)] -= 1
-    class_counts = np.zeros(CLASSES, np.int64)
+    class_counts = np.zeros(ends + 1, np.int64)
     class_counts[: len(own)] = [numbers_of[w] for w in own]
-    class_counts[OWN:ENDS] = sums
-    class_counts[ENDS] = numbers_of.get(END, 0)
-    return Vocabulary(totals[0] or 0, totals[1], words, numbers, classes, class_counts, sums + kinds + 1)
+    class_counts[len(own) : ends] = sums
+    class_counts[ends] = numbers_of.get(END, 0)
+    return Vocabulary(totals[0] or 0, totals[1], words, numbers, len(own), classes, class_counts, sums + kinds + 1)
 
 
 @dataclass
@@ -168,38 +183,45 @@ class Parameters:
 
     @staticmethod
     def initial(class_counts: np.ndarray) -> Parameters:
-        draw = np.random.default_rng(7)
+        draw, classes = np.random.default_rng(7), len(class_counts)
         small = lambda n: draw.normal(0, 0.1, (n, DIM))
         share = (class_counts + 1) / (class_counts + 1).sum()
-        return Parameters(small(CLASSES + 1), small(CLASSES + 1), small(CLASSES), np.log(share))
+        return Parameters(small(classes + 1), small(classes + 1), small(classes), np.log(share))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.first.ravel(), self.second.ravel(), self.predicted.ravel(), self.bias])
 
     @staticmethod
     def of(flat: np.ndarray) -> Parameters:
-        n, m = (CLASSES + 1) * DIM, CLASSES * DIM
+        classes = (len(flat) - 2 * DIM) // (3 * DIM + 1)
+        n, m = (classes + 1) * DIM, classes * DIM
         a, b, c, d = np.split(flat, [n, 2 * n, 2 * n + m])
         return Parameters(a.reshape(-1, DIM), b.reshape(-1, DIM), c.reshape(-1, DIM), d)
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores for each context class by place, and the logarithm of the normaliser of every pair of contexts,
-        by one matrix product."""
-        a = self.first @ self.predicted.T + self.bias
-        b = self.second @ self.predicted.T
-        top_a, top_b = a.max(1), b.max(1)
-        product = np.exp(a - top_a[:, None]) @ np.exp(b - top_b[:, None]).T
-        return a, b, np.log(product) + top_a[:, None] + top_b[None, :]
-
-
-def contexts(classes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes one and two tokens before each token; texts stand one after another, ``ends`` marks their
-    last tokens."""
-    one = np.concatenate([[START], classes[:-1]])
-    starts = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
-    one[starts] = START
-    two = np.concatenate([[START], one[:-1]])
-    two[starts] = START
+    def scores(self, one: np.ndarray, two: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Scores of classes after the contexts, not normalised."""
+        return np.einsum("ij,ij->i", self.first[one] + self.second[two], self.predicted[kinds]) + self.bias[kinds]
+
+    def normalisers(self, rows: int = 256) -> np.ndarray:
+        """The logarithm of the normaliser of every pair of contexts, by products of matrices."""
+        b = (self.second @ self.predicted.T).astype(np.float32)
+        top_b = b.max(1)
+        b = np.exp(b - top_b[:, None]).T
+        out = np.empty((len(self.first), len(self.second)), np.float32)
+        for at in range(0, len(out), rows):
+            a = (self.first[at : at + rows] @ self.predicted.T + self.bias).astype(np.float32)
+            top_a = a.max(1)
+            out[at : at + rows] = np.log(np.exp(a - top_a[:, None]) @ b) + top_a[:, None] + top_b[None, :]
+        return out
+
+
+def contexts(classes: np.ndarray, starts: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes one and two tokens before each token; texts stand one after another, ``starts`` are their first
+    tokens, and ``before`` is the context there."""
+    one = np.roll(classes, 1)
+    one[starts] = before
+    two = np.roll(one, 1)
+    two[starts] = before
     return one, two
 
 
@@ -228,17 +250,18 @@ class Trainer:
     def step(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
         context = p.first[one] + p.second[two]
-        noise = np.minimum(np.searchsorted(self.upto, self.draw.random(NOISE)), CLASSES - 1)
+        noise = np.minimum(np.searchsorted(self.upto, self.draw.random(NOISE)), len(self.upto) - 1)
         words, others = p.predicted[target], p.predicted[noise]
         real = (context * words).sum(1) + p.bias[target] - self.chance[target]
         false = context @ others.T + (p.bias - self.chance)[noise]
         up = 1 / (1 + np.exp(np.clip(real, -30, 30)))  # of the real tokens
         down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))  # of the noise
         moved = up[:, None] * words + down @ others
+        classes = len(p.predicted)
         slopes = [
-            _gather(one, moved, CLASSES + 1), _gather(two, moved, CLASSES + 1),
-            _gather(target, up[:, None] * context, CLASSES),
-            np.bincount(target, weights=up, minlength=CLASSES).astype(np.float32),
+            _gather(one, moved, classes + 1), _gather(two, moved, classes + 1),
+            _gather(target, up[:, None] * context, classes),
+            np.bincount(target, weights=up, minlength=classes).astype(np.float32),
         ]
         np.add.at(slopes[2], noise, down.T @ context)
         np.add.at(slopes[3], noise, down.sum(0))
@@ -249,43 +272,33 @@ class Trainer:
         self.n += n
 
 
-def _flattened(own: Vocabulary, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    words: list[str] = []
-    sizes = []
-    for text in texts:
-        found = tokens(text)
-        sizes.append(len(found))
-        words += found
-    at, kinds = own.class_ids(words)
-    last = np.cumsum(sizes) - 1
-    ends = np.zeros(len(words), bool)
-    ends[last] = True
-    return words, at, kinds, ends
-
-
-def _blocks(texts: list[str], size: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _blocks(sizes: list[int], size: int) -> Iterator[tuple[int, int]]:
     start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held > size or i == len(texts) - 1:
+    for i, n in enumerate(sizes):
+        held += n
+        if held > size or i == len(sizes) - 1:
             yield start, i + 1
             start, held = i + 1, 0
 
 
-def train_round(texts: DataFrame, shared_vocabulary, start: Parameters, seed: int) -> Parameters:
-    """One pass over ``texts``; the average of the tasks' parameters, weighted by tokens."""
+def _classes(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Stored classes of the texts in blocks: first and last text, all classes, first token of each text."""
+    packed = column.to_pylist()
+    for a, b in _blocks([len(x) for x in packed], 2_000_000):
+        starts = np.concatenate([[0], np.cumsum([len(x) // 2 for x in packed[a : b - 1]])]).astype(np.int64)
+        yield a, b, np.frombuffer(b"".join(packed[a:b]), "<i2"), starts
+
+
+def train_round(classes: DataFrame, shared_vocabulary, start: Parameters, seed: int) -> Parameters:
+    """One pass over the texts' classes; the average of the tasks' parameters, weighted by tokens."""
     flat = start.flat()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared_vocabulary.value
-        own.prepare()
-        context = TaskContext.get()
-        trainer = Trainer(Parameters.of(flat), own.class_counts, seed * 1_000_003 + context.partitionId())
+        trainer = Trainer(Parameters.of(flat), own.class_counts, seed * 1_000_003 + TaskContext.get().partitionId())
         for batch in batches:
-            texts_here = batch.column(0).to_pylist()
-            for a, b in _blocks(texts_here):
-                _, _, kinds, ends = _flattened(own, texts_here[a:b])
-                one, two = contexts(kinds, ends)
+            for _, _, kinds, starts in _classes(batch.column(0)):
+                one, two = contexts(kinds, starts, own.start)
                 order = trainer.draw.permutation(len(kinds))
                 one, two, kinds = one[order], two[order], kinds[order]
                 for at in range(0, len(kinds), BATCH):
@@ -298,7 +311,7 @@ def train_round(texts: DataFrame, shared_vocabulary, start: Parameters, seed: in
                 names=["at", "value", "n"],
             )
 
-    sums = texts.mapInArrow(run, "at long, value double, n long").groupBy("at").agg(
+    sums = classes.mapInArrow(run, "at long, value double, n long").groupBy("at").agg(
         (F.sum("value") / F.sum("n")).alias("value")
     )
     rows = sums.toPandas()  # as many rows as the model has parameters
@@ -308,84 +321,115 @@ def train_round(texts: DataFrame, shared_vocabulary, start: Parameters, seed: in
     return Parameters.of(flat)
 
 
-def score(df: DataFrame, held: Column, key: str = "doc_id", text: str = "text", head: int = HEAD,
-          rounds: int = ROUNDS) -> DataFrame:
-    """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; learns from the rows for
-    which ``held`` is false."""
-    spark = df.sparkSession
-    rows = df.select(F.col(key).alias("key"), held.alias("held_out"), whole_text(text).alias("text"))
-    training = rows.where(~F.col("held_out"))
-    counts = stored(word_counts(training.select("text")), "words")
-    known = vocabulary(counts, head)
-    shared = spark.sparkContext.broadcast(known)  # ``head`` words at most
-    parameters = Parameters.initial(known.class_counts)
-    for turn in range(rounds if known.total else 0):
-        part = F.pmod(F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("")), "text"), F.lit(rounds)) == turn
-        parameters = train_round(training.where(part).select("text"), shared, parameters, turn)
-    flat = parameters.flat()
-    kind = df.schema[key].dataType.simpleString()
-    base = math.log10(known.total + known.distinct + 1)
+def encoded(rows: DataFrame, shared_vocabulary) -> DataFrame:
+    """Per row of (key, held_out, turn, text): the number of tokens, of known ones in the head, the sums of their
+    logarithms of counts, over all and over words of shared classes, the tokens' classes, and the words outside
+    the head. Each row gets a number of its own."""
+    kind = rows.schema["key"].dataType.simpleString()
     tail_kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = shared_vocabulary.value
         own.prepare()
-        a, b, normal = Parameters.of(flat).tables()
-        a, b, normal = a / math.log(10), b / math.log(10), normal / math.log(10)
         logs = np.log10(own.counts + 1.0)
-        within = np.zeros(CLASSES)
-        within[OWN:ENDS] = np.log10(own.within)
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts_here = batch.column(2).to_pylist()
-            for start, stop in _blocks(texts_here):
-                words, at, kinds, ends = _flattened(own, texts_here[start:stop])
-                one, two = contexts(kinds, ends)
+            texts = batch.column(3).to_pylist()
+            for start, stop in _blocks([len(t) for t in texts], 2_000_000):
+                found = [tokens(t) for t in texts[start:stop]]
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                first = np.cumsum(sizes) - sizes
+                words = [w for of_text in found for w in of_text]
+                at, kinds = own.class_ids(words)
                 inside = at >= 0
                 plus = np.zeros(len(words))
                 plus[inside] = logs[at[inside]]
-                shares = (kinds >= OWN) & (kinds < ENDS)
-                model = a[one, kinds] + b[two, kinds] - normal[one, two] - within[kinds] + np.where(shares, plus, 0.0)
-                first = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
-                sums = [np.add.reduceat(x, first) for x in (inside.astype(np.int64), plus, model)]
-                sizes = np.diff(first, append=len(words))
+                shared = np.where((kinds >= own.own) & (kinds < own.ends), plus, 0.0)
+                sums = [np.add.reduceat(x, first) for x in (inside.astype(np.int64), plus, shared)]
                 outside = np.flatnonzero(~inside)
                 cut = np.searchsorted(outside, np.append(first, len(words))).tolist()
                 places = outside.tolist()
                 tails = [
-                    [{"word": w, "n": n} for w, n in Counter([words[p] for p in places[x:y]]).items()]
+                    [{"word": named(w).decode(), "n": n} for w, n in Counter([words[p] for p in places[x:y]]).items()]
                     for x, y in zip(cut, cut[1:], strict=False)
                 ]
+                raw = kinds.astype("<i2").tobytes()
+                packed = [raw[2 * a : 2 * (a + n)] for a, n in zip(first.tolist(), sizes.tolist(), strict=True)]
                 n = stop - start
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(row_id, row_id + n)), batch.column(0).slice(start, n),
-                        batch.column(1).slice(start, n), pa.array(sizes), pa.array(sums[0]), pa.array(sums[1]),
-                        pa.array(sums[2]), pa.array(tails, tail_kind),
+                        pa.array(np.arange(row_id, row_id + n)), *(batch.column(i).slice(start, n) for i in range(3)),
+                        pa.array(sizes), *(pa.array(x) for x in sums), pa.array(packed, pa.binary()),
+                        pa.array(tails, tail_kind),
                     ],
-                    names=["row", "key", "held_out", "n_tokens", "n_known", "plus", "score", "tail"],
+                    names=["row", "key", "held_out", "turn", "n_tokens", "n_known", "plus", "shared", "classes", "tail"],
                 )
                 row_id += n
 
-    scored = stored(
-        rows.mapInArrow(
-            run,
-            f"row long, key {kind}, held_out boolean, n_tokens long, n_known long, plus double, score double, "
-            "tail array<struct<word:string,n:long>>",
-        ),
-        "scores",
+    return rows.mapInArrow(
+        run,
+        f"row long, key {kind}, held_out boolean, turn int, n_tokens long, n_known long, plus double, shared double, "
+        "classes binary, tail array<struct<word:string,n:long>>",
     )
-    tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
+
+
+def modelled(texts: DataFrame, shared_vocabulary, parameters: Parameters) -> DataFrame:
+    """Rows with ``classes`` replaced by ``model``, the model's log10 probability of the classes, and of words of
+    shared classes within these but for the words' counts."""
+    flat = parameters.flat()
+    at_classes = texts.columns.index("classes")
+    others = [i for i in range(len(texts.columns)) if i != at_classes]
+    names = [texts.columns[i] for i in others] + ["model"]
+    schema = ", ".join(f"`{texts.columns[i]}` {texts.dtypes[i][1]}" for i in others) + ", model double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, p = shared_vocabulary.value, Parameters.of(flat.astype(np.float32))
+        normal = None
+        within = np.zeros(own.start)
+        within[own.own : own.ends] = np.log(own.within)
+        for batch in batches:
+            if normal is None:
+                normal = p.normalisers()
+            for start, stop, kinds, starts in _classes(batch.column(at_classes)):
+                one, two = contexts(kinds, starts, own.start)
+                logs = p.scores(one, two, kinds).astype(np.float64) - normal[one, two] - within[kinds]
+                kept = [batch.column(i).slice(start, stop - start) for i in others]
+                model = pa.array(np.add.reduceat(logs, starts) / math.log(10))
+                yield pa.RecordBatch.from_arrays([*kept, model], names=names)
+
+    return texts.mapInArrow(run, schema)
+
+
+def score(df: DataFrame, held: Column, key: str = "doc_id", text: str = "text", head: int = HEAD,
+          rounds: int = ROUNDS) -> DataFrame:
+    """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; learns from the rows for
+    which ``held`` is false."""
+    spark = df.sparkSession
+    turn = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), whole_text(text)), F.lit(rounds))
+    rows = df.select(
+        F.col(key).alias("key"), held.alias("held_out"), turn.cast("int").alias("turn"), whole_text(text).alias("text")
+    )
+    counts = stored(word_counts(rows.where(~F.col("held_out")).select("text")), "words")
+    known = vocabulary(counts, head)
+    shared = spark.sparkContext.broadcast(known)  # ``head`` words at most
+    texts = stored(encoded(rows, shared), "classes")
+    parameters = Parameters.initial(known.class_counts)
+    for turn in range(rounds if known.total else 0):
+        part = texts.where(~F.col("held_out") & (F.col("turn") == turn)).select("classes")
+        parameters = train_round(part, shared, parameters, turn)
+    base = math.log10(known.total + known.distinct + 1)
+    model = modelled(texts.drop("turn", "tail"), shared, parameters)
+    tail = texts.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
     looked = tail.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("more_known"),
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("more"),
     )
     more = F.coalesce("more", F.lit(0.0))
     # Words outside the head all belong to shared classes: their counts enter both scores alike.
-    return scored.drop("tail").join(looked, "row", "left").select(
+    return model.join(looked, "row", "left").select(
         F.col("key").alias(key), "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(known.total).cast("long").alias("train_tokens"),
         (F.col("plus") + more - F.col("n_tokens") * F.lit(base)).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+        (F.col("model") + F.col("shared") + more).alias("score"),
     )
