@@ -41,3 +41,8 @@ def test_top_values_are_limited_inside_the_tasks(spark, sf_dir):
 def test_row_rules_need_no_shuffle_but_the_final_merge(spark, sf_dir):
     plan = plan_of(validate(base(spark, sf_dir, "orders"), Suite("s").not_null("o_orderkey")))
     assert plan.count("Exchange") == 1 and "SinglePartition" in plan
+
+
+def test_quality_report_scans_a_table_once_besides_uniqueness(spark, sf_dir):
+    plan = plan_of(QUERIES["quality_pipeline"](spark, sf_dir))
+    assert plan.count("FileScan") <= 6  # three tables; unique columns are scanned by themselves

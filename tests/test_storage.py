@@ -5,17 +5,20 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from veristrata.operators.anomaly import detect
 from veristrata.operators.faults import inject_faults
 from veristrata.operators.integrity import children_per_parent, orphan_keys, orphans
+from veristrata.operators.profile import profile_summary
 from veristrata.operators.records import quarantined_rows, valid_rows, with_violations
 from veristrata.operators.validate import statistics, validate, validate_many
 from veristrata.plans import catalog
 from veristrata.plans.checkpoints import Checkpoint, outcomes, run_all, run_checkpoint
 from veristrata.plans.etl import Pipeline, Step, StepFailed, has_columns
-from veristrata.plans.quality import quality_report, quality_score
+from veristrata.plans.quality import quality_report, quality_score, suite_statistics
 from veristrata.plans.suite import Suite
 from veristrata.session import scratch_database, shared_dir
 from veristrata.sources import files, tables
+from veristrata.sources.entities import entities
 from veristrata.streaming.microbatch import file_stream, stream_totals, validate_stream
 
 AS_OF = "2025-01-01 00:00:00"
@@ -230,3 +233,26 @@ def test_shared_folder_is_the_configured_one(spark, monkeypatch):
     assert shared_dir(Session("hdfs:///shared/")) == "hdfs:///shared"
     with pytest.raises(ValueError):
         shared_dir(Session(None))
+
+
+def test_quality_report_equals_its_parts(spark, sf_dir):
+    every = entities(spark, sf_dir)
+    for given in (every, {"lab_results": every["lab_results"].limit(0)}, {"patients": every["patients"], "other": None}):
+        got = {tuple(r)[:3]: r.value for r in quality_report(given).collect()}
+        want = {}
+        names = [n for n in ("patients", "treatments", "lab_results") if given.get(n) is not None]
+        for r in suite_statistics(given).collect():
+            for m in ("evaluated", "successful", "unsuccessful", "success_percent"):
+                want["validation", r.dataset, m] = r[m]
+        for n in names:
+            r = profile_summary(given[n], n).first()
+            for m in ("row_count", "column_count", "columns_with_nulls", "avg_null_rate"):
+                want["profile", n, m] = r[m]
+        if "lab_results" in names:
+            for r in detect(given["lab_results"], "iqr", 1.5).collect():
+                want["anomaly", "lab_results", r.column] = r.anomaly_count
+        rows = sum(v for k, v in want.items() if k[2] == "row_count")
+        failed = sum(v for k, v in want.items() if k[2] == "unsuccessful")
+        assert got["overall", "all", "records_processed"] == rows
+        assert got["overall", "all", "passed"] == (failed == 0)
+        assert {k: v for k, v in got.items() if k[0] != "overall"} == pytest.approx(want)

@@ -232,6 +232,14 @@ def byte_profile(df: DataFrame) -> DataFrame:
 def profile_summary(df: DataFrame, name: str = "dataset") -> DataFrame:
     """Rows, columns, data size, columns with missing values and the mean null rate, in one scan."""
     df = normalize_missing(df)
+    return df.agg(*(figure.alias(k) for k, figure in summary_figures(df).items())).select(
+        F.lit(name).alias("name"), "row_count", F.lit(len(df.columns)).alias("column_count"),
+        "data_bytes", "columns_with_nulls", "avg_null_rate",
+    )
+
+
+def summary_figures(df: DataFrame) -> dict[str, Column]:
+    """The aggregates of the summary, by name."""
     rows = F.count(F.lit(1))
     nulls = [rows - F.count(field(c)) for c in df.columns]
     with_nulls = sum((F.when(n > 0, 1).otherwise(0) for n in nulls), F.lit(0))
@@ -243,15 +251,12 @@ def profile_summary(df: DataFrame, name: str = "dataset") -> DataFrame:
             size = size + F.coalesce(octets, F.lit(0))
         else:
             size = size + rows * F.lit(_WIDTHS.get(type(f.dataType), 8))
-    return df.agg(
-        rows.alias("row_count"),
-        with_nulls.alias("columns_with_nulls"),
-        (rates / F.lit(max(len(df.columns), 1))).alias("avg_null_rate"),
-        size.alias("data_bytes"),
-    ).select(
-        F.lit(name).alias("name"), "row_count", F.lit(len(df.columns)).alias("column_count"),
-        "data_bytes", "columns_with_nulls", "avg_null_rate",
-    )
+    return {
+        "row_count": rows,
+        "columns_with_nulls": with_nulls,
+        "avg_null_rate": rates / F.lit(max(len(df.columns), 1)),
+        "data_bytes": size,
+    }
 
 
 def overview(df: DataFrame) -> DataFrame:

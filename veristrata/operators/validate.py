@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,13 +33,41 @@ def validate(df: DataFrame, suite: Suite) -> DataFrame:
     declared rule types passed over (``status = 'skipped'``). ``success_declared`` is what the suite
     asks for. Both come from the same counts, hence from the same scan.
     """
+    return _judge(_counted(df, suite)) if suite.rules else _no_results(df.sparkSession)
+
+
+def validate_with(
+    df: DataFrame, suite: Suite, aggregates: Sequence[Column], figures: Sequence[tuple[str, str, str]]
+) -> DataFrame:
+    """Verdicts of a suite and other figures of the same scan, ``(section, metric, value, success)``.
+
+    A rule is a row of section ``validation`` with its success; a figure ``(section, metric, value)`` is a row with its
+    value, SQL text over the names of the ``aggregates``, which are taken over the same rows as the counts of the rules.
+    """
+    rows = [
+        {"section": literal(section), "metric": literal(metric), "value": f"cast({value} AS double)"}
+        for section, metric, value in figures
+    ]
+    judged = _judge(_counted(df, suite, aggregates, rows), ("section", "metric", "value"))
+    return judged.select(
+        F.coalesce("section", F.lit("validation")).alias("section"), "metric", "value",
+        F.when(F.col("section").isNull(), F.col("success")).alias("success"),
+    )
+
+
+def _counted(
+    df: DataFrame, suite: Suite, aggregates: Sequence[Column] = (), figures: Sequence[dict[str, str]] = ()
+) -> DataFrame:
+    """The counts of each rule, still to be judged, and rows of other figures of the same scan."""
     df = normalize_missing(df)
     checks = [compile_rule(df, rule) for rule in suite.rules]
-    if not checks:
-        return _no_results(df.sparkSession)
     counts = _Counts()
     rows = [_rule_row(suite, i, r, c, counts) for i, (r, c) in enumerate(zip(suite.rules, checks))]
-    long = df.agg(*counts.aggregates).select(result_rows(rows))
+    if figures:
+        missing = _rule_row(suite, -1, Rule("figure"), StaticCheck(None, None), counts)
+        blank = {"section": "cast(NULL AS string)", "metric": "cast(NULL AS string)", "value": "cast(NULL AS double)"}
+        rows = [{**row, **blank} for row in rows] + [{**missing, **{k: f[k] for k in blank}} for f in figures]
+    long = df.agg(*counts.aggregates, *aggregates).select(result_rows(rows))
     distinct = list(dict.fromkeys(c.column for c in checks if isinstance(c, DistinctCheck)))
     if distinct:
         uniques = distinct_counts(df, distinct).withColumnRenamed("column", "distinct_column")
@@ -48,7 +76,7 @@ def validate(df: DataFrame, suite: Suite) -> DataFrame:
     else:
         for name in ("distinct_count", "repeated_values", "repeated_rows"):
             long = long.withColumn(name, _null("bigint"))
-    return _judge(long)
+    return long
 
 
 def validate_many(tables: Mapping[str, tuple[DataFrame, Suite]]) -> DataFrame:
@@ -284,8 +312,8 @@ def _is_number(value: object) -> bool:
     return isinstance(value, (int, float)) and not isinstance(value, bool)
 
 
-def _judge(long: DataFrame) -> DataFrame:
-    """Both verdicts from the counts."""
+def _judge(long: DataFrame, others: Sequence[str] = ()) -> DataFrame:
+    """Both verdicts from the counts; ``others`` are kept."""
     repeated, failed_type = "coalesce(repeated_rows, 0)", "(type_error AND considered > 0)"
 
     def within(value: str) -> str:
@@ -294,7 +322,7 @@ def _judge(long: DataFrame) -> DataFrame:
     share = "try_divide(considered - bad_declared, considered)"
     proportion = "try_divide(coalesce(distinct_count, 0), considered)"
     return long.selectExpr(
-        "suite", "idx", "expectation_type", "`column`", "kwargs", "element_count", "null_count",
+        *others, "suite", "idx", "expectation_type", "`column`", "kwargs", "element_count", "null_count",
         f"CASE WHEN kind = 'unique' THEN {repeated} ELSE bad END AS unexpected_count",
         f"""CASE WHEN status = 'skipped' THEN true
             WHEN kind = 'static' THEN fixed
