@@ -7,20 +7,28 @@ resolved record has the response's payload and headers, the latter updated by th
 The join works on the different (URL, date) points: responses of a point are reduced to one, the greatest
 record id, and revisits of a point have one answer. Points are cut into time ranges of about equal numbers of
 records, so that no URL, however frequent, is one task: within a range the last response is carried on by a window,
-from range to range by one row for each URL and range. Payloads are not moved.
+from range to range by one row for each URL and range. Payloads are not moved: records are parsed once, and what is
+stored of them is their header fields and the payload's length and digest.
 
-Defined cases: records without URL or date, or whose headers can't be read, are unresolved; a response at the very
-date of the revisit is not earlier; weak and strong forms of an ETag agree; repeated records are resolved each; an
-empty table gives no row; other columns are ignored.
+Defined cases: records without URL or date, or whose headers can't be read, are unresolved, and take no part in the join;
+a response at the very date of the revisit is not earlier; weak and strong forms of an ETag agree; repeated records are
+resolved each; a block ends after its Content-Length of bytes, or with the text where that is missing, no number or
+too large; a record without a blank line has an empty block; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-RANGES = 256
+from veristrata.llm.common import stored
+
+LEAST_RANGES, MOST_RANGES = 256, 10_000
+RANGE_RECORDS = 100_000  # of a time range, as long as there are not more than MOST_RANGES of them
+COLUMNS = ["record_id", "type", "url", "date", "status", "fields", "payload_bytes", "payload_sha256"]
 
 # Header fields that a 304 answer does not update.
 NOT_UPDATED = [
@@ -63,24 +71,26 @@ def field(fields: Column, name: str) -> Column:
 def parse(df: DataFrame, record: str = "record") -> DataFrame:
     """Columns of WARC records whose text is in the column ``record``: record_id, type, url, date, status, fields
     (of the HTTP answer), payload_bytes, payload_sha256."""
-    text = F.col(record)
+    text = F.col(record).cast("string")
     head = F.substring_index(text, "\r\n\r\n", 1)
-    block = F.substr(text, F.instr(text, "\r\n\r\n") + 4)
-    answer = F.substring_index(F.col("_block"), "\r\n\r\n", 1)
-    payload = F.substr(F.col("_block"), F.locate("\r\n\r\n", F.col("_block")) + 4)
-    rows = df.select(_fields(F.split(head, "\r\n")).alias("_warc"), block.alias("_block"))
-    rows = rows.select(
+    rows = df.select(text.cast("binary").alias("_bytes"), head.alias("_head"))
+    rows = rows.select("_bytes", F.octet_length("_head").alias("_at"), _fields(F.split("_head", "\r\n")).alias("_warc"))
+    length = field(F.col("_warc"), "content-length").try_cast("long")
+    whole = F.octet_length("_bytes")
+    length = F.when(length >= 0, F.least(length, whole)).otherwise(whole).cast("int")
+    rows = rows.select("_warc", F.substr("_bytes", F.col("_at") + 5, length).alias("_block"))
+    answer = F.substring_index(F.col("_block").cast("string"), "\r\n\r\n", 1)
+    rows = rows.select("_warc", "_block", answer.alias("_answer"))
+    payload = F.substr("_block", F.octet_length("_answer") + 5, F.octet_length("_block"))
+    rows = rows.select("_warc", "_answer", payload.alias("_payload"))
+    return rows.select(
         field(F.col("_warc"), "warc-record-id").alias("record_id"), field(F.col("_warc"), "warc-type").alias("type"),
         field(F.col("_warc"), "warc-target-uri").alias("url"),
         F.try_to_timestamp(field(F.col("_warc"), "warc-date"), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]X")).alias("date"),
-        answer.alias("_answer"), payload.alias("_payload"),
-    )
-    return rows.select(
-        "record_id", "type", "url", "date",
         F.regexp_extract("_answer", r"^HTTP/[0-9.]+ ([0-9]{3})", 1).try_cast("int").alias("status"),
         _fields(F.split("_answer", "\r\n")).alias("fields"),
         F.octet_length("_payload").cast("long").alias("payload_bytes"),
-        F.sha2(F.col("_payload").cast("binary"), 256).alias("payload_sha256"),
+        F.sha2("_payload", 256).alias("payload_sha256"),
     )
 
 
@@ -95,19 +105,34 @@ def merged_fields(stored_fields: Column, newer: Column) -> Column:
     return F.array_sort(F.concat(kept, update))
 
 
-def time_edges(dates: DataFrame, ranges: int = RANGES) -> list:
-    """Dates that cut the records into ranges of about equal numbers; at most ``ranges`` - 1 of them."""
+def time_edges(dates: DataFrame, ranges: int) -> list[int]:
+    """Microseconds that cut the records into ranges of about equal numbers; at most ``ranges`` - 1 of them."""
     shares = [i / ranges for i in range(1, ranges)]
     found = dates.select(F.unix_micros("date").alias("t")).where("t IS NOT NULL").agg(
-        F.percentile_approx("t", F.array(*[F.lit(s) for s in shares]), F.lit(10_000)).alias("edges")
+        F.percentile_approx("t", F.array(*[F.lit(s) for s in shares]), F.lit(max(10_000, 20 * ranges))).alias("edges")
     ).first()[0]
     return sorted(set(found or []))
 
 
-def resolve(records: DataFrame, ranges: int = RANGES) -> DataFrame:
+def time_range(edges: list[int]) -> Column:
+    """Number of edges up to the date, looked up in two steps: the run of neighbouring edges, then the place in it."""
+    if not edges:
+        return F.lit(0)
+    step = math.isqrt(len(edges)) + 1
+    runs = [edges[i : i + step] for i in range(0, len(edges), step)]
+    upto = lambda values: F.size(F.filter(values, lambda e: e <= F.unix_micros("date")))
+    run = upto(F.lit([r[0] for r in runs[1:]]) if runs[1:] else F.expr("array()").cast("array<bigint>"))
+    within = F.array(*[F.lit(r) for r in runs])
+    return run * step + upto(F.get(within, run))
+
+
+def resolve(records: DataFrame, ranges: int | None = None) -> DataFrame:
     """For each revisit: record_id, url, canonical, date, outcome (``resolved``, ``validators differ``, ``no
-    response``), refers_to, fields, payload_bytes, payload_sha256; the last four are NULL unless resolved."""
-    rows = records.withColumn("canonical", canonical_url(F.col("url")))
+    response``), refers_to, fields, payload_bytes, payload_sha256; the last four are NULL unless resolved. The number of
+    time ranges grows with the records unless it is given."""
+    rows = stored(records.select(*COLUMNS, canonical_url(F.col("url")).alias("canonical")), "warc")
+    if ranges is None:
+        ranges = min(MOST_RANGES, max(LEAST_RANGES, math.ceil(rows.count() / RANGE_RECORDS)))
     usable = F.col("canonical").isNotNull() & F.col("date").isNotNull()
     key = ["canonical", "date"]
     full = rows.where(usable & (F.col("type") == "response") & (F.col("status") == 200))
@@ -116,10 +141,7 @@ def resolve(records: DataFrame, ranges: int = RANGES) -> DataFrame:
     points = full.select(*key, answer.alias("answer")).union(
         revisits.where(usable).select(*key, F.lit(None).cast(full.select(answer.alias("a")).schema["a"].dataType))
     ).groupBy(*key).agg(F.max("answer").alias("answer"))
-    edges = time_edges(rows, ranges)
-    micros = F.unix_micros("date")
-    part = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= micros)) if edges else F.lit(0)
-    points = points.withColumn("part", part)
+    points = points.withColumn("part", time_range(time_edges(rows, ranges)))
     before = Window.partitionBy("canonical", "part").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     near = points.withColumn("near", F.last("answer", ignorenulls=True).over(before))
     ends = points.where(F.col("answer").isNotNull()).groupBy("canonical", "part").agg(
@@ -130,7 +152,8 @@ def resolve(records: DataFrame, ranges: int = RANGES) -> DataFrame:
     earlier = Window.partitionBy("canonical").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = ranges_of.select("canonical", "part", F.last("at_end", ignorenulls=True).over(earlier).alias("carried"))
     answered = near.join(carried, ["canonical", "part"]).select(*key, F.coalesce("near", "carried").alias("found"))
-    found = revisits.join(answered, key, "left")
+    found = revisits.where(usable).join(answered, key, "left")
+    found = found.unionByName(revisits.where(~usable).withColumn("found", F.lit(None).cast(found.schema["found"].dataType)))
     differ = F.lit(False)
     for name in ("etag", "last-modified"):
         mine, theirs = field(F.col("fields"), name), field(F.col("found.fields"), name)
