@@ -8,12 +8,14 @@ scores above it, and of those equal to it the smallest ids, of which the final r
 
 A block counts only its own k best scores of a query: what lies below them can't hold the k-th.
 
-Vectors are turned into integers, floor(scale * x), and scores are exact integers.
+Vectors are turned into integers, floor(scale * x), and scores are exact integers: by products of matrices of doubles where
+both vectors are shorter than 2**26, else by Python's integers, for the rows of a block that need them only.
 
 Defined cases: vectors that are NULL, empty, or hold NULL or non-finite components, and rows without id,
 take no part; vectors are scored against those of their own length only; a row is no candidate for queries of its
 own id, repeated rows included; ties go to the smaller id; fewer than k candidates are all returned; an
-empty table gives no row; components beyond 2**31 in size or scores beyond 2**53 raise an error.
+empty table gives no row; components beyond what a long holds count as the nearest long, scores beyond 2**61 in size as
+2**61 with their sign.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 4096
 BINS = 4096
 STEP = 256  # candidates that are multiplied at a time
+SHORT = 2.0**26  # products of vectors up to this length are exact in doubles
+MOST = 1 << 61  # greatest score
+NONE = np.iinfo(np.int64).min  # in place of a score: no candidate
 
 
 def integers(df: DataFrame, key: str, vector: str, scale: int = 256) -> DataFrame:
@@ -47,26 +52,37 @@ def integers(df: DataFrame, key: str, vector: str, scale: int = 256) -> DataFram
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
-    values = table.column("v").combine_chunks()
-    flat = values.flatten().to_numpy(zero_copy_only=False)
-    matrix = flat.reshape(table.num_rows, -1).astype(np.float64)
-    if np.abs(matrix).max(initial=0.0) >= 2.0**31:
-        raise ValueError("a component is too large")
-    return matrix
+    flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(table.num_rows, -1)
+
+
+def _doubles(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the rows as doubles, long ones as zeros; places of the long rows)."""
+    values = matrix.astype(np.float64)
+    far = np.flatnonzero(np.linalg.norm(values, axis=1) >= SHORT)
+    values[far] = 0
+    return values, far
+
+
+def _exact(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.clip(left.astype(object) @ right.astype(object).T, -MOST, MOST).astype(np.int64)
 
 
 def _scores(queries: pa.Table, candidates: pa.Table):
-    """(candidate ids, scores of candidates x queries; -inf for a query's own row) step by step."""
+    """(candidate ids, scores of candidates x queries; NONE for a query's own row) step by step."""
     left, right = _matrix(queries), _matrix(candidates)
-    sizes = np.linalg.norm(left, axis=1).max(initial=0.0) * np.linalg.norm(right, axis=1).max(initial=0.0)
-    if sizes >= 2.0**53:
-        raise ValueError("a score is too large")
+    near, far_queries = _doubles(left)
     names = queries.column("id").to_numpy()
     ids = candidates.column("id").to_numpy()
     for at in range(0, len(ids), STEP):
-        part = ids[at : at + STEP]
-        scores = right[at : at + STEP] @ left.T
-        scores[part[:, None] == names[None, :]] = -np.inf
+        part, rows = ids[at : at + STEP], right[at : at + STEP]
+        values, far = _doubles(rows)
+        scores = (values @ near.T).astype(np.int64)
+        if len(far_queries):
+            scores[:, far_queries] = _exact(rows, left[far_queries])
+        if len(far):
+            scores[far] = _exact(rows[far], left)
+        scores[part[:, None] == names[None, :]] = NONE
         yield part, scores
 
 
@@ -74,17 +90,17 @@ def _histogram(k: int):
     def run(key, queries: pa.Table, candidates: pa.Table) -> pa.Table:
         out = {"id": [], "bin": [], "n": []}
         if queries.num_rows and candidates.num_rows:
-            low = queries.column("low").to_numpy().astype(np.float64)
-            width = queries.column("width").to_numpy().astype(np.float64)
-            high = low + queries.column("span").to_numpy().astype(np.float64)
-            best = np.full((0, len(low)), -np.inf)
+            low = queries.column("low").to_numpy()
+            width = queries.column("width").to_numpy()
+            high = low + queries.column("span").to_numpy()
+            best = np.zeros((0, len(low)), np.int64)
             for _, scores in _scores(queries, candidates):
-                scores[(scores < low) | (scores >= high)] = -np.inf
+                scores[(scores < low) | (scores >= high)] = NONE
                 best = np.concatenate([best, scores])
                 if len(best) > k:
                     best = np.partition(best, len(best) - k, axis=0)[-k:]
-            row, column = np.nonzero(np.isfinite(best))
-            bins = ((best[row, column] - low[column]) // width[column]).astype(np.int64)
+            row, column = np.nonzero(best != NONE)
+            bins = (best[row, column] - low[column]) // width[column]
             pairs, counts = np.unique(column * BINS + bins, return_counts=True)
             out = {"id": queries.column("id").to_numpy()[pairs // BINS], "bin": pairs % BINS, "n": counts}
         return pa.table({c: pa.array(np.asarray(v, np.int64)) for c, v in out.items()})
@@ -97,10 +113,10 @@ def _emit(k: int):
         found = [np.zeros(0, np.int64)] * 3
         if queries.num_rows and candidates.num_rows:
             names = queries.column("id").to_numpy()
-            least = queries.column("low").to_numpy().astype(np.float64)
+            least = queries.column("low").to_numpy()
             parts, ties = [], []
             for ids, scores in _scores(queries, candidates):
-                row, column = np.nonzero((scores > least) & np.isfinite(scores))
+                row, column = np.nonzero(scores > least)
                 parts.append((names[column], ids[row], scores[row, column]))
                 row, column = np.nonzero(scores == least)
                 ties.append((column, ids[row]))
@@ -111,7 +127,7 @@ def _emit(k: int):
             place = np.arange(len(column)) - np.searchsorted(column, column)
             column, ids = column[place < k], ids[place < k]
             parts.append((names[column], ids, least[column]))
-            found = [np.concatenate([p[i] for p in parts]).astype(np.int64) for i in range(3)]
+            found = [np.concatenate([p[i] for p in parts]) for i in range(3)]
         return pa.table({c: pa.array(v) for c, v in zip(("query_id", "vec_id", "score"), found, strict=True)})
 
     return run
@@ -132,12 +148,13 @@ def search(df: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector:
         rows.where(is_query).groupBy("id").agg(F.max(F.struct("v", "length")).alias("q"))
         .select("id", "q.v", "q.length")
     )
-    bound = math.ceil(largest * largest) + 1
+    bound = min(math.ceil(largest * largest) + 1, MOST)
+    width = F.expr(f"(span + {BINS - 1}) div {BINS}")
     start = asked.select(
         "*", F.lit(-bound).cast("long").alias("low"), F.lit(2 * bound + 1).cast("long").alias("span"),
         F.lit(0).cast("long").alias("above"),
     )
-    state = stored(start, "queries").withColumn("width", F.ceil(F.col("span") / BINS))
+    state = stored(start, "queries").withColumn("width", width)
     query_blocks = max(1, math.ceil(state.count() / QUERY_BLOCK))
     candidate_blocks = max(1, math.ceil(total / CANDIDATE_BLOCK))
     blocks = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
@@ -174,7 +191,7 @@ def search(df: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector:
         )
         if (state.agg(F.max("span")).first()[0] or 1) <= 1:
             break
-        state = state.withColumn("width", F.ceil(F.col("span") / BINS))
+        state = state.withColumn("width", width)
     best = met(state, _emit(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
