@@ -480,6 +480,29 @@ def test_topk_edges(spark):
     assert topk.search(df.where("false"), F.col("id") % 50 == 0, 5).collect() == []
 
 
+def test_topk_of_long_vectors_and_large_scores(spark):
+    from pyspark.sql import functions as F
+
+    draw = np.random.default_rng(5)
+    size = [1.0, 1.0, 1e3, 2.0**20, 2.0**20 + 1, 3e5]
+    vectors = [(i, (draw.normal(0, 1, 3) * size[i % 6]).tolist()) for i in range(90)]
+    # Scores that differ by one where doubles no longer tell them apart.
+    vectors += [(100, [2.0**22, 1 / 256, 0.0]), (101, [2.0**22, 0.0, 0.0]), (102, [2.0**22, 2 / 256, 0.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in vectors}
+    got = {}
+    for r in topk.search(df, F.col("id") % 10 == 0, 4).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == {q for q in ints if q % 10 == 0}
+    for q, found in got.items():
+        scores = sorted((-sum(a * b for a, b in zip(ints[q], w, strict=True)), i) for i, w in ints.items() if i != q)[:4]
+        assert sorted(found) == [(k, i, -x) for k, (x, i) in enumerate(scores, 1)], q
+    huge = spark.createDataFrame([(0, [1e300]), (1, [1.0]), (2, [-1e300]), (3, [5e299])], "vec_id long, embedding array<double>")
+    top = 1 << 61
+    found = topk.search(huge, F.col("id") == 0, 5).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(1, top), (3, top), (2, -top)]
+
+
 # Pieces
 
 
@@ -551,9 +574,65 @@ def test_revisits_of_dates_with_fractions(spark):
     assert got == {"v1": "r2", "v2": "r1"}
 
 
+def test_records_end_at_their_length(spark):
+    def record(length, block, tail=""):
+        given = "" if length is None else f"Content-Length: {length}\r\n"
+        return (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: r\r\n{given}\r\n{block}{tail}",)
+
+    answer = "HTTP/1.1 200 OK\r\nETag: 1\r\n\r\n"
+    body = "é\r\n\r\nx"  # seven bytes
+    size = len((answer + body).encode())
+    rows = [record(size, answer + body, "\r\n\r\n"), record(None, answer + body), record("odd", answer + body), record(-1, answer + body),
+            record(10**12, answer + body), record(size - 1, answer + body), record(0, answer + body), record(3, answer + body)]
+    got = [r["payload_bytes"] for r in warc.parse(spark.createDataFrame(rows, "record string")).collect()]
+    assert got == [7, 7, 7, 7, 7, 6, 0, 0]
+    plain = spark.createDataFrame([("WARC/1.1\r\nWARC-Type: response",), ("",)], "record string")
+    assert [(r["type"], r["payload_bytes"], r["status"]) for r in warc.parse(plain).collect()] == [("response", 0, None), (None, 0, None)]
+
+
+def test_time_ranges(spark):
+    from pyspark.sql import functions as F
+
+    for edges in ([], [5], [1, 2, 3], list(range(0, 300, 3))):
+        df = spark.range(-2, 310).select("id", F.timestamp_micros("id").alias("date"))
+        for r in df.select("id", warc.time_range(edges).alias("part")).collect():
+            assert r["part"] == sum(e <= r["id"] for e in edges), (edges, r)
+
+
+def test_revisits_without_a_point(spark):
+    from pyspark.sql import functions as F
+
+    full = ("r", "response", "http://a.com/", "2024-01-01T00:00:00Z", 200)
+    lost = [(f"v{i}", "revisit", *point, 304) for i, point in enumerate(
+        [(None, "2024-01-02T00:00:00Z"), ("http://a.com/", None), (None, None), ("http://a.com", "2024-01-02T00:00:00Z")] * 50)]
+    df = spark.createDataFrame([full, *lost], "record_id string, type string, url string, date string, status int").selectExpr(
+        "*", "'x' AS canonical", "array(struct('etag' AS name, '1' AS value)) AS fields", "1L AS payload_bytes", "'s' AS payload_sha256",
+        "1 AS found", "1 AS part").withColumn("date", F.to_timestamp("date"))
+    got = warc.resolve(df).collect()
+    assert len(got) == 200
+    assert sum(r["outcome"] == "resolved" and r["refers_to"] == "r" for r in got) == 50
+    assert sum(r["outcome"] == "no response" for r in got) == 150
+
+
 # Conversations
 
 
+def test_placeholders_are_numbered_in_order_of_many_parts(spark):
+    kinds = ["text", "image", "audio", "other", None]
+    parts = [(kinds[i * 7 % 5], f"t{i}", f"r{i}", None, None, None, None) for i in range(20_000)]
+    df = spark.createDataFrame([(1, 0, "user", parts)], f"conv_id long, turn long, role string, parts array<{chat.PART.simpleString()}>")
+    got = chat.visit(df).select("content", "attachments").first()
+    want, number = [], 0
+    for kind, text, *_ in parts:
+        if kind in ("text", None):
+            want.append(text)
+        else:
+            number += 1
+            want.append(f"<{'file' if kind == 'other' else kind} {number}>")
+    assert got["content"] == "".join(want)
+    assert [a["number"] for a in got["attachments"]] == list(range(1, number + 1))
+
+
 def test_chat_parts_and_round_trip(spark):
     rows = [
         (1, 0, "user", [("text", "see \\l <turn> ", None, None, None, None, None), ("image", None, "i.png", 56, 57, None, None),

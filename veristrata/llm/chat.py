@@ -84,15 +84,21 @@ def visit(turns: DataFrame) -> DataFrame:
     """Adds ``content`` (texts and placeholders in order), ``attachments`` and ``placeholder_tokens`` to
     rows that have ``parts``."""
     parts = F.coalesce(F.col("parts"), F.expr("array()").cast(T.ArrayType(PART)))
-    # Number of non-text parts up to each part, by one pass over the array.
+    placed = F.transform(parts, lambda p, i: F.struct(i.alias("at"), p.alias("p")))
     others = F.filter(parts, lambda p: ~_is_text(p))
-    number = lambda i: F.size(F.filter(F.slice(parts, 1, i + 1), lambda p: ~_is_text(p)))
-    content = F.transform(
-        parts,
-        lambda p, i: F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(
-            F.concat(F.lit("<"), _kind(p), F.lit(" "), number(i).cast("string"), F.lit(">"))
+    texts = F.transform(
+        F.filter(placed, lambda x: _is_text(x["p"])),
+        lambda x: F.struct(x["at"].alias("at"), escape(F.coalesce(x["p"]["text"], F.lit(""))).alias("s")),
+    )
+    # The place in the filtered array is the placeholder's number; sorting by ``at`` puts both kinds in order again.
+    marks = F.transform(
+        F.filter(placed, lambda x: ~_is_text(x["p"])),
+        lambda x, i: F.struct(
+            x["at"].alias("at"),
+            F.concat(F.lit("<"), _kind(x["p"]), F.lit(" "), (i + 1).cast("string"), F.lit(">")).alias("s"),
         ),
     )
+    content = F.transform(F.sort_array(F.concat(texts, marks)), lambda x: x["s"])
     attachments = F.transform(
         others,
         lambda p, i: F.struct(
