@@ -67,7 +67,7 @@ def column_profile(
             quartiles = fused_quantiles(df, numbers, QUARTILES, aggregates)
         else:
             quartiles = quantile_values(df, numbers, QUARTILES, mode)
-    rows = [_statistics(df, c, i, parts, quartiles.get(c), aggregates) for i, c in enumerate(names)]
+    rows = [column_statistics(df, c, i, parts, quartiles.get(c), aggregates) for i, c in enumerate(names)]
     stats = df.agg(*aggregates).select(result_rows(rows))
     if "distinct" in parts:
         counts = distinct_counts(df, names, approximate=mode == "approx")
@@ -91,7 +91,7 @@ def column_profile(
     )
 
 
-def _statistics(
+def column_statistics(
     df: DataFrame, name: str, i: int, parts: set[str], quartiles: dict | None,
     aggregates: list[Column],
 ) -> dict[str, str]:
@@ -218,17 +218,21 @@ _WIDTHS = {
 
 def byte_profile(df: DataFrame) -> DataFrame:
     """Data bytes per column: fixed width by type, and the encoded length of texts."""
-    aggregates, rows = [F.count(F.lit(1)).alias("rows")], []
-    for i, f in enumerate(df.schema.fields):
-        if is_string(f.dataType) or isinstance(f.dataType, T.BinaryType):
-            aggregates.append(F.sum(F.octet_length(field(f.name)).cast("bigint")).alias(f"b{i}"))
-            size = f"coalesce(b{i}, 0)"
-        else:
-            size = f"rows * {_WIDTHS.get(type(f.dataType), 8)}"
-        rows.append({"column": literal(f.name), "data_bytes": size})
+    aggregates, rows = [F.count(F.lit(1)).alias("count")], []
+    for i, c in enumerate(df.columns):
+        rows.append({"column": literal(c), "data_bytes": column_bytes(df, c, f"b{i}", aggregates)})
     return df.agg(*aggregates).select(result_rows(rows))
 
 
+def column_bytes(df: DataFrame, name: str, alias: str, aggregates: list[Column]) -> str:
+    """Bytes of a column over the aggregates, the first of which counts the rows; adds the one that it needs."""
+    data_type = df.schema[name].dataType
+    if is_string(data_type) or isinstance(data_type, T.BinaryType):
+        aggregates.append(F.sum(F.octet_length(field(name)).cast("bigint")).alias(alias))
+        return f"coalesce({alias}, 0)"
+    return f"`count` * {_WIDTHS.get(type(data_type), 8)}"
+
+
 def profile_summary(df: DataFrame, name: str = "dataset") -> DataFrame:
     """Rows, columns, data size, columns with missing values and the mean null rate, in one scan."""
     df = normalize_missing(df)

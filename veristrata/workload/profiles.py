@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veristrata.operators import profile as P
-from veristrata.operators import sketches
+from veristrata.operators import report, sketches
 from veristrata.session import stored
 from veristrata.workload.common import base, entity, rounded, with_entities
 
@@ -108,7 +108,21 @@ def profile_sketches(spark: SparkSession, folder: str) -> DataFrame:
     ), 4)
 
 
+def profile_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole profile of the documents; long values as their digest, correlations in millionths."""
+    found = _moments_as_text(report.profile(base(spark, folder, "documents"), "documents"))
+    shown = lambda v: F.when(F.octet_length(v) > 64, F.md5(v.cast("binary"))).otherwise(v)
+    top = F.transform("top_values", lambda x: F.concat(shown(x["value"]), F.lit(" "), x["occurrences"].cast("string")))
+    related = F.transform(
+        "correlations", lambda x: F.concat(x["column"], F.lit(" "), F.round(x["r"] * 1_000_000).cast("bigint").cast("string"))
+    )
+    return rounded(found.withColumns({
+        "top_values": F.array_join(top, "\n"), "correlations": F.array_join(related, "\n"),
+    }))
+
+
 QUERIES = {
+    "profile_report": profile_report,
     "profile_sketches": profile_sketches,
     "profile_table": _on("lab_results", P.table_profile, "lab_results"),
     "profile_nulls": _on("treatments", P.null_profile),
@@ -219,6 +233,37 @@ def _pair(a: str, b: str) -> str:
 
 
 _DOCUMENT_TEXTS = ["text", "lang", "source"]
+_DOCUMENT_NUMBERS = {"doc_id": "bigint", "n_chars": "bigint"}
+
+
+def _report_sql(c: str) -> str:
+    """The whole profile of a column of the documents."""
+    number = c in _DOCUMENT_NUMBERS
+    cells = {"null_count": f"count(*) - count({c})", "unique_count": f"count(DISTINCT {c})"}
+    rates = ", ".join(f"round(({e}) * 1.0e0 / count(*), 6) AS {n[:-5]}rate" for n, e in cells.items())
+    plain = ", ".join(f"{e} AS {n}" for n, e in cells.items())
+    shape = ", ".join(f"{_shape(c, f) if number else 'cast(NULL AS double)'} AS {f}" for f in ("skewness", "kurtosis"))
+    length = "cast(NULL AS int)" if number else f"length({c})"
+    size = "count(*) * 8" if number else f"coalesce(cast(sum(strlen({c})) AS bigint), 0)"
+    listed = " || chr(10) || ".join(
+        f"'{o} ' || (SELECT cast(round(corr({c}, {o}) * 1000000) AS bigint) FROM documents)" for o in sorted(_DOCUMENT_NUMBERS)
+    ) if number else "cast(NULL AS varchar)"
+    return f"""SELECT 'documents' AS name, count(*) AS row_count, '{c}' AS "column", '{_DOCUMENT_NUMBERS.get(c, "string")}' AS dtype,
+      {plain}, {rates}, {_numeric_cells(c).replace("(v", f"({c}") if number else _no_numbers()}, {shape},
+      cast(NULL AS varchar) AS min_ts, cast(NULL AS varchar) AS max_ts, cast(NULL AS bigint) AS range_days,
+      round(avg({length}), 6) AS avg_length, cast(min({length}) AS int) AS min_length, cast(max({length}) AS int) AS max_length, {size} AS data_bytes,
+      coalesce((SELECT string_agg(CASE WHEN strlen(v) > 64 THEN md5(v) ELSE v END || ' ' || n, chr(10) ORDER BY n DESC, mark)
+        FROM (SELECT cast({c} AS varchar) AS v, count(*) AS n,
+                CASE WHEN strlen(v) > 64 THEN '#' || sha256(v) ELSE v END AS mark
+              FROM documents WHERE {c} IS NOT NULL GROUP BY v ORDER BY n DESC, mark LIMIT 5)), '') AS top_values,
+      {listed} AS correlations
+    FROM documents"""
+
+
+def _no_numbers() -> str:
+    return ", ".join(f"cast(NULL AS double) AS {n}" for n in P.NUMERIC[1:])
+
+
 _DIGEST = "md5(concat('42:', cast(o_orderkey AS varchar)))"
 def _sketched_sql(c: str, number: bool) -> str:
     cells = f"avg({c}), stddev_samp({c}), min({c}), max({c})".split(", ") if number else ["NULL"] * 4
@@ -232,6 +277,7 @@ def _sketched_sql(c: str, number: bool) -> str:
 
 
 ORACLES = {
+    "profile_report": "\nUNION ALL\n".join(_report_sql(c) for c in (*_DOCUMENT_NUMBERS, *_DOCUMENT_TEXTS)),
     "profile_sketches": "\nUNION ALL\n".join(
         _sketched_sql(c, c in ("o_orderkey", "o_custkey", "o_totalprice")) for c in (
             "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")),
