@@ -12,7 +12,7 @@ QUERIES = all_queries()
 PLANNED = [
     "val_suite_patients", "val_all_suites", "val_unexpected_rows", "rec_quarantine",
     "ref_integrity_orphans", "lookup_reference_ranges", "profile_columns", "anomaly_all_columns",
-    "drift_ks", "scorecard", "quality_pipeline", "dataset_summary",
+    "drift_ks", "scorecard", "quality_pipeline", "dataset_summary", "profile_report",
 ]
 
 
