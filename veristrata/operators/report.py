@@ -1,12 +1,12 @@
 """The whole profile of a table: statistics, sizes, distinct and most frequent values, correlations, by column.
 
-Three passes are shared by all of it. The quartiles take two (sketches, then proofs) besides the scan that counts
-everything else: nulls, moments, lengths, bytes, the opened brackets of the quartiles, and the correlations of a few columns.
-The third reads the values: one shuffle of (column, value) counts gives both the distinct and the most frequent ones.
-Correlations of many columns are a scan of their own (see ``gram``).
+All of it shares a few scans. The quartiles take two (sketches, then proofs); a third counts everything else: nulls, moments,
+lengths, bytes, the opened brackets of the quartiles, and the correlations of a few columns. A fourth reads the values: one
+shuffle of (column, value) counts gives both the distinct and the most frequent ones. Correlations of many columns are a scan
+of their own (see ``gram``).
 
 Values of more than 64 bytes are counted by a digest. Only of those that are among the most frequent is the text
-looked up again, so no long text is shuffled.
+looked up again, in one more scan of tables that have text columns, so no long text is shuffled but those in the report.
 """
 
 from __future__ import annotations
