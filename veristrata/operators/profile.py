@@ -161,7 +161,7 @@ def unique_profile(df: DataFrame, mode: str = "exact") -> DataFrame:
 def top_value_profile(df: DataFrame, k: int = 5, columns: list[str] | None = None) -> DataFrame:
     """The most frequent values per column, as text."""
     df = normalize_missing(df)
-    return top_values(value_counts(df, columns or df.columns), k)
+    return top_values(value_counts(df, columns or df.columns, parts=True), k)
 
 
 def numeric_profile(df: DataFrame, mode: str = "exact") -> DataFrame:

@@ -117,7 +117,7 @@ def _values(df: DataFrame, k: int) -> DataFrame:
 
 def value_figures(df: DataFrame, k: int) -> DataFrame:
     """(column, unique_count, value, occurrences, rank): the most frequent values of each column, long ones as digests."""
-    counts = value_counts(df, df.columns, identities=True)
+    counts = value_counts(df, df.columns, identities=True, parts=True)
     # Both sides read the occurrences, so that their plans share one shuffle.
     distinct = counts.groupBy("column").agg(F.count_if(F.col("occurrences") > 0).alias("unique_count"))
     instants = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
